@@ -60,9 +60,10 @@ def resolve_batch_identity(
     fresh = found.filter(F.col(id_column).isNull())
     at = F.struct(*order)
     # Founder of each first key, then the earliest founder that shares a second key.
+    rest = [c for c in second if c not in first]
     name_groups = fresh.groupBy(*first).agg(
-        F.min(at).alias("__at"), F.min_by(F.struct(*second), at).alias("__second")
-    ).select(*first, "__at", *[F.col(f"__second.{c}").alias(c) for c in second])
+        F.min(at).alias("__at"), F.min_by(F.struct(*rest), at).alias("__second")
+    ).select(*first, "__at", *[F.col(f"__second.{c}").alias(c) for c in rest])
     url_groups = name_groups.groupBy(*second).agg(
         F.min_by(F.struct(*first), F.col("__at")).alias("__founder")
     )

@@ -75,10 +75,16 @@ def _payload(unit: Unit) -> Column:
     return F.struct(*[F.col(c) for c in unit.columns])
 
 
-def _condition(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> Column:
-    parts = [
-        left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k] for k in keys
-    ]
+OLD = "__o_"  # prefix of stored columns while both sides are joined
+
+
+def _old(column: str) -> Column:
+    return F.col(f"{OLD}{column}")
+
+
+def _condition(keys: Sequence[str], null_safe: bool) -> Column:
+    """Stored (prefixed) keys equal the plain ones of the other side."""
+    parts = [_old(k).eqNullSafe(F.col(k)) if null_safe else _old(k) == F.col(k) for k in keys]
     out = parts[0]
     for part in parts[1:]:
         out = out & part
@@ -134,13 +140,15 @@ def merge_records(
     record that caused the entry.
     """
     rows, summary = fold_batch(batch, spec, order, bucket)
-    old = stored.withColumn("__stored", F.lit(True))
-    for unit in spec.units:
-        old = old.withColumn(f"__s_{unit.name}", unit.value().cast("string"))
+    old = stored.select(
+        F.lit(True).alias("__stored"),
+        *[unit.value().cast("string").alias(f"__s_{unit.name}") for unit in spec.units],
+        *[F.col(c).alias(f"{OLD}{c}") for c in stored.columns],
+    )
     how = "full_outer" if spec.insert_missing else "left_outer"
-    joined = old.join(summary, _condition(old, summary, spec.keys, spec.null_safe), how)
+    joined = old.join(summary, _condition(spec.keys, spec.null_safe), how)
     known = F.col("__stored").isNotNull()
-    keys = [F.coalesce(old[k], summary[k]).alias(k) for k in spec.keys]
+    keys = [F.coalesce(_old(k), F.col(k)).alias(k) for k in spec.keys]
 
     values: list[Column] = []
     updated: set[str] = set()
@@ -150,24 +158,26 @@ def merge_records(
         takes_first = before.isNull() | differs(before, first["value"])
         for column in unit.columns:
             merged = (
-                F.when(first.isNull(), old[column])
+                F.when(first.isNull(), _old(column))
                 .when(F.col(f"__n_{unit.name}") > 0, last[column])
                 .when(takes_first, first["row"][column])
-                .otherwise(old[column])
+                .otherwise(_old(column))
             )
             values.append(merged.alias(column))
             updated.add(column)
     for column in spec.insert_only:
-        values.append(F.when(known, old[column]).otherwise(F.col("__insert")[column]).alias(column))
+        values.append(F.when(known, _old(column)).otherwise(F.col("__insert")[column]).alias(column))
         updated.add(column)
-    untouched = [old[c] for c in stored.columns if c not in updated and c not in spec.keys]
+    untouched = [_old(c).alias(c) for c in stored.columns if c not in updated and c not in spec.keys]
     table = joined.select(*keys, *untouched, *values).select(*stored.columns)
 
     log = _log_inside(rows, spec, order)
-    log = log.unionByName(_log_against_stored(joined, old, summary, spec, order, known))
+    log = log.unionByName(_log_against_stored(joined, spec, order, known))
     if not spec.insert_missing:
         log = log.join(
-            stored.select(*spec.keys), _condition(log, stored, spec.keys, spec.null_safe), "left_semi"
+            stored.select(*[F.col(k).alias(f"{OLD}{k}") for k in spec.keys]),
+            _condition(spec.keys, spec.null_safe),
+            "left_semi",
         )
     return MergeResult(table, log, spec)
 
@@ -203,7 +213,7 @@ def _log_inside(rows: DataFrame, spec: MergeSpec, order: Sequence[str]) -> DataF
 
 
 def _log_against_stored(
-    joined: DataFrame, old: DataFrame, summary: DataFrame, spec: MergeSpec, order: Sequence[str], known: Column
+    joined: DataFrame, spec: MergeSpec, order: Sequence[str], known: Column
 ) -> DataFrame:
     items = []
     for unit in spec.units:
@@ -233,7 +243,7 @@ def _log_against_stored(
             )
         ]
     exploded = joined.select(
-        *[F.coalesce(old[k], summary[k]).alias(k) for k in spec.keys], _entries(items).alias("e")
+        *[F.coalesce(_old(k), F.col(k)).alias(k) for k in spec.keys], _entries(items).alias("e")
     )
     return exploded.select(
         *spec.keys,
@@ -250,7 +260,8 @@ def insert_if_absent(
     stored: DataFrame, candidates: DataFrame, keys: Sequence[str], order: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
     """Candidates whose key is not stored yet, the first one per key."""
-    fresh = candidates.join(stored, _condition(candidates, stored, keys, null_safe), "left_anti")
+    known = stored.select(*[F.col(k).alias(f"{OLD}{k}") for k in keys])
+    fresh = candidates.join(known, _condition(keys, null_safe), "left_anti")
     return ordered.first_per_key(fresh, keys, order)
 
 
