@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from catalodge.functions.text import norm_ws
+from catalodge.functions.text import let, norm_ws
 
 # The five date layouts, each with the shape a text must have to be tried.
 DATE_LAYOUTS = (
@@ -26,10 +26,13 @@ FULL_DATE_RE = r"\b[0-9]{1,2}\s+[A-Za-z]+\s+20[0-9]{2}\b"
 
 def parse_date(text: Column) -> Column:
     """A DATE from one of the accepted layouts, else NULL."""
-    clean = norm_ws(text)
-    return F.coalesce(
-        *[F.when(clean.rlike(shape), F.try_to_date(clean, layout)) for shape, layout in DATE_LAYOUTS]
-    )
+
+    def tried(clean: Column) -> Column:
+        return F.coalesce(
+            *[F.when(clean.rlike(shape), F.try_to_date(clean, layout)) for shape, layout in DATE_LAYOUTS]
+        )
+
+    return let(norm_ws(text), tried)
 
 
 def loose_date(text: Column) -> Column:
@@ -49,22 +52,24 @@ def date_range(text: Column) -> Column:
     clean = F.regexp_replace(clean, rf"(?i)\b{WEEKDAY_RE},?\s+", "")
     clean = F.regexp_replace(clean, r"(?i)\b([0-9]{1,2})(?:st|nd|rd|th)\b", "$1")
 
-    def part(group: int) -> Column:
-        return F.regexp_extract(clean, RANGE_RE, group)
-
-    def or_end(group: int, fallback: int) -> Column:
-        return F.coalesce(F.nullif(part(group), F.lit("")), part(fallback))
-
-    start = loose_date(F.concat_ws(" ", part(1), or_end(2, 5), or_end(3, 6)))
-    end = loose_date(F.concat_ws(" ", part(4), part(5), part(6)))
-    singles = F.regexp_extract_all(clean, F.lit(FULL_DATE_RE), F.lit(0))
-    first = F.get(singles, F.lit(0))
-    second = F.coalesce(F.get(singles, F.lit(1)), first)
-    ranged = clean.rlike(RANGE_RE)
-    return F.struct(
-        F.when(ranged, start).otherwise(loose_date(first)).alias("start"),
-        F.when(ranged, end).otherwise(loose_date(second)).alias("end"),
-    )
+    def ends(body: Column) -> Column:
+        def part(group: int) -> Column:
+            return F.regexp_extract(body, RANGE_RE, group)
+
+        def or_end(group: int, fallback: int) -> Column:
+            return F.coalesce(F.nullif(part(group), F.lit("")), part(fallback))
+
+        singles = F.regexp_extract_all(body, F.lit(FULL_DATE_RE), F.lit(0))
+        first = F.get(singles, F.lit(0))
+        return F.when(
+            body.rlike(RANGE_RE),
+            F.array(
+                F.concat_ws(" ", part(1), or_end(2, 5), or_end(3, 6)), F.concat_ws(" ", part(4), part(5), part(6))
+            ),
+        ).otherwise(F.array(first, F.coalesce(F.get(singles, F.lit(1)), first)))
+
+    days = F.transform(let(clean, ends), lambda t: loose_date(t))
+    return let(days, lambda d: F.struct(F.get(d, F.lit(0)).alias("start"), F.get(d, F.lit(1)).alias("end")))
 
 
 def money(text: Column) -> Column:

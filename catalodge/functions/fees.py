@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from catalodge.functions.dates import money
 from catalodge.functions.rules import FEE_EXCLUDE, FEE_MAX, FEE_MIN, contains_any
-from catalodge.functions.text import quoted
 
 
 def _plausible(amount: Column, context: Column) -> Column:
@@ -21,8 +18,8 @@ def _first(values: Column) -> Column:
     return F.get(F.filter(values, lambda v: v.isNotNull()), F.lit(0))
 
 
-def fee_near(text: Column, labels: Sequence[str]) -> Column:
-    """Amount that belongs to one of the labels, else NULL.
+def fee_near(text: Column, labels: Column) -> Column:
+    """Amount that belongs to one of the labels (array<string>), else NULL.
 
     1. the first amount within 500 characters behind a label, labels in order;
     2. a line with an amount whose surroundings (4 lines before, 1 after) name a label;
@@ -30,9 +27,12 @@ def fee_near(text: Column, labels: Sequence[str]) -> Column:
     """
     body = F.coalesce(text, F.lit(""))
 
-    def behind(label: str) -> Column:
+    def literal(label: Column, tail: str) -> Column:
+        return F.concat(F.lit("(?is)\\Q"), label, F.lit("\\E" + tail))
+
+    def behind(label: Column) -> Column:
         # The lookahead leaves the text behind a hit open for the next hit.
-        tails = F.regexp_extract_all(body, F.lit(rf"(?is){quoted(label)}(?=(.{{0,500}}))"), F.lit(1))
+        tails = F.regexp_extract_all(body, literal(label, "(?=(.{0,500}))"), F.lit(1))
         return _first(F.transform(tails, lambda t: _plausible(money(t), F.substring(t, 1, 160))))
 
     lines = F.split(body, "\n")
@@ -40,17 +40,17 @@ def fee_near(text: Column, labels: Sequence[str]) -> Column:
     def in_context(line: Column, at: Column) -> Column:
         first = F.greatest(at - 4, F.lit(0))
         context = F.array_join(F.slice(lines, first + 1, at + 2 - first), " ")
-        named = contains_any(F.lower(context), [label.lower() for label in labels])
-        return F.when(line.contains("£") & named, _plausible(money(line), context))
+        named = F.exists(labels, lambda label: F.contains(F.lower(context), F.lower(label)))
+        return F.when(line.contains("£"), F.when(named, _plausible(money(line), context)))
 
-    def first_mention(label: str) -> Column:
-        pattern = rf"(?is){quoted(label)}[^£]{{0,220}}£\s*[0-9,]+(?:\.[0-9]{{1,2}})?"
-        hit = F.regexp_extract(body, pattern, 0)
+    def first_mention(label: Column) -> Column:
+        pattern = literal(label, r"[^£]{0,220}£\s*[0-9,]+(?:\.[0-9]{1,2})?")
+        hit = F.call_function("regexp_extract", body, pattern, F.lit(0))
         return _plausible(money(hit), hit)
 
     found = F.coalesce(
-        *[behind(label) for label in labels],
+        _first(F.transform(labels, behind)),
         _first(F.transform(lines, in_context)),
-        *[first_mention(label) for label in labels],
+        _first(F.transform(labels, first_mention)),
     )
     return F.when(body.contains("£"), found)

@@ -49,7 +49,7 @@ def money_text(amount: Column, currency: Column) -> Column:
     """'£34,470' or 'A$1,234.5': at most three decimals, grouped thousands."""
     symbol = label(currency, CURRENCY)
     symbol = F.when(symbol == currency, F.concat(currency, F.lit(" "))).otherwise(symbol)
-    return F.concat(symbol, F.format_number(amount, "#,##0.###"))
+    return F.concat(symbol, F.call_function("format_number", amount, F.lit("#,##0.###")))
 
 
 def days_left(deadline: Column, as_of: Column) -> Column:

@@ -15,6 +15,15 @@ FAILURE_MARKERS = ("失败", "Cloudflare", "待重试", "待下轮", "timeout",
 NUMBER_RE = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once and bound to a name.
+
+    Plain composition would copy the expression of ``value`` into every place that
+    uses it; nested a few levels deep, such plans outgrow the optimizer.
+    """
+    return F.get(F.transform(F.array(value), lambda bound: body(bound)), F.lit(0))
+
+
 def quoted(literal: str) -> str:
     """``literal`` as a Java regular expression that matches exactly itself."""
     return "\\Q" + literal.replace("\\E", "\\E\\\\E\\Q") + "\\E"

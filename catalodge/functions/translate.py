@@ -7,13 +7,14 @@ JVM expression engine.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from catalodge.functions.text import blank_to_null, quoted, title_case
+from catalodge.functions.text import blank_to_null, let, quoted, title_case
 
 HAN_RE = "[一-鿿]"
 
@@ -186,8 +187,9 @@ def calendar_zh(name: Column) -> Column:
     out = F.regexp_replace(out, r"\b[Tt]([0-9])([A-C]?)\b", "T$1$2")
     out = F.regexp_replace(out, r"学期 ([0-9])", "第$1学期")
     out = F.trim(F.regexp_replace(out, r"\s+", " "))
-    left = F.regexp_count(out, F.lit("[A-Za-z]{3,}"))
-    return F.when(out.rlike(HAN_RE) & (left <= 2), out)
+    return let(
+        out, lambda t: F.when(t.rlike(HAN_RE) & (F.regexp_count(t, F.lit("[A-Za-z]{3,}")) <= 2), t)
+    )
 
 
 def degree_suffix(name: Column) -> Column:
@@ -226,11 +228,14 @@ def plan_label_zh(text: Column) -> Column:
     linked = F.regexp_replace(text, r"\s*\bor\b\s*", " 或 ")
     linked = F.regexp_replace(linked, r"\s*\band\b\s*", " 和 ")
     levelled = F.regexp_replace(text, r"(?i)\bLevel ([0-9])\b", "$1级")
-    words = replace_phrases(levelled, PLAN_TERMS, whole_words=True)
-    words_ok = (words != levelled) & words.rlike(HAN_RE)
-    return F.when(has_code, F.trim(linked)).when(
-        words_ok, F.trim(F.regexp_replace(words, r"\s+", " "))
+    words = let(
+        replace_phrases(levelled, PLAN_TERMS, whole_words=True),
+        lambda w: F.when((w != levelled) & w.rlike(HAN_RE), F.trim(F.regexp_replace(w, r"\s+", " "))),
     )
+    return F.when(has_code, F.trim(linked)).otherwise(words)
+
+
+TERM_RE = r"(?i)\bT([123])\b.*?(20[0-9]{2})"
 
 
 def plan_variant_label(url: Column) -> Column:
@@ -241,46 +246,59 @@ def plan_variant_label(url: Column) -> Column:
     pieces = F.filter(
         F.transform(pieces, lambda s: F.trim(F.regexp_replace(s, r"[-_\s]+", " "))), lambda s: s != ""
     )
-    term_re = r"(?i)\bT([123])\b.*?(20[0-9]{2})"
-    term_at = F.array_position(F.transform(pieces, lambda s: s.rlike(term_re)), F.lit(True))
-    term_piece = F.get(pieces, (term_at - 1).cast("int"))
-    term = F.when(
-        term_at > 0,
-        F.concat(
-            F.lit("T"), F.regexp_extract(term_piece, term_re, 1), F.lit(" "),
-            F.regexp_extract(term_piece, term_re, 2), F.lit(" 入学"),
-        ),
+    return let(pieces, _label_of_pieces)
+
+
+def _label_of_pieces(pieces: Column) -> Column:
+    at = F.array_position(F.transform(pieces, lambda s: s.rlike(TERM_RE)), F.lit(True)).cast("int")
+    piece = F.get(pieces, at - 1)
+    term = F.concat(
+        F.lit("T"), F.regexp_extract(piece, TERM_RE, 1), F.lit(" "), F.regexp_extract(piece, TERM_RE, 2), F.lit(" 入学")
     )
-    kept = F.when(term_at > 0, F.slice(pieces, F.lit(1), (term_at - 1).cast("int"))).otherwise(pieces)
+    kept = F.when(at > 0, F.slice(pieces, F.lit(1), at - 1)).otherwise(pieces)
+
+    def is_subject(s: Column) -> Column:
+        code = s.rlike("^[0-9]{4}$") | s.rlike(r"(?i)^(bachelor|master)\b") | s.rlike("(?i)^1st yr")
+        return ~(code | ((F.char_length(s) <= 8) & s.rlike(r"^[A-Za-z]+[0-9]*$")))
 
-    def is_subject(piece: Column) -> Column:
-        code = piece.rlike("^[0-9]{4}$") | piece.rlike(r"(?i)^(bachelor|master)\b") | piece.rlike("(?i)^1st yr")
-        return ~(code | ((F.char_length(piece) <= 8) & piece.rlike(r"^[A-Za-z]+[0-9]*$")))
+    def last_of(rest: Column) -> Column:
+        return F.coalesce(
+            F.try_element_at(F.filter(rest, is_subject), F.lit(-1)), F.try_element_at(rest, F.lit(-1)), F.lit("")
+        )
 
-    subjects = F.filter(kept, is_subject)
-    major = F.coalesce(F.try_element_at(subjects, F.lit(-1)), F.try_element_at(kept, F.lit(-1)), F.lit(""))
-    major = F.trim(F.regexp_replace(major, r"^[A-Za-z]{4,7}[0-9]\s+", ""))
+    major = F.trim(F.regexp_replace(let(kept, last_of), r"^[A-Za-z]{4,7}[0-9]\s+", ""))
     major = F.trim(F.regexp_replace(major, r"(?i)\s+(full|part)\s+time.*$", ""))
-    label = F.concat_ws(" · ", blank_to_null(title_case(major)), term)
-    return F.when(label == "", "培养计划").otherwise(label)
+    label = F.concat_ws(" · ", blank_to_null(let(major, title_case)), F.when(at > 0, term))
+    return F.coalesce(blank_to_null(label), F.lit("培养计划"))
+
+
+def _dictionary(entries: Sequence[tuple[str, str]]) -> Column:
+    """A dictionary as one array literal, so that an expression carries it as a constant."""
+    text = json.dumps([{"en": en, "zh": zh} for en, zh in entries], ensure_ascii=False)
+    return F.from_json(F.lit(text), "array<struct<en:string,zh:string>>")
 
 
 def major_zh(label: Column) -> Column:
     """Chinese name of a major: the first dictionary entry it contains decides."""
     low = F.lower(F.trim(F.regexp_replace(label, r"\s*·.*$", "")))
-    chain = None
-    for english, chinese in MAJOR_TERMS:
-        chain = F.when(low.contains(english), chinese) if chain is None else chain.when(low.contains(english), chinese)
-    engineering = low.contains("engineering") | low.rlike(r"\beng\b")
-    complete = F.lit(False)
-    for ending in COMPLETE_ENDINGS:
-        complete = complete | chain.endswith(ending)
-    return F.when(engineering & ~complete, F.concat(chain, F.lit("工程"))).otherwise(chain)
+    endings = "(" + "|".join(COMPLETE_ENDINGS) + ")$"
+
+    def named(low: Column) -> Column:
+        first = F.get(F.filter(_dictionary(MAJOR_TERMS), lambda t: F.contains(low, t["en"])), F.lit(0))
+        engineering = low.contains("engineering") | low.rlike(r"\beng\b")
+        return let(
+            first["zh"],
+            lambda zh: F.when(engineering & ~zh.rlike(endings), F.concat(zh, F.lit("工程"))).otherwise(zh),
+        )
+
+    return let(low, named)
 
 
 def plan_variant_zh(label: Column) -> Column:
     """Chinese variant label; the part behind the dot is kept as it is."""
-    tail = F.trim(F.regexp_extract(label, r"·\s*(.+)$", 1))
-    return F.when(
-        major_zh(label).isNotNull(), F.concat_ws(" · ", major_zh(label), blank_to_null(tail))
-    )
+
+    def put_together(text: Column) -> Column:
+        tail = blank_to_null(F.trim(F.regexp_extract(text, r"·\s*(.+)$", 1)))
+        return let(major_zh(text), lambda zh: F.when(zh.isNotNull(), F.concat_ws(" · ", zh, tail)))
+
+    return let(label, put_together)

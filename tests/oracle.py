@@ -45,6 +45,7 @@ def compare(con, df, sql: str) -> str | None:
         return f"columns {spark_cols} != {duck_cols}"
     if spark_rows == duck_rows:
         return None if spark_rows else "both sides are empty"
-    only_spark = [r for r in spark_rows if r not in set(duck_rows)][:3]
-    only_duck = [r for r in duck_rows if r not in set(spark_rows)][:3]
+    spark_set, duck_set = set(spark_rows), set(duck_rows)
+    only_spark = [r for r in spark_rows if r not in duck_set][:3]
+    only_duck = [r for r in duck_rows if r not in spark_set][:3]
     return f"rows {len(spark_rows)} != {len(duck_rows)}; spark only {only_spark}; sql only {only_duck}"[:1500]
