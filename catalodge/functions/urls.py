@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from catalodge.functions.text import let
+
 # The generic URI split (RFC 3986, appendix B): scheme, authority, path, query, fragment.
 URI_RE = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?"
 SCHEME, AUTHORITY, PATH, QUERY, FRAGMENT = 1, 2, 3, 4, 5
@@ -85,25 +87,35 @@ def drop_dot_segments(path: Column) -> Column:
     return F.array_join(walked, "/")
 
 
+def _parts(url: Column) -> Column:
+    return F.struct(
+        url.alias("url"),
+        url_part(url, SCHEME).alias("scheme"),
+        url_part(url, AUTHORITY).alias("authority"),
+        url_part(url, PATH).alias("path"),
+        url_part(url, QUERY).alias("query"),
+    )
+
+
 def resolve(base: Column, href: Column) -> Column:
     """The absolute, fragment-free URL a link on page ``base`` points to."""
-    link = F.trim(href)
-    scheme, authority = url_part(base, SCHEME), url_part(base, AUTHORITY)
-    root = F.concat(scheme, F.lit("://"), authority)
-    folder = F.regexp_replace(url_part(base, PATH), r"[^/]*$", "")
-    folder = F.when(folder == "", "/").otherwise(folder)
-    rel_path, rel_query = url_part(link, PATH), url_part(link, QUERY)
-    tail = F.when(rel_query == "", "").otherwise(F.concat(F.lit("?"), rel_query))
-    joined = F.concat(F.when(rel_path.startswith("/"), "").otherwise(folder), rel_path)
-    joined = F.when(joined.rlike(r"(^|/)\.{1,2}(/|$)"), drop_dot_segments(joined)).otherwise(joined)
-    target = (
-        F.when(url_part(link, SCHEME) != "", link)
-        .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when((rel_path == "") & (rel_query == ""), base)
-        .when(rel_path == "", F.concat(root, url_part(base, PATH), tail))
-        .otherwise(F.concat(root, joined, tail))
-    )
-    return without_fragment(target)
+
+    def joined(on: Column, to: Column) -> Column:
+        root = F.concat(on["scheme"], F.lit("://"), on["authority"])
+        folder = F.regexp_replace(on["path"], r"[^/]*$", "")
+        folder = F.when(folder == "", "/").otherwise(folder)
+        tail = F.when(to["query"] == "", "").otherwise(F.concat(F.lit("?"), to["query"]))
+        path = F.concat(F.when(to["path"].startswith("/"), "").otherwise(folder), to["path"])
+        path = let(path, lambda p: F.when(p.rlike(r"(^|/)\.{1,2}(/|$)"), drop_dot_segments(p)).otherwise(p))
+        return without_fragment(
+            F.when(to["scheme"] != "", to["url"])
+            .when(to["authority"] != "", F.concat(on["scheme"], F.lit(":"), to["url"]))
+            .when((to["path"] == "") & (to["query"] == ""), on["url"])
+            .when(to["path"] == "", F.concat(root, on["path"], tail))
+            .otherwise(F.concat(root, path, tail))
+        )
+
+    return let(_parts(base), lambda on: let(_parts(F.trim(href)), lambda to: joined(on, to)))
 
 
 def canonical_course(url: Column, domain: str) -> Column:

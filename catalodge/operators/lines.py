@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from catalodge.functions.dates import date_range, loose_date
-from catalodge.functions.text import norm_ws
+from catalodge.functions.text import let, norm_ws
 
 
 def label_value_pairs(lines: Column, is_label: Callable[[Column], Column]) -> Column:
@@ -22,11 +22,16 @@ def label_value_pairs(lines: Column, is_label: Callable[[Column], Column]) -> Co
 
 def labelled_values(lines: Column, labels: Sequence[str], ignored: Sequence[str] = ()) -> Column:
     """map<label, next line> for known label lines; the first occurrence of a label counts."""
-    clean = F.filter(F.transform(lines, lambda x: norm_ws(x)), lambda x: (x != "") & ~x.isin(*ignored) if ignored else x != "")
-    pairs = label_value_pairs(clean, lambda label: label.isin(*labels))
-    names = F.transform(pairs, lambda p: p["label"])
-    first = F.filter(pairs, lambda p, i: F.array_position(names, p["label"]) == i + 1)
-    return F.map_from_entries(F.transform(first, lambda p: F.struct(p["label"], p["value"])))
+    clean = F.filter(F.transform(lines, lambda x: norm_ws(x)), lambda x: (x != "") & ~x.isin("", *ignored))
+    pairs = let(clean, lambda c: label_value_pairs(c, lambda label: label.isin(*labels)))
+
+    def first_of_label(found: Column) -> Column:
+        return let(
+            F.transform(found, lambda p: p["label"]),
+            lambda names: F.filter(found, lambda p, i: F.array_position(names, p["label"]) == i + 1),
+        )
+
+    return F.map_from_entries(F.transform(let(pairs, first_of_label), lambda p: F.struct(p["label"], p["value"])))
 
 
 def credit_items(texts: Column) -> Column:
@@ -39,8 +44,14 @@ def credit_items(texts: Column) -> Column:
             F.regexp_extract(t, pattern, 2).cast("int").alias("credits"),
         ),
     )
-    names = F.transform(hits, lambda h: F.lower(h["name"]))
-    return F.filter(hits, lambda h, i: F.array_position(names, F.lower(h["name"])) == i + 1)
+
+    def first_spelling(found: Column) -> Column:
+        return let(
+            F.transform(found, lambda h: F.lower(h["name"])),
+            lambda names: F.filter(found, lambda h, i: F.array_position(names, F.lower(h["name"])) == i + 1),
+        )
+
+    return let(hits, first_spelling)
 
 
 def dated_line(line: Column) -> Column:

@@ -8,13 +8,13 @@ by the size of that page.
 
 from __future__ import annotations
 
-from html.entities import html5
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalodge.functions import urls
-from catalodge.functions.text import blank_to_null, norm_ws
+from catalodge.functions.text import blank_to_null, let, norm_ws
 
 BREAK = "\u0001"  # stands for a tag while text nodes are cut
 TAG_RE = r"<[A-Za-z/!?](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
@@ -36,32 +36,45 @@ def page_string(raw: Column) -> Column:
 
 def _named_entities() -> Column:
     """The standard named characters, straight from the language's own table, as one map literal."""
-    pairs = [f"{name[:-1]}\u0002{char}" for name, char in html5.items() if name.endswith(";")]
+    pairs = [f"{name}\u0002{chr(code)}" for name, code in name2codepoint.items()] + ["apos\u0002'"]
     return F.str_to_map(F.lit("\u0003".join(pairs)), F.lit("\u0003"), F.lit("\u0002"))
 
 
-def unescape(text: Column) -> Column:
-    """Decode character references. '&amp;' goes last so that nothing is decoded twice."""
+def _decoded(entity: Column) -> Column:
+    """The character an entity like '&pound;' or '&#163;' stands for, else the entity itself."""
 
-    def decoded(entity: Column) -> Column:
-        body = F.regexp_extract(entity, ENTITY_RE, 1)
+    def of_body(body: Column) -> Column:
         digits = F.when(
             F.lower(F.substring(body, 1, 2)) == "#x", F.conv(F.substring(body, 3, 8), 16, 10)
         ).otherwise(F.substring(body, 2, 9))
-        code = digits.try_cast("int")
-        char = F.when(
-            code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF),
-            F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"),
+        char = let(
+            digits.try_cast("int"),
+            lambda code: F.when(
+                code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF),
+                F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"),
+            ),
+        )
+        return F.when(body.startswith("#"), char).otherwise(F.try_element_at(_named_entities(), body))
+
+    return F.coalesce(let(F.regexp_extract(entity, ENTITY_RE, 1), of_body), entity)
+
+
+def unescape(text: Column) -> Column:
+    """Decode character references. '&amp;' goes last so that nothing is decoded twice."""
+
+    def is_amp(entity: Column) -> Column:
+        return entity.isin("&amp;", "&AMP;", "&#38;", "&#x26;", "&#X26;")
+
+    def decode_all(body: Column) -> Column:
+        found = let(
+            F.array_distinct(F.regexp_extract_all(body, F.lit(ENTITY_RE), F.lit(0))),
+            lambda e: F.concat(F.filter(e, lambda x: ~is_amp(x)), F.filter(e, is_amp)),
         )
-        named = F.try_element_at(_named_entities(), body)
-        return F.coalesce(F.when(body.startswith("#"), char).otherwise(named), entity)
+        return F.when(
+            body.contains("&"), F.aggregate(found, body, lambda out, e: F.replace(out, e, _decoded(e)))
+        ).otherwise(body)
 
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(ENTITY_RE), F.lit(0)))
-    is_amp = lambda e: e.isin("&amp;", "&AMP;", "&#38;", "&#x26;", "&#X26;")
-    late = F.concat(F.filter(found, lambda e: ~is_amp(e)), F.filter(found, is_amp))
-    return F.when(
-        text.contains("&"), F.aggregate(late, text, lambda out, e: F.replace(out, e, decoded(e)))
-    ).otherwise(text)
+    return let(text, decode_all)
 
 
 def without_noise(html: Column) -> Column:
@@ -105,18 +118,18 @@ def meta_content(html: Column, name: str, by: str = "name") -> Column:
     return blank_to_null(F.trim(attribute(tag, "content")))
 
 
-def title_tail(html: Column, separator: str = " - ") -> Column:
-    """Last piece of the document title."""
-    parts = F.split(document_title(html), separator)
-    return blank_to_null(F.trim(F.element_at(parts, -1)))
+def tail_of(title: Column, separator: str = " - ") -> Column:
+    """Last piece of a document title."""
+    return blank_to_null(F.trim(F.element_at(F.split(title, separator), -1)))
 
 
-def choose_title(html: Column, bad_headings: Column | None = None, suffix_re: Column | None = None) -> Column:
+def pick_title(
+    heading: Column, og_title: Column, title: Column, bad_headings: Column | None = None, suffix_re: Column | None = None
+) -> Column:
     """First heading unless it is a known section name, else og:title, else the document title."""
-    heading = first_heading(html)
     if bad_headings is not None:
-        listed = F.coalesce(F.array_contains(F.transform(bad_headings, F.lower), F.lower(heading)), F.lit(False))
-        heading = F.when(~listed, heading)
+        lowered = F.transform(bad_headings, lambda b: F.lower(b))
+        heading = F.when(~F.coalesce(F.array_contains(lowered, F.lower(heading)), F.lit(False)), heading)
 
     def clean(text: Column) -> Column:
         cut = text
@@ -124,9 +137,13 @@ def choose_title(html: Column, bad_headings: Column | None = None, suffix_re: Co
             cut = F.regexp_replace(text, F.concat(F.lit("(?i)"), F.coalesce(suffix_re, F.lit("(?!)"))), F.lit(""))
         return blank_to_null(norm_ws(cut))
 
-    return F.coalesce(
-        clean(heading), clean(meta_content(html, "og:title", by="property")), clean(document_title(html))
-    )
+    return F.coalesce(clean(heading), clean(og_title), clean(title))
+
+
+def choose_title(html: Column, bad_headings: Column | None = None, suffix_re: Column | None = None) -> Column:
+    """``pick_title`` straight from a page."""
+    parts = F.array(first_heading(html), meta_content(html, "og:title", by="property"), document_title(html))
+    return let(parts, lambda p: pick_title(F.get(p, F.lit(0)), F.get(p, F.lit(1)), F.get(p, F.lit(2)), bad_headings, suffix_re))
 
 
 def all_matches(html: Column, pattern: str) -> Column:
@@ -138,13 +155,16 @@ def links(html: Column, base: Column) -> Column:
     found = all_matches(without_noise(html), LINK_RE)
 
     def entry(tag: Column, pos: Column) -> Column:
-        href = unescape(F.trim(F.regexp_replace(F.regexp_extract(tag, LINK_RE, 1), "^[\"']|[\"']$", "")))
-        return F.struct(
-            pos.alias("pos"),
-            href.alias("href"),
-            urls.resolve(base, href).alias("url"),
-            inner_text(F.regexp_extract(tag, LINK_RE, 2)).alias("text"),
-            F.regexp_extract(tag, "(?s)^<[^>]*>", 0).alias("tag"),
+        target = unescape(F.trim(F.regexp_replace(F.regexp_extract(tag, LINK_RE, 1), "^[\"']|[\"']$", "")))
+        return let(
+            target,
+            lambda href: F.struct(
+                pos.alias("pos"),
+                href.alias("href"),
+                urls.resolve(base, href).alias("url"),
+                inner_text(F.regexp_extract(tag, LINK_RE, 2)).alias("text"),
+                F.regexp_extract(tag, "(?s)^<[^>]*>", 0).alias("tag"),
+            ),
         )
 
     return F.transform(found, entry)
@@ -160,9 +180,14 @@ def pairs(html: Column) -> Column:
         ),
     )
     kept = F.filter(found, lambda p: (p["key"] != "") & (p["value"] != ""))
-    keys = F.transform(kept, lambda p: p["key"])
-    first = F.filter(kept, lambda p, i: F.array_position(keys, p["key"]) == i + 1)
-    return F.map_from_entries(first)
+
+    def first_of_key(items: Column) -> Column:
+        return let(
+            F.transform(items, lambda p: p["key"]),
+            lambda keys: F.filter(items, lambda p, i: F.array_position(keys, p["key"]) == i + 1),
+        )
+
+    return F.map_from_entries(let(kept, first_of_key))
 
 
 def table_rows(html: Column) -> Column:
