@@ -18,9 +18,10 @@ TYPES = {"view": "ok", "click": "ok", "signup": "moved", "purchase": "dead", "er
 CUSTOMER = MergeSpec.simple("program_detail", ("program_id",), ("tuition", "priority", "status"), tracked=("tuition", "priority"))
 
 
-def records(spark, sf):
+def records(spark, sf, source=None):
     """Orders as records about their customer; a low priority brings no value, a pending one no price."""
-    return table(spark, sf, "orders").select(
+    orders = table(spark, sf, "orders") if source is None else source
+    return orders.select(
         F.col("o_custkey").alias("program_id"),
         F.col("o_orderdate").alias("seq"),
         "o_orderkey",
@@ -251,9 +252,10 @@ def replace_set(spark, sf):
     return merge.replace_sets(stored, incoming, ["program_id"], ["module_id"], ["year_of_study", "module_type"])
 
 
-def fetch_log(spark, sf):
+def fetch_log(spark, sf, source=None):
     kind = mapped(F.col("event_type"), TYPES)
-    log = table(spark, sf, "events").select(
+    events = table(spark, sf, "events") if source is None else source
+    log = events.select(
         F.col("user_id").alias("page_id"), "ts", "event_id", kind.alias("kind"),
         F.sha2("props", 256).alias("content_hash"), F.concat(F.lit("https://moved/"), F.col("event_id").cast("string")).alias("final_url"),
         F.when(kind == "error", F.concat(F.lit("timeout "), F.col("event_id").cast("string"))).alias("note"),
