@@ -79,8 +79,8 @@ def page_links(spark, sf):
     return found.select("page_id", "link_url", "link_text")
 
 
-TEXT_SQL = r"""trim(regexp_replace(replace(replace(replace(regexp_replace(regexp_replace(html, '(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>', '<br>', 'g'),
-  '<[A-Za-z/!?][^>]*>', chr(1), 'g'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '[\s\x{00a0}]*\x01[\s\x{00a0}\x01]*', chr(10), 'g'), chr(10))"""
+TEXT_SQL = r"""trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>', '<br>', 'g'),
+  '<[A-Za-z/!?][^>]*>', chr(1), 'g'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '[\s\x{00a0}]*\x01[\s\x{00a0}\x01]*', chr(10), 'g'), chr(10))"""
 
 
 @query(
