@@ -78,6 +78,11 @@ def ordered(cases: Sequence[tuple[Column, object]], default: object = None) -> C
     return default if chain is None else chain.otherwise(default)
 
 
+def by_pattern(text: Column, shapes: Sequence[tuple[str, str]], default: str | None = None) -> Column:
+    """Value of the first pattern that matches, for example the shape of a page from its URL."""
+    return ordered([(text.rlike(pattern), value) for pattern, value in shapes], default)
+
+
 def event_type(name: Column, start: Column | None = None) -> Column:
     """Calendar event type from its wording; an exam period in the resit months is a resit period."""
     lowered = F.lower(F.coalesce(name, F.lit("")))

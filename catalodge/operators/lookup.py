@@ -118,21 +118,20 @@ def canonical_mention(text: Column, mention_re: Column, names: Column) -> Column
     return F.get(F.filter(hits, lambda h: h.isNotNull()), F.lit(0))
 
 
-def top_ancestors(tree: DataFrame, id_column: str = "id", parent: str = "parent_id", max_depth: int = 8) -> DataFrame:
-    """id -> top ancestor of a parent tree, by doubling the jump each round.
+def top_ancestors(tree: DataFrame, id_column: str = "id", parent: str = "parent_id", max_depth: int = 4) -> DataFrame:
+    """id -> top ancestor of a parent tree no deeper than ``max_depth`` levels.
 
-    A parent that does not exist ends the climb. Three rounds reach depth 8; the
-    model has three levels (faculty, school, department).
+    Each step looks the next parent up in the tree; a parent that does not exist
+    ends the climb. The model has three levels (faculty, school, department).
     """
     nodes = tree.select(F.col(id_column).alias("__n"), F.col(parent).alias("__p"))
-    real = nodes.select(F.col("__n").alias("__p"))
-    jump = nodes.join(real, "__p", "left_semi").select("__n", "__p")
-    jump = nodes.select("__n").join(jump, "__n", "left").select("__n", F.coalesce("__p", "__n").alias("__p"))
-    rounds = max(1, (max_depth - 1).bit_length())
-    for _ in range(rounds):
-        step = jump.select(F.col("__n").alias("__p"), F.col("__p").alias("__next"))
-        jump = jump.join(step, "__p").select("__n", F.col("__next").alias("__p"))
-    return jump.select(F.col("__n").alias(id_column), F.col("__p").alias("top_id"))
+    climb = nodes.select(F.col("__n").alias(id_column), F.col("__n").alias("top_id"), F.col("__p").alias("__next"))
+    for _ in range(max_depth - 1):
+        up = nodes.select(F.col("__n").alias("__next"), F.col("__n").alias("__found"), F.col("__p").alias("__parent"))
+        climb = climb.join(up, "__next", "left").select(
+            id_column, F.coalesce("__found", "top_id").alias("top_id"), F.col("__parent").alias("__next")
+        )
+    return climb.select(id_column, "top_id")
 
 
 __all__ = [

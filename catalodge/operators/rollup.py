@@ -78,17 +78,14 @@ def chunked_lists(
     """(keys, chunk, n_chunks, items): sorted lists per key, cut into chunks of about ``limit``.
 
     A key with no more than ``limit`` rows yields one list. A larger one is spread
-    by a hash of its rows over as many chunks as it needs, so no task ever holds
-    an unbounded list and no row is dropped. Inside a chunk items are in order.
+    by a hash of its order columns over as many chunks as it needs, so no task ever
+    holds an unbounded list and no row is dropped. Inside a chunk items are in order.
     """
-    sizes = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(limit)).cast("int").alias("n_chunks"))
-    sized = rows.join(sizes, list(keys))
-    # The hash has to see the row itself, so equal rows are told apart by nothing and stay together
-    # only as far as they are equal; the order columns make rows distinct in practice.
-    chunk = F.pmod(F.xxhash64(*order), F.col("n_chunks")).cast("int")
+    n_chunks = F.ceil(F.count(F.lit(1)) / F.lit(limit)).cast("int")
+    large = rows.groupBy(*keys).agg(n_chunks.alias("n_chunks")).filter("n_chunks > 1")
+    sized = rows.join(large, list(keys), "left").withColumn("n_chunks", F.coalesce("n_chunks", F.lit(1)))
+    sized = sized.withColumn("chunk", F.pmod(F.xxhash64(*order), F.col("n_chunks")).cast("int"))
+    # Shuffled by key and chunk: a join on the key alone would keep a large key in one task.
+    spread = sized.repartition(*[F.col(k) for k in keys], F.col("chunk"))
     items = F.array_sort(F.collect_list(F.struct(F.struct(*order).alias("o"), element.alias("e"))))
-    return (
-        sized.withColumn("chunk", chunk)
-        .groupBy(*keys, "chunk", "n_chunks")
-        .agg(F.transform(items, lambda i: i["e"]).alias("items"))
-    )
+    return spread.groupBy(*keys, "chunk", "n_chunks").agg(F.transform(items, lambda i: i["e"]).alias("items"))

@@ -9,6 +9,7 @@ from catalodge.functions import urls
 from catalodge.functions.text import blank_to_null, truncate
 from catalodge.operators import lookup, merge
 from catalodge.operators.merge import MergeResult, MergeSpec, Unit
+from catalodge.session import materialize
 
 STUB_TEXT = "仅名称/代码来自专业页"  # fixed value: start of a stub description
 
@@ -114,7 +115,8 @@ def upsert_programs(
         stored.select(F.col("entity_key").alias("__id"), "university_id", "level", "name_en", "url"),
         "__id", ["university_id", "level", "name_en"], ["university_id", "url"], order, bucket,
     )
-    kept = identified.filter(~(F.col("is_new") & F.col("backfill_only")))
+    # Several steps read the resolved records; resolving them is the costly part.
+    kept = materialize(identified.filter(~(F.col("is_new") & F.col("backfill_only"))), "programs")
     return merge.merge_records(stored, kept, PROGRAM, order, bucket), kept
 
 
@@ -160,9 +162,8 @@ def upsert_modules(stored: DataFrame, records: DataFrame, order: list[str], buck
     key = F.coalesce(
         "__id", F.concat_ws("\u0001", F.col("university_id").cast("string"), "entry_year", F.coalesce("code", "name_en"))
     )
-    return merge.merge_records(
-        without_stub_text(stored), found.withColumn("entity_key", key), MODULE, order, bucket
-    )
+    resolved = materialize(found.withColumn("entity_key", key), "modules")
+    return merge.merge_records(without_stub_text(stored), resolved, MODULE, order, bucket)
 
 
 def upsert_deadlines(stored: DataFrame, records: DataFrame, order: list[str], bucket: Column | None = None) -> MergeResult:

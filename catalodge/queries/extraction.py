@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalodge.functions import urls
-from catalodge.functions.text import norm_ws
+from catalodge.functions import rules, urls
 from catalodge.plans import calendars, study_plans
 from catalodge.plans import extraction as jobs
 from catalodge.queries.registry import query, table
@@ -26,7 +25,8 @@ def composed(spark, sf, school, category, url, *pieces):
     """Pages written from part rows: page_id, school, category, url, html."""
     lit = lambda p: F.lit(p) if isinstance(p, str) else p
     return parts(spark, sf).select(
-        F.col("p_partkey").alias("page_id"), lit(school).alias("school"), F.lit(category).alias("category"),
+        F.col("p_partkey").alias("page_id"), F.when(F.col("p_partkey").isNotNull(), lit(school)).alias("school"),
+        F.when(F.col("p_partkey").isNotNull(), category).alias("category"),
         lit(url).alias("url"), F.concat(*[lit(p) for p in pieces]).alias("html"),
     )
 
@@ -126,11 +126,8 @@ def parse_counts(spark, sf):
     """SELECT CASE WHEN regexp_matches(url, '[?&]page=') THEN 'index' WHEN regexp_matches(url, '/(fr|de|es)/') THEN 'list' ELSE 'detail' END AS shape, count(*) AS n FROM pages GROUP BY 1""",
 )
 def shape_router(spark, sf):
-    shapes = spark.createDataFrame([(1, r"[?&]page=", "index"), (2, r"/(fr|de|es)/", "list"), (3, r"", "detail")], "rank int, page_re string, shape string")
-    # The rule table is a constant of three rows: every page meets each rule through a constant key.
-    pages = table(spark, sf, "pages").select("page_id", "url", F.lit(1).alias("k"))
-    fits = pages.join(shapes.withColumn("k", F.lit(1)), "k").filter(F.regexp_like("url", "page_re"))
-    routed = fits.groupBy("page_id").agg(F.min_by("shape", "rank").alias("shape"))
+    shapes = [(r"[?&]page=", "index"), (r"/(fr|de|es)/", "list"), (r"", "detail")]
+    routed = table(spark, sf, "pages").select(rules.by_pattern(F.col("url"), shapes).alias("shape"))
     return routed.groupBy("shape").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -140,7 +137,7 @@ def shape_router(spark, sf):
 WHERE regexp_matches(link_url, '/[a-z]+$') GROUP BY 1, 2""",
 )
 def catalogue_discovery(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", "url", "html", F.lit("x").alias("school"), F.lit("program_catalog").alias("category"))
+    pages = table(spark, sf, "pages").select("page_id", "url", "html", F.when(F.col("page_id").isNotNull(), "x").alias("school"), F.when(F.col("page_id").isNotNull(), "program_catalog").alias("category"))
     from catalodge.plans.site_rules import DISCOVERY_SCHEMA
 
     rule = (1, "x", "program_catalog", "/en/", None, "link", None, "/[a-z]+$", None, "program_detail", False, False, None, None, None, None,

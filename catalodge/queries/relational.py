@@ -696,7 +696,7 @@ def longest_name_match(spark, sf):
         F.lit("Taught by the School of "), F.split_part("p_name", F.lit(" "), F.lit(2)), suffix, F.lit(" since "),
         F.col("p_size").cast("string"),
     )
-    pages = table(spark, sf, "part").select(F.col("p_partkey").alias("program_id"), F.lit("x").alias("school"), body.alias("txt"))
+    pages = table(spark, sf, "part").select(F.col("p_partkey").alias("program_id"), F.when(F.col("p_partkey").isNotNull(), "x").alias("school"), body.alias("txt"))
     found = pages.join(official_names(spark), "school").select(
         "program_id", lookup.longest_name_in(F.col("txt"), F.col("names")).alias("faculty")
     )
@@ -722,7 +722,7 @@ def canonical_mention(spark, sf):
         spark.createDataFrame([("x", n, i) for i, n in enumerate(OFFICIAL)], "school string, name string, position int"),
         ["school"], "name", longest_first=False,
     )
-    pages = table(spark, sf, "part").select(F.col("p_partkey").alias("program_id"), F.lit("x").alias("school"), body.alias("txt"))
+    pages = table(spark, sf, "part").select(F.col("p_partkey").alias("program_id"), F.when(F.col("p_partkey").isNotNull(), "x").alias("school"), body.alias("txt"))
     mention = F.lit("School of [A-Z][A-Za-z &]{3,70}")
     return pages.join(names, "school").select(
         "program_id", lookup.canonical_mention(F.col("txt"), mention, F.col("names")).alias("faculty")

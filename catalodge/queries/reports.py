@@ -425,8 +425,8 @@ def export_order(spark, sf):
         F.when(F.col("last_fetched_at").isNotNull(), 0).otherwise(1).alias("unnoted"),
     )
     order = ["alive", "unnoted", "category", "id"]
-    # The leading order columns make the bucket, so a large school is numbered by several tasks.
-    bucket = F.concat_ws("|", F.col("alive").cast("string"), F.col("unnoted").cast("string"), "category")
+    # The order columns, ids in ranges, make the bucket: a large school is numbered by several tasks.
+    bucket = F.struct("alive", "unnoted", "category", F.floor(F.col("id") / 100000).alias("id_range"))
     return ordered.number_rows(pages, ["university_id"], order, "place", bucket).select("university_id", "id", "place")
 
 
@@ -453,7 +453,8 @@ def code_order_nulls_last(spark, sf):
         F.col("p_partkey").alias("id"),
         F.coalesce(F.when(F.col("p_type") != "PROMO", F.col("p_name")), F.lit("zz")).alias("code"),
     )
-    return ordered.number_rows(parts, [], ["code", "id"], "place", F.col("code")).select("id", "place")
+    bucket = F.struct("code", F.floor(F.col("id") / 100000).alias("id_range"))
+    return ordered.number_rows(parts, [], ["code", "id"], "place", bucket).select("id", "place")
 
 
 # ---- exports ---------------------------------------------------------------------------------
@@ -548,9 +549,7 @@ UNION ALL SELECT s_suppkey, 'scope.details', 'yes' FROM supplier WHERE s_acctbal
 def config_layers(spark, sf):
     supplier = table(spark, sf, "supplier")
     base = supplier.select(F.col("s_suppkey").alias("school"), F.col("s_nationkey").alias("country"))
-    defaults = spark.createDataFrame(
-        [(0, None, "interval", "3"), (0, None, "entry_year", "2026")], "layer int, scope long, key string, value string"
-    )
+    defaults = {"interval": "3", "entry_year": "2026"}
     country = table(spark, sf, "customer").groupBy("c_nationkey").agg(n_rows().cast("string").alias("value")).select(
         F.lit(1).alias("layer"), F.col("c_nationkey").cast("long").alias("scope"), F.lit("interval").alias("key"), "value"
     )
@@ -568,7 +567,7 @@ def config_layers(spark, sf):
             )
         ),
     ).filter("value is not null")
-    return config.resolve_layers(base, defaults.unionByName(country).unionByName(own))
+    return config.resolve_layers(base, country.unionByName(own), defaults)
 
 
 @query(

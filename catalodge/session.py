@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -36,3 +37,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="catalodge-")
         spark.conf.set("spark.checkpoint.dir", root)
     return os.path.join(root, name) if "://" not in root else f"{root.rstrip('/')}/{name}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    For results that several later steps use: they read the table instead of
+    repeating its joins, and a lost executor costs a file read, not the lineage.
+    """
+    path = f"{shared_dir(df.sparkSession, 'stages')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

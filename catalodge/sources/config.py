@@ -15,21 +15,18 @@ DEFAULT_ENTRY_YEAR = "2026"
 GLOBAL, COUNTRY, SCHOOL = 0, 1, 2
 
 
-def resolve_layers(schools: DataFrame, values: DataFrame) -> DataFrame:
+def resolve_layers(schools: DataFrame, values: DataFrame, defaults: dict[str, str]) -> DataFrame:
     """(school, key, value) with the most specific layer winning key by key.
 
-    ``schools`` is (school, country); ``values`` is (layer, scope, key, value) where
-    scope is NULL for the global layer, a country or a school. Nested documents come
-    with dotted keys, so a deep merge is a merge of keys.
+    ``schools`` is (school, country), ``defaults`` the global document, ``values``
+    (layer, scope, key, value) with a country or a school as scope. Nested documents
+    come with dotted keys, so a deep merge is a merge of keys.
     """
-    everywhere = values.filter(F.col("layer") == GLOBAL).select("layer", "key", "value")
+    items = [part for key, value in defaults.items() for part in (F.lit(key), F.lit(value))]
     by_country = values.filter(F.col("layer") == COUNTRY).select("layer", F.col("scope").alias("country"), "key", "value")
     by_school = values.filter(F.col("layer") == SCHOOL).select("layer", F.col("scope").alias("school"), "key", "value")
-    # Every school takes every global key: a constant join key pairs the schools with the
-    # handful of keys of the global layer.
-    spread = schools.withColumn("__all", F.lit(1)).join(everywhere.withColumn("__all", F.lit(1)), "__all")
     layered = (
-        spread.select("school", F.lit(GLOBAL).alias("layer"), "key", "value")
+        schools.select("school", F.lit(GLOBAL).alias("layer"), F.explode(F.create_map(*items)).alias("key", "value"))
         .unionByName(schools.join(by_country, "country").select("school", "layer", "key", "value"))
         .unionByName(schools.join(by_school, "school").select("school", "layer", "key", "value"))
     )
