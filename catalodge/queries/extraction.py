@@ -9,6 +9,7 @@ from catalodge.plans import calendars, study_plans
 from catalodge.plans import extraction as jobs
 from catalodge.queries.registry import query, table
 from catalodge.sources import feeds, html
+from catalodge.session import spread
 from catalodge.sinks import export
 
 ROOT = "regexp_extract(url, '^([a-z]+://[^/?#]*)', 1)"
@@ -75,7 +76,7 @@ def row_clean(spark, sf):
 
 @query("page_links", LINKS_SQL)
 def page_links(spark, sf):
-    found = html.page_links(table(spark, sf, "pages"), "page_id").filter(F.col("href").startswith("/"))
+    found = html.page_links(spread(table(spark, sf, "pages"), "page_id"), "page_id").filter(F.col("href").startswith("/"))
     return found.select("page_id", "link_url", "link_text")
 
 
@@ -88,7 +89,7 @@ TEXT_SQL = r"""trim(regexp_replace(replace(replace(replace(replace(regexp_replac
     f"SELECT page_id, sha256({TEXT_SQL}) AS text_hash, len(string_split({TEXT_SQL}, chr(10))) AS n_lines FROM pages",
 )
 def page_lines(spark, sf):
-    text = table(spark, sf, "pages").select("page_id", html.page_text(html.page_string(F.col("html"))).alias("text"))
+    text = spread(table(spark, sf, "pages"), "page_id").select("page_id", html.page_text(html.page_string(F.col("html"))).alias("text"))
     return text.select(
         "page_id", F.sha2("text", 256).alias("text_hash"), F.size(F.split("text", "\n")).cast("long").alias("n_lines")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -26,16 +27,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     )
 
 
+@functools.cache
+def _test_dir() -> str:
+    return tempfile.mkdtemp(prefix="catalodge-")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder under the one the cluster shares between executors.
 
     The session names it in ``spark.checkpoint.dir``. Only where that is unset,
     as in tests, a local temporary folder stands in.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="catalodge-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _test_dir()
     return os.path.join(root, name) if "://" not in root else f"{root.rstrip('/')}/{name}"
 
 
@@ -48,3 +51,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession, 'stages')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows spread over the cores when the input has fewer partitions than there are cores.
+
+    Cutting pages is work for the processor, and one small file is one partition. Large
+    inputs already come in many partitions and are left alone, without a shuffle.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df

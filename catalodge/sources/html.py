@@ -19,7 +19,8 @@ from catalodge.functions.text import blank_to_null, let, norm_ws
 BREAK = "\u0001"  # stands for a tag while text nodes are cut
 TAG_RE = r"<[A-Za-z/!?](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
 NOISE_RE = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
-BLANKS = r"[\s\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# White space of any kind, stripped from both ends of a text node.
+BLANKS = "\t\n\x0b\f\r \x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 HEADING_RE = r"(?is)<h([1-6])\b[^>]*>(.*?)</h\1\s*>"
 LINK_RE = r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)[^>]*>(.*?)</a\s*>"
 TABLE_RE = r"(?is)<table\b[^>]*>.*?</table\s*>"
@@ -88,8 +89,8 @@ def page_text(html: Column) -> Column:
     Newlines inside a node stay, and so does the padding around them.
     """
     marked = F.regexp_replace(without_noise(html), TAG_RE, BREAK)
-    joined = F.regexp_replace(unescape(marked), f"{BLANKS}*{BREAK}(?:{BLANKS}|{BREAK})*", "\n")
-    return F.regexp_replace(joined, rf"\A{BLANKS}+|{BLANKS}+\z", "")
+    nodes = F.transform(F.split(unescape(marked), BREAK), lambda node: F.btrim(node, F.lit(BLANKS)))
+    return F.array_join(F.filter(nodes, lambda node: node != ""), "\n")
 
 
 def inner_text(fragment: Column) -> Column:
