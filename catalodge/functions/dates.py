@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from catalodge.functions.text import let, norm_ws
 
-# The five date layouts, each with the shape a text must have to be tried.
+# The date layouts, each with the shape a text must have to be tried. Exact
+# shapes matter for speed too: a failed parse costs an exception per row.
+MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
+SHORT_MONTHS = "Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec"
 DATE_LAYOUTS = (
-    (r"^[0-9]{1,2} [A-Za-z]+ [0-9]{4}$", "d MMMM yyyy"),
-    (r"^[0-9]{1,2} [A-Za-z]+ [0-9]{4}$", "d MMM yyyy"),
-    (r"^[A-Za-z]+ [0-9]{1,2}, [0-9]{4}$", "MMMM d, yyyy"),
+    (rf"(?i)^[0-9]{{1,2}} (?:{MONTHS}) [0-9]{{4}}$", "d MMMM yyyy"),
+    (rf"(?i)^[0-9]{{1,2}} (?:{SHORT_MONTHS}) [0-9]{{4}}$", "d MMM yyyy"),
+    (rf"(?i)^(?:{MONTHS}) [0-9]{{1,2}}, [0-9]{{4}}$", "MMMM d, yyyy"),
     (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "d/M/yyyy"),
     (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "yyyy-M-d"),
 )

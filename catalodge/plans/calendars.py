@@ -347,9 +347,10 @@ def from_points(pages: DataFrame) -> DataFrame:
     found = _term_pages(pages).filter(F.col("url").rlike(session_re))
     year = F.concat_ws("/", F.regexp_extract("url", session_re, 1), F.regexp_extract("url", session_re, 2))
     first_table = F.get(html.table_rows(F.col("html")), F.lit(0))["rows"]
-    collected = found.select("page_id", "school", year.alias("academic_year"), _table_points(first_table).alias("p"))
-    events = _told_apart(F.concat(_paired(F.col("p.points")), F.col("p.ranges")))
-    rows = collected.filter(F.col("p").isNotNull()).select("page_id", "school", "academic_year", F.inline(events))
+    events = let(
+        _table_points(first_table), lambda p: _told_apart(F.concat(_paired(p["points"]), p["ranges"]))
+    )
+    rows = found.select("page_id", "school", year.alias("academic_year"), F.inline(events))
     return rows.select(
         "page_id", "school", "academic_year", F.lit("standard").alias("calendar_track"),
         _event(F.col("name"), F.col("start_date")).alias("event_type"), "name", "start_date", "end_date",
