@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from catalodge.functions.dates import date_range, loose_date
 from catalodge.functions.text import let, norm_ws
 
 
@@ -53,10 +52,3 @@ def credit_items(texts: Column) -> Column:
 
     return let(hits, first_spelling)
 
-
-def dated_line(line: Column) -> Column:
-    return date_range(line)
-
-
-def line_date(line: Column) -> Column:
-    return loose_date(line)

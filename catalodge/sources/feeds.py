@@ -55,27 +55,18 @@ def ld_json_names(html: Column, ignored: tuple[str, ...]) -> Column:
     return norm_ws(F.get(fit, F.lit(0)))
 
 
-def assigned_object(html: Column, variable: str, depth: int = 1) -> Column:
+def assigned_object(html: Column, variable: str) -> Column:
     """Text of a JSON object assigned to a script variable, up to the statement's end."""
     return blank_to_null(
         F.regexp_extract(html, rf"(?s){variable}\s*=\s*(\{{.*?\}})\s*(?:;|</script>)", 1)
     )
 
 
-def json_items(body: Column, schema: str) -> Column:
-    """A JSON response parsed with a fixed schema; NULL when it is not JSON."""
-    return F.from_json(body, schema)
-
-
 SEARCH_SCHEMA = (
     "totalCount INT, results ARRAY<STRUCT<title: STRING, clickUri: STRING, raw: STRUCT<uri: STRING,"
     " usyd_courses_studylevel: ARRAY<STRING>, usyd_courses_fieldofstudy: ARRAY<STRING>,"
     " usyd_courses_courseduration: STRING>>>"
 )
-API_SCHEMA = (
-    "Items ARRAY<STRUCT<CourseCode: STRING, Name: STRING, AcademicPlanCode: STRING, ProgramName: STRING>>"
-)
-
 
 def next_offset_urls(url: Column, total: Column, default_size: int = 200) -> Column:
     """Follow-up URLs of an offset-paged search; only the first page names them."""

@@ -14,4 +14,7 @@ from catalodge.session import local_session  # noqa: E402
 def spark():
     session = local_session("*", 4)
     session.sparkContext.setLogLevel("OFF")
+    # The inputs are tiny: compiling generated code would take most of the time.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
     return session
