@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,3 +74,24 @@ def in_bites(values: list, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
             start, seen = i + 1, 0
     if start < len(values):
         yield start, len(values)
+
+
+class ChunkCodes:
+    """White-space-delimited chunks of texts as numbers, each chunk coded once and kept in the worker.
+
+    The table is emptied when it holds `capacity` chunks, which changes no result.
+    """
+
+    def __init__(self, code: Callable[[bytes], int], capacity: int = 300_000):
+        self.code, self.capacity, self.table = code, capacity, {}
+
+    def codes(self, bodies: list[bytes]) -> Iterator[np.ndarray]:
+        split = [body.split() for body in bodies]
+        unseen = set().union(*split).difference(self.table)
+        if len(self.table) + len(unseen) > self.capacity:
+            self.table = {}
+            unseen = set().union(*split)
+        for chunk in unseen:
+            self.table[chunk] = self.code(chunk)
+        for chunks in split:
+            yield np.fromiter(map(self.table.__getitem__, chunks), np.int64, len(chunks))

@@ -1,0 +1,46 @@
+"""Connected components of a link table, by alternating stars.
+
+Each round links every node with the smallest node it knows of, through partial
+aggregates and joins; no neighbour list is gathered. After about log(diameter) rounds
+each component is a star around its smallest node.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from catalodge.llm.common import lookup
+from catalodge.session import materialize
+
+
+def _large_star(links: DataFrame) -> DataFrame:
+    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    least = materialize(least.withColumn("m", F.least("u", "m")), "large-star")
+    return lookup(both.where("v > u"), least, "u", "n").selectExpr("v AS u", "m AS v").where("u != v").distinct()
+
+
+def _small_star(links: DataFrame) -> DataFrame:
+    down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    least = materialize(down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "small-star")
+    others = lookup(down, least, "u", "n").where("v != m").selectExpr("v AS u", "m AS v")
+    return others.unionByName(least.selectExpr("u", "m AS v")).distinct()
+
+
+def component_roots(links: DataFrame) -> DataFrame:
+    """(u, v) links between numbers to (node, root): the smallest node of each linked node's component.
+
+    Smallest nodes themselves and nodes without links are not listed. Repeated links,
+    loops and an empty table are fine.
+    """
+    links = materialize(links.select("u", "v").where("u != v").distinct(), "links")
+    state = F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    before = links.agg(*state).first()
+    while before[0]:
+        links = materialize(_small_star(materialize(_large_star(links), "links")), "links")
+        after = links.agg(*state).first()
+        if after == before:
+            break
+        before = after
+    return links.select(F.col("u").alias("node"), F.col("v").alias("root"))

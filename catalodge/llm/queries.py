@@ -7,9 +7,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from catalodge.llm import quality, toxicity
+from catalodge.llm.common import fold
+from catalodge.llm.decontaminate import find_leaks
 from catalodge.llm.exact_dedup import DigestIndex, exact_dedup
 from catalodge.llm.packing import pack
+from catalodge.llm.simhash import near_duplicates
 from catalodge.llm.token_counts import token_counts
 from catalodge.session import shared_dir
 
@@ -36,6 +41,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark, name)}/{uuid.uuid4().hex}"
 
 
+def decided(scored: DataFrame, folds: int, held: int, at: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        (fold("doc_id", folds) == held).alias("held_out"),
+        "score",
+        (F.col("score") >= at).cast("int").alias("predicted"),
+    )
+
+
 @query(
     "op1_exact_dedup",
     """
@@ -53,6 +67,29 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"), TOKENIZER).drop("ids")
 
 
+@query("op6_quality_ranking")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    scored = quality.score_documents(docs, quality.train(docs, table(spark, sf, "labels"), at=0.3))
+    return decided(scored, 5, 0, 0.3)
+
+
+@query("op7_simhash")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op8_decontamination")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return decided(toxicity.toxicity(docs, toxicity.train(docs, table(spark, sf, "labels"))), 5, 0, 0.5)
+
+
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(table(spark, sf, "documents"), TOKENIZER)
