@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalodge.llm import quality, toxicity
+from catalodge.llm import language, quality, toxicity
 from catalodge.llm.common import fold
 from catalodge.llm.decontaminate import find_leaks
 from catalodge.llm.exact_dedup import DigestIndex, exact_dedup
@@ -62,6 +62,13 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(table(spark, sf, "documents"), DigestIndex(spark, new_folder(spark, "digest-index")))
 
 
+@query("op2_language")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = language.languages(docs, language.train(docs, folds=4, held=2))
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query("op4_packing")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"), TOKENIZER).drop("ids")
