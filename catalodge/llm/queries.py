@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalodge.llm import language, quality, toxicity
+from catalodge.llm import language, pii, quality, toxicity
 from catalodge.llm.common import fold
 from catalodge.llm.decontaminate import find_leaks
 from catalodge.llm.exact_dedup import DigestIndex, exact_dedup
@@ -69,6 +69,12 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+@query("op3_personal_data")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return pii.personal_data(docs, pii.train(docs))
+
+
 @query("op4_packing")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"), TOKENIZER).drop("ids")
