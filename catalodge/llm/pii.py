@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalodge.llm.common import column, text_of
-from catalodge.llm.crf import best_paths, expected
+from catalodge.llm.crf import best_paths, chains, expected
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -347,14 +347,14 @@ def decode(net: Network, parts: list[str]) -> list[list[tuple[int, int, int, flo
         padded = np.zeros((len(some), lengths.max(), TAGS), np.float32)
         for row, p in enumerate(some):
             padded[row, : lengths[row]] = blends[p]
-        for row, tags in enumerate(best_paths(padded, lengths, net.switch)):
+        paths = best_paths(padded, lengths, net.switch)
+        shares = chains(np.concatenate([blends[p] for p in some]).astype(np.float64), lengths, net.switch.astype(np.float64))
+        ends = np.cumsum(lengths)
+        for row, tags in enumerate(paths):
             tags, p = tags[: lengths[row]], some[row]
             if not tags.any():
                 continue
-            share = padded[row, : lengths[row]] - padded[row, : lengths[row]].max(axis=1, keepdims=True)
-            share = np.exp(share)
-            share /= share.sum(axis=1, keepdims=True)
-            start = 0
+            share, start = shares[ends[row] - lengths[row] : ends[row]], 0
             for t in range(1, len(tags) + 1):
                 kind = (tags[start] - 1) // 2
                 if t == len(tags) or tags[t] == 0 or (tags[t] - 1) // 2 != kind or tags[t] % 2:
