@@ -16,6 +16,7 @@ from catalodge.llm.exact_dedup import DigestIndex, exact_dedup
 from catalodge.llm.packing import pack
 from catalodge.llm.simhash import near_duplicates
 from catalodge.llm.token_counts import token_counts
+from catalodge.llm.warc import archive_round_trip
 from catalodge.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +81,32 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"), TOKENIZER).drop("ids")
 
 
+@query(
+    "op5_warc",
+    # Base 32 by hand: hex digits to bits, five bits to a sign.
+    """
+    WITH hashed AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex,
+               min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+        FROM pages),
+    bits AS (
+        SELECT *, array_to_string(list_transform(range(1, 41), i -> substring(
+            '0000000100100011010001010110011110001001101010111100110111101111',
+            4 * instr('0123456789abcdef', substring(hex, i, 1)) - 3, 4)), '') AS b
+        FROM hashed)
+    SELECT page_id, payload_bytes,
+           array_to_string(list_transform(range(0, 32), i -> substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + list_sum(list_transform(range(1, 6), k -> CAST(substring(b, 5 * i + k, 1) AS INT) << (5 - k)))::INT, 1)), '')
+               AS payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM bits
+    """,
+)
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf, "pages"), new_folder(spark, "archives"), min_bytes=0)
+
+
 @query("op6_quality_ranking")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
