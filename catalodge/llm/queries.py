@@ -90,13 +90,13 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
                min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
         FROM pages),
     bits AS (
-        SELECT *, array_to_string(list_transform(range(1, 41), i -> substring(
+        SELECT *, array_to_string(list_transform(range(1, 41), lambda i: substring(
             '0000000100100011010001010110011110001001101010111100110111101111',
             4 * instr('0123456789abcdef', substring(hex, i, 1)) - 3, 4)), '') AS b
         FROM hashed)
     SELECT page_id, payload_bytes,
-           array_to_string(list_transform(range(0, 32), i -> substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-               1 + list_sum(list_transform(range(1, 6), k -> CAST(substring(b, 5 * i + k, 1) AS INT) << (5 - k)))::INT, 1)), '')
+           array_to_string(list_transform(range(0, 32), lambda i: substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + list_sum(list_transform(range(1, 6), lambda k: CAST(substring(b, 5 * i + k, 1) AS INT) << (5 - k)))::INT, 1)), '')
                AS payload_digest,
            CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
            CASE WHEN page_id <> first THEN first END AS refers_to
