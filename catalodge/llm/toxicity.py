@@ -84,13 +84,13 @@ class Words(ChunkCodes):
 
 
 def nearness(hits: np.ndarray, address: np.ndarray) -> float:
-    """1 / (1 + words between) of the closest lexicon word and word of address; 0 without a pair."""
+    """1 / distance in words of the closest lexicon word and word of address, at most 1; 0 without a pair."""
     if not len(hits) or not len(address):
         return 0.0
     at = np.searchsorted(address, hits)
     after = np.abs(address[np.minimum(at, len(address) - 1)] - hits)
     before = np.abs(hits - address[np.maximum(at - 1, 0)])
-    return 1.0 / float(np.minimum(after, before).min())
+    return 1.0 / max(1.0, float(np.minimum(after, before).min()))
 
 
 def features(body: bytes, codes: np.ndarray) -> list[float]:
