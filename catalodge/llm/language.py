@@ -163,7 +163,7 @@ class Words(ChunkCodes):
     def __init__(self, model: LanguageModel):
         super().__init__(None)
         self.model = model
-        self.emission = np.zeros((0, len(model.languages)))
+        self.emission = np.zeros((0, model.weights.shape[1]))
 
     def codes(self, bodies: list[bytes]) -> Iterator[np.ndarray]:
         split = [body.split() for body in bodies]

@@ -218,7 +218,8 @@ def fit(texts: list[bytes], labels: np.ndarray, share: float) -> ToxicityModel:
     for_words, for_trees, for_knots = part < 2, (part == 2) | (part == 3), part == 4
     learned = learn_pieces([t.decode("utf-8", "replace") for t, k in zip(texts, for_words, strict=True) if k], labels[for_words])
     words = Words(learned)
-    x = np.array([features(t, next(words.codes([t]))) for t in texts])
+    width = len(features(b"", np.zeros(0, np.int64)))
+    x = np.array([features(t, next(words.codes([t]))) for t in texts]).reshape(len(texts), width)
     good = labels == 1
     weight = np.where(good, share / max(1, good.sum()), (1 - share) / max(1, (~good).sum())) * len(labels)
     cuts = np.quantile(x[for_trees], np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T if for_trees.any() else np.zeros((x.shape[1], BINS - 1))

@@ -21,6 +21,8 @@ def labelled(spark, n=400):
             text = " ".join(w + "&&&" for w in text.split())
         if toxic:
             text += " you stupid " + ("moron" if i % 5 else "m0ron") + " " + prose(i + n, 5)
+        else:
+            text += " " + prose(i + n, 8)
         rows.append((i, text))
         labels.append((i, int(good), int(toxic)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
