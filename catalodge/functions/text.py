@@ -69,14 +69,19 @@ def as_number(value: Column) -> Column:
     return F.when(text.rlike(NUMBER_RE), F.trim(text).try_cast("double"))
 
 
+def _strip(value: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(value, r"(?U)^\s+|\s+$", "")
+
+
 def differs(old: Column, new: Column) -> Column:
-    """Loose inequality: as numbers where both are numbers, else as trimmed text.
+    """Loose inequality: as numbers where both are numbers, else as text without outer white space.
 
     A missing side differs from a present one; two missing sides are equal.
     """
     a, b = as_number(old), as_number(new)
     both = a.isNotNull() & b.isNotNull()
-    texts = F.trim(old.cast("string")) != F.trim(new.cast("string"))
+    texts = _strip(old.cast("string")) != _strip(new.cast("string"))
     return (
         F.when(old.isNull() | new.isNull(), old.isNull() != new.isNull())
         .when(both, a != b)

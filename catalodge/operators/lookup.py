@@ -8,22 +8,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalodge.functions.text import norm_ws
+from catalodge.operators.identity import text_key
+from catalodge.session import materialize
 
 
-def _unique(target: DataFrame, keys: Sequence[str], id_column: str, alias: str, prefer: Sequence[Column] = ()) -> DataFrame:
+def _unique(target: DataFrame, keys: Sequence[str], id_column: str, key: str, alias: str, prefer: Sequence[Column] = ()) -> DataFrame:
     """One id per key: the preferred row, then the lowest id. Rows with a NULL key part match nothing."""
-    rows = target.dropna(subset=list(keys))
+    rows = target.withColumn(key, text_key(target, keys)).where(F.col(key).isNotNull())
     rank = F.struct(*[p.alias(f"p{i}") for i, p in enumerate(prefer)], F.col(id_column))
-    return rows.groupBy(*keys).agg(F.min_by(F.col(id_column), rank).alias(alias))
+    return rows.groupBy(key).agg(F.min_by(F.col(id_column), rank).alias(alias))
+
+
+def _two_keys(
+    records: DataFrame, target: DataFrame, id_column: str, first: Sequence[str], second: Sequence[str], prefer: Sequence[Column] = ()
+) -> DataFrame:
+    keyed = records.withColumns({"__k1": text_key(records, first), "__k2": text_key(records, second)})
+    out = keyed.join(_unique(target, first, id_column, "__k1", "__id1"), "__k1", "left")
+    return out.join(_unique(target, second, id_column, "__k2", "__id2", prefer), "__k2", "left")
 
 
 def lookup_two_step(
     records: DataFrame, target: DataFrame, id_column: str, first: Sequence[str], second: Sequence[str]
 ) -> DataFrame:
-    """Add ``id_column``: found by the first key, else by the second, else NULL."""
-    by_first = _unique(target, first, id_column, "__id1")
-    by_second = _unique(target, second, id_column, "__id2")
-    out = records.join(by_first, list(first), "left").join(by_second, list(second), "left")
+    """Add ``id_column``: found by the first key, else by the second, else NULL. Text is compared by ``ci_key``."""
+    out = _two_keys(records, target, id_column, first, second)
     return out.select(*records.columns, F.coalesce("__id1", "__id2").alias(id_column))
 
 
@@ -31,54 +39,11 @@ def lookup_code_or_name(
     records: DataFrame, target: DataFrame, id_column: str, scope: Sequence[str], code: str, name: str
 ) -> DataFrame:
     """Records with a code match by code alone; others match by name, coded rows first, then the lowest id."""
-    by_code = _unique(target, [*scope, code], id_column, "__id1")
-    by_name = _unique(target, [*scope, name], id_column, "__id2", prefer=[F.col(code).isNull()])
-    out = records.join(by_code, [*scope, code], "left").join(by_name, [*scope, name], "left")
+    out = _two_keys(records, target, id_column, [*scope, code], [*scope, name], prefer=[F.col(code).isNull()])
     found = F.when(F.col(code).isNotNull(), F.col("__id1")).otherwise(F.col("__id2"))
     return out.select(*records.columns, found.alias(id_column))
 
 
-def resolve_batch_identity(
-    records: DataFrame,
-    stored: DataFrame,
-    id_column: str,
-    first: Sequence[str],
-    second: Sequence[str],
-    order: Sequence[str],
-    bucket: Column | None = None,
-) -> DataFrame:
-    """Identity of every record of a batch, with ``is_new`` for the ones no stored row matches.
-
-    Stored rows match by the first key, else by the second. What is left groups by
-    the first key, then by the second: the earliest record of a group founds the
-    entity, and its first key names it. A chain that links more than two founders
-    through alternating keys is cut after that second step.
-    """
-    found = lookup_two_step(records, stored, id_column, first, second)
-    known = found.filter(F.col(id_column).isNotNull()).withColumn("is_new", F.lit(False))
-    known = known.withColumn("entity_key", F.col(id_column).cast("string"))
-    fresh = found.filter(F.col(id_column).isNull())
-    at = F.struct(*order)
-    # Founder of each first key, then the earliest founder that shares a second key.
-    rest = [c for c in second if c not in first]
-    name_groups = fresh.groupBy(*first).agg(
-        F.min(at).alias("__at"), F.min_by(F.struct(*rest), at).alias("__second")
-    ).select(*first, "__at", *[F.col(f"__second.{c}").alias(c) for c in rest])
-    url_groups = name_groups.groupBy(*second).agg(
-        F.min_by(F.struct(*first), F.col("__at")).alias("__founder")
-    )
-    named = name_groups.join(url_groups, list(second), "left").select(
-        *first,
-        F.coalesce(
-            F.concat_ws("\u0001", *[F.col(f"__founder.{c}").cast("string") for c in first]),
-            F.concat_ws("\u0001", *[F.col(c).cast("string") for c in first]),
-        ).alias("entity_key"),
-    )
-    new = fresh.join(named, list(first), "left").withColumn("is_new", F.lit(True))
-    columns = [*records.columns, id_column, "entity_key", "is_new"]
-    return known.select(*columns).unionByName(new.select(*columns))
-
-
 def name_lists(names: DataFrame, scope: Sequence[str], name: str, longest_first: bool = True) -> DataFrame:
     """One row per scope with its official names as an array, longest first or in list order.
 
@@ -118,23 +83,28 @@ def canonical_mention(text: Column, mention_re: Column, names: Column) -> Column
     return F.get(F.filter(hits, lambda h: h.isNotNull()), F.lit(0))
 
 
-def top_ancestors(tree: DataFrame, id_column: str = "id", parent: str = "parent_id", max_depth: int = 4) -> DataFrame:
-    """id -> top ancestor of a parent tree no deeper than ``max_depth`` levels.
+def top_ancestors(tree: DataFrame, id_column: str = "id", parent: str = "parent_id") -> DataFrame:
+    """id -> top ancestor of a parent tree of any depth; a parent that does not exist ends the climb.
 
-    Each step looks the next parent up in the tree; a parent that does not exist
-    ends the climb. The model has three levels (faculty, school, department).
+    Each round doubles the distance climbed, so a chain of n levels takes about log2(n)
+    rounds. On a cycle, which a tree does not have, the climb ends after as many rounds as
+    doublings fit the number of nodes.
     """
-    nodes = tree.select(F.col(id_column).alias("__n"), F.col(parent).alias("__p"))
-    climb = nodes.select(F.col("__n").alias(id_column), F.col("__n").alias("top_id"), F.col("__p").alias("__next"))
-    for _ in range(max_depth - 1):
-        up = nodes.select(F.col("__n").alias("__next"), F.col("__n").alias("__found"), F.col("__p").alias("__parent"))
-        climb = climb.join(up, "__next", "left").select(
-            id_column, F.coalesce("__found", "top_id").alias("top_id"), F.col("__parent").alias("__next")
-        )
-    return climb.select(id_column, "top_id")
+    nodes = tree.select(F.col(id_column).alias("id"), F.col(parent).alias("up"))
+    known = nodes.select(F.col("id").alias("up"), F.col("id").alias("top"))
+    # A top points to itself; each round a node takes what its present pointer points to.
+    climb = nodes.join(known, "up", "left").select("id", F.coalesce("top", "id").alias("top"))
+    climb = materialize(climb, "ancestors")
+    for _ in range(max(1, climb.count()).bit_length()):
+        above = climb.selectExpr("id AS top", "top AS next")
+        step = materialize(climb.join(above, "top").select("id", F.col("next").alias("top"), (F.col("next") != F.col("top")).alias("moved")), "ancestors")
+        climb = step.select("id", "top")
+        if step.where("moved").isEmpty():
+            break
+    return climb.select(F.col("id").alias(id_column), F.col("top").alias("top_id"))
 
 
 __all__ = [
-    "lookup_two_step", "lookup_code_or_name", "resolve_batch_identity", "name_lists",
+    "lookup_two_step", "lookup_code_or_name", "name_lists",
     "longest_name_in", "canonical_mention", "top_ancestors",
 ]

@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 from catalodge.functions.text import differs
 from catalodge.operators import ordered
 
-LOG_VALUE_LIMIT = 2000
-
 
 @dataclass(frozen=True)
 class Unit:
@@ -187,8 +185,8 @@ def _entry(spec: MergeSpec, change: str, name: Column, old: Column, new: Column)
         F.lit(spec.entity).alias("entity_type"),
         F.lit(change).alias("change_type"),
         name.cast("string").alias("field_name"),
-        F.substring(old.cast("string"), 1, LOG_VALUE_LIMIT).alias("old_value"),
-        F.substring(new.cast("string"), 1, LOG_VALUE_LIMIT).alias("new_value"),
+        old.cast("string").alias("old_value"),
+        new.cast("string").alias("new_value"),
     ]
 
 

@@ -66,7 +66,8 @@ def changed_pages(fetched: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def load(
-    spark: SparkSession, tables: Mapping[str, DataFrame], pages: DataFrame, names: DataFrame, config: Mapping[str, DataFrame], fetched_at: Column
+    spark: SparkSession, tables: Mapping[str, DataFrame], pages: DataFrame, names: DataFrame, config: Mapping[str, DataFrame], fetched_at: Column,
+    entry_year: str = "2026",
 ) -> dict[str, DataFrame]:
     """Extract and merge. Returns the new tables, 'change_log', 'new_pages' and 'notes'.
 
@@ -86,33 +87,36 @@ def load(
     details = entities.upsert_details(tables["program_details"], detail_rows, ORDER)
 
     modules = found.modules.join(owner, "page_id").select(
-        "page_id", F.lit(0).alias("pos"), "university_id", F.lit("2026").alias("entry_year"), "code", "name_en",
+        "page_id", F.lit(0).alias("pos"), "university_id", F.lit(entry_year).alias("entry_year"), "code", "name_en",
         F.col("dept").alias("faculty"), "credits", "level", "semester", "leader", "prerequisites",
         F.to_json("assessment").alias("assessment"), "description", "url", F.col("page_id").alias("source_page_id"), at,
+        F.lit(None).cast("string").alias("module_type"), F.lit(False).alias("of_program"),
     )
     empty = F.lit(None).cast("string")
     listed = found.references.join(owner, "page_id").select(
-        "page_id", "pos", "university_id", F.lit("2026").alias("entry_year"), "code", F.col("name").alias("name_en"), empty.alias("faculty"),
+        "page_id", (F.col("pos") + 1).alias("pos"), "university_id", F.lit(entry_year).alias("entry_year"), "code", F.col("name").alias("name_en"), empty.alias("faculty"),
         F.lit(None).cast("int").alias("credits"), empty.alias("level"), empty.alias("semester"), empty.alias("leader"),
         empty.alias("prerequisites"), empty.alias("assessment"), empty.alias("description"), "url",
-        F.col("page_id").alias("source_page_id"), at,
+        F.col("page_id").alias("source_page_id"), at, "module_type", (F.col("category") == site_rules.DETAIL).alias("of_program"),
     )
-    module_merge = entities.upsert_modules(tables["modules"], modules.unionByName(listed), ORDER)
+    module_merge, resolved = entities.upsert_modules(tables["modules"], modules.unionByName(listed), ORDER)
 
+    # The bridge names modules by the key that the module table has.
     keyed = identified.select("page_id", "entity_key", "level")
-    links = found.references.filter(F.col("category") == site_rules.DETAIL).join(keyed, "page_id").select(
-        F.col("entity_key").alias("program_id"), F.coalesce("code", F.lower("name")).alias("module_id"), "module_type", "level", "pos",
+    links = resolved.filter("of_program").select("page_id", "pos", "module_type", F.col("entity_key").alias("module_id")).join(
+        keyed.withColumnRenamed("entity_key", "program_id"), "page_id"
     )
-    members = entities.replace_module_lists(tables["program_modules"], links, ["pos"])
+    members = entities.replace_module_lists(tables["program_modules"], links, ORDER)
 
+    # A page may name one event twice with other dates: the total order makes reruns agree.
     calendar = found.calendar.join(owner, "page_id").select(
-        "*", F.lit(0).alias("pos"), F.col("page_id").alias("source_page_id"), at
+        "*", F.xxhash64("start_date", "end_date").alias("pos"), F.col("page_id").alias("source_page_id"), at
     )
     events = entities.upsert_calendar(tables["calendar_events"], calendar, ORDER)
     deadline_rows = found.deadlines.join(owner, "page_id").join(
         keyed.select("page_id", F.col("entity_key").alias("program_key")), "page_id", "left"
     ).select(
-        "page_id", "pos", "university_id", "program_key", F.lit("2026").alias("entry_year"), "audience", "deadline_type",
+        "page_id", "pos", "university_id", "program_key", F.lit(entry_year).alias("entry_year"), "audience", "deadline_type",
         F.lit(None).cast("int").alias("round_no"), "deadline_at", "note", F.col("page_id").alias("source_page_id"), at,
         F.col("deadline_at").alias("log_label"),
     )
@@ -120,6 +124,10 @@ def load(
 
     discovered = found.discovered.join(owner.select("page_id", "university_id"), "page_id")
     new_pages = registry.new_pages(tables["source_pages"], discovered, ["page_id"])
+    unnamed = entities.incomplete_programs(programs).select(
+        "page_id", F.lit("incomplete").alias("kind"), F.concat_ws(" ", F.lit("programme without level or name:"), "url").alias("message")
+    )
+    notes = found.notes.unionByName(unnamed)
     log_columns = ["entity_type", "change_type", "field_name", "old_value", "new_value", "page_id"]
     logs = [m.log.select(*log_columns) for m in (merged, details, module_merge, events, deadlines)]
     log = logs[0]
@@ -127,7 +135,7 @@ def load(
         log = log.unionByName(more)
     return {
         "programs": merged.table, "program_details": details.table, "modules": module_merge.table, "program_modules": members,
-        "calendar_events": events.table, "deadlines": deadlines.table, "change_log": log, "new_pages": new_pages, "notes": found.notes,
+        "calendar_events": events.table, "deadlines": deadlines.table, "change_log": log, "new_pages": new_pages, "notes": notes,
     }
 
 

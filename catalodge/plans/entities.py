@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalodge.functions import urls
-from catalodge.functions.text import blank_to_null, truncate
-from catalodge.operators import lookup, merge
+from catalodge.functions.text import blank_to_null
+from catalodge.operators import identity, merge
 from catalodge.operators.merge import MergeResult, MergeSpec, Unit
 from catalodge.session import materialize
 
 STUB_TEXT = "仅名称/代码来自专业页"  # fixed value: start of a stub description
 
+PROGRAM_NAME = ["university_id", "level", "name_en"]
 PROGRAM = MergeSpec.simple(
     "program", ("entity_key",), ("faculty", "url", "slug", "ucas_code", "duration"),
     insert_only=("university_id", "level", "name_en"), log_insert=True, label="name_en",
@@ -104,22 +105,26 @@ def upsert_programs(
 ) -> tuple[MergeResult, DataFrame]:
     """Merge programme records; returns the merge and the records with their entity key.
 
-    A record matches by (school, level, name), else by (school, URL); a match by URL keeps
-    the stored name. Records marked ``backfill_only`` never create a programme.
+    A record matches by (school, level, name), else by (school, URL), as one record after
+    another would; a match by URL keeps the stored name. Records marked ``backfill_only``
+    never create a programme. Records without a level or a name are left out: see
+    ``incomplete_programs``.
     """
-    shaped = records.withColumn("name_en", truncate(F.col("name_en"), 255)).withColumn(
-        "duration", truncate(F.col("duration"), 64)
-    ).withColumn("slug", urls.last_segment(F.col("url")))
-    identified = lookup.resolve_batch_identity(
-        shaped,
-        stored.select(F.col("entity_key").alias("__id"), "university_id", "level", "name_en", "url"),
-        "__id", ["university_id", "level", "name_en"], ["university_id", "url"], order, bucket,
+    shaped = records.withColumn("slug", urls.last_segment(F.col("url")))
+    identified = identity.resolve_in_order(
+        shaped, stored.select(F.col("entity_key").alias("__id"), *PROGRAM_NAME, "url"),
+        "__id", PROGRAM_NAME, ["university_id", "url"], order, F.col("backfill_only"),
     )
     # Several steps read the resolved records; resolving them is the costly part.
-    kept = materialize(identified.filter(~(F.col("is_new") & F.col("backfill_only"))), "programs")
+    kept = materialize(identified, "programs")
     return merge.merge_records(stored, kept, PROGRAM, order, bucket), kept
 
 
+def incomplete_programs(records: DataFrame) -> DataFrame:
+    """Programme records without a level or a name: they belong to the notes."""
+    return identity.incomplete(records, PROGRAM_NAME)
+
+
 def upsert_details(
     stored: DataFrame, identified: DataFrame, order: list[str], bucket: Column | None = None
 ) -> MergeResult:
@@ -137,33 +142,25 @@ def upsert_details(
     return merge.merge_records(stored, shaped, PROGRAM_DETAIL, order, bucket)
 
 
-def module_records(records: DataFrame) -> DataFrame:
-    """Cut long texts the way the module table stores them."""
-    limits = {"level": 16, "semester": 32, "leader": 255, "prerequisites": 512}
-    out = records
-    for column, limit in limits.items():
-        out = out.withColumn(column, truncate(F.col(column), limit))
-    return out
-
-
 def without_stub_text(modules: DataFrame) -> DataFrame:
     """A stub description counts as missing, so that a real one may replace it."""
     stub = F.col("description").startswith(STUB_TEXT)
     return modules.withColumn("description", F.when(~F.coalesce(stub, F.lit(False)), F.col("description")))
 
 
-def upsert_modules(stored: DataFrame, records: DataFrame, order: list[str], bucket: Column | None = None) -> MergeResult:
-    """Merge module records: by code when there is one, else by name with coded rows first."""
-    found = lookup.lookup_code_or_name(
-        module_records(records),
-        stored.select(F.col("entity_key").alias("__id"), "university_id", "entry_year", "code", "name_en"),
-        "__id", ["university_id", "entry_year"], "code", "name_en",
-    )
-    key = F.coalesce(
-        "__id", F.concat_ws("\u0001", F.col("university_id").cast("string"), "entry_year", F.coalesce("code", "name_en"))
+def upsert_modules(
+    stored: DataFrame, records: DataFrame, order: list[str], bucket: Column | None = None
+) -> tuple[MergeResult, DataFrame]:
+    """Merge module records: by code when there is one, else by name with coded rows first.
+
+    Returns the merge and the records with their entity key.
+    """
+    found = identity.resolve_by_code(
+        records, stored.select(F.col("entity_key").alias("__id"), "university_id", "entry_year", "code", "name_en"),
+        "__id", ["university_id", "entry_year"], "code", "name_en", order,
     )
-    resolved = materialize(found.withColumn("entity_key", key), "modules")
-    return merge.merge_records(without_stub_text(stored), resolved, MODULE, order, bucket)
+    resolved = materialize(found, "modules")
+    return merge.merge_records(without_stub_text(stored), resolved, MODULE, order, bucket), resolved
 
 
 def upsert_deadlines(stored: DataFrame, records: DataFrame, order: list[str], bucket: Column | None = None) -> MergeResult:

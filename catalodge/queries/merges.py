@@ -206,7 +206,7 @@ def module_upsert(spark, sf):
     columns = ["university_id", "entry_year", "code", "name_en", "credits", "faculty", "level", "semester", "leader",
                "prerequisites", "assessment", "description", "url", "fetched_at", "source_page_id"]
     stored = shaped.filter(F.lit(False)).select(F.lit("").alias("entity_key"), *columns)
-    result = entities.upsert_modules(stored, shaped, order, month())
+    result, _ = entities.upsert_modules(stored, shaped, order, month())
     key = F.concat_ws("\u0001", F.col("university_id").cast("string"), "entry_year", F.coalesce("code", "name_en"))
     counts = shaped.groupBy(key.alias("entity_key")).agg(F.count(F.lit(1)).alias("n_records"))
     return result.table.join(counts, "entity_key").select(

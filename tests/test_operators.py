@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from catalodge.operators import lookup, merge, ordered, quality, rollup
+from catalodge.functions.text import differs
+from catalodge.operators import identity, lookup, merge, ordered, quality, rollup
 from catalodge.operators.merge import MergeSpec, Unit
 
 
@@ -141,19 +142,100 @@ def test_backfill_never_inserts(spark):
     assert [r["k"] for r in result.log.collect()] == [1]
 
 
-def test_batch_identity(spark):
-    stored = spark.createDataFrame([("p1", 1, "Law", "u/law")], "sid string, s int, name string, url string")
-    rows = [(1, "Law", "u/x", 1), (1, "Renamed Law", "u/law", 2), (1, "Art", "u/art", 3), (1, "Art", "u/art2", 4), (1, "Fine Art", "u/art", 5)]
-    records = spark.createDataFrame(rows, "s int, name string, url string, seq int")
-    found = lookup.resolve_batch_identity(records, stored, "sid", ["s", "name"], ["s", "url"], ["seq"])
-    out = {r["seq"]: (r["entity_key"], r["is_new"]) for r in found.collect()}
-    assert out[1] == out[2] == ("p1", False)
-    assert out[3] == out[4] == out[5] and out[3][1]
+def fold_programs(stored, records):
+    """Each record in turn: by name, else by the URL that a programme has at that moment, else a new one."""
+    table = [{"id": i, "name": n.rstrip().lower(), "url": u and u.lower()} for i, n, u in stored]
+    found = {}
+    for seq, name, url, backfill in records:
+        if name is None:
+            continue
+        key, address = name.rstrip().lower(), url and url.lower()
+        row = next((r for r in table if r["name"] == key), None)
+        row = row or next((r for r in table if address and r["url"] == address), None)
+        if row is None and backfill:
+            continue
+        if row is None:
+            row = {"id": f"1\x01{name}", "name": key, "url": None}
+            table.append(row)
+        if address:
+            row["url"] = address
+        found[seq] = row["id"]
+    return found
+
+
+def identities(spark, stored, records):
+    old = spark.createDataFrame([(i, 1, n, u) for i, n, u in stored], "sid string, s int, name string, url string")
+    new = spark.createDataFrame([(s, 1, n, u, b) for s, n, u, b in records], "seq int, s int, name string, url string, b boolean")
+    found = identity.resolve_in_order(new, old, "sid", ["s", "name"], ["s", "url"], ["seq"], F.col("b"))
+    return {r["seq"]: r["entity_key"] for r in found.collect()}, identity.incomplete(new, ["s", "name"]).count()
+
+
+def test_identity_follows_urls(spark):
+    stored = [("p1", "Law", "u/law")]
+    rows = [(1, "Law", "u/x", False), (2, "Renamed Law", "u/law", False), (3, "Art", "u/art", False), (4, "Art", "u/art2", False), (5, "Fine Art", "u/art", False)]
+    found, _ = identities(spark, stored, rows)
+    assert found[1] == "p1" and found[2] == "1\x01Renamed Law" and found[3] == found[4] == "1\x01Art" and found[5] == "1\x01Fine Art"
+    rows = [(1, "A", "u1", False), (2, "B", "u1", False), (3, "B", "u2", False), (4, "C", "u2", False)]
+    found, _ = identities(spark, [], rows)
+    assert found == {1: "1\x01A", 2: "1\x01A", 3: "1\x01B", 4: "1\x01B"}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_identity_equals_record_by_record(spark, seed):
+    rng = random.Random(seed)
+    names = [f"{n}{end}" for n in ("Law", "law", "Art", "Fine Art", "Maths", "BIO", "Bio") for end in ("", " ")] + [None]
+    urls = [f"u/{k}" for k in range(8)] + ["U/3", None]
+    stored = [(f"p{i}", n, f"u/{i}") for i, n in enumerate(("Law", "History", "Chem"))]
+    records = [(seq, rng.choice(names), rng.choice(urls), rng.random() < 0.2) for seq in range(60)]
+    found, unnamed = identities(spark, stored, records)
+    assert found == fold_programs(stored, records)
+    assert unnamed == sum(r[1] is None for r in records)
+
+
+def fold_modules(stored, records):
+    table, found = [{"id": i, "code": c and c.lower(), "name": n.lower()} for i, c, n in stored], {}
+    for seq, code, name in records:
+        if code:
+            row = next((r for r in table if r["code"] == code.lower()), None)
+        else:
+            row = next((r for r in table if r["name"] == name.lower() and r["code"]), None)
+            row = row or next((r for r in table if r["name"] == name.lower()), None)
+        if row is None:
+            row = {"id": f"1\x01{code or name}", "code": code and code.lower(), "name": name.lower()}
+            table.append(row)
+        found[seq] = row["id"]
+    return found
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_module_identity_equals_record_by_record(spark, seed):
+    rng = random.Random(seed)
+    stored = [("m1", "C1", "Logic"), ("m2", None, "Sets"), ("m3", None, "Logic")]
+    records = [(s, rng.choice(("C1", "c2", "C2", "C3", None, None, None)), rng.choice(("Logic", "Sets", "sets", "Rings", "Fields", "fields"))) for s in range(40)]
+    old = spark.createDataFrame([(i, 1, c, n) for i, c, n in stored], "sid string, s int, code string, name string")
+    new = spark.createDataFrame([(q, 1, c, n) for q, c, n in records], "seq int, s int, code string, name string")
+    out = identity.resolve_by_code(new, old, "sid", ["s"], "code", "name", ["seq"])
+    assert {r["seq"]: r["entity_key"] for r in out.collect()} == fold_modules(stored, records)
+
+
+def test_lookups_compare_without_case(spark):
+    target = spark.createDataFrame([(1, "Café ", "u/1"), (2, "cafe", "u/2")], "id int, name string, url string")
+    records = spark.createDataFrame([("CAFE", "u/9"), ("x", "U/2"), ("y", None)], "name string, url string")
+    found = lookup.lookup_two_step(records, target, "id", ["name"], ["url"])
+    assert {r["name"]: r["id"] for r in found.collect()} == {"CAFE": 1, "x": 2, "y": None}
+
+
+def test_differs_strips_all_white_space(spark):
+    rows = spark.createDataFrame([("abc\n", "abc"), ("\t1.0", "1"), ("a", "b"), (None, "")], "a string, b string")
+    assert [r[0] for r in rows.select(differs(F.col("a"), F.col("b"))).collect()] == [False, False, True, True]
 
 
 def test_top_ancestors(spark):
     tree = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, 99)], "id int, parent_id int")
     assert sorted(map(tuple, lookup.top_ancestors(tree).collect())) == [(1, 1), (2, 1), (3, 1), (4, 4)]
+    chain = spark.createDataFrame([(i, i - 1 if i > 1 else None) for i in range(1, 24)], "id int, parent_id int")
+    assert {r["top_id"] for r in lookup.top_ancestors(chain).collect()} == {1}
+    assert lookup.top_ancestors(chain.limit(0)).count() == 0
 
 
 def test_chunked_lists_lose_nothing(spark):
