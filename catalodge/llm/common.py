@@ -10,9 +10,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key counts as heavy from this share of the rows on, so there are at most as many heavy keys.
-MAX_HEAVY_KEYS = 4096
-
 
 def text_of(name: str = "text") -> Column:
     """The whole text; null counts as empty."""
@@ -43,23 +40,6 @@ def labelled_sample(rows: DataFrame, label: str, per_class: int, order: Column)
     return ranked.where(F.col("_rank") <= per_class).drop("_rank")
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, count: str) -> DataFrame:
-    """Inner join of many rows with a table that has one row for each key.
-
-    `right[count]` says how many rows of `left` have the key. Keys with a
-    MAX_HEAVY_KEYS-th of all rows or more are at most MAX_HEAVY_KEYS in number, which
-    bounds the broadcast; their rows stay where they are. All other rows meet `right`
-    in a shuffled join, whose largest key is then small.
-    """
-    total = right.agg(F.sum(count)).first()[0] or 0
-    least = max(2, total // MAX_HEAVY_KEYS + 1)
-    heavy = F.broadcast(right.where(F.col(count) >= least))
-    light = right.where(F.col(count) < least)
-    hot = left.join(heavy, key)
-    cold = left.join(heavy.select(key), key, "left_anti").join(light.hint("merge"), key)
-    return hot.unionByName(cold)
-
-
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 

@@ -12,7 +12,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalodge.llm.common import lookup, text_of
+from catalodge.llm.common import text_of
+from catalodge.operators.graph import hot_lookup
 from catalodge.session import materialize
 
 
@@ -64,7 +65,7 @@ def exact_dedup(docs: DataFrame, index: DigestIndex, batches: int = 2, text: str
         index.append(digests.where(place == batch))
     sizes = digests.groupBy("digest").agg(F.count("*").alias("group_size"))
     groups = materialize(sizes.join(index.table().hint("merge"), "digest"), "digest-groups")
-    return lookup(digests, groups, "digest", "group_size").select(
+    return hot_lookup(digests, groups, "digest", "group_size").select(
         "doc_id",
         "keep_id",
         "group_size",

@@ -17,8 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalodge.llm.common import column, lookup, utf8
-from catalodge.llm.components import component_roots
+from catalodge.llm.common import column, utf8
+from catalodge.operators.graph import component_roots, hot_lookup
 from catalodge.session import materialize
 
 SEED = 42
@@ -170,9 +170,9 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, text: str = "text") -
     known = roots.unionByName(roots.selectExpr("root AS node", "root").distinct())
     members = materialize(known.join(nodes, known["node"] == nodes["fp"]).drop("node"), "members")
     smallest = members.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("members"))
-    linked = lookup(members, smallest, "root", "members").select("fp", "n", "component_id")
+    linked = hot_lookup(members, smallest, "root", "members").select("fp", "n", "component_id")
     alone = nodes.join(members.select("fp"), "fp", "left_anti").selectExpr("fp", "n", "first AS component_id")
     classes = materialize(linked.unionByName(alone), "classes")
-    return lookup(found, classes, "fp", "n").select(
+    return hot_lookup(found, classes, "fp", "n").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
