@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalodge.llm.common import ChunkCodes, column, in_bites, text_of, utf8
+from catalodge.llm.common import column, in_bites, text_of, utf8
 
 SEED = 3
 LEAST_SEEDS = 8
@@ -26,12 +27,19 @@ THRESHOLD = 0.5
 # Text of the test items that is broadcast at once; more items are taken in blocks.
 BLOCK_BYTES = 16 << 20
 CELLS = 1 << 18
-SKIP, UNKNOWN, PADDING = -1, 0, -2
-SIGNS = re.compile(r"[\W_]+")
+UNKNOWN, PADDING = 0, -2
+SIGNS = re.compile(r"[^\w\s]|_")
+ASCII_SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+# First bytes of characters other than ASCII and Latin-1 letters, in UTF-8.
+RARE_BYTES = bytes([0xC2, *range(0xC4, 0x100)])
 
 
-def plain(word: str) -> str:
-    return SIGNS.sub("", word.lower())
+def plain_words(body: bytes) -> list[bytes]:
+    """The words of a text in UTF-8: lower case, without signs; what is signs only is no word."""
+    text = body.decode("utf-8", "replace").lower()
+    if len(body.translate(None, RARE_BYTES)) < len(body) or "×" in text or "÷" in text:
+        text = " ".join(SIGNS.sub("", text).split())
+    return text.encode("utf-8", "replace").translate(None, ASCII_SIGNS).split()
 
 
 class Items(NamedTuple):
@@ -67,12 +75,12 @@ def run_keys(codes: np.ndarray, size: int) -> np.ndarray:
 
 def index_items(rows: list[tuple[int, str]]) -> Items:
     """Items of fewer than SEED words have no run and are never found."""
-    vocabulary: dict[str, int] = {}
+    vocabulary: dict[bytes, int] = {}
     ids, words = [], []
     for item_id, text in sorted(rows):
-        plains = [w for w in map(plain, text.split()) if w]
         ids.append(item_id)
-        words.append(np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in plains], np.int64))
+        plain = plain_words(text.encode("utf-8", "replace"))
+        words.append(np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in plain], np.int64))
     found = [(k, i, p) for i, w in enumerate(words) if len(w) >= SEED for p, k in enumerate(run_keys(w, len(vocabulary)).tolist())]
     found.sort()
     key, item, place = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
@@ -125,15 +133,13 @@ class Matcher:
 
     def __init__(self, items: Items, seed: np.ndarray, threshold: float):
         self.items, self.seed, self.threshold = items, seed, threshold
-        self.table = ChunkCodes(self.code)
-
-    def code(self, chunk: bytes) -> int:
-        word = plain(chunk.decode("utf-8", "replace"))
-        return self.items.vocabulary.get(word, UNKNOWN) if word else SKIP
 
     def texts(self, bodies: list[bytes]) -> Iterator[np.ndarray]:
-        for codes in self.table.codes(bodies):
-            yield codes[codes != SKIP]
+        """Each text as numbers of its words, UNKNOWN where no item has the word."""
+        number = self.items.vocabulary.get
+        for body in bodies:
+            words = plain_words(body)
+            yield np.fromiter(map(number, words, repeat(UNKNOWN)), np.int64, len(words))
 
     def windows(self, codes: np.ndarray) -> list[tuple[int, int]]:
         """(item, start of a window) where a seed of the item lies; a window is two item lengths and some slack."""
