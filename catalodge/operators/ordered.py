@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from catalodge.session import materialize
+
 BUCKET = "__bucket"
 Names = Sequence[str]
 
@@ -150,6 +152,23 @@ def number_rows(
     return out.withColumn(name, F.col(name) + F.coalesce("__offset", F.lit(0))).drop(BUCKET, "__offset")
 
 
+def number_all(df: DataFrame, order: Names, name: str) -> DataFrame:
+    """1, 2, 3, ... in an order of the whole table, with no task that sees all rows.
+
+    Rows are dealt into ranges of the order and written sorted; a row's number in its
+    range is moved by the sizes of the ranges before. Only one count for each range meets
+    in one task.
+    """
+    ranged = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    # The generated id holds the number of the range, then the row's place in it.
+    rows = materialize(ranged.withColumn("__id", F.monotonically_increasing_id()), "numbered")
+    rows = rows.withColumns({"__range": F.shiftright("__id", 33), "__place": F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))})
+    sizes = rows.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    return rows.join(offsets, "__range").withColumn(name, F.col("__place") + F.col("__offset") + 1).select(*df.columns, name)
+
+
 def first_per_key(df: DataFrame, keys: Names, order: Names) -> DataFrame:
     """One row per key: the first in the given order. Partial results are combined before the shuffle."""
     return _one_per_key(df, keys, order, F.min_by)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalodge.functions import translate, urls
 from catalodge.operators import merge, ordered, registry
 from catalodge.operators.merge import MergeSpec, Unit
-from catalodge.plans import entities
+from catalodge.plans import entities, views
 from catalodge.queries.registry import query, table
 from catalodge.queries.relational import PAGES_SQL, mapped, registry_pages, sql_map
 
@@ -181,13 +181,17 @@ def program_upsert(spark, sf):
 
 @query(
     "module_upsert",
-    """WITH r AS (SELECT l_suppkey AS sup, s_nationkey AS university_id, CAST(year(l_shipdate) AS VARCHAR) AS entry_year, p_name AS name_en,
-  CASE WHEN p_type <> 'PROMO' THEN p_brand || p_name END AS code, CAST(l_quantity AS INTEGER) AS credits, l_shipdate AS seq,
-  l_orderkey, l_partkey, l_linenumber, l_extendedprice
-  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey)
-SELECT university_id, entry_year, coalesce(code, '-') AS code, CASE WHEN code IS NULL THEN name_en ELSE '-' END AS name_en, count(*) AS n_records,
-  max_by(credits, (seq, l_orderkey, l_partkey, l_linenumber, l_extendedprice)) AS credits
-FROM r GROUP BY 1, 2, 3, 4""",
+    """WITH r AS (SELECT s_nationkey AS university_id, CAST(year(l_shipdate) AS VARCHAR) AS entry_year, p_name AS name_en,
+  CASE WHEN p_type <> 'PROMO' THEN p_brand || p_name END AS code, CAST(l_quantity AS INTEGER) AS credits,
+  (l_shipdate, l_orderkey, l_partkey, l_linenumber, l_extendedprice) AS o
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey),
+f AS (SELECT university_id, entry_year, code, min(o) AS since, min_by(name_en, o) AS nm FROM r WHERE code IS NOT NULL GROUP BY 1, 2, 3),
+g AS (SELECT university_id, entry_year, nm, min(since) AS since, min_by(code, since) AS first_code FROM f GROUP BY 1, 2, 3),
+k AS (SELECT r.*, coalesce(r.code, CASE WHEN g.since < r.o THEN g.first_code END) AS found
+  FROM r LEFT JOIN g ON g.university_id = r.university_id AND g.entry_year = r.entry_year AND g.nm = r.name_en)
+SELECT university_id, entry_year, coalesce(found, '-') AS code, CASE WHEN found IS NULL THEN name_en ELSE '-' END AS name_en,
+  count(*) AS n_records, max_by(credits, o) AS credits
+FROM k GROUP BY 1, 2, 3, 4""",
 )
 def module_upsert(spark, sf):
     rows = table(spark, sf, "lineitem").join(
@@ -206,9 +210,8 @@ def module_upsert(spark, sf):
     columns = ["university_id", "entry_year", "code", "name_en", "credits", "faculty", "level", "semester", "leader",
                "prerequisites", "assessment", "description", "url", "fetched_at", "source_page_id"]
     stored = shaped.filter(F.lit(False)).select(F.lit("").alias("entity_key"), *columns)
-    result, _ = entities.upsert_modules(stored, shaped, order, month())
-    key = F.concat_ws("\u0001", F.col("university_id").cast("string"), "entry_year", F.coalesce("code", "name_en"))
-    counts = shaped.groupBy(key.alias("entity_key")).agg(F.count(F.lit(1)).alias("n_records"))
+    result, resolved = entities.upsert_modules(stored, shaped, order, month())
+    counts = resolved.groupBy("entity_key").agg(F.count(F.lit(1)).alias("n_records"))
     return result.table.join(counts, "entity_key").select(
         "university_id", "entry_year", F.coalesce("code", F.lit("-")).alias("code"),
         F.when(F.col("code").isNull(), F.col("name_en")).otherwise("-").alias("name_en"), "n_records", "credits",
@@ -330,10 +333,7 @@ FROM events e LEFT JOIN pages p ON p.page_id = e.event_id""",
 )
 def parsed_flag(spark, sf):
     snapshots = table(spark, sf, "events").select(F.col("event_id").alias("snapshot_id"), F.lit(False).alias("parsed_ok"))
-    parsed = table(spark, sf, "pages").select(F.col("page_id").alias("snapshot_id"), F.lit(True).alias("__parsed"))
-    return snapshots.join(parsed, "snapshot_id", "left").select(
-        "snapshot_id", F.coalesce("__parsed", "parsed_ok").alias("parsed_ok")
-    )
+    return views.mark_parsed(snapshots, table(spark, sf, "pages").select(F.col("page_id").alias("snapshot_id")))
 
 
 @query(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from catalodge.functions import dates, rules, text
 from catalodge.operators import lookup, merge, ordered, registry, rollup
+from catalodge.plans import views
 from catalodge.queries.registry import query, table
 
 AS_OF = "1998-01-01"
@@ -240,8 +241,7 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 WHERE o_orderdate BETWEEN TIMESTAMP '1998-01-01' AND TIMESTAMP '1998-01-01' + INTERVAL 90 DAY""",
 )
 def upcoming_window(spark, sf):
-    as_of = F.lit(AS_OF).cast("timestamp_ntz")
-    rows = school_programs(spark, sf).filter(F.col("o_orderdate").between(as_of, as_of + F.make_dt_interval(F.lit(90))))
+    rows = views.upcoming(school_programs(spark, sf), "o_orderdate", F.lit(AS_OF).cast("timestamp_ntz"))
     return rows.join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("o_orderkey").alias("program_id"), F.col("n_name").alias("school"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("deadline"),
@@ -290,24 +290,14 @@ flag AS (SELECT *, bool_or(wanted) OVER (PARTITION BY university_id) AS any_want
 SELECT university_id, academic_year, n_events FROM flag WHERE wanted OR NOT any_wanted""",
 )
 def academic_year_calendar(spark, sf):
-    as_of = F.lit(AS_OF).cast("date")
     start = F.col("o_orderdate").cast("date")
-    end = F.when(F.col("o_orderstatus") != "O", F.date_add(start, 30))
-    events = school_programs(spark, sf).join(
-        table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
-    ).filter(F.coalesce(end, start) >= as_of)
     country = F.when(F.col("n_regionkey") == 1, "AU").otherwise("UK")
-    year = F.when(country == "AU", F.year(start).cast("string")).otherwise(dates.academic_year(start))
-    # Counting first leaves one row per school and year; the rest works on those.
-    counted = events.select(
-        F.col("c_nationkey").alias("university_id"), country.alias("country"), year.alias("academic_year")
-    ).groupBy("university_id", "country", "academic_year").agg(F.count(F.lit(1)).alias("n_events"))
-    wanted = F.array_contains(dates.calendar_labels(F.col("country"), as_of), F.col("academic_year"))
-    flagged = counted.withColumn("wanted", wanted)
-    some = F.max("wanted").over(ordered.Window.partitionBy("university_id"))
-    return flagged.withColumn("some", some).filter("wanted or not some").select(
-        "university_id", "academic_year", "n_events"
+    events = school_programs(spark, sf).join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_nationkey").alias("university_id"), country.alias("country"), start.alias("start_date"),
+        F.when(country == "AU", F.year(start).cast("string")).otherwise(dates.academic_year(start)).alias("academic_year"),
+        F.when(F.col("o_orderstatus") != "O", F.date_add(start, 30)).alias("end_date"),
     )
+    return views.current_years(events, F.lit(AS_OF).cast("date"))
 
 
 @query(
@@ -318,15 +308,12 @@ UNION ALL SELECT p_partkey, p_name FROM part
 WHERE p_type <> 'ECONOMY' AND contains(lower(p_name), lower('RED'))""",
 )
 def program_search(spark, sf):
-    parts = table(spark, sf, "part")
-
-    def search(level, q):
-        return level & F.contains(F.lower("p_name"), F.lower(F.lit(q)))
-
-    both = search((F.col("p_type") == "ECONOMY") & (F.col("p_brand") == "Brand#2"), "Ring") | search(
-        F.col("p_type") != "ECONOMY", "RED"
+    parts = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name_en"), F.lit(None).cast("string").alias("name_zh"),
+        F.col("p_brand").alias("faculty"), F.when(F.col("p_type") == "ECONOMY", "UG").otherwise("PGT").alias("level"),
     )
-    return parts.filter(both).select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name_en"))
+    one = views.search_programs(parts, "Ring", level="UG", faculty="Brand#2")
+    return one.unionByName(views.search_programs(parts, "RED", level="PGT")).select("id", "name_en")
 
 
 @query(
@@ -334,9 +321,7 @@ def program_search(spark, sf):
     """SELECT brand, row_number() OVER (ORDER BY brand) AS place FROM (SELECT DISTINCT p_brand AS brand FROM part)""",
 )
 def filter_options(spark, sf):
-    options = table(spark, sf, "part").select(F.col("p_brand").alias("brand")).distinct()
-    # The options of one list box: a bounded vocabulary.
-    return options.withColumn("place", F.row_number().over(ordered.Window.orderBy("brand")).cast("long"))
+    return views.filter_options(table(spark, sf, "part").select(F.col("p_brand").alias("brand")), "brand")
 
 
 # ---- views -------------------------------------------------------------------------
@@ -350,12 +335,14 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 JOIN region ON n_regionkey = r_regionkey""",
 )
 def calendar_view(spark, sf):
-    schools = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return school_programs(spark, sf).join(schools, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("n_name").alias("code"), F.col("r_name").alias("name_zh"),
-        F.year("o_orderdate").cast("long").alias("academic_year"), F.col("o_orderkey").alias("event_id"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_date"),
+    schools = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_nationkey").alias("university_id"), F.col("n_name").alias("code"), F.col("r_name").alias("name_zh")
     )
+    events = school_programs(spark, sf).select(
+        F.col("c_nationkey").alias("university_id"), F.year("o_orderdate").cast("long").alias("academic_year"),
+        F.col("o_orderkey").alias("event_id"), F.col("o_orderdate").alias("start_date"),
+    )
+    return views.calendar_view(events, schools)
 
 
 @query(
@@ -370,25 +357,27 @@ LEFT JOIN region ON r_regionkey = n_regionkey LEFT JOIN d ON d.l_orderkey = o_or
 LEFT JOIN lb ON lb.s_nationkey = c_nationkey AND lb.band_code = d.band""",
 )
 def program_full(spark, sf):
-    detail = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.max("l_quantity").alias("tuition"), F.max("l_returnflag").alias("band")
+    details = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("program_id")).agg(
+        F.max("l_quantity").alias("tuition_intl"), F.max("l_returnflag").alias("language_band")
+    )
+    own = school_programs(spark, sf).select(
+        F.col("o_orderkey").alias("program_id"), F.when(F.col("o_totalprice") > 300000, 7.0).alias("ielts_overall")
     )
     code = F.when(F.col("s_acctbal") < 3000, "A").when(F.col("s_acctbal") < 6000, "N").otherwise("R")
-    bands = table(spark, sf, "supplier").groupBy("s_nationkey", code.alias("band_code")).agg(
+    bands = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("university_id"), code.alias("band_code")).agg(
         F.max("s_acctbal").alias("band_ielts")
     )
-    programs = school_programs(spark, sf)
-    out = (
-        programs.join(table(spark, sf, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
-        .join(table(spark, sf, "region"), F.col("r_regionkey") == F.col("n_regionkey"), "left")
-        .join(detail, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        .join(bands, (F.col("s_nationkey") == F.col("c_nationkey")) & (F.col("band_code") == F.col("band")), "left")
+    nation = table(spark, sf, "nation")
+    programs = school_programs(spark, sf).join(nation, F.col("n_nationkey") == F.col("c_nationkey")).select(
+        F.col("o_orderkey").alias("program_id"), F.col("c_nationkey").alias("university_id"),
+        F.col("n_regionkey").alias("faculty_id"), F.col("o_orderstatus").alias("level"),
     )
-    own = F.when(F.col("o_totalprice") > 300000, 7.0)
+    schools = nation.select(F.col("n_nationkey").alias("university_id"), F.col("n_name").alias("univ"))
+    faculties = table(spark, sf, "region").select(F.col("r_regionkey").alias("faculty_id"), F.col("r_name").alias("faculty"))
+    out = views.program_full(programs, schools, faculties, own.join(details, "program_id", "left"), bands)
     return out.select(
-        F.col("o_orderkey").alias("program_id"), F.col("n_name").alias("univ"), F.col("o_orderstatus").alias("level"),
-        F.col("r_name").alias("faculty"), F.coalesce("tuition", F.lit(-1.0)).alias("tuition_intl"),
-        F.coalesce(own, F.col("band_ielts"), F.lit(-1.0)).alias("ielts"),
+        "program_id", "univ", "level", "faculty", F.coalesce("tuition_intl", F.lit(-1.0)).alias("tuition_intl"),
+        F.coalesce("ielts", F.lit(-1.0)).alias("ielts"),
     )
 
 
@@ -400,18 +389,14 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_
 JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
 )
 def bridge_view(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_quantity")
-    programs = school_programs(spark, sf).select("o_orderkey", "c_nationkey")
-    return (
-        lines.join(programs, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("n_name").alias("univ"), F.col("o_orderkey").alias("program_id"),
-            F.col("l_linenumber").alias("year_of_study"), F.col("l_returnflag").alias("module_type"),
-            F.col("p_name").alias("module_name"), F.col("l_quantity").alias("credits"),
-        )
+    members = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("program_id"), F.col("l_partkey").alias("module_id"), F.col("l_linenumber").alias("year_of_study"),
+        F.col("l_returnflag").alias("module_type"), F.col("l_quantity").alias("credits"),
     )
+    programs = school_programs(spark, sf).select(F.col("o_orderkey").alias("program_id"), F.col("c_nationkey").alias("university_id"))
+    modules = table(spark, sf, "part").select(F.col("p_partkey").alias("module_id"), F.col("p_name").alias("module_name"))
+    schools = table(spark, sf, "nation").select(F.col("n_nationkey").alias("university_id"), F.col("n_name").alias("univ"))
+    return views.bridge_view(members, programs, modules, schools).drop("module_id", "university_id")
 
 
 @query(
@@ -422,13 +407,11 @@ FROM events e LEFT JOIN customer ON c_custkey = user_id AND c_acctbal > 0
 WHERE ts BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-10' + INTERVAL 90 DAY""",
 )
 def deadline_view(spark, sf):
-    as_of = F.lit("2024-01-10").cast("timestamp_ntz")
-    owners = table(spark, sf, "customer").filter("c_acctbal > 0").select("c_custkey", "c_name")
-    rows = table(spark, sf, "events").filter(F.col("ts").between(as_of, as_of + F.make_dt_interval(F.lit(90))))
-    return rows.join(owners, F.col("c_custkey") == F.col("user_id"), "left").select(
-        "event_id", F.coalesce("c_name", F.lit("(school)")).alias("program"), F.col("event_type").alias("audience"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm").alias("deadline_at"),
+    programs = table(spark, sf, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("program_id"), F.col("c_name").alias("program"))
+    deadlines = table(spark, sf, "events").select(
+        "event_id", F.col("user_id").alias("program_id"), F.col("event_type").alias("audience"), F.col("ts").alias("deadline_at")
     )
+    return views.deadline_view(deadlines, programs, F.lit("2024-01-10").cast("timestamp_ntz")).drop("program_id")
 
 
 # ---- lookups -----------------------------------------------------------------------
@@ -613,13 +596,10 @@ FROM lineitem JOIN (SELECT l_partkey AS pk, count(DISTINCT l_orderkey) AS n_prog
 GROUP BY l_partkey, l_orderkey""",
 )
 def inverse_lookup(spark, sf):
-    # One row per (module, programme) instead of a list per module, so a module that
-    # occurs everywhere is never gathered in one task.
-    parents = table(spark, sf, "lineitem").groupBy(
-        F.col("l_partkey").alias("module_id"), F.col("l_orderkey").alias("program_id")
-    ).agg(F.min("l_returnflag").alias("module_type"))
-    counts = parents.groupBy("module_id").agg(F.count(F.lit(1)).alias("n_programs"))
-    return parents.join(counts, "module_id")
+    members = table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("module_id"), F.col("l_orderkey").alias("program_id"), F.col("l_returnflag").alias("module_type")
+    )
+    return views.programs_of_modules(members)
 
 
 @query(
@@ -631,13 +611,12 @@ def inverse_lookup(spark, sf):
 )
 def unit_module_union(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    referenced = lines.select("l_orderkey", "l_partkey").distinct().join(
-        school_programs(spark, sf).select("o_orderkey", "c_nationkey"), F.col("l_orderkey") == F.col("o_orderkey")
-    ).select(F.col("c_nationkey").alias("unit"), F.col("l_partkey").alias("module_id"))
-    owned = lines.select("l_suppkey", "l_partkey").distinct().join(
+    members = lines.select(F.col("l_orderkey").alias("program_id"), F.col("l_partkey").alias("module_id"))
+    programs = school_programs(spark, sf).select(F.col("o_orderkey").alias("program_id"), F.col("c_nationkey").alias("unit"))
+    modules = lines.select("l_suppkey", "l_partkey").distinct().join(
         table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
     ).select(F.col("s_nationkey").alias("unit"), F.col("l_partkey").alias("module_id"))
-    return referenced.unionByName(owned).distinct()
+    return views.unit_modules(members, programs, modules)
 
 
 # ---- names ---------------------------------------------------------------------------
@@ -732,9 +711,8 @@ def canonical_mention(spark, sf):
 @query(
     "ci_key_groups",
     """SELECT lower(strip_accents(rtrim(w))) AS word_key, count(*) AS n FROM (
-  SELECT unnest(string_split(text, ' ')) AS w FROM documents) WHERE w <> '' AND length(w) <= 3 GROUP BY 1""",
+  SELECT unnest(string_split(text, ' ')) AS w FROM documents) WHERE w <> '' GROUP BY 1""",
 )
 def ci_key_groups(spark, sf):
     words = table(spark, sf, "documents").select(F.explode(F.split("text", " ")).alias("w"))
-    short = words.filter((F.col("w") != "") & (F.char_length("w") <= 3))
-    return short.groupBy(text.ci_key(F.col("w")).alias("word_key")).agg(F.count(F.lit(1)).alias("n"))
+    return words.filter(F.col("w") != "").groupBy(text.ci_key(F.col("w")).alias("word_key")).agg(F.count(F.lit(1)).alias("n"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalodge.functions import labels, urls
 from catalodge.functions.rules import assessment_class
 from catalodge.operators import ordered, quality, registry, rollup
+from catalodge.plans import views
 from catalodge.queries.registry import query, table
 from catalodge.queries.relational import PAGES_SQL, mapped, registry_pages, school_programs, sql_map
 from catalodge.sinks import export
@@ -289,7 +290,7 @@ def school_task_order(spark, sf):
     counted = table(spark, sf, "documents").groupBy(F.col("source").alias("school")).agg(
         n_rows().alias("n"), F.min("doc_id").alias("first_seen")
     )
-    return ordered.number_rows(counted, [], ["first_seen"], "place", F.floor(F.col("first_seen") / 1000000))
+    return ordered.number_all(counted, ["first_seen"], "place")
 
 
 @query(
@@ -325,9 +326,10 @@ def exam_weight(spark, sf):
 FROM lineitem GROUP BY 1, 2""",
 )
 def plan_credits(spark, sf):
-    return table(spark, sf, "lineitem").groupBy(
-        F.col("l_orderkey").alias("plan_id"), F.col("l_linenumber").alias("term")
-    ).agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("credits"), n_rows().alias("n_items"))
+    items = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("plan_id"), F.col("l_linenumber").alias("term"), F.col("l_quantity").alias("credits")
+    )
+    return views.plan_credits(items)
 
 
 @query(
@@ -336,10 +338,8 @@ def plan_credits(spark, sf):
 LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""",
 )
 def plan_nonempty(spark, sf):
-    counts = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(n_rows().alias("n"))
-    return table(spark, sf, "orders").join(counts, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
-        F.col("o_orderkey").alias("plan_id"), F.coalesce("n", F.lit(0)).alias("n_items"), F.col("n").isNotNull().alias("loaded")
-    )
+    items = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("plan_id"))
+    return views.plan_sizes(table(spark, sf, "orders").select(F.col("o_orderkey").alias("plan_id")), items)
 
 
 @query(
@@ -369,10 +369,8 @@ def contents_by_type(spark, sf):
 FROM events ORDER BY ts DESC, event_id DESC LIMIT 8""",
 )
 def recent_changes_top8(spark, sf):
-    newest = table(spark, sf, "events").orderBy(F.desc("ts"), F.desc("event_id")).limit(8)
-    place = F.row_number().over(ordered.Window.orderBy(F.desc("ts"), F.desc("event_id")))
-    change = F.concat_ws(" → ", F.substring("props", 1, 21), F.substring("event_type", 1, 21))
-    return newest.select("event_id", "user_id", change.alias("change"), place.cast("long").alias("place"))
+    log = table(spark, sf, "events").select("event_id", "user_id", "ts", F.col("props").alias("old_value"), F.col("event_type").alias("new_value"))
+    return views.recent_changes(log, ["ts", "event_id"]).select("event_id", "user_id", "change", "place")
 
 
 @query(
@@ -384,19 +382,15 @@ FROM d WHERE t >= TIMESTAMP '1998-01-01' ORDER BY t, kind, a, b, c LIMIT 15""",
 )
 def next_deadlines_top15(spark, sf):
     school = table(spark, sf, "orders").select(
-        F.col("o_orderdate").alias("t"), F.lit("school").alias("kind"), F.col("o_orderkey").alias("a"),
-        F.lit(0).cast("long").alias("b"), F.lit(0).alias("c"),
+        F.col("o_orderdate").alias("t"), F.col("o_orderkey").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0).alias("c"),
     )
     program = table(spark, sf, "lineitem").select(
-        F.col("l_shipdate").alias("t"), F.lit("program").alias("kind"), F.col("l_orderkey").alias("a"),
-        F.col("l_partkey").alias("b"), F.col("l_linenumber").alias("c"),
+        F.col("l_shipdate").alias("t"), F.col("l_orderkey").alias("a"), F.col("l_partkey").alias("b"), F.col("l_linenumber").alias("c"),
     )
-    future = school.unionByName(program).filter(F.col("t") >= F.lit("1998-01-01").cast("timestamp_ntz"))
-    order = ["t", "kind", "a", "b", "c"]
-    top = future.orderBy(*order).limit(15)
+    both = views.all_deadlines(school, program)
+    top = views.next_deadlines(both, F.lit("1998-01-01").cast("timestamp_ntz"), ["t", "kind", "a", "b", "c"])
     return top.select(
-        "kind", F.date_format("t", "yyyy-MM-dd").alias("deadline"), F.col("a").alias("owner"), F.col("b").alias("part_id"),
-        F.row_number().over(ordered.Window.orderBy(*order)).cast("long").alias("place"),
+        "kind", F.date_format("t", "yyyy-MM-dd").alias("deadline"), F.col("a").alias("owner"), F.col("b").alias("part_id"), "place"
     )
 
 
@@ -406,11 +400,9 @@ def next_deadlines_top15(spark, sf):
  min(ts) FILTER (ts >= TIMESTAMP '2024-01-15') IS NOT NULL AS is_open FROM events GROUP BY 1""",
 )
 def nearest_deadline(spark, sf):
-    future = F.min(F.when(F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz"), F.col("ts")))
-    return table(spark, sf, "events").groupBy(F.col("user_id").alias("program_id")).agg(
-        F.date_format(F.coalesce(future, F.max("ts")), "yyyy-MM-dd HH:mm:ss").alias("deadline"),
-        future.isNotNull().alias("is_open"),
-    )
+    deadlines = table(spark, sf, "events").select(F.col("user_id").alias("program_id"), "ts")
+    found = views.nearest_deadlines(deadlines, "program_id", "ts", F.lit("2024-01-15").cast("timestamp_ntz"))
+    return found.withColumn("deadline", F.date_format("deadline", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query(
@@ -420,14 +412,9 @@ FROM ({PAGES_SQL})""",
 )
 def export_order(spark, sf):
     pages = registry_pages(spark, sf).select(
-        "university_id", "id", "category",
-        F.when(F.col("status") == "dead", 0).otherwise(1).alias("alive"),
-        F.when(F.col("last_fetched_at").isNotNull(), 0).otherwise(1).alias("unnoted"),
+        "university_id", "id", "category", "status", F.when(F.col("last_fetched_at").isNotNull(), "noted").alias("note")
     )
-    order = ["alive", "unnoted", "category", "id"]
-    # The order columns, ids in ranges, make the bucket: a large school is numbered by several tasks.
-    bucket = F.struct("alive", "unnoted", "category", F.floor(F.col("id") / 100000).alias("id_range"))
-    return ordered.number_rows(pages, ["university_id"], order, "place", bucket).select("university_id", "id", "place")
+    return views.export_order(pages, "source_pages").select("university_id", "id", "place")
 
 
 @query(
@@ -450,11 +437,47 @@ FROM (SELECT p_partkey AS id, CASE WHEN p_type <> 'PROMO' THEN p_name END AS cod
 )
 def code_order_nulls_last(spark, sf):
     parts = table(spark, sf, "part").select(
-        F.col("p_partkey").alias("id"),
-        F.coalesce(F.when(F.col("p_type") != "PROMO", F.col("p_name")), F.lit("zz")).alias("code"),
+        F.col("p_partkey").alias("id"), F.when(F.col("p_type") != "PROMO", F.col("p_name")).alias("code")
     )
-    bucket = F.struct("code", F.floor(F.col("id") / 100000).alias("id_range"))
-    return ordered.number_rows(parts, [], ["code", "id"], "place", bucket).select("id", "place")
+    return views.code_order(parts).select("id", "place")
+
+
+@query(
+    "export_order_units",
+    """SELECT s_nationkey AS university_id, s_suppkey AS id,
+  row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal > 5000, s_suppkey) AS place FROM supplier""",
+)
+def export_order_units(spark, sf):
+    units = table(spark, sf, "supplier").select(
+        F.col("s_nationkey").alias("university_id"), F.col("s_suppkey").alias("id"),
+        F.when(F.col("s_acctbal") > 5000, 1).alias("parent_id"),
+    )
+    return views.export_order(units, "faculties").select("university_id", "id", "place")
+
+
+@query(
+    "export_order_calendar",
+    """SELECT o_custkey AS university_id, o_orderkey AS id, row_number() OVER (PARTITION BY o_custkey ORDER BY
+  CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END NULLS FIRST, o_orderkey) AS place FROM orders""",
+)
+def export_order_calendar(spark, sf):
+    events = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("university_id"), F.col("o_orderkey").alias("id"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate").cast("date")).alias("start_date"),
+    )
+    return views.export_order(events, "calendar_events").select("university_id", "id", "place")
+
+
+@query(
+    "card_order",
+    """WITH c AS (SELECT l_suppkey AS top_id, count(DISTINCT l_orderkey) AS n, count(DISTINCT l_partkey) AS n_modules FROM lineitem GROUP BY 1)
+SELECT *, row_number() OVER (ORDER BY n DESC, n_modules DESC, top_id) AS place FROM c""",
+)
+def card_order(spark, sf):
+    cards = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("top_id")).agg(
+        F.countDistinct("l_orderkey").alias("n"), F.countDistinct("l_partkey").alias("n_modules")
+    )
+    return views.placed_cards(cards)
 
 
 # ---- exports ---------------------------------------------------------------------------------
@@ -525,13 +548,14 @@ FROM (SELECT *, json_extract_string('{"minimum_each": ' || CAST(floor(o_totalpri
   FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)""",
 )
 def band_policy_report(spark, sf):
-    newest = ordered.last_per_key(table(spark, sf, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"])
-    detail = F.concat(F.lit('{"minimum_each": '), F.floor(F.col("o_totalprice") / 1000).cast("string"), F.lit("}"))
-    return newest.select(
-        F.col("o_custkey").alias("school"), F.col("o_orderkey").alias("policy_id"),
-        F.year("o_orderdate").cast("long").alias("entry_year"),
+    policies = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("university_id"), F.col("o_orderkey").alias("policy_id"), "o_orderdate",
         F.regexp_replace("o_orderpriority", r"^\d-", "").alias("label"),
-        F.get_json_object(detail, "$.minimum_each").cast("int").alias("minimum_each"),
+        F.concat(F.lit('{"minimum_each": '), F.floor(F.col("o_totalprice") / 1000).cast("string"), F.lit("}")).alias("detail"),
+    )
+    newest = views.newest_policies(policies, ["o_orderdate", "policy_id"])
+    return newest.select(
+        F.col("university_id").alias("school"), "policy_id", F.year("o_orderdate").cast("long").alias("entry_year"), "label", "minimum_each"
     )
 
 

@@ -23,13 +23,13 @@ def iso(column):
 @query(
     "text_basics",
     r"""SELECT doc_id, length(trim(regexp_replace(text, '[\s]+', ' ', 'g'))) AS n_norm,
-  left(trim(regexp_replace(text, '[\s]+', ' ', 'g')), 40) AS head, CASE WHEN length(text) > 64 THEN left(text, 63) || '…' ELSE text END AS cut
+  md5(trim(regexp_replace(text, '[\s]+', ' ', 'g'))) AS digest, CASE WHEN length(text) > 64 THEN left(text, 63) || '…' ELSE text END AS cut
 FROM documents""",
 )
 def text_basics(spark, sf):
     clean = text.norm_ws(F.col("text"))
     return table(spark, sf, "documents").select(
-        "doc_id", F.char_length(clean).cast("long").alias("n_norm"), F.substring(clean, 1, 40).alias("head"),
+        "doc_id", F.char_length(clean).cast("long").alias("n_norm"), F.md5(clean.cast("binary")).alias("digest"),
         text.truncate(F.col("text"), 64).alias("cut"),
     )
 
