@@ -110,6 +110,7 @@ def apply_outcomes(pages: DataFrame, log: DataFrame, order: Sequence[str], at: s
         F.max_by("kind", F.when(ending, seq)).alias("__status"),
         F.max_by("final_url", F.when(kind == "moved", seq)).alias("__redirect"),
         F.max_by(F.struct("kind", "note"), F.when(kind != "moved", seq)).alias("__last"),
+        F.max(ok).alias("__ok"),
     )
     last = F.col("__last")
     out = pages.join(effects, pages["id"] == effects["page_id"], "left")
@@ -126,17 +127,12 @@ def apply_outcomes(pages: DataFrame, log: DataFrame, order: Sequence[str], at: s
         "status": F.coalesce("__status", "status"),
         "redirect_to": F.coalesce("__redirect", "redirect_to"),
         "failure_note": note,
-        "discovery_note": F.when(ok_seen(last), clean_failure_note(F.col("discovery_note"))).otherwise(
-            F.col("discovery_note")
-        ),
+        # Any ok clears it; a failure after that does not bring it back.
+        "discovery_note": F.when(F.col("__ok"), clean_failure_note(F.col("discovery_note"))).otherwise(F.col("discovery_note")),
     }
     return out.select(*[new[c].alias(c) if c in new else pages[c] for c in pages.columns])
 
 
-def ok_seen(last: Column) -> Column:
-    return F.coalesce(last["kind"] == "ok", F.lit(False))
-
-
 def changed_versions(
     versions: DataFrame,
     page: str,

@@ -17,7 +17,6 @@ from catalodge.functions import dates, fees, rules, urls
 from catalodge.functions.text import blank_to_null, let, norm_ws, window_around
 from catalodge.operators import lookup, ordered
 from catalodge.plans import site_rules
-from catalodge.session import spread
 from catalodge.operators.lines import credit_items
 from catalodge.sources import feeds, html
 from catalodge.sources.config import DEFAULT_ENTRY_YEAR
@@ -122,7 +121,7 @@ def prepared(pages: DataFrame) -> DataFrame:
     What a job does not use is pruned from its plan.
     """
     page = F.col("html")
-    return spread(pages, "page_id").withColumn("html", html.page_string(page)).withColumns(
+    return pages.withColumn("html", html.page_string(page)).withColumns(
         {
             "text": html.page_text(page),
             "h1": html.first_heading(page),
@@ -208,7 +207,7 @@ def discover(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     Within a page each URL counts once, at its first position. Links to the page itself are dropped.
     """
     ruled = with_rules(
-        spread(pages, "page_id").withColumn("html", html.page_string(F.col("html"))), rules_table, "html", shape=True
+        pages.withColumn("html", html.page_string(F.col("html"))), rules_table, "html", shape=True
     )
     found = ruled.select(
         "page_id", "school", "rule_no", "source", "target_re", "exclude_re", "to_category", "template", "careers", "fixed_title",
@@ -440,7 +439,7 @@ def module_records(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
 def module_links(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     """Modules a page names: page_id, school, pos, name, code, url, module_type; first per code or name."""
     ruled = with_rules(
-        spread(pages, "page_id").withColumn("html", html.page_string(F.col("html"))), rules_table, "html", shape=True
+        pages.withColumn("html", html.page_string(F.col("html"))), rules_table, "html", shape=True
     )
     page, nothing = F.col("html"), F.lit(None).cast("string")
     scopes = F.when(F.col("scope_re").isNull(), F.array(page)).otherwise(

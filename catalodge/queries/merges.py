@@ -282,12 +282,12 @@ def full_registry(spark, sf):
 f AS (SELECT user_id, max(ts) FILTER (kind <> 'error') AS fetched, max(ts) FILTER (kind = 'ok') AS changed,
   max_by(h, (ts, event_id)) FILTER (kind = 'ok') AS h, max_by(kind, (ts, event_id)) FILTER (kind IN ('dead', 'moved')) AS st,
   max_by(event_id, (ts, event_id)) FILTER (kind = 'moved') AS mv, max_by(kind, (ts, event_id)) FILTER (kind <> 'moved') AS lk,
-  max_by(event_id, (ts, event_id)) FILTER (kind <> 'moved') AS le FROM e GROUP BY 1)
+  max_by(event_id, (ts, event_id)) FILTER (kind <> 'moved') AS le, bool_or(kind = 'ok') AS any_ok FROM e GROUP BY 1)
 SELECT c_custkey AS id, coalesce(st, 'active') AS status, coalesce(strftime(fetched, '%Y-%m-%d %H:%M:%S'), '-') AS fetched,
  coalesce(strftime(changed, '%Y-%m-%d %H:%M:%S'), '-') AS changed, coalesce(h, '-') AS last_content_hash,
  coalesce('https://moved/' || mv, '-') AS redirect_to,
  coalesce(CASE WHEN lk IS NULL THEN 'timeout old' WHEN lk = 'dead' THEN '404' WHEN lk = 'ok' THEN NULL ELSE 'timeout ' || le END, '-') AS failure_note,
- coalesce(CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN CASE WHEN lk = 'ok' THEN NULL ELSE 'timeout 1' END ELSE 'Faculty of X' END, '-') AS discovery_note
+ coalesce(CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN CASE WHEN any_ok THEN NULL ELSE 'timeout 1' END ELSE 'Faculty of X' END, '-') AS discovery_note
 FROM customer LEFT JOIN f ON f.user_id = c_custkey""",
 )
 def state_machine(spark, sf):

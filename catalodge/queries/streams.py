@@ -16,22 +16,37 @@ from catalodge.streaming.jobs import DeltaTable
 EVENTS = ["ts", "event_id"]
 
 
-def stream_of(spark, sf, name):
-    schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parque[t]")
+SLICES = 3
+
+
+def in_slices(spark, sf, name, at, base, run):
+    """Feed a table to a stream in time slices: each slice is appended to its folder, then the job runs on what is new."""
+    rows = table(spark, sf, name)
+    low, high = rows.agg(F.min(at), F.max(at)).first()
+    for k in range(SLICES):
+        begin, end = (low + (high - low) * (k + d) / SLICES for d in (0, 1))
+        kept = (F.col(at) >= F.lit(begin)) & (F.lit(k == SLICES - 1) | (F.col(at) < F.lit(end)))
+        # Rows without a time come first, as they do in the order of the batch job.
+        kept = kept | F.col(at).isNull() if k == 0 else kept
+        rows.filter(kept).write.mode("append").parquet(f"{base}/input")
+        run(spark.readStream.schema(rows.schema).parquet(f"{base}/input"))
 
 
 def run_dir(spark, name):
     return f"{shared_dir(spark, 'streams')}/{name}-{uuid.uuid4().hex}"
 
 
-def run_changes(spark, sf, stream):
+def run_changes(spark, sf):
     base = run_dir(spark, "changes")
-    versions = stream.select("user_id", *EVENTS, F.sha2("props", 256).alias("content_hash"))
     state = DeltaTable(f"{base}/state", ("user_id",), "user_id BIGINT, last_hash STRING")
-    jobs.change_stream(
-        versions, "user_id", EVENTS, "content_hash", state, f"{base}/out", f"{base}/checkpoint", F.to_date("ts")
-    ).awaitTermination()
+
+    def run(stream):
+        versions = stream.select("user_id", *EVENTS, F.sha2("props", 256).alias("content_hash"))
+        jobs.change_stream(
+            versions, "user_id", EVENTS, "content_hash", state, f"{base}/out", f"{base}/checkpoint", F.to_date("ts")
+        ).awaitTermination()
+
+    in_slices(spark, sf, "events", "ts", base, run)
     out = jobs.read_batches(spark, f"{base}/out", "user_id BIGINT, ts TIMESTAMP_NTZ, event_id BIGINT, content_hash STRING")
     return out.select("event_id", "user_id", "content_hash")
 
@@ -42,7 +57,7 @@ from catalodge.queries import sequences  # noqa: E402, F401
 
 @query("stream_change", registry.ORACLE["hash_change_detection"])
 def stream_change(spark, sf):
-    return run_changes(spark, sf, stream_of(spark, sf, "events"))
+    return run_changes(spark, sf)
 
 
 @query("stream_state", registry.ORACLE["state_machine"])
@@ -51,10 +66,12 @@ def stream_state(spark, sf):
     initial = full_registry(spark, sf)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in initial.schema)
     state = DeltaTable(f"{base}/state", ("id",), schema)
-    log = fetch_log(spark, sf, stream_of(spark, sf, "events"))
-    jobs.outcome_stream(log, initial, EVENTS, state, f"{base}/checkpoint").awaitTermination()
-    # One run over one file is one batch; later batches continue from it.
-    latest = state.read(spark, before=1)
+
+    def run(stream):
+        jobs.outcome_stream(fetch_log(spark, sf, stream), initial, EVENTS, state, f"{base}/checkpoint").awaitTermination()
+
+    in_slices(spark, sf, "events", "ts", base, run)
+    latest = state.latest(spark)
     pages = latest.unionByName(initial.join(latest.select("id"), "id", "left_anti"))
     return pages.select(
         "id", "status", F.date_format("last_fetched_at", "yyyy-MM-dd HH:mm:ss").alias("fetched"),
@@ -72,11 +89,15 @@ SELECT program_id, field_name, o AS old_value, v AS new_value, o_orderkey FROM l
 )
 def stream_upsert(spark, sf):
     base = run_dir(spark, "upsert")
-    records = merges.records(spark, sf, stream_of(spark, sf, "orders"))
     state = DeltaTable(f"{base}/state", ("program_id",), "program_id BIGINT, tuition INT, priority STRING, status STRING")
-    jobs.upsert_stream(
-        records, CUSTOMER, merges.ORDER, state, f"{base}/log", f"{base}/checkpoint", merges.month()
-    ).awaitTermination()
+
+    def run(stream):
+        records = merges.records(spark, sf, stream)
+        jobs.upsert_stream(
+            records, CUSTOMER, merges.ORDER, state, f"{base}/log", f"{base}/checkpoint", merges.month()
+        ).awaitTermination()
+
+    in_slices(spark, sf, "orders", "o_orderdate", base, run)
     log = jobs.read_batches(
         spark, f"{base}/log",
         "program_id BIGINT, entity_type STRING, change_type STRING, field_name STRING, old_value STRING, new_value STRING,"
@@ -88,7 +109,7 @@ def stream_upsert(spark, sf):
 @query("replay_equals_stream", f"SELECT count(*) AS n_changes, 0 AS n_different FROM ({registry.ORACLE['hash_change_detection']})")
 def replay_equals_stream(spark, sf):
     """Changes found by the stream against those of the batch job on the same data."""
-    streamed = run_changes(spark, sf, stream_of(spark, sf, "events"))
+    streamed = run_changes(spark, sf)
     replayed = registry.QUERIES["hash_change_detection"](spark, sf)
     both = streamed.withColumn("side", F.lit(1)).unionByName(replayed.withColumn("side", F.lit(-1)))
     sums = both.groupBy("event_id", "content_hash").agg(F.sum("side").alias("balance"), F.max("side").alias("top"))

@@ -21,6 +21,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
+        # One small file of pages still gives work to every core.
+        .config("spark.sql.files.minPartitionNum", str(cores) if str(cores).isdigit() else "8")
+        .config("spark.sql.files.openCostInBytes", "262144")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -35,10 +38,14 @@ def _test_dir() -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder under the one the cluster shares between executors.
 
-    The session names it in ``spark.checkpoint.dir``. Only where that is unset,
-    as in tests, a local temporary folder stands in.
+    The session names it in ``spark.checkpoint.dir``. Where that is unset, a session on
+    one machine, as in tests, gets a temporary folder; on a cluster that is an error, for
+    executors would not see each other's files.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _test_dir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.conf.get("spark.master", "").startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    root = root or _test_dir()
     return os.path.join(root, name) if "://" not in root else f"{root.rstrip('/')}/{name}"
 
 
@@ -51,13 +58,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession, 'stages')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows spread over the cores when the input has fewer partitions than there are cores.
-
-    Cutting pages is work for the processor, and one small file is one partition. Large
-    inputs already come in many partitions and are left alone, without a shuffle.
-    """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df

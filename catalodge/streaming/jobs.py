@@ -46,6 +46,11 @@ class DeltaTable:
             rows = rows.unionByName(part)
         return ordered.last_per_key(rows, list(self.keys), ["__batch"]).drop("__batch")
 
+    def latest(self, spark: SparkSession) -> DataFrame:
+        """State left by all batches so far; the folders name them."""
+        newest = spark.read.schema(f"{self.schema}, batch INT").parquet(self.path).agg(F.max("batch")).first()[0]
+        return self.read(spark, 0 if newest is None else newest + 1)
+
     def write(self, batch_id: int, touched: DataFrame) -> None:
         """Store the touched rows; every ``full_every`` batches also carry over all untouched ones."""
         rows = touched
