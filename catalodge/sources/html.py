@@ -8,7 +8,7 @@ by the size of that page.
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +27,11 @@ TABLE_RE = r"(?is)<table\b[^>]*>.*?</table\s*>"
 ROW_RE = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\s*>|<tr\b|</table\b|\z)"
 CELL_RE = r"(?is)<t[dh]\b[^>]*>(.*?)(?=</t[dh]\s*>|<t[dh]\b|</tr\b|\z)"
 PAIR_RE = r"(?is)<dt\b[^>]*>(.*?)</dt\s*>\s*<dd\b[^>]*>(.*?)</dd\s*>"
-ENTITY_RE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+# Names that count without their semicolon as well, the longest first; and what browsers read 128 to 159 as.
+OPEN_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+ENTITY_RE = rf"&(#[0-9]{{1,7}};?|#[xX][0-9a-fA-F]{{1,6}};?|[A-Za-z][A-Za-z0-9]{{1,31}};|{'|'.join(OPEN_NAMES)})"
+COMMON = ("nbsp;", "amp;", "lt;", "gt;", "quot;", "apos;", "pound;", "ndash;", "rsquo;")
+WINDOWS = {c: bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(128, 160)}
 
 
 def page_string(raw: Column) -> Column:
@@ -37,43 +41,40 @@ def page_string(raw: Column) -> Column:
 
 def _named_entities() -> Column:
     """The standard named characters, straight from the language's own table, as one map literal."""
-    pairs = [f"{name}\u0002{chr(code)}" for name, code in name2codepoint.items()] + ["apos\u0002'"]
+    pairs = [f"{name}\u0002{chars}" for name, chars in html5.items()]
     return F.str_to_map(F.lit("\u0003".join(pairs)), F.lit("\u0003"), F.lit("\u0002"))
 
 
 def _decoded(entity: Column) -> Column:
-    """The character an entity like '&pound;' or '&#163;' stands for, else the entity itself."""
+    """The characters a reference like '&pound;' or '&#163;' stands for, else the reference itself."""
+
+    def of_code(code: Column) -> Column:
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        return F.translate(F.when(valid, char).otherwise("\ufffd"), "".join(map(chr, WINDOWS)), "".join(WINDOWS.values()))
 
     def of_body(body: Column) -> Column:
-        digits = F.when(
-            F.lower(F.substring(body, 1, 2)) == "#x", F.conv(F.substring(body, 3, 8), 16, 10)
-        ).otherwise(F.substring(body, 2, 9))
-        char = let(
-            digits.try_cast("int"),
-            lambda code: F.when(
-                code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF),
-                F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"),
-            ),
+        bare = F.rtrim(body, F.lit(";"))
+        digits = F.when(F.lower(F.substring(bare, 1, 2)) == "#x", F.conv(F.substring(bare, 3, 8), 16, 10)).otherwise(
+            F.substring(bare, 2, 9)
         )
-        return F.when(body.startswith("#"), char).otherwise(F.try_element_at(_named_entities(), body))
+        named = F.when(body == COMMON[0], html5[COMMON[0]])
+        for name in COMMON[1:]:
+            named = named.when(body == name, html5[name])
+        named = named.otherwise(F.try_element_at(_named_entities(), body))
+        return F.when(body.startswith("#"), let(digits.try_cast("int"), of_code)).otherwise(named)
 
-    return F.coalesce(let(F.regexp_extract(entity, ENTITY_RE, 1), of_body), entity)
+    return F.coalesce(let(F.substring(entity, 2, 40), of_body), entity)
 
 
 def unescape(text: Column) -> Column:
-    """Decode character references. '&amp;' goes last so that nothing is decoded twice."""
-
-    def is_amp(entity: Column) -> Column:
-        return entity.isin("&amp;", "&AMP;", "&#38;", "&#x26;", "&#X26;")
+    """Decode character references in one pass from left to right, so that nothing is decoded twice."""
 
     def decode_all(body: Column) -> Column:
-        found = let(
-            F.array_distinct(F.regexp_extract_all(body, F.lit(ENTITY_RE), F.lit(0))),
-            lambda e: F.concat(F.filter(e, lambda x: ~is_amp(x)), F.filter(e, is_amp)),
-        )
-        return F.when(
-            body.contains("&"), F.aggregate(found, body, lambda out, e: F.replace(out, e, _decoded(e)))
-        ).otherwise(body)
+        between = F.split(body, ENTITY_RE, -1)
+        found = F.transform(F.regexp_extract_all(body, F.lit(ENTITY_RE), F.lit(0)), _decoded)
+        joined = F.zip_with(between, found, lambda part, char: F.concat(part, F.coalesce(char, F.lit(""))))
+        return F.when(body.contains("&"), F.array_join(joined, "")).otherwise(body)
 
     return let(text, decode_all)
 
@@ -258,7 +259,7 @@ def page_cells(pages: DataFrame, *keep: str, html: str = "html") -> DataFrame:
 
 
 def section_text(html: Column, heading_re: Column, stop_re: Column, limit: int = 800) -> Column:
-    """Paragraph, list and cell text behind a matching heading up to the next heading, cut to ``limit``.
+    """Paragraph, list and cell text behind a matching heading up to the next one of level 2 to 4, cut to ``limit``.
 
     Without such a heading, the text lines behind a line that ends in the pattern
     count, up to the stop pattern or, without one, to a short capitalised line.
@@ -272,13 +273,28 @@ def section_text(html: Column, heading_re: Column, stop_re: Column, limit: int =
         parts = F.transform(all_matches(section, body_re), lambda b: inner_text(F.regexp_extract(b, body_re, 2)))
         return F.array_join(F.filter(parts, lambda p: p != ""), " ")
 
-    hits = F.filter(sections, lambda s: F.regexp_like(heading_of(s), F.concat(flag, heading_re)))
-    under_heading = blank_to_null(F.substring(body_of(F.get(hits, F.lit(0))), 1, limit))
+    def ends(section: Column, parts: Column) -> Column:
+        """Headings of level 2 to 4 end the text; before any text only those in the stop pattern do, if there is one."""
+        stops = stop_re.isNull() | (F.size(parts) > 0) | F.coalesce(F.regexp_like(heading_of(section), F.concat(flag, stop_re)), F.lit(False))
+        return section.rlike(r"(?i)^<h[2-4]\b") & stops
+
+    def add(state: Column, section: Column) -> Column:
+        own = F.regexp_like(heading_of(section), F.concat(flag, heading_re))
+        opened = state["at"] == 0
+        closed = (state["at"] == 2) | ((state["at"] == 1) & ends(section, state["parts"]))
+        at = F.when(opened, F.when(own, 1).otherwise(0)).when(closed, 2).otherwise(1)
+        return let(
+            at, lambda now: F.struct(now.alias("at"), F.when(now == 1, F.concat(state["parts"], F.array(body_of(section)))).otherwise(state["parts"]).alias("parts"))
+        )
+
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    behind = F.aggregate(sections, empty, add, lambda state: F.filter(state["parts"], lambda p: p != ""))
+    under_heading = blank_to_null(F.substring(F.array_join(behind, " "), 1, limit))
     text = page_text(html)
-    ends = F.coalesce(
+    end_re = F.coalesce(
         F.concat(F.lit(r"(?=\n(?:"), stop_re, F.lit(r")|\z)")),
         F.lit(r"(?:\n(?-i:[A-Z])[^\n]{2,80}\n|\z)"),
     )
-    pattern = F.concat(F.lit("(?is)(?:"), heading_re, F.lit(rf")\s*\n(.{{20,{limit}}}?)"), ends)
+    pattern = F.concat(F.lit("(?is)(?:"), heading_re, F.lit(rf")\s*\n(.{{20,{limit}}}?)"), end_re)
     after_line = blank_to_null(F.substring(norm_ws(F.call_function("regexp_extract", text, pattern, F.lit(1))), 1, limit))
     return F.coalesce(under_heading, after_line)

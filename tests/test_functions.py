@@ -157,3 +157,23 @@ def test_snapshot_files(spark, tmp_path):
     rows = {r["content_path"].rsplit("/", 1)[1]: r for r in feeds.read_snapshot_files(spark, f"{tmp_path}/*/*/*").collect()}
     assert rows["a.html.gz"]["school"] == "gla" and rows["a.html.gz"]["category"] == "term_dates"
     assert rows["a.html.gz"]["html"] == "<p>x\n� y</p>" and rows["b.html"]["html"] == "<p>plain</p>"
+
+
+def test_character_references_as_browsers_read_them(spark):
+    import html as language
+
+    texts = [
+        "&lbrack;a&rbrack;", "&pound 5 &pound5", "&#146;s &#x80;", "&#038;lt; &lt;", "&amp;amp; &nbsp;x", "&foo; &", "a&b",
+        "&#0; &#xD800;", "&notin; &not", "&copy2024", "&NotEqualTilde;",
+    ]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in frame.select(html.unescape(F.col("t"))).collect()] == [language.unescape(t) for t in texts]
+
+
+def test_section_text_ends_at_headings_of_level_two_to_four(spark):
+    page = "<h2>Entry requirements</h2><h5>UK</h5><p>AAB in three subjects</p><h2>Fees</h2><p>No</p>"
+    staged = "<h2>Entry requirements</h2><h3>Home</h3><p>AAB in three subjects</p><h3>Fees</h3><p>No</p>"
+    frame = spark.createDataFrame([(page, None), (staged, None), (staged, "Fees")], "h string, stop string")
+    found = [r[0] for r in frame.select(html.section_text(F.col("h"), F.lit("Entry requirements"), F.col("stop"))).collect()]
+    # Without text under the heading and without a stop pattern, the lines behind it count.
+    assert found == ["AAB in three subjects", "Home AAB in three subjects", "AAB in three subjects"]
