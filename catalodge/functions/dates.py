@@ -7,24 +7,25 @@ from pyspark.sql import functions as F
 
 from catalodge.functions.text import let, norm_ws
 
-# The date layouts, each with the shape a text must have to be tried. Exact
+# Weekday, money, range and date patterns as the results need them, and the date
+# layouts, each with the shape a text must have to be tried. Exact
 # shapes matter for speed too: a failed parse costs an exception per row.
 MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
 SHORT_MONTHS = "Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec"
 DATE_LAYOUTS = (
-    (rf"(?i)^[0-9]{{1,2}} (?:{MONTHS}) [0-9]{{4}}$", "d MMMM yyyy"),
-    (rf"(?i)^[0-9]{{1,2}} (?:{SHORT_MONTHS}) [0-9]{{4}}$", "d MMM yyyy"),
-    (rf"(?i)^(?:{MONTHS}) [0-9]{{1,2}}, [0-9]{{4}}$", "MMMM d, yyyy"),
-    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "d/M/yyyy"),
-    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "yyyy-M-d"),
+    (rf"(?i)^\d{{1,2}} (?:{MONTHS}) \d{{4}}$", "d MMMM yyyy"),
+    (rf"(?i)^\d{{1,2}} (?:{SHORT_MONTHS}) \d{{4}}$", "d MMM yyyy"),
+    (rf"(?i)^(?:{MONTHS}) \d{{1,2}}, \d{{4}}$", "MMMM d, yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
 )
 WEEKDAY_RE = r"(?:Mon|Tues|Wednes|Thurs|Fri|Satur|Sun)day"
-MONEY_RE = r"£\s*([0-9,]+(?:\.[0-9]{1,2})?)"
+MONEY_RE = r"£\s*([\d,]+(?:\.\d{1,2})?)"
 RANGE_RE = (
-    r"(?i)([0-9]{1,2})(?:\s+([A-Za-z]+))?(?:\s+(20[0-9]{2}))?\s*(?:-|to)\s*"
-    r"([0-9]{1,2})\s+([A-Za-z]+)\s+(20[0-9]{2})"
+    r"(?i)(\d{1,2})(?:\s+([A-Za-z]+))?(?:\s+(20\d{2}))?\s*(?:-|to)\s*"
+    r"(\d{1,2})\s+([A-Za-z]+)\s+(20\d{2})"
 )
-FULL_DATE_RE = r"\b[0-9]{1,2}\s+[A-Za-z]+\s+20[0-9]{2}\b"
+FULL_DATE_RE = r"\b\d{1,2}\s+[A-Za-z]+\s+20\d{2}\b"
 
 
 def parse_date(text: Column) -> Column:
@@ -41,7 +42,7 @@ def parse_date(text: Column) -> Column:
 def loose_date(text: Column) -> Column:
     """Like parse_date, after a leading weekday and ordinal suffixes are dropped."""
     clean = F.regexp_replace(norm_ws(text), rf"(?i)^{WEEKDAY_RE},?\s+", "")
-    return parse_date(F.regexp_replace(clean, r"(?i)([0-9])(?:st|nd|rd|th)\b", "$1"))
+    return parse_date(F.regexp_replace(clean, r"(?i)(\d)(?:st|nd|rd|th)\b", "$1"))
 
 
 def date_range(text: Column) -> Column:
@@ -53,7 +54,7 @@ def date_range(text: Column) -> Column:
     clean = norm_ws(F.translate(F.coalesce(text, F.lit("")), "–—", "--"))
     clean = F.regexp_replace(clean, r"\([^)]*\)", "")
     clean = F.regexp_replace(clean, rf"(?i)\b{WEEKDAY_RE},?\s+", "")
-    clean = F.regexp_replace(clean, r"(?i)\b([0-9]{1,2})(?:st|nd|rd|th)\b", "$1")
+    clean = F.regexp_replace(clean, r"(?i)\b(\d{1,2})(?:st|nd|rd|th)\b", "$1")
 
     def ends(body: Column) -> Column:
         def part(group: int) -> Column:

@@ -44,7 +44,8 @@ def fee_near(text: Column, labels: Column) -> Column:
         return F.when(line.contains("£"), F.when(named, _plausible(money(line), context)))
 
     def first_mention(label: Column) -> Column:
-        pattern = literal(label, r"[^£]{0,220}£\s*[0-9,]+(?:\.[0-9]{1,2})?")
+        # Fixed value: how far behind a label its fee may stand.
+        pattern = literal(label, r"[^£]{0,220}£\s*[\d,]+(?:\.\d{1,2})?")
         hit = F.call_function("regexp_extract", body, pattern, F.lit(0))
         return _plausible(money(hit), hit)
 

@@ -184,8 +184,9 @@ def replace_phrases(text: Column, phrases: Sequence[tuple[str, str]], whole_word
 def calendar_zh(name: Column) -> Column:
     """Translate a calendar event name; NULL unless at most two English words are left."""
     out = replace_phrases(name, CALENDAR_PHRASES)
-    out = F.regexp_replace(out, r"\b[Tt]([0-9])([A-C]?)\b", "T$1$2")
-    out = F.regexp_replace(out, r"学期 ([0-9])", "第$1学期")
+    # Term numbers.
+    out = F.regexp_replace(out, r"\b[Tt](\d)([A-C]?)\b", "T$1$2")
+    out = F.regexp_replace(out, r"学期 (\d)", "第$1学期")
     out = F.trim(F.regexp_replace(out, r"\s+", " "))
     return let(
         out, lambda t: F.when(t.rlike(HAN_RE) & (F.regexp_count(t, F.lit("[A-Za-z]{3,}")) <= 2), t)

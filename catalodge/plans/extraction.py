@@ -8,7 +8,6 @@ only extracted values are.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -701,6 +700,3 @@ def scoped_names(names: DataFrame) -> DataFrame:
             )
         ).alias("names")
     )
-
-
-ALL_FIELDS: Sequence[str] = sorted({entry[0] for entries in site_rules.FIELDS.values() for entry in entries})

@@ -284,11 +284,11 @@ def section_text(html: Column, heading_re: Column, stop_re: Column, limit: int =
         closed = (state["at"] == 2) | ((state["at"] == 1) & ends(section, state["parts"]))
         at = F.when(opened, F.when(own, 1).otherwise(0)).when(closed, 2).otherwise(1)
         return let(
-            at, lambda now: F.struct(now.alias("at"), F.when(now == 1, F.concat(state["parts"], F.array(body_of(section)))).otherwise(state["parts"]).alias("parts"))
+            at, lambda now: F.struct(now.alias("at"), F.when(now == 1, F.concat(state["parts"], F.filter(F.array(body_of(section)), lambda p: p != ""))).otherwise(state["parts"]).alias("parts"))
         )
 
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    behind = F.aggregate(sections, empty, add, lambda state: F.filter(state["parts"], lambda p: p != ""))
+    behind = F.aggregate(sections, empty, add, lambda state: state["parts"])
     under_heading = blank_to_null(F.substring(F.array_join(behind, " "), 1, limit))
     text = page_text(html)
     end_re = F.coalesce(
