@@ -30,6 +30,20 @@ def active_tasks(pages: DataFrame, school: str | None = None, category: str | No
     return out
 
 
+def with_schools(pages: DataFrame, schools: DataFrame) -> DataFrame:
+    """Pages with ``uni_code`` and the Chinese name of their school; pages of unknown schools are no tasks.
+
+    ``schools`` (university_id, code, name_zh) has one row for each school.
+    """
+    named = schools.select("university_id", F.col("code").alias("uni_code"), F.col("name_zh").alias("uni_name_zh"))
+    return pages.join(named, "university_id")
+
+
+def school_tasks(pages: DataFrame, schools: DataFrame, school: str | None = None, category: str | None = None) -> DataFrame:
+    """The tasks of ``active_tasks`` with their school."""
+    return active_tasks(with_schools(pages, schools), school, category)
+
+
 def period_days(frequency: Column) -> Column:
     chain = None
     for name, days in FREQUENCY_DAYS.items():

@@ -20,6 +20,7 @@ from catalodge.session import materialize
 
 PAGE_KEYS = ["page_id", "university_id", "school", "category", "url"]
 ORDER = ["page_id", "pos"]
+PAGE_RANGE = 10_000
 
 
 @dataclass(frozen=True)
@@ -76,15 +77,17 @@ def load(
     ``config`` holds overrides (slug, forced), aliases (dept, official), chinese (faculty, faculty_zh).
     """
     found = extract_all(spark, pages, names)
+    # Folds window inside ranges of pages, so a key that many pages name is not one task.
+    bucket = F.floor(F.col("page_id") / PAGE_RANGE)
     owner = pages.select("page_id", "university_id", "discovery_note")
     at = fetched_at.alias("fetched_at")
 
     programs = found.programs.join(owner, "page_id").withColumns({"pos": F.lit(0), "slug": urls.last_segment(F.col("url"))})
     programs = programs.withColumn("dept", F.coalesce("dept", "faculty")).drop("faculty").withColumnRenamed("discovery_note", "note")
     programs = entities.resolve_faculty(programs, config["overrides"], config["aliases"], config["chinese"]).drop("faculty_zh")
-    merged, identified = entities.upsert_programs(tables["programs"], programs, ORDER)
+    merged, identified = entities.upsert_programs(tables["programs"], programs, ORDER, bucket)
     detail_rows = identified.select("*", F.col("page_id").alias("source_page_id"), at)
-    details = entities.upsert_details(tables["program_details"], detail_rows, ORDER)
+    details = entities.upsert_details(tables["program_details"], detail_rows, ORDER, bucket)
 
     modules = found.modules.join(owner, "page_id").select(
         "page_id", F.lit(0).alias("pos"), "university_id", F.lit(entry_year).alias("entry_year"), "code", "name_en",
@@ -99,7 +102,7 @@ def load(
         empty.alias("prerequisites"), empty.alias("assessment"), empty.alias("description"), "url",
         F.col("page_id").alias("source_page_id"), at, "module_type", (F.col("category") == site_rules.DETAIL).alias("of_program"),
     )
-    module_merge, resolved = entities.upsert_modules(tables["modules"], modules.unionByName(listed), ORDER)
+    module_merge, resolved = entities.upsert_modules(tables["modules"], modules.unionByName(listed), ORDER, bucket)
 
     # The bridge names modules by the key that the module table has.
     keyed = identified.select("page_id", "entity_key", "level")
@@ -112,7 +115,7 @@ def load(
     calendar = found.calendar.join(owner, "page_id").select(
         "*", F.xxhash64("start_date", "end_date").alias("pos"), F.col("page_id").alias("source_page_id"), at
     )
-    events = entities.upsert_calendar(tables["calendar_events"], calendar, ORDER)
+    events = entities.upsert_calendar(tables["calendar_events"], calendar, ORDER, bucket)
     deadline_rows = found.deadlines.join(owner, "page_id").join(
         keyed.select("page_id", F.col("entity_key").alias("program_key")), "page_id", "left"
     ).select(
@@ -120,7 +123,7 @@ def load(
         F.lit(None).cast("int").alias("round_no"), "deadline_at", "note", F.col("page_id").alias("source_page_id"), at,
         F.col("deadline_at").alias("log_label"),
     )
-    deadlines = entities.upsert_deadlines(tables["deadlines"], deadline_rows, ORDER)
+    deadlines = entities.upsert_deadlines(tables["deadlines"], deadline_rows, ORDER, bucket)
 
     discovered = found.discovered.join(owner.select("page_id", "university_id"), "page_id")
     new_pages = registry.new_pages(tables["source_pages"], discovered, ["page_id"])

@@ -140,6 +140,18 @@ def due_tasks(spark, sf):
     return tasks.select("id", "category", "crawl_freq", F.coalesce(stamp, F.lit("never")).alias("last_fetched"))
 
 
+@query(
+    "school_tasks",
+    f"""SELECT id, n_name AS uni_code, n_name || '!' AS uni_name_zh FROM ({PAGES_SQL}) JOIN nation ON n_nationkey = university_id
+WHERE n_regionkey <> 4 AND status = 'active' AND fetch_method IN ('html', 'portlet_post', 'cdp') AND category = 'news'""",
+)
+def school_tasks(spark, sf):
+    schools = table(spark, sf, "nation").filter("n_regionkey <> 4").select(
+        F.col("n_nationkey").alias("university_id"), F.col("n_name").alias("code"), F.concat("n_name", F.lit("!")).alias("name_zh")
+    )
+    return registry.school_tasks(registry_pages(spark, sf), schools, category="news").select("id", "uni_code", "uni_name_zh")
+
+
 @query(
     "task_priority_topn",
     f"""SELECT id, category, row_number() OVER (ORDER BY {ORDER_SQL}) AS place FROM ({PAGES_SQL})

@@ -540,6 +540,19 @@ def run_report(spark, sf):
     )
 
 
+@query(
+    "first_changes",
+    """SELECT ts, event_id, '[' || event_type || '] props ' || props || ' -> ' || CAST(user_id AS VARCHAR) AS change
+FROM events ORDER BY ts, event_id LIMIT 20""",
+)
+def first_changes(spark, sf):
+    log = table(spark, sf, "events").select(
+        "ts", "event_id", F.col("event_type").alias("entity_type"), F.lit("props").alias("field_name"),
+        F.col("props").alias("old_value"), F.col("user_id").cast("string").alias("new_value"),
+    )
+    return export.first_changes(log, ["ts", "event_id"])
+
+
 @query(
     "band_policy_report",
     """SELECT o_custkey AS school, o_orderkey AS policy_id, year(o_orderdate) AS entry_year,

@@ -104,6 +104,11 @@ def index_summary(schools: DataFrame, modules: DataFrame, programs: DataFrame, e
     return out.withColumn("has_calendar", F.col("n_events") > 0).drop("n_events", "is_active")
 
 
+def write_index(summary: DataFrame, path: str) -> None:
+    """The index of all schools as one JSON-lines file: a row for each school, so it stays small."""
+    summary.coalesce(1).write.mode("overwrite").json(path)
+
+
 def append_change_log(log: DataFrame, path: str) -> None:
     log.write.mode("append").parquet(path)
 
@@ -130,3 +135,9 @@ def run_report(outcomes: DataFrame, kind: str = "kind", first: int = 10, order:
     counts = outcomes.groupBy(kind).agg(F.count(F.lit(1)).alias("n"))
     failures = outcomes.filter(F.col(kind).isin("failed", "error", "cloudflare")).orderBy(*order).limit(first)
     return counts, failures
+
+
+def first_changes(log: DataFrame, order: Sequence[str], n: int = 20) -> DataFrame:
+    """The first ``n`` changes of a run, as its report lists them."""
+    text = F.concat_ws(" ", F.concat(F.lit("["), "entity_type", F.lit("]")), "field_name", "old_value", F.lit("->"), "new_value")
+    return log.orderBy(*order).limit(n).select(*order, text.alias("change"))
