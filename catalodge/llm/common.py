@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,14 +30,21 @@ def fold(name: str, n: int) -> Column:
     return F.crc32(F.col(name).cast("string").cast("binary")) % n
 
 
-def labelled_sample(rows: DataFrame, label: str, per_class: int, order: Column) -> DataFrame:
-    """At most `per_class` rows of each label value, chosen by a hash order: a bounded training sample.
+def hash_share(key: str, share: float) -> Column:
+    """True for a share of the rows, by a hash of `key`: a sample that each task takes for itself."""
+    return F.pmod(F.xxhash64(key), F.lit(1 << 32)) / (1 << 32) < min(1.0, share)
 
-    The window keeps `per_class` rows of a label in each task before its shuffle, so a
-    frequent label moves no more rows than a rare one.
+
+def labelled_sample(rows: DataFrame, label: str, sizes: dict, per_class: int, key: str) -> DataFrame:
+    """About `per_class` rows of each label value, chosen by a hash of `key`: a bounded training sample.
+
+    `sizes` has the number of rows of each value that is wanted. A value's share of rows is
+    kept in every task, without a shuffle, so no value is gathered in one place.
     """
-    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(label).orderBy(order)))
-    return ranked.where(F.col("_rank") <= per_class).drop("_rank")
+    kept = F.lit(False)
+    for value, n in sizes.items():
+        kept = kept | ((F.col(label) == value) & hash_share(key, per_class / max(1, n)))
+    return rows.where(kept)
 
 
 def column(batch: pa.RecordBatch, name: str) -> list:

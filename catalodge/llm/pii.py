@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalodge.llm.common import column, text_of
+from catalodge.llm.common import column, hash_share, text_of
 from catalodge.llm.crf import best_paths, chains, expected
 
 KINDS = ("email", "ip", "card", "phone")
@@ -279,16 +279,15 @@ def training_windows(texts: list[str], seed: int = 2) -> tuple[np.ndarray, np.nd
 
 
 def train(docs: DataFrame, text: str = "text") -> Network | None:
-    """A network from at most SAMPLE_DOCS documents with a base span candidate, of SAMPLE_CHARS at most.
+    """A network from about SAMPLE_DOCS of the documents that hold a digit or an at sign, of SAMPLE_CHARS at most.
 
-    None if no document has one: then there is nothing to learn from, and only base spans
-    are reported. The candidates are taken in a hash order of their ids.
+    None if none of them has a base span: then there is nothing to learn from, and only
+    base spans are reported. The sample is chosen by a hash of the ids.
     """
     body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(text).alias("body"))
     usable = body.where((F.length("body") <= SAMPLE_CHARS) & F.col("body").rlike("[0-9@]"))
-    chosen = usable.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    rows = usable.join(F.broadcast(chosen.distinct()), "doc_id")
-    texts = [t for _, t in sorted((r["doc_id"], r["body"]) for r in rows.toLocalIterator())]
+    rows = usable.where(hash_share("doc_id", SAMPLE_DOCS / max(1, usable.count())))
+    texts = [t for _, t in sorted((r["doc_id"] or 0, r["body"]) for r in rows.toLocalIterator())]
     if not any(base_spans(t) for t in texts):
         return None
     return train_network(*training_windows(texts))
