@@ -9,6 +9,7 @@ neither text nor ids are shuffled, and a block bounds memory.
 from __future__ import annotations
 
 import operator
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -92,7 +93,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, limit: int = 4096, te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def words(ids: list[int]) -> bytes:
-            return np.array(ids, "<u4").tobytes()
+            return struct.pack(f"<{len(ids)}I", *ids)
 
         cache = PreTokenCache(tokenizer, words, operator.add)
         number = TaskContext.get().partitionId() << 32

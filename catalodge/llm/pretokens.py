@@ -15,9 +15,19 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 from tokenizers import Tokenizer  # noqa: E402
 
-# Letters that the tokenizer's normaliser maps just as str.lower does, then signs that it never joins with letters.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
-WORDS_A_CALL = 512
+# Letters that the tokenizer's normaliser maps just as str.lower does, and signs that it never joins with letters.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'")
+
+
+def _byte_signs() -> list[str]:
+    """The sign that byte-level vocabularies have for each byte: visible Latin-1 signs stand for themselves."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return [chr(b) if b in visible else chr(256 + hidden.index(b)) for b in range(256)]
+
+
+BYTE_SIGNS = _byte_signs()
 
 
 class PreTokenCache:
@@ -27,8 +37,9 @@ class PreTokenCache:
     holds `capacity` entries. Neither changes a result.
     """
 
-    def __init__(self, path: str, value: Callable, join: Callable, frequent: dict | None = None, capacity: int = 300_000):
+    def __init__(self, path: str, value: Callable, join: Callable, frequent: dict | None = None, capacity: int = 400_000):
         self.library = Tokenizer.from_file(path)
+        self.merges = self.library.model.tokenize
         self.value, self.join, self.capacity = value, join, capacity
         self.frequent = frequent or {}
         self.table = dict(self.frequent)
@@ -37,36 +48,31 @@ class PreTokenCache:
 
     def load(self, unseen: Iterable[bytes]) -> None:
         """Add pre-tokens that the table lacks."""
-        plain, other, wanted = [], [], set()
+        words, signs, table = self.words, self.signs, self.table
         for chunk in unseen:
-            text = chunk.decode("utf-8", "replace")
-            match = PLAIN.fullmatch(text)
-            if match:
-                word = match[1].lower()
-                plain.append((chunk, word, match[2]))
-                if word not in self.words:
-                    wanted.add(word)
-                if match[2] and match[2] not in self.signs:
-                    self.signs[match[2]] = self.value(self.library.encode(match[2], add_special_tokens=False).ids)
+            stem = chunk.rstrip(SIGNS)
+            if stem.isalpha():  # ASCII letters
+                word = stem.lower()
+            elif LETTERS.fullmatch(text := stem.decode("utf-8", "replace")):
+                word = text.lower().encode()
             else:
-                other.append((chunk, text))
-        wanted = list(wanted)
-        for at in range(0, len(wanted), WORDS_A_CALL):
-            self._encode(wanted[at : at + WORDS_A_CALL])
-        words, signs, table, join = self.words, self.signs, self.table, self.join
-        for chunk, word, sign in plain:
-            table[chunk] = join(words[word], signs[sign]) if sign else words[word]
-        for chunk, text in other:
-            table[chunk] = self.value(self.library.encode(text, add_special_tokens=False).ids)
-
-    def _encode(self, words: list[str]) -> None:
-        """The values of words of letters only: in one call, each is one pre-token of the library."""
-        found = self.library.encode(" ".join(words), add_special_tokens=False)
-        ids, places, start = found.ids, found.word_ids, 0
-        for i in range(1, len(ids) + 1):
-            if i == len(ids) or places[i] != places[start]:
-                self.words[words[places[start]]] = self.value(ids[start:i])
-                start = i
+                text = chunk.decode("utf-8", "replace")
+                table[chunk] = self.value(self.library.encode(text, add_special_tokens=False).ids)
+                continue
+            sign = chunk[len(stem) :]
+            found = words.get(word)
+            if found is None:
+                found = words[word] = self.value(self._encode(word))
+            if sign:
+                if sign not in signs:
+                    signs[sign] = self.value(self.library.encode(sign.decode(), add_special_tokens=False).ids)
+                found = self.join(found, signs[sign])
+            table[chunk] = found
+
+    def _encode(self, word: bytes) -> list:
+        """The ids of a word of letters only: one pre-token, so the library's merges alone decide."""
+        signs = word.decode() if word.isascii() else "".join(map(BYTE_SIGNS.__getitem__, word))
+        return [token.id for token in self.merges(signs)]
 
     def split(self, texts: list[bytes]) -> list[list[bytes]]:
         """Pre-tokens of each text, all of them in the table afterwards."""
