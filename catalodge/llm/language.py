@@ -185,16 +185,17 @@ class Words(ChunkCodes):
 def train(docs: DataFrame, folds: int = 4, held: int = 2, text: str = "text") -> LanguageModel:
     """A model from the texts and non-null languages of documents whose fold is not `held`.
 
-    At most DOCS_PER_LANGUAGE documents of each of the LANGUAGES most frequent languages,
+    About DOCS_PER_LANGUAGE documents of each of the LANGUAGES most frequent languages,
     of SAMPLE_BYTES at most: longer texts are labelled in full, only not learned from.
     """
     known = docs.select("doc_id", "lang", F.octet_length(utf8(text)).alias("size")).where(
         (fold("doc_id", folds) != held) & F.col("lang").isNotNull()
     )
-    counted = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    usable = known.where((F.col("size") > 0) & (F.col("size") <= SAMPLE_BYTES) & F.col("lang").isin([r["lang"] for r in counted]))
-    chosen = labelled_sample(usable, "lang", DOCS_PER_LANGUAGE, F.xxhash64("doc_id")).select("doc_id", "lang")
-    # At most DOCS_PER_LANGUAGE * LANGUAGES rows of an id and a language.
+    usable = known.where((F.col("size") > 0) & (F.col("size") <= SAMPLE_BYTES))
+    counted = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    sizes = {r["lang"]: r["count"] for r in counted}
+    chosen = labelled_sample(usable, "lang", sizes, DOCS_PER_LANGUAGE, "doc_id").select("doc_id", "lang")
+    # About DOCS_PER_LANGUAGE * LANGUAGES rows of an id and a language.
     rows = docs.select("doc_id", "lang", utf8(text).alias("body")).join(F.broadcast(chosen), ["doc_id", "lang"])
     rows = rows.where(F.octet_length("body") <= SAMPLE_BYTES)
     got = sorted((r["lang"], r["doc_id"], bytes(r["body"])) for r in rows.toLocalIterator())

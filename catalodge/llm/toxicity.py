@@ -22,7 +22,7 @@ from catalodge.llm.common import ChunkCodes, column, fold, in_bites, labelled_sa
 
 # Bounds of the training sample and of the learned lexicon.
 SAMPLE_PER_LABEL = 3000
-SAMPLE_BYTES = 1 << 16
+SAMPLE_BYTES = 1 << 14
 PIECES = 512
 PIECE_LENGTHS = range(4, 9)
 TREES, DEPTH, RATE, BINS, LEAST = 80, 3, 0.15, 32, 8.0
@@ -239,7 +239,7 @@ def fit(texts: list[bytes], labels: np.ndarray, share: float) -> ToxicityModel:
 
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = 5, text: str = "text") -> ToxicityModel:
-    """A model from labelled rows whose fold is not 0: at most SAMPLE_PER_LABEL of each label, of SAMPLE_BYTES at most.
+    """A model from labelled rows whose fold is not 0: about SAMPLE_PER_LABEL of each label, of SAMPLE_BYTES at most.
 
     A null id or label is no labelled row; of an id with several labels the largest counts.
     Longer texts are scored in full, only not learned from.
@@ -247,8 +247,8 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, text: str = "text"
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(fold("doc_id", folds) != 0)
     known = known.groupBy("doc_id").agg((F.max("toxic") == 1).cast("int").alias("label"))
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    chosen = labelled_sample(known, "label", SAMPLE_PER_LABEL, F.xxhash64("doc_id"))
-    # At most SAMPLE_PER_LABEL rows of 12 bytes for each of the two labels.
+    chosen = labelled_sample(known, "label", sizes, SAMPLE_PER_LABEL, "doc_id")
+    # About SAMPLE_PER_LABEL rows of 12 bytes for each of the two labels.
     body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8(text).alias("body"))
     rows = body.where(F.octet_length("body") <= SAMPLE_BYTES).join(F.broadcast(chosen), "doc_id")
     got = sorted((row["doc_id"], row["label"], bytes(row["body"])) for row in rows.toLocalIterator())
