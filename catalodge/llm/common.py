@@ -51,6 +51,13 @@ def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches a few hundred at a time, so that Python holds little text at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def in_bites(values: list, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """(start, end) of runs of byte strings with about `size` bytes each."""
     start = seen = 0

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalodge.llm.common import column, in_bites, text_of, utf8
+from catalodge.llm.common import column, in_bites, slices, text_of, utf8
 
 SEED = 3
 LEAST_SEEDS = 8
@@ -190,7 +190,7 @@ def run_counts(docs: DataFrame, items: Items, text: str) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher, counts = Matcher(items, np.zeros(0, bool), 1.0), np.zeros(len(items.keys), np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             bodies = column(batch, "body")
             for a, b in in_bites(bodies):
                 for codes in matcher.texts(bodies[a:b]):
@@ -230,7 +230,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             items, seed = Items(*held.value[0]), held.value[1]
             matcher = Matcher(items, seed, threshold)
-            for batch in batches:
+            for batch in slices(batches):
                 ids, bodies = column(batch, "doc_id"), column(batch, "body")
                 for a, b in in_bites(bodies):
                     rows = [(ids[a + t], items.ids[i], *rest) for t, i, *rest in matcher.matches(bodies[a:b])]
@@ -253,7 +253,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRE
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(Items(*held.value[0]), held.value[1], threshold)
-            for batch in batches:
+            for batch in slices(batches):
                 bodies = [(body or "").encode("utf-8", "replace") for body in column(batch, text)]
                 clean = np.ones(len(bodies), bool)
                 for a, b in in_bites(bodies):

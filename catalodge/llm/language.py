@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalodge.llm.common import ChunkCodes, column, fold, in_bites, labelled_sample, utf8
+from catalodge.llm.common import ChunkCodes, column, fold, in_bites, labelled_sample, slices, utf8
 from catalodge.llm.crf import chains, expected
 
 # Bounds of the training sample: documents of a language, their bytes, languages, lexicon words of a language.
@@ -212,7 +212,7 @@ def languages(docs: DataFrame, model: LanguageModel, text: str = "text") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(model)
-        for batch in batches:
+        for batch in slices(batches):
             bodies, found = column(batch, "body"), []
             for a, b in in_bites(bodies):
                 codes = [c[c >= 0] for c in words.codes(bodies[a:b])]

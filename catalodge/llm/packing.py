@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalodge.llm.common import column, in_bites, utf8
+from catalodge.llm.common import column, in_bites, slices, utf8
 from catalodge.llm.pretokens import PreTokenCache
 
 # Multiply-adds of the dense layers and of attention for each token, as a ratio.
@@ -98,7 +98,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, limit: int = 4096, te
         cache = PreTokenCache(tokenizer, words, operator.add)
         number = TaskContext.get().partitionId() << 32
         ids, tokens, held = [], [], 0
-        for batch in batches:
+        for batch in slices(batches):
             doc_ids, bodies = column(batch, "doc_id"), column(batch, "body")
             for start, stop in in_bites(bodies):
                 split = cache.split(bodies[start:stop])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalodge.llm.common import column, hash_share, text_of
+from catalodge.llm.common import column, hash_share, slices, text_of
 from catalodge.llm.crf import best_paths, chains, expected
 
 KINDS = ("email", "ip", "card", "phone")
@@ -409,7 +409,7 @@ def personal_data(docs: DataFrame, net: Network | None, text: str = "text") -> D
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts, rows = column(batch, "body"), []
             for at in range(0, len(texts), 256):
                 for own, every in all_spans(net, texts[at : at + 256]):

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalodge.llm.common import column, utf8
+from catalodge.llm.common import column, slices, utf8
 from catalodge.operators.graph import component_roots, hot_lookup
 from catalodge.session import materialize
 
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, fp (signed 64 bits) for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [fingerprint(body) for body in column(batch, "body")]
             ids = batch.column(batch.schema.get_field_index("doc_id"))
             yield pa.RecordBatch.from_arrays([ids, pa.array(found, pa.int64())], ["doc_id", "fp"])

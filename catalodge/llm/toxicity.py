@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalodge.llm.common import ChunkCodes, column, fold, in_bites, labelled_sample, utf8
+from catalodge.llm.common import ChunkCodes, column, fold, in_bites, labelled_sample, slices, utf8
 
 # Bounds of the training sample and of the learned lexicon.
 SAMPLE_PER_LABEL = 3000
@@ -262,7 +262,7 @@ def toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(model.learned)
-        for batch in batches:
+        for batch in slices(batches):
             bodies, scores = column(batch, "body"), []
             for a, b in in_bites(bodies):
                 found = [features(t, c) for t, c in zip(bodies[a:b], words.codes(bodies[a:b]), strict=True)]
