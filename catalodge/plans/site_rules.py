@@ -368,10 +368,6 @@ CHECKS = [
     ("shef", "china_page", "China", "china"),
     ("shef", FACULTIES, "Faculty of (?:Arts and Humanities|Engineering|Health|Science|Social Sciences)|International Faculty, CITY College", "faculties"),
 ]
-# Pages kept for reference only: no rows are expected from them.
-REFERENCE_PAGES = [
-    ("edi", PG), ("man", PG), ("bristol", PG), ("leeds", PG), ("bham", UG), ("bham", PG), ("shef", "fees"), ("shef", UG), ("shef", PG),
-]
 
 # ---- term dates ---------------------------------------------------------------------------------
 # Tables: (school, page_re, year_from, year_re, name_cell, date_cell, end_cell, min_cells, track rules)
