@@ -26,7 +26,7 @@ WORDS = 4
 RADIUS = 4
 # Fingerprints in one row of a tile, and in one step of the comparison inside it.
 TILE = 1 << 15
-STEP = 512
+STEP = 256
 HASHES_AT_ONCE = 1 << 16
 LOW_HALF = 0xFFFFFFFF
 
@@ -72,33 +72,37 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def quarter_counts(fps: np.ndarray) -> np.ndarray:
-    """Population counts of the four 16-bit quarters, one row for each fingerprint."""
-    return np.bitwise_count(fps.view(np.uint16).reshape(-1, 4)).astype(np.int16)
+def part_counts(fps: np.ndarray) -> np.ndarray:
+    """Population counts of the four quarters, then of the eight eighths, one row for each fingerprint."""
+    quarters, eighths = fps.view(np.uint16).reshape(-1, 4), fps.view(np.uint8).reshape(-1, 8)
+    return np.concatenate((np.bitwise_count(quarters), np.bitwise_count(eighths)), axis=1).astype(np.int16)
 
 
 def forest(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (node, root) that connect what pairs of left and right fingerprints within the radius connect.
 
-    Both sides are sorted by quarter counts and compared in steps; two steps whose ranges
-    of quarter counts are further apart than the radius are skipped.
+    Both sides are sorted by the counts of their parts and compared in steps; two steps
+    whose ranges of counts are further apart than the radius, by quarters or by eighths,
+    are skipped.
     """
     sides, boxes = [], []
     for fps in (left, right):
-        counts = quarter_counts(fps)
-        order = np.lexsort(counts.T)
+        counts = part_counts(fps)
+        # The halves of a tile are fixed, so one quarter of each half and one eighth of each quarter say it all.
+        order = np.lexsort(counts[:, [10, 8, 6, 4, 2, 0]].T)
         fps, counts = fps[order], counts[order]
         starts = np.arange(0, len(fps), STEP)
         sides.append(fps)
         boxes.append((np.minimum.reduceat(counts, starts), np.maximum.reduceat(counts, starts)))
     (low_l, high_l), (low_r, high_r) = boxes
-    gaps = np.maximum(np.maximum(low_l[:, None] - high_r[None], low_r[None] - high_l[:, None]), 0).sum(axis=2)
+    gaps = np.maximum(np.maximum(low_l[:, None] - high_r[None], low_r[None] - high_l[:, None]), 0)
+    gaps = np.maximum(gaps[:, :, :4].sum(axis=2), gaps[:, :, 4:].sum(axis=2))
     left, right = sides
     parent = np.arange(len(left) + len(right))
     for a, b in np.argwhere(gaps <= radius):
         x, y = left[a * STEP : (a + 1) * STEP], right[b * STEP : (b + 1) * STEP]
-        i, j = np.nonzero(np.bitwise_count(x[:, None] ^ y[None]) <= radius)
-        i, j = i + a * STEP, j + b * STEP + len(left)
+        near = np.flatnonzero(np.bitwise_count(x[:, None] ^ y[None]) <= radius)
+        i, j = near // len(y) + a * STEP, near % len(y) + b * STEP + len(left)
         while len(i):
             one, two = parent[i], parent[j]
             apart = one != two
