@@ -1,13 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare words as seeds, exact bounds, then Smith-Waterman alignment.
 
-Test items are read as words without case and signs. Of each item's runs of SEED words
-the rarer half by document frequency in the whole corpus are its seeds; every item keeps
-seeds, however often it was copied. A document that holds a seed is aligned with the item
-around it, word by word, so that edited and paraphrased copies are scored as well.
+Test items are read as words without case and signs. An alignment that reaches the
+threshold leaves only so many words of its item unmatched; of any set of more words than
+that it matches some. The item's rarest words in the corpus are that set, so a document
+without them needs no alignment and no leak is lost. What is left is aligned with the item
+word by word, so that edited and paraphrased copies are scored as well.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from itertools import repeat
@@ -20,8 +22,10 @@ from pyspark.sql import functions as F
 
 from catalodge.llm.common import column, in_bites, slices, text_of, utf8
 
-SEED = 3
-LEAST_SEEDS = 8
+# Seed words that a window must hold: more of them let commoner words in, fewer leave more windows.
+HITS = 4
+# Items of fewer words are never found.
+SHORTEST = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 # Text of the test items that is broadcast at once; more items are taken in blocks.
@@ -43,62 +47,56 @@ def plain_words(body: bytes) -> list[bytes]:
 
 
 class Items(NamedTuple):
-    """A block of test items: words as numbers, and where each run of SEED words occurs."""
+    """A block of test items: words as numbers from 1 on."""
 
     ids: list
     words: list  # of arrays
     vocabulary: dict
-    keys: np.ndarray  # distinct runs, sorted
-    first: np.ndarray  # for each run: its first occurrence in `item` and `place`
-    item: np.ndarray
-    place: np.ndarray
-
-    def runs(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place, run) of the known runs in a coded text."""
-        if len(codes) < SEED or not len(self.keys):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        key = run_keys(codes, len(self.vocabulary))
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        places = np.flatnonzero(self.keys[at] == key)
-        return places, at[places]
-
-
-def run_keys(codes: np.ndarray, size: int) -> np.ndarray:
-    """One number for each run of SEED codes; -1 where a word is not in the vocabulary."""
-    n = len(codes) - SEED + 1
-    key, known = np.zeros(n, np.int64), np.ones(n, bool)
-    for k in range(SEED):
-        key = key * (size + 1) + codes[k : k + n]
-        known &= codes[k : k + n] > 0
-    return np.where(known, key, -1)
 
 
 def index_items(rows: list[tuple[int, str]]) -> Items:
-    """Items of fewer than SEED words have no run and are never found."""
     vocabulary: dict[bytes, int] = {}
     ids, words = [], []
     for item_id, text in sorted(rows):
         ids.append(item_id)
         plain = plain_words(text.encode("utf-8", "replace"))
         words.append(np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in plain], np.int64))
-    found = [(k, i, p) for i, w in enumerate(words) if len(w) >= SEED for p, k in enumerate(run_keys(w, len(vocabulary)).tolist())]
-    found.sort()
-    key, item, place = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
-    keys, first = np.unique(key, return_index=True)
-    return Items(ids, words, vocabulary, keys, np.append(first, len(key)), item, place)
-
-
-def rare_runs(items: Items, counts: np.ndarray) -> np.ndarray:
-    """Whether each occurrence (item, run) is a seed: the rarer half of an item's runs, LEAST_SEEDS at least; ties stay."""
-    run = np.repeat(np.arange(len(items.keys)), np.diff(items.first))
-    seed = np.zeros(len(run), bool)
-    order = np.argsort(items.item, kind="stable")
-    for own in np.split(order, np.flatnonzero(np.diff(items.item[order])) + 1):
-        if len(own):
-            frequency = counts[run[own]]
-            kept = min(len(own), max(LEAST_SEEDS, (len(own) + 1) // 2))
-            seed[own[frequency <= np.sort(frequency)[kept - 1]]] = True
-    return seed
+    return Items(ids, words, vocabulary)
+
+
+class Seeds(NamedTuple):
+    """For each word the items of which it is a seed, and for each item what a leak of it must hold."""
+
+    first: np.ndarray  # for each word: its first place in `item`
+    item: np.ndarray
+    hits: np.ndarray  # for each item: words of a leak that are seeds, at least
+    least: np.ndarray  # words of a leak that match, at least
+    span: np.ndarray  # words of a document that a leak covers, at most
+    members: np.ndarray  # item * (words + 1) + word of all words of all items, sorted
+
+
+def seeds_of(items: Items, counts: np.ndarray, threshold: float) -> Seeds:
+    """The rarest words of each item.
+
+    Matches score 2 and all else -1, so an item of n words reaches the threshold with
+    threshold * n matches at least, over (3 - 2 * threshold) * n words of a document at
+    most. Of the n - least + hits rarest words it matches `hits` or more.
+    """
+    size = len(items.vocabulary) + 1
+    lengths = np.array([len(w) for w in items.words], np.int64)
+    least = np.array([max(1, math.ceil(threshold * n - 1e-9)) for n in lengths.tolist()], np.int64)
+    hits = np.minimum(HITS, least)
+    pairs = [np.zeros(0, np.int64)]
+    for i, words in enumerate(items.words):
+        if len(words) < SHORTEST:
+            continue
+        rarest = words[np.argsort(counts[words], kind="stable")[: lengths[i] - least[i] + hits[i]]]
+        pairs.append(np.unique(rarest) * len(items.words) + i)
+    pairs = np.sort(np.concatenate(pairs))
+    first = np.searchsorted(pairs, np.arange(size + 1) * len(items.words))
+    members = np.unique(np.concatenate([np.zeros(0, np.int64), *(w + i * size for i, w in enumerate(items.words))]))
+    span = np.floor((3 - 2 * threshold) * lengths + 1e-9).astype(np.int64)
+    return Seeds(first, pairs % max(1, len(items.words)), hits, least, span, members)
 
 
 def align(items: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,38 +129,74 @@ def padded(rows: list[np.ndarray], fill: int) -> np.ndarray:
 class Matcher:
     """Finds aligned test items in texts; lives in one Python worker."""
 
-    def __init__(self, items: Items, seed: np.ndarray, threshold: float):
-        self.items, self.seed, self.threshold = items, seed, threshold
-
-    def texts(self, bodies: list[bytes]) -> Iterator[np.ndarray]:
-        """Each text as numbers of its words, UNKNOWN where no item has the word."""
-        number = self.items.vocabulary.get
-        for body in bodies:
-            words = plain_words(body)
-            yield np.fromiter(map(number, words, repeat(UNKNOWN)), np.int64, len(words))
-
-    def windows(self, codes: np.ndarray) -> list[tuple[int, int]]:
-        """(item, start of a window) where a seed of the item lies; a window is two item lengths and some slack."""
-        places, runs = self.items.runs(codes)
-        found = set()
-        for place, run in zip(places.tolist(), runs.tolist(), strict=True):
-            for k in range(self.items.first[run], self.items.first[run + 1]):
-                if self.seed[k]:
-                    item = int(self.items.item[k])
-                    length = len(self.items.words[item])
-                    found.add((item, (place - int(self.items.place[k])) // length * length))
-        return sorted(found)
+    def __init__(self, items: Items, seeds: Seeds, threshold: float):
+        self.items, self.seeds, self.threshold = items, seeds, threshold
+
+    def windows(self, codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, start, end) of parts of the texts, end to end in `codes`, in one of which any leak of the item lies whole."""
+        seeds = self.seeds
+        dealt = np.diff(seeds.first)[codes]
+        places = np.flatnonzero(dealt)
+        dealt = dealt[places]
+        nth = np.arange(dealt.sum()) - np.repeat(np.cumsum(dealt) - dealt, dealt)
+        item = seeds.item[np.repeat(seeds.first[codes[places]], dealt) + nth]
+        order = np.argsort(item, kind="stable")
+        item, place = item[order], np.repeat(places, dealt)[order]
+        text = np.searchsorted(bounds, place, "right") - 1
+        # Enough seeds within the length of a leak: such groups, and all that a leak around one may cover.
+        last = np.arange(len(item)) + seeds.hits[item] - 1
+        inside = np.flatnonzero(last < len(item))
+        last = last[inside]
+        span = seeds.span[item[inside]]
+        near = (item[last] == item[inside]) & (text[last] == text[inside]) & (place[last] - place[inside] < span)
+        inside, last, span = inside[near], last[near], span[near]
+        item, text = item[inside], text[inside]
+        start = np.maximum(bounds[text], place[last] - span + 1)
+        end = np.minimum(bounds[text + 1], place[inside] + span)
+        # Parts of an item that meet are one, cut into windows of two spans, one span apart.
+        opens = np.ones(len(item), bool)
+        opens[1:] = (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (start[1:] > end[:-1])
+        closes = np.append(opens[1:], True)[: len(opens)]
+        item, start, end, span = item[opens], start[opens], end[closes], span[opens]
+        steps = np.maximum(1, -(-(end - start) // span) - 1)
+        nth = np.arange(steps.sum()) - np.repeat(np.cumsum(steps) - steps, steps)
+        item, span = np.repeat(item, steps), np.repeat(span, steps)
+        start = np.repeat(start, steps) + nth * span
+        return item, start, np.minimum(start + 2 * span, np.repeat(end, steps))
+
+    def hopeful(self, item: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        """Whether an alignment in each row can reach the threshold: a word that is none of the item's costs 1, others bring 2 at most."""
+        members = self.seeds.members
+        key = item[:, None] * (len(self.items.vocabulary) + 1) + cut
+        held = (cut > 0) & (members[np.minimum(np.searchsorted(members, key), len(members) - 1)] == key)
+        total = np.cumsum(np.where(held, MATCH, MISMATCH), axis=1)
+        before = np.minimum.accumulate(np.minimum(total - np.where(held, MATCH, MISMATCH), MATCH * cut.shape[1]), axis=1)
+        lengths = np.array([len(self.items.words[i]) for i in item])
+        return (total - before).max(axis=1) >= self.threshold * MATCH * lengths - 1e-9
 
     def matches(self, bodies: list[bytes]) -> list[tuple[int, int, float, int, int]]:
         """(text, item, share of the best score, first word, last word): the best alignment of each pair above the threshold."""
-        texts = list(self.texts(bodies))
-        work = []
-        for t, codes in enumerate(texts):
-            for item, start in self.windows(codes):
-                length = len(self.items.words[item])
-                slack = length // 4 + 2
-                work.append((length, t, item, max(0, start - slack), start + 2 * length + slack))
-        work.sort()
+        texts = list(coded(self.items, bodies))
+        bounds = np.cumsum([0, *map(len, texts)])
+        codes = np.concatenate([*texts, np.zeros(0, np.int64)])
+        items, starts, ends = self.windows(codes, bounds)
+        order = np.lexsort((starts, items, ends - starts))
+        items, starts, ends = items[order], starts[order], ends[order]
+        widths = ends - starts
+        work, at = [], 0
+        while at < len(items):
+            stop = min(np.searchsorted(widths, 1.25 * widths[at] + 4, "right"), at + max(1, CELLS // int(widths[at])))
+            some = slice(at, stop)
+            column = np.arange(widths[stop - 1])[None]
+            cut = np.where(column < widths[some, None], codes[np.minimum(starts[some, None] + column, len(codes) - 1)], UNKNOWN)
+            for k in (at + np.flatnonzero(self.hopeful(items[some], cut))).tolist():
+                item, a = int(items[k]), int(starts[k])
+                text = int(np.searchsorted(bounds, a, "right")) - 1
+                work.append((len(self.items.words[item]), text, item, a - int(bounds[text]), int(ends[k] - bounds[text])))
+            at = stop
+        return self.aligned(texts, sorted(work))
+
+    def aligned(self, texts: list[np.ndarray], work: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, float, int, int]]:
         best: dict[tuple[int, int], tuple] = {}
         at = 0
         while at < len(work):
@@ -185,23 +219,32 @@ class Matcher:
         return [(t, item, *found) for (t, item), found in sorted(best.items())]
 
 
-def run_counts(docs: DataFrame, items: Items, text: str) -> np.ndarray:
-    """In how many documents each run of the items occurs, over the whole corpus."""
+def coded(items: Items, bodies: list[bytes]) -> Iterator[np.ndarray]:
+    """Each text as numbers of its words, UNKNOWN where no item has the word."""
+    number = items.vocabulary.get
+    for body in bodies:
+        words = plain_words(body)
+        yield np.fromiter(map(number, words, repeat(UNKNOWN)), np.int64, len(words))
+
+
+def word_counts(docs: DataFrame, items: Items, text: str) -> np.ndarray:
+    """How often each word of the items occurs in the whole corpus."""
+    size = len(items.vocabulary) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher, counts = Matcher(items, np.zeros(0, bool), 1.0), np.zeros(len(items.keys), np.int64)
+        counts = np.zeros(size, np.int64)
         for batch in slices(batches):
             bodies = column(batch, "body")
             for a, b in in_bites(bodies):
-                for codes in matcher.texts(bodies[a:b]):
-                    counts[np.unique(items.runs(codes)[1])] += 1
+                for codes in coded(items, bodies[a:b]):
+                    counts += np.bincount(codes, minlength=size)
         seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["run", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["word", "n"])
 
-    total = np.zeros(len(items.keys), np.int64)
-    # One row for each run of the block at most.
-    for row in docs.select(utf8(text).alias("body")).mapInArrow(run, "run long, n long").groupBy("run").agg(F.sum("n").alias("n")).collect():
-        total[row["run"]] = row["n"]
+    total = np.zeros(size, np.int64)
+    # One row for each word of the block at most.
+    for row in docs.select(utf8(text).alias("body")).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
+        total[row["word"]] = row["n"]
     return total
 
 
@@ -225,11 +268,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     """
     found = None
     for items in item_blocks(benchmark):
-        held = docs.sparkSession.sparkContext.broadcast((tuple(items), rare_runs(items, run_counts(docs, items, text))))
+        held = docs.sparkSession.sparkContext.broadcast((tuple(items), tuple(seeds_of(items, word_counts(docs, items, text), threshold))))
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            items, seed = Items(*held.value[0]), held.value[1]
-            matcher = Matcher(items, seed, threshold)
+            items = Items(*held.value[0])
+            matcher = Matcher(items, Seeds(*held.value[1]), threshold)
             for batch in slices(batches):
                 ids, bodies = column(batch, "doc_id"), column(batch, "body")
                 for a, b in in_bites(bodies):
@@ -249,10 +292,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
 def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
     """The rows of `docs`, all columns, that hold no test item."""
     for items in item_blocks(benchmark):
-        held = docs.sparkSession.sparkContext.broadcast((tuple(items), rare_runs(items, run_counts(docs, items, text))))
+        held = docs.sparkSession.sparkContext.broadcast((tuple(items), tuple(seeds_of(items, word_counts(docs, items, text), threshold))))
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(Items(*held.value[0]), held.value[1], threshold)
+            matcher = Matcher(Items(*held.value[0]), Seeds(*held.value[1]), threshold)
             for batch in slices(batches):
                 bodies = [(body or "").encode("utf-8", "replace") for body in column(batch, text)]
                 clean = np.ones(len(bodies), bool)

@@ -87,6 +87,38 @@ def test_leaks(spark, benchmark, odd_docs, no_docs):
     assert decontaminate.find_leaks(frame, benchmark.limit(0)).count() == 0
 
 
+def test_edited_copies_alone_are_leaks(spark):
+    """Items of which only edited copies exist, or one exact and many edited ones, and edits that leave no two words together."""
+    words = {i: passage(40 + i).split() for i in range(5)}
+    fifth = {i: " ".join("changed" if k % 5 == 2 else w for k, w in enumerate(own)) for i, own in words.items()}
+    docs = [(0, f"{passage(501, 80)} {fifth[0]} {passage(701, 50)}")]
+    docs += [(1, passage(41))] + [(100 + k, f"{passage(800 + k, 30)} {fifth[1]}") for k in range(30)]
+    docs += [(2, " ".join("changed" if k % 3 == 2 else w for k, w in enumerate(words[2])))]
+    docs += [(3, " between ".join(words[3])), (4, edited(passage(44), 7, 0.45)), (5, f"{passage(44, 25)} {passage(502, 300)}")]
+    items = [(i, " ".join(own)) for i, own in words.items()]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(frame, benchmark).collect()}
+    assert found == brute_leaks(docs, items)
+    assert found >= {(0, 0), (1, 1), (2, 2), (3, 3), *((100 + k, 1) for k in range(30))}
+    clean = {r["doc_id"] for r in decontaminate.without_leaks(frame, benchmark).collect()}
+    assert clean == {d for d, _ in docs} - {d for d, _ in found}
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.8])
+def test_bounds_lose_no_leak(threshold):
+    """Scores of random edits of all strengths against the whole dynamic program."""
+    texts = [passage(i, 10 + 4 * i) for i in range(8)]
+    items = decontaminate.index_items(list(enumerate(texts)))
+    docs = [f"{passage(600 + k, 25)} {edited(texts[k % 8], k, (k % 11) / 12)} {passage(700 + k, 90)}" for k in range(66)]
+    codes = list(decontaminate.coded(items, [d.encode() for d in docs]))
+    counts = sum(np.bincount(c, minlength=len(items.vocabulary) + 1) for c in codes)
+    matcher = decontaminate.Matcher(items, decontaminate.seeds_of(items, counts, threshold), threshold)
+    want = {(t, i): slow_align(w, c) / (2 * len(w)) for t, c in enumerate(codes) for i, w in enumerate(items.words)}
+    got = {(t, i): share for t, i, share, _, _ in matcher.matches([d.encode() for d in docs])}
+    assert got == {pair: share for pair, share in want.items() if share >= threshold}
+
+
 def test_leaks_in_blocks(spark, benchmark, monkeypatch):
     docs = spark.createDataFrame([(i, f"{passage(50 + i, 30)} {passage(i)}") for i in range(6)], "doc_id long, text string")
     whole = sorted(map(tuple, decontaminate.find_leaks(docs, benchmark).collect()))
