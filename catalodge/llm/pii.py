@@ -2,9 +2,10 @@
 
 The patterns give the base spans. The network is trained in numpy on spans that are
 labelled by the patterns in a bounded sample of documents, and on spans made from those
-so that the patterns miss them. Text around digits, at signs and spelled-out signs is cut
-into overlapping windows; their scores are blended and one best path over the whole
-stretch decides. A network span is added where it overlaps no other and is a valid value.
+so that the patterns miss them. Text around digits, at signs and spelled-out signs, without
+one of which no span is a valid value, is cut into overlapping windows; their scores are
+blended and one best path over the whole stretch decides. A network span is added where it
+overlaps no other and is a valid value.
 """
 
 from __future__ import annotations
@@ -39,8 +40,9 @@ TRAIN_WINDOWS, BATCH, ROUNDS, STEP = 1536, 64, 10, 0.02
 AT_ONCE = 512
 SURE = 0.9
 
-TRIGGER = re.compile(r"[0-9@]+")
-SPELLED = ("(at)", "[at]", "{at}", "(dot)", "[dot]", "{dot}", " dot ")
+# What every valid span holds: a digit, or an at sign as valid() takes it. Dots written as words widen a stretch.
+AT = re.compile(r"@|[(\[{ ]at[)\]} ]", re.IGNORECASE)
+TRIGGER = re.compile(rf"\d+|{AT.pattern}|[(\[{{ ]dot[)\]}} ]", re.IGNORECASE)
 PADDING, OTHER_LETTER, OTHER = 0, 96, 97
 SYMBOLS = 98
 
@@ -87,16 +89,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of a text in which a span can lie: MARGIN characters around what every span holds one of."""
-    marks = [m.span() for m in TRIGGER.finditer(text)]
-    for sign in SPELLED:
-        at = text.find(sign)
-        while at >= 0:
-            marks.append((at, at + len(sign)))
-            at = text.find(sign, at + len(sign))
+    """Parts of a text in which a span can lie: MARGIN characters around what every span holds one of, and on to the next blank."""
     merged: list[tuple[int, int]] = []
-    for start, end in sorted(marks):
-        start, end = max(0, start - MARGIN), min(len(text), end + MARGIN)
+    for mark in TRIGGER.finditer(text):
+        start, end = max(0, mark.start() - MARGIN), min(len(text), mark.end() + MARGIN)
+        floor = merged[-1][1] if merged else 0
+        while start > floor and not text[start - 1].isspace():
+            start -= 1
+        if not merged or end > floor:
+            while end < len(text) and not text[end].isspace():
+                end += 1
         if merged and start <= merged[-1][1]:
             merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
         else:
@@ -301,8 +303,7 @@ def valid(kind: int, text: str, start: int, end: int) -> bool:
     digits = digits_of(span)
     if kind == 0:
         low = span.lower()
-        sign = "@" in low or re.search(r"[(\[{ ]at[)\]} ]", low)
-        return bool(sign and re.search(r"\.[a-z]|dot", low) and re.match(r"[a-z0-9]", low) and len(span) >= 8)
+        return bool(AT.search(span) and re.search(r"\.[a-z]|dot", low) and re.match(r"[a-z0-9]", low) and len(span) >= 8)
     if kind == 1:
         parts = span.split(".")
         return len(parts) == 4 and all(p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)

@@ -263,6 +263,24 @@ def test_gradient_is_the_slope():
         assert (up - down) / 2e-2 == pytest.approx(float(g[at]), rel=0.05)
 
 
+def test_no_valid_span_of_a_full_decode_is_lost(network):
+    """What a decode of whole texts finds is found, and all that counts as an address lies in a stretch."""
+    at = ["Jane (AT) example (DOT) com", "jane [AT] example.com", "jane at example.com", "jo (At) mail (Dot) example.com", f"{'j' * 60} at mail dot example dot com"]
+    texts = [f"{prose(60 + k, 30)} {value} {prose(80 + k, 30)}" for k, value in enumerate(at)]
+    for value, text in zip(at, texts, strict=True):
+        s = text.index(value)
+        assert pii.valid(0, text, s, s + len(value))
+        assert any(a <= s and s + len(value) <= b for a, b in pii.stretches(text))
+    for text, (_, every) in zip(texts, pii.all_spans(network, texts), strict=True):
+        for s, kind, e, sure in pii.decode(network, [text])[0]:
+            span = text[s:e].rstrip(".,;: ")
+            s = s + len(span) - len(span.lstrip())
+            e = s + len(span.lstrip())
+            if sure >= pii.SURE and pii.valid(kind, text, s, e):
+                assert any(a < e and s < b for a, _, b in every)
+    assert any(every for _, every in pii.all_spans(network, texts))
+
+
 def test_personal_data(spark, odd_docs, no_docs, network):
     rows = {}
     for r in odd_docs.collect():
