@@ -17,18 +17,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalodge.llm.common import ChunkCodes, column, fold, in_bites, labelled_sample, slices, utf8
+from catalodge.llm.common import ChunkCodes, column, fold, in_bites, slices, utf8
 from catalodge.llm.crf import chains, expected
 
-# Bounds of the training sample: documents of a language, their bytes, languages, lexicon words of a language.
+# Bounds of the training sample: documents of a language, bytes of each, parts of longer ones, lexicon words of a language.
 DOCS_PER_LANGUAGE = 200
 SAMPLE_BYTES = 1 << 15
-LANGUAGES = 64
+PARTS = 4
 LEXICON = 400
 HASH_BITS = 15
 EDGE = 0x1F
 AFFIX = 5
-SEQUENCES, LENGTH, BATCH, ROUNDS = 2048, 64, 128, 6
+# Training sequences: so many at least, and so many for each language.
+SEQUENCES, PER_LANGUAGE, LENGTH, BATCH, ROUNDS = 2048, 32, 64, 128, 6
 UNKNOWN = "und"
 
 
@@ -94,8 +95,9 @@ def switched(texts: list[list[int]], labels: list[int], seed: int) -> tuple[np.n
         if texts[k]:
             by_label.setdefault(label, []).append(k)
     kinds = sorted(by_label)
-    words, gold = np.zeros((SEQUENCES, LENGTH), np.int64), np.zeros((SEQUENCES, LENGTH), np.int64)
-    for s in range(SEQUENCES):
+    n = max(SEQUENCES, PER_LANGUAGE * len(kinds))
+    words, gold = np.zeros((n, LENGTH), np.int64), np.zeros((n, LENGTH), np.int64)
+    for s in range(n):
         at = 0
         while at < LENGTH:
             label = kinds[draw.integers(len(kinds))]
@@ -137,8 +139,8 @@ def fit(rows: list[tuple[str, bytes]], seed: int = 5) -> LanguageModel:
     past_w, past_s = np.full((size, n), 1e-8), np.full((n, n), 1e-8)
     draw = np.random.default_rng(seed + 1)
     for _ in range(ROUNDS):
-        shuffled = draw.permutation(SEQUENCES)
-        for a in range(0, SEQUENCES, BATCH):
+        shuffled = draw.permutation(len(words))
+        for a in range(0, len(words), BATCH):
             x, y = words[shuffled[a : a + BATCH]], gold[shuffled[a : a + BATCH]]
             used, inverse = np.unique(x, return_inverse=True)
             pairs = np.concatenate([np.arange(bounds[u], bounds[u + 1]) for u in used])
@@ -185,21 +187,34 @@ class Words(ChunkCodes):
 def train(docs: DataFrame, folds: int = 4, held: int = 2, text: str = "text") -> LanguageModel:
     """A model from the texts and non-null languages of documents whose fold is not `held`.
 
-    About DOCS_PER_LANGUAGE documents of each of the LANGUAGES most frequent languages,
-    of SAMPLE_BYTES at most: longer texts are labelled in full, only not learned from.
+    Every language of those with a text is a class. About DOCS_PER_LANGUAGE documents of
+    each are learned from, and of a text longer than SAMPLE_BYTES so many bytes, in PARTS
+    spread over it. One row for each language is broadcast.
     """
     known = docs.select("doc_id", "lang", F.octet_length(utf8(text)).alias("size")).where(
         (fold("doc_id", folds) != held) & F.col("lang").isNotNull()
     )
-    usable = known.where((F.col("size") > 0) & (F.col("size") <= SAMPLE_BYTES))
-    counted = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    sizes = {r["lang"]: r["count"] for r in counted}
-    chosen = labelled_sample(usable, "lang", sizes, DOCS_PER_LANGUAGE, "doc_id").select("doc_id", "lang")
-    # About DOCS_PER_LANGUAGE * LANGUAGES rows of an id and a language.
+    usable = known.where("size > 0")
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / (1 << 32)
+    # About DOCS_PER_LANGUAGE rows of an id and a language for each language.
+    chosen = usable.join(F.broadcast(sizes), "lang").where(place < DOCS_PER_LANGUAGE / F.col("n")).select("doc_id", "lang")
     rows = docs.select("doc_id", "lang", utf8(text).alias("body")).join(F.broadcast(chosen), ["doc_id", "lang"])
-    rows = rows.where(F.octet_length("body") <= SAMPLE_BYTES)
-    got = sorted((r["lang"], r["doc_id"], bytes(r["body"])) for r in rows.toLocalIterator())
-    return fit([(lang, body) for lang, _, body in got])
+    size, part = F.octet_length("body"), SAMPLE_BYTES // PARTS
+    parts = [F.substring("body", F.floor((size - part) * k / (PARTS - 1)).cast("int") + 1, F.lit(part)) for k in range(PARTS)]
+    rows = rows.select("doc_id", "lang", F.when(size > SAMPLE_BYTES, F.array(*parts)).otherwise(F.array("body")).alias("parts"))
+    got = sorted((r["lang"], r["doc_id"], [bytes(x) for x in r["parts"]]) for r in rows.toLocalIterator())
+    return fit([(lang, part) for lang, _, parts in got for part in whole_words(parts)])
+
+
+def whole_words(parts: list[bytes]) -> list[bytes]:
+    """Parts of a text without the words that were cut at their ends; a part of one word stays."""
+    out = []
+    for k, part in enumerate(parts):
+        words = part.split()
+        first, last = int(k > 0), len(words) - int(k < len(parts) - 1)
+        out.append(b" ".join(words[first:last]) if first < last else part)
+    return out
 
 
 def languages(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:

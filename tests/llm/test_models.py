@@ -141,6 +141,23 @@ def test_chains_equal_enumeration(monkeypatch):
     assert np.allclose(node[0], slow_chain(padded[3], switch)[0]) and edge.sum() == pytest.approx(6)
 
 
+def test_every_language_is_a_class(spark):
+    """More than 64 languages, one of which has long documents only."""
+    rows = []
+    for k in range(66):
+        own = [f"{chr(945 + k % 24)}{chr(1072 + k % 31)}{x}" for x in ("a", "be", "ci", "do", "fum")]
+        rows += [(100 * k + j, prose(100 * k + j, 5000 if k == 65 else 20, own), f"l{k:02}") for j in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert all(len(t.encode()) > language.SAMPLE_BYTES for _, t, lang in rows if lang == "l65")
+    model = language.train(docs)
+    assert model.languages == sorted({lang for _, _, lang in rows})
+    got = {r["doc_id"]: r["lang_pred"] for r in language.languages(docs, model).collect()}
+    held = [(i, lang) for i, _, lang in rows if bucket_of(i, 4) == 2]
+    assert np.mean([got[i] == lang for i, lang in held]) > 0.95
+    assert all(got[i] == "l65" for i, _, lang in rows if lang == "l65")
+    assert language.whole_words([b"a bc d", b"e fg h", b"xyz", b"i jk"]) == [b"a bc", b"fg", b"xyz", b"jk"]
+
+
 def test_language(spark, odd_docs, no_docs):
     rows = [(i, prose(i, 30, GERMAN if i % 2 else WORDS), "de" if i % 2 else "en") for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
