@@ -9,11 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalodge.llm import language, pii, quality, toxicity
+from catalodge.llm import language, minhash, pii, quality, toxicity
 from catalodge.llm.common import fold
 from catalodge.llm.decontaminate import find_leaks
 from catalodge.llm.exact_dedup import DigestIndex, exact_dedup
 from catalodge.llm.packing import pack
+from catalodge.llm.prefix_trie import prefix_trie, rebuilt
 from catalodge.llm.simhash import near_duplicates
 from catalodge.llm.token_counts import token_counts
 from catalodge.llm.warc import archive_round_trip
@@ -133,3 +134,58 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(table(spark, sf, "documents"), TOKENIZER)
+
+
+@query("op12_minhash")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    found = minhash.edited_likeness(table(spark, sf, "documents"))
+    hexed = {
+        "fingerprint": F.lower(F.hex("signature")),
+        "edited_fingerprint": F.lower(F.hex("edited_signature")),
+    }
+    return found.withColumns(hexed).drop("signature", "edited_signature")
+
+
+@query(
+    "op13_prefix_trie",
+    # crc32 by hand: eight shifts for each decimal digit.
+    """
+    WITH lists AS (
+        SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+                             ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    heads AS (
+        SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT,
+                          list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+                      lambda a, x: list_reduce(list_prepend(xor(a, x), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                          lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 4 AS h
+        FROM lists),
+    rebuilt AS (
+        SELECT o.conv_id, list_concat(list_slice(coalesce(b.turns, []), 1, o.h), list_slice(o.turns, o.h + 1, len(o.turns))) AS turns
+        FROM heads o LEFT JOIN lists b ON b.conv_id = o.conv_id - o.conv_id % 20),
+    starts AS (
+        SELECT conv_id, len(turns) AS n, d AS depth, list_slice(turns, 1, d) AS start
+        FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+    nodes AS (
+        SELECT start, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+               sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+        FROM starts GROUP BY start, depth),
+    families AS (
+        SELECT p.start, p.depth, p.conv_id, p.n_convs, p.ends_sha256, count(c.depth) AS n_children,
+               (p.n_convs - 1) * len(regexp_extract_all(
+                   CASE WHEN p.depth = 0 THEN '' ELSE p.start[p.depth].text END, '[^\x20\x09-\x0D]+')) AS saved
+        FROM nodes p LEFT JOIN nodes c ON c.depth = p.depth + 1 AND list_slice(c.start, 1, p.depth) = p.start
+        GROUP BY ALL),
+    subtrees AS (
+        SELECT start, depth, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+        FROM (SELECT list_slice(start, 1, k) AS start, k AS depth, n_children, saved
+              FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM families))
+        GROUP BY start, depth)
+    SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children,
+           CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+    FROM families f JOIN subtrees s ON s.depth = f.depth AND s.start = f.start
+    LEFT JOIN nodes p ON p.depth = f.depth - 1 AND p.start = list_slice(f.start, 1, f.depth - 1)
+    """,
+)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie(rebuilt(table(spark, sf, "conversations")))
