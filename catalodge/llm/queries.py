@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalodge.llm import language, minhash, pii, quality, toxicity
+from catalodge.llm.alignment import align
 from catalodge.llm.common import fold
 from catalodge.llm.decontaminate import find_leaks
 from catalodge.llm.exact_dedup import DigestIndex, exact_dedup
@@ -136,6 +137,12 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(table(spark, sf, "documents"), TOKENIZER)
 
 
+@query("op11_alignment")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    byte_bpe, piece_bpe = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align(table(spark, sf, "documents"), byte_bpe, piece_bpe)
+
+
 @query("op12_minhash")
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     found = minhash.edited_likeness(table(spark, sf, "documents"))
