@@ -51,7 +51,7 @@ KEPT_CHUNKS = 200_000
 KEPT_LINKS = 4_000_000
 
 # Before a blank or line end behind a plain sign, neither tokenizer joins anything (see Aligner.may_cut).
-CUT = re.compile(r"(?<=[^\s\x00-\x1f\x7f᠎​-‏﻿])(?=[ \n])")
+CUT = re.compile(r"(?<=[^\s\x00-\x1f\x7f\u180e\u200b-\u200f\ufeff])(?=[ \n])")
 
 
 class Aligner:

@@ -97,20 +97,20 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _ranged(rows: DataFrame, ids: DataFrame, parts: int) -> DataFrame:
-    """`rows` with the number `range` of the range of ids that doc_id lies in; null ids have the last number.
+    """`rows` with the number `range` of the range of ids that doc_id lies in.
 
     Bounds are quantiles of a sample of about SAMPLED ids for each range, as in a sort.
+    Null ids come last, in 256 ranges of the hash `tie` that orders them.
     """
     share = SAMPLED * parts / max(1, ids.count())
     sample = ids.where(hash_share("doc_id", share) & F.col("doc_id").isNotNull())
     found = np.sort(np.array([float(row[0]) for row in sample.toLocalIterator()]))
-    if not len(found):
-        return rows.withColumn("range", F.col("doc_id").isNull().cast("int"))
-    bounds = np.unique(found[np.linspace(0, len(found) - 1, parts + 1).astype(int)[1:]])
+    bounds = np.unique(found[np.linspace(0, len(found) - 1, parts + 1).astype(int)[1:]]) if len(found) else [0.0]
     splits = [float("-inf"), *map(float, bounds), float("inf")]
     into = Bucketizer(splits=splits, inputCol="id_number", outputCol="range", handleInvalid="keep")
     dealt = into.transform(rows.withColumn("id_number", F.col("doc_id").cast("double"))).drop("id_number")
-    return dealt.withColumn("range", F.col("range").cast("int"))
+    without = F.shiftright("tie", 56) + 128 + len(splits)
+    return dealt.withColumn("range", F.when(F.col("doc_id").isNull(), without).otherwise(F.col("range")).cast("int"))
 
 
 def neighbours(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -122,10 +122,11 @@ def neighbours(docs: DataFrame, text: str = "text") -> DataFrame:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8(text).alias("body"))
-    dealt = _ranged(rows, rows.select("doc_id"), parts)
-    order = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("body").alias("tie"))
-    dealt = dealt.withColumn("place", order)
-    # One row for each range, at most one range more than there are partitions.
+    dealt = _ranged(rows.withColumn("tie", F.xxhash64("body")), rows.select("doc_id"), parts)
+    dealt = dealt.withColumn(
+        "place", F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("id"), "tie")
+    )
+    # One row for each range: no more than partitions, and 256 for null ids.
     heads = sorted((row["range"], row["head"]) for row in dealt.groupBy("range").agg(F.min("place").alias("head")).collect())
     ahead = [(before[0], tuple(after[1])) for before, after in zip(heads, heads[1:] + heads[:1], strict=True)]
     wanted = spark.createDataFrame(ahead, "before int, place struct<last boolean, id long, tie long>")

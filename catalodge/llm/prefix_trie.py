@@ -72,8 +72,9 @@ def rebuilt(conversations: DataFrame, group: int = 20, heads: int = 4) -> DataFr
 
 def new_node(parent: int, depth: int, words: int, ident: bytes | None) -> dict:
     """A trie node of a run; `parent` is the place of its parent in the list, and only open nodes have an id."""
-    counts = {"n_convs": 0, "n_children": 0, "n_leaves": 0, "saved_tokens": 0}
-    return {"parent_at": parent, "depth": depth, "words": words, "open": ident is not None, "id": ident, "conv_id": None} | counts
+    place = {"id": ident, "open": ident is not None, "parent_at": parent, "parent": None, "parent_conv_id": None}
+    counts = {"conv_id": None, "n_convs": 0, "n_children": 0, "n_leaves": 0, "saved_tokens": 0}
+    return place | {"depth": depth, "words": words} | counts
 
 
 def close(rows: list[dict]) -> None:
