@@ -25,14 +25,16 @@ def digest_of(text: str = "text") -> Column:
 class DigestIndex:
     """A digest index in a folder that all executors share.
 
-    The folder outlives the session: opening it again registers the same files. Appending
-    a batch twice adds nothing, so a failed run is simply repeated.
+    The folder outlives the session: opening it again registers the same files. The number
+    of buckets is written beside it when it is made; later ones given are not used.
+    Appending a batch twice adds nothing, so a failed run is simply repeated.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
         self.spark, self.path = spark, path
         self.name = "digest_index_" + hashlib.sha1(path.encode()).hexdigest()[:16]
-        self.buckets = buckets
+        spark.range(1).select(F.lit(buckets).alias("buckets")).write.mode("ignore").parquet(f"{path}.buckets")
+        self.buckets = buckets = spark.read.schema("buckets int").parquet(f"{path}.buckets").first()[0]
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
@@ -47,6 +49,16 @@ class DigestIndex:
         fresh = groups.join(self.table().select("digest").hint("merge"), "digest", "left_anti")
         fresh.repartition(self.buckets, "digest").select("digest", "keep_id").write.insertInto(self.name)
 
+    def compacted(self, path: str, buckets: int | None = None) -> DigestIndex:
+        """The same index in a new folder: one sorted file for each bucket, and another number of buckets if wanted."""
+        new = DigestIndex(self.spark, path, buckets or self.buckets)
+        self.table().repartition(new.buckets, "digest").write.insertInto(new.name)
+        return new
+
+    def close(self) -> None:
+        """Take the table out of the session's catalog; the folder stays."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
 
 def exact_dedup(docs: DataFrame, index: DigestIndex, batches: int = 2, text: str = "text") -> DataFrame:
     """One row for each row of `docs`: doc_id, keep_id, group_size, kept, text_sha256.
@@ -59,8 +71,10 @@ def exact_dedup(docs: DataFrame, index: DigestIndex, batches: int = 2, text: str
     """
     digests = materialize(docs.select("doc_id", digest_of(text).alias("digest")), "digests")
     low, high = digests.agg(F.min("doc_id"), F.max("doc_id")).first()
-    low, high = low or 0, high or 0
-    place = F.coalesce((F.col("doc_id") - low) * batches / (high - low + 1), F.lit(0)).cast("int")
+    # Ids may span all 64 bits: as doubles they keep their order, and the largest has the last place.
+    low, span = float(low or 0), max(1.0, float(high or 0) - float(low or 0))
+    share = (F.col("doc_id").cast("double") - low) / span
+    place = F.least(F.coalesce((share * batches).cast("int"), F.lit(0)), F.lit(batches - 1))
     for batch in reversed(range(batches)):
         index.append(digests.where(place == batch))
     sizes = digests.groupBy("digest").agg(F.count("*").alias("group_size"))

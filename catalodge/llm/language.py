@@ -198,11 +198,13 @@ def train(docs: DataFrame, folds: int = 4, held: int = 2, text: str = "text") ->
     sizes = usable.groupBy("lang").agg(F.count("*").alias("n"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / (1 << 32)
     # About DOCS_PER_LANGUAGE rows of an id and a language for each language.
-    chosen = usable.join(F.broadcast(sizes), "lang").where(place < DOCS_PER_LANGUAGE / F.col("n")).select("doc_id", "lang")
+    chosen = usable.join(F.broadcast(sizes), "lang").where(place < DOCS_PER_LANGUAGE / F.col("n")).select("doc_id", "lang").distinct()
     rows = docs.select("doc_id", "lang", utf8(text).alias("body")).join(F.broadcast(chosen), ["doc_id", "lang"])
     size, part = F.octet_length("body"), SAMPLE_BYTES // PARTS
     parts = [F.substring("body", F.floor((size - part) * k / (PARTS - 1)).cast("int") + 1, F.lit(part)) for k in range(PARTS)]
     rows = rows.select("doc_id", "lang", F.when(size > SAMPLE_BYTES, F.array(*parts)).otherwise(F.array("body")).alias("parts"))
+    # An id that repeats with a language counts once.
+    rows = rows.groupBy("lang", "doc_id").agg(F.min("parts").alias("parts"))
     got = sorted((r["lang"], r["doc_id"], [bytes(x) for x in r["parts"]]) for r in rows.toLocalIterator())
     return fit([(lang, part) for lang, _, parts in got for part in whole_words(parts)])
 

@@ -80,7 +80,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         parts, place = run[0].split("."), run.start()
         for k in range(0, len(parts) - 3, 4):
             four = ".".join(parts[k : k + 4])
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts[k : k + 4]):
+            if all(len(p) <= 3 and int(p or 0) <= 255 for p in (p.lstrip("0") for p in parts[k : k + 4])):
                 found.append((place, 1, place + len(four)))
             place += len(four) + 1
     found += [(m.start(), 2, m.end()) for m in DIGITS.finditer(text) if m.end() - m.start() > 11 and is_card(m[0])]
@@ -306,7 +306,7 @@ def valid(kind: int, text: str, start: int, end: int) -> bool:
         return bool(AT.search(span) and re.search(r"\.[a-z]|dot", low) and re.match(r"[a-z0-9]", low) and len(span) >= 8)
     if kind == 1:
         parts = span.split(".")
-        return len(parts) == 4 and all(p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)
+        return len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)
     if kind == 2:
         return is_card(span) and not re.search(r"[^0-9 ./-]", span)
     return 9 <= len(digits) <= 15 and len(re.findall(r"[ ()/.-]+", span)) >= 2 and not re.search(r"[^0-9 +()/.-]", span)

@@ -62,7 +62,10 @@ def decided(scored: DataFrame, folds: int, held: int, at: float) -> DataFrame:
     """,
 )
 def op1(spark: SparkSession, sf: str) -> DataFrame:
-    return exact_dedup(table(spark, sf, "documents"), DigestIndex(spark, new_folder(spark, "digest-index")))
+    index = DigestIndex(spark, new_folder(spark, "digest-index"))
+    found = exact_dedup(table(spark, sf, "documents"), index)
+    index.close()
+    return found
 
 
 @query("op2_language")

@@ -54,6 +54,34 @@ def test_index_keeps_what_it_has(spark):
     assert again.table().count() == 3
 
 
+def test_ids_over_all_64_bits(spark):
+    rows = [(-(2**63), "a"), (2**63 - 1, "a"), (0, "b"), (-9 * 10**18, "b"), (9 * 10**18, "c"), (9 * 10**18 + 1, "c"), (None, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for batches in (1, 2, 5):
+        got = exact_dedup(docs, new_index(spark), batches)
+        assert sorted(map(tuple, got.collect()), key=repr) == brute_groups(rows)
+
+
+def test_reopened_with_another_number_of_buckets(spark):
+    old = spark.createDataFrame([(i, f"t{i}") for i in range(500)], "doc_id long, text string")
+    path = f"{shared_dir(spark, 'test-index')}/{uuid.uuid4().hex}"
+    exact_dedup(old, DigestIndex(spark, path, 8))
+    again = DigestIndex(spark, path, 4)
+    assert again.buckets == 8 and not any(r["kept"] for r in exact_dedup(old.selectExpr("doc_id + 1000 AS doc_id", "text"), again).collect())
+
+
+def test_compacted_index_has_one_file_a_bucket_and_all_digests(spark):
+    docs = spark.createDataFrame([(i, f"t{i}") for i in range(300)], "doc_id long, text string")
+    index = new_index(spark)
+    exact_dedup(docs, index, 5)
+    small = index.compacted(f"{index.path}-new", 3)
+    assert len(small.table().inputFiles()) <= 3 < len(index.table().inputFiles())
+    assert sorted(map(tuple, small.table().collect())) == sorted(map(tuple, index.table().collect()))
+    assert not any(r["kept"] for r in exact_dedup(docs.selectExpr("doc_id - 1000 AS doc_id", "text"), small).collect())
+    small.close()
+    assert not spark.catalog.tableExists(small.name) and len(DigestIndex(spark, small.path).table().inputFiles()) <= 3
+
+
 def test_many_copies(spark):
     rows = [(i, "hot" if i % 3 else f"t{i}") for i in range(6000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -158,6 +158,14 @@ def test_every_language_is_a_class(spark):
     assert language.whole_words([b"a bc d", b"e fg h", b"xyz", b"i jk"]) == [b"a bc", b"fg", b"xyz", b"jk"]
 
 
+def test_repeated_training_rows_count_once(spark):
+    rows = [(1, prose(1), "en")] * 300 + [(i, prose(i, 30, GERMAN), "de") for i in range(2, 6)]
+    docs = spark.createDataFrame([(d + 100, t, lang) for d, t, lang in rows], "doc_id long, text string, lang string")
+    once = docs.dropDuplicates()
+    one, two = (language.train(d, folds=1, held=5) for d in (docs, once))
+    assert one.languages == two.languages and np.array_equal(one.switch, two.switch)
+
+
 def test_language(spark, odd_docs, no_docs):
     rows = [(i, prose(i, 30, GERMAN if i % 2 else WORDS), "de" if i % 2 else "en") for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
@@ -232,6 +240,13 @@ def network():
     return pii.train_network(*pii.training_windows(texts))
 
 
+def test_long_runs_of_zeros_and_odd_digits_in_addresses():
+    zeros = "0" * 5000
+    assert pii.base_spans(f"x 1.2.3.{zeros} y") == [(2, 1, 8 + len(zeros))]
+    assert pii.base_spans(f"x 1.2.3.{zeros}256 y") == [] == pii.base_spans("1.2.3." + "9" * 5000)
+    assert not pii.valid(1, "1.2.3.²", 0, 7) and not pii.valid(1, "1.2.3.٣", 0, 7) and pii.valid(1, "1.2.3.4", 0, 7)
+
+
 def test_network_adds_what_patterns_miss(network):
     text = f"{prose(1, 40)} jo.81 (at) mail3 (dot) example.com {prose(2, 40)}"
     (own, every), (_, clean) = pii.all_spans(network, [text, prose(77, 400) + " in 2024, version 2.0"])
