@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from catalodge.functions.text import let
-
 
 def label_value_pairs(lines: Column, is_label: Callable[[Column], Column]) -> Column:
     """array<struct<line_no, label, value>>: each label line with the line right behind it."""
@@ -17,24 +15,3 @@ def label_value_pairs(lines: Column, is_label: Callable[[Column], Column]) -> Co
         lambda line, at: F.struct(at.alias("line_no"), line.alias("label"), F.get(lines, at + 1).alias("value")),
     )
     return F.filter(numbered, lambda p: p["value"].isNotNull() & F.coalesce(is_label(p["label"]), F.lit(False)))
-
-
-def credit_items(texts: Column) -> Column:
-    """array<struct<name, credits>> of texts that read exactly 'name (N credits)'; first spelling of a name counts."""
-    pattern = r"^(.{3,120}?)\s*\(([0-9]{1,3})\s*[Cc]redits?\)$"
-    hits = F.transform(
-        F.filter(texts, lambda t: t.rlike(pattern)),
-        lambda t: F.struct(
-            F.trim(F.regexp_extract(t, pattern, 1)).alias("name"),
-            F.regexp_extract(t, pattern, 2).cast("int").alias("credits"),
-        ),
-    )
-
-    def first_spelling(found: Column) -> Column:
-        return let(
-            F.transform(found, lambda h: F.lower(h["name"])),
-            lambda names: F.filter(found, lambda h, i: F.array_position(names, F.lower(h["name"])) == i + 1),
-        )
-
-    return let(hits, first_spelling)
-

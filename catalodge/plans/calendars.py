@@ -16,7 +16,7 @@ from catalodge.functions.text import blank_to_null, let, norm_ws
 from catalodge.operators import ordered
 from catalodge.operators.lines import label_value_pairs
 from catalodge.plans import site_rules
-from catalodge.sources import html
+from catalodge.sources import elements, html
 
 TABLE_SCHEMA = (
     "school string, page_re string, year_from string, year_re string, name_cell int, date_cell int, end_cell int, min_cells int"
@@ -73,7 +73,7 @@ def from_tables(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     Names that occur twice on a page under 'Semester n' headings get the semester in front.
     """
     kept = ["page_id", "school", "text", "year_from", "year_re", "name_cell", "date_cell", "end_cell", "min_cells"]
-    rows = html.page_cells(_ruled(pages, rules_table), *kept).filter(~F.col("is_header"))
+    rows = elements.page_cells(_ruled(pages, rules_table), *kept).filter(~F.col("is_header"))
     source = (
         F.when(F.col("year_from") == "heading", F.col("heading")).when(F.col("year_from") == "caption", F.col("caption")).otherwise(F.col("text"))
     )
@@ -113,7 +113,7 @@ def from_tables(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
 
 def from_matrix(pages: DataFrame) -> DataFrame:
     """Events from tables whose header row names one academic year per column."""
-    tables = _term_pages(pages).select("page_id", "school", F.explode(html.table_rows(F.col("html"))).alias("t"))
+    tables = _term_pages(pages).select("page_id", "school", F.explode(elements.tables(F.col("html"))).alias("t"))
     years = F.transform(F.get("t.rows", F.lit(0))["cells"], lambda c: _year_label(c, F.lit(r"(20\d{2})/(\d{2})")))
     rows = tables.select("page_id", "school", years.alias("years"), F.explode("t.rows").alias("r")).filter("r.row_no > 0")
     cells = rows.select("page_id", "school", "years", F.get("r.cells", F.lit(0)).alias("name"), F.posexplode("r.cells").alias("at", "cell"))
@@ -132,7 +132,7 @@ def from_blocks(pages: DataFrame) -> DataFrame:
 
     Blocks are numbered per table; a break lasts from the end of its block to the start of the next.
     """
-    rows = html.page_cells(_term_pages(pages), "page_id", "school").filter(~F.col("is_header"))
+    rows = elements.page_cells(_term_pages(pages), "page_id", "school").filter(~F.col("is_header"))
     welcome = F.size("cells") >= 5
     at = lambda i: F.get("cells", F.lit(i))
     shaped = rows.select(
@@ -167,7 +167,7 @@ def from_blocks(pages: DataFrame) -> DataFrame:
 
 def from_yearless_rows(pages: DataFrame, year: Column) -> DataFrame:
     """Rows 'date without year | label' under semester headings; the year is the entry year of the site."""
-    rows = html.page_cells(_term_pages(pages).withColumn("year", year), "page_id", "school", "year")
+    rows = elements.page_cells(_term_pages(pages).withColumn("year", year), "page_id", "school", "year")
     rows = rows.filter((F.size("cells") >= 2) & F.get("cells", F.lit(0)).rlike(r"\d{1,2} \w{3}"))
     found = F.regexp_extract_all(F.get("cells", F.lit(0)), F.lit(r"\d{1,2} \w{3,9}"), F.lit(0))
     semester = F.regexp_extract("heading", r"(Semester [12]|Summer|Winter|Trimester \d|Study Period \d+)", 1)
@@ -187,7 +187,7 @@ def from_yearless_rows(pages: DataFrame, year: Column) -> DataFrame:
 
 def from_begin_end_rows(pages: DataFrame) -> DataFrame:
     """Rows 'DD Mon event | year': rows that end something close the interval of the same event."""
-    rows = html.page_cells(_term_pages(pages), "page_id", "school")
+    rows = elements.page_cells(_term_pages(pages), "page_id", "school")
     year = F.element_at("cells", -1)
     pattern = r"^(\d{1,2} \w{3,9})\s+(.{3,90})$"
     rows = rows.filter((F.size("cells") >= 2)).filter(year.rlike(r"^20\d{2}$") & F.get("cells", F.lit(0)).rlike(pattern))
@@ -346,7 +346,7 @@ def from_points(pages: DataFrame) -> DataFrame:
     session_re = r"session(\d{4})-(\d{2})/?$"
     found = _term_pages(pages).filter(F.col("url").rlike(session_re))
     year = F.concat_ws("/", F.regexp_extract("url", session_re, 1), F.regexp_extract("url", session_re, 2))
-    first_table = F.get(html.table_rows(F.col("html")), F.lit(0))["rows"]
+    first_table = F.get(elements.tables(F.col("html")), F.lit(0))["rows"]
     events = let(
         _table_points(first_table), lambda p: _told_apart(F.concat(_paired(p["points"]), p["ranges"]))
     )

@@ -8,16 +8,17 @@ only extracted values are.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalodge.functions import dates, fees, rules, urls
 from catalodge.functions.text import blank_to_null, let, norm_ws, window_around
-from catalodge.operators import lookup, ordered
+from catalodge.operators import closure, lookup, ordered
 from catalodge.plans import site_rules
-from catalodge.operators.lines import credit_items
-from catalodge.sources import feeds, html
+from catalodge.sources import elements, feeds, html
+from catalodge.session import materialize
 from catalodge.sources.config import DEFAULT_ENTRY_YEAR
 
 # ---- small expressions shared by the jobs --------------------------------------------
@@ -133,7 +134,7 @@ def prepared(pages: DataFrame) -> DataFrame:
 
 # ---- X1, X5: discovered pages ---------------------------------------------------------------
 
-OPTION_RE = r"(?is)<option[^>]*\bvalue\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)(?=</option|<option|</select)"
+OPTION_RE = r"(?is)<option[^>]*\bvalue\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)(?=</option|<option|</select|\z)"
 CANDIDATE = "array<struct<value:string,url:string,label:string,note:string>>"
 
 
@@ -141,15 +142,14 @@ def _candidates() -> Column:
     """All link-like things a rule may look at, as (value, url, label, note)."""
     page, base = F.col("html"), F.col("url")
     nothing = F.lit(None).cast("string")
-    scopes = F.when(F.col("scope_re").isNull(), F.array(page)).otherwise(
-        F.regexp_extract_all(page, F.col("scope_re"), F.lit(0))
-    )
+    scopes = F.col("scopes")
 
     def entry(value: Column, url: Column, label: Column, note: Column = nothing) -> Column:
         return F.struct(value.alias("value"), url.alias("url"), label.alias("label"), note.alias("note"))
 
-    def scope_links(scope: Column) -> Column:
-        found = html.links(scope, base)
+    anchors = F.flatten("scope_links")
+
+    def scope_links(scope: Column, found: Column) -> Column:
         found = F.when(F.col("first_only"), F.slice(found, 1, 1)).otherwise(found)
         note = F.when(
             F.col("note_re").isNotNull(), html.inner_text(F.coalesce(extract(scope, F.col("note_re")), F.lit("")))
@@ -179,7 +179,7 @@ def _candidates() -> Column:
         )
     )
     nexts = F.transform(
-        F.filter(html.links(page, base), lambda a: F.regexp_like(a["tag"], F.col("target_re"))),
+        F.filter(anchors, lambda a: F.regexp_like(a["tag"], F.col("target_re"))),
         lambda a: entry(a["url"], a["url"], a["text"]),
     )
     is_index = feeds.is_sitemap_index(page)
@@ -188,14 +188,32 @@ def _candidates() -> Column:
         lambda e: e["value"] != "",
     )
     source = F.col("source")
+    numbered = F.transform(
+        feeds.numbered_page_urls(F.transform(anchors, lambda a: a["url"])),
+        lambda u: entry(u, u, F.regexp_extract(u, r"[?&]page=(\d+)", 1)),
+    )
+    rows = F.array_distinct(F.filter(F.transform(anchors, lambda a: extract(a["url"], F.col("target_re"))), lambda v: v.isNotNull()))
+    items = F.coalesce(F.size(F.from_json(F.get_json_object(page, "$.Items"), "array<string>")), F.lit(0))
+
+    def single(url: Column, number_re: str) -> Column:
+        return F.filter(F.array(entry(url, url, F.regexp_extract(url, number_re, 1))), lambda e: e["url"].isNotNull())
+
+    full = single(feeds.next_full_page_url(base, F.size(rows), F.col("page_size")), r"[?&]page=(\d+)")
+    indexed = single(feeds.next_index_url(base, items, F.col("page_size")), r"PageIndex=(\d+)")
+    total = F.get_json_object(page, "$.totalCount").try_cast("int")
+    offset = F.transform(feeds.next_offset_urls(base, F.coalesce(total, F.lit(0))), lambda u: entry(u, u, nothing))
     return (
-        F.when(source == "link", F.flatten(F.transform(scopes, scope_links)))
+        F.when(source == "link", F.flatten(F.zip_with(scopes, "scope_links", scope_links)))
         .when((source == "loc") & ~is_index, locs)
         .when((source == "index") & is_index, locs)
         .when(source == "option", options)
         .when(source == "match", matches)
         .when(source == "next", nexts)
         .when(source == "self", own)
+        .when(source == "numbered", numbered)
+        .when(source == "full", full)
+        .when(source == "indexed", indexed)
+        .when(source == "offset", offset)
         .otherwise(none)
     )
 
@@ -207,7 +225,10 @@ def discover(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     """
     ruled = with_rules(
         pages.withColumn("html", html.page_string(F.col("html"))), rules_table, "html", shape=True
-    )
+    ).withColumn("scopes", elements.scopes(F.col("html"), F.col("scope_re")))
+    # The links of a rule's elements are cut once; several kinds of rules look at them.
+    wants_links = F.col("source").isin("link", "next", "numbered", "full")
+    ruled = ruled.withColumn("scope_links", F.when(wants_links, F.transform("scopes", lambda scope: html.links(scope, F.col("url")))))
     found = ruled.select(
         "page_id", "school", "rule_no", "source", "target_re", "exclude_re", "to_category", "template", "careers", "fixed_title",
         "crawl_freq", "fetch_method", "clean", "unwrap", "canon", "suffix", "carry", F.col("url").alias("page_url"),
@@ -216,7 +237,7 @@ def discover(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     value = F.col("c.value")
     value = F.when(F.col("unwrap"), urls.unwrap_redirect(value)).otherwise(value)
     found = found.withColumn("value", value)
-    matched = F.col("source").isin("match", "next", "self") | F.regexp_like(F.col("value"), F.col("target_re"))
+    matched = F.col("source").isin("match", "next", "self", "numbered", "full", "indexed", "offset") | F.regexp_like(F.col("value"), F.col("target_re"))
     excluded = F.coalesce(F.regexp_like(F.col("value"), F.col("exclude_re")), F.lit(False))
     found = found.filter(matched & ~excluded)
     found = found.withColumn("career", F.explode(F.coalesce("careers", F.array(F.lit("")))))
@@ -237,7 +258,7 @@ def discover(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     )
     found = found.withColumn("url", F.coalesce(tagged, plain))
     found = found.filter(F.rtrim("url", F.lit("/")) != F.rtrim("page_url", F.lit("/")))
-    title = F.coalesce("fixed_title", blank_to_null(F.col("c.label")))
+    title = F.coalesce(F.replace("fixed_title", F.lit("{label}"), F.coalesce("c.label", F.lit(""))), blank_to_null(F.col("c.label")))
     rows = found.select(
         "page_id", "school", "url", F.col("to_category").alias("category"), title.alias("title"), F.col("c.note").alias("note"),
         "crawl_freq", "fetch_method", F.struct("rule_no", "pos", "career").alias("place"),
@@ -245,6 +266,20 @@ def discover(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     return ordered.first_per_key(rows, ["page_id", "url"], ["place"]).drop("place")
 
 
+def page_closure(pages: DataFrame, rules_table: DataFrame, seeds: DataFrame) -> DataFrame:
+    """All pages that seeds lead to over stored pages: url, round, page_id (NULL where no page is stored).
+
+    Index, list, next page, detail: every stored page is cut once into its links, then only
+    links are followed. ``seeds`` has a column url.
+    """
+    links = discover(pages, rules_table).select("page_id", F.col("url").alias("to"))
+    stored = pages.select(F.col("url").alias("from"), "page_id")
+    edges = materialize(links.join(stored, "page_id").select("from", "to"), "page-links")
+    found = closure.reachable(seeds.select(F.col("url").alias("node")), edges, "from", "to")
+    known = stored.groupBy("from").agg(F.min("page_id").alias("page_id"))
+    return found.join(known, found["node"] == known["from"], "left").select(F.col("node").alias("url"), "round", "page_id")
+
+
 # ---- X3, X7: fields of detail pages -------------------------------------------------------------
 
 
@@ -278,7 +313,7 @@ def _field_value(has_names: bool) -> Column:
         ("text", shaped(norm_ws(extract(text, pattern)))),
         ("text_raw", extract(text, pattern)),
         ("raw", norm_ws(html.unescape(extract(page, pattern)))),
-        ("raw_text", html.page_text(extract(page, pattern))),
+        ("raw_text", let(html.page_text(extract(page, pattern)), lambda t: F.coalesce(F.left(t, first.try_cast("int")), t))),
         ("url", extract(url, pattern)),
         ("h1", F.col("h1")),
         ("h1_part", extract(F.col("h1"), pattern)),
@@ -428,7 +463,7 @@ def module_records(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
         "page_id", "school", "url", _field("name_en").alias("name_en"), code.alias("code"),
         _field("credits").try_cast("int").alias("credits"), level.alias("level"), _field("semester").alias("semester"),
         _field("leader").alias("leader"), _field("prerequisites").alias("prerequisites"), _field("dept").alias("dept"),
-        F.left(_field("description"), F.lit(8000)).alias("description"), "assessment",
+        _field("description").alias("description"), "assessment",
     )
 
 
@@ -437,22 +472,36 @@ def module_records(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
 
 def module_links(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     """Modules a page names: page_id, school, pos, name, code, url, module_type; first per code or name."""
-    ruled = with_rules(
-        pages.withColumn("html", html.page_string(F.col("html"))), rules_table, "html", shape=True
-    )
-    page, nothing = F.col("html"), F.lit(None).cast("string")
-    scopes = F.when(F.col("scope_re").isNull(), F.array(page)).otherwise(
-        F.regexp_extract_all(page, F.col("scope_re"), F.lit(0))
-    )
+    pages = pages.withColumn("html", html.page_string(F.col("html")))
+    parts = [
+        _linked_modules(with_rules(pages, rules_table.filter(F.col("source").isin("link", "next_cell")), "html", shape=True)),
+        _item_modules(with_rules(pages, rules_table.filter("source = 'items'"), "html", shape=True)),
+        _column_modules(with_rules(pages, rules_table.filter("source = 'columns'"), "html", shape=True)),
+        *[_section_modules(pages, *rule) for rule in site_rules.SECTION_MODULES],
+    ]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    found = found.filter(F.col("name") != "").withColumn("key", F.coalesce("code", F.lower("name")))
+    return ordered.first_per_key(found, ["page_id", "key"], ["pos"]).drop("key")
+
+
+MODULE_ENTRY = ["page_id", "school", "pos", "name", "code", "url", "module_type"]
+
+
+def _code_in(value: Column) -> Column:
+    return F.when(F.col("code_re").isNotNull(), extract(value, F.col("code_re")))
+
+
+def _linked_modules(ruled: DataFrame) -> DataFrame:
+    """Links whose URL fits, in the elements of a rule; or links in table cells with the name in the next cell."""
+    nothing = F.lit(None).cast("string")
 
     def entry(name: Column, code: Column, url: Column, kind: Column) -> Column:
         return F.struct(
             norm_ws(name).alias("name"), F.upper(F.regexp_replace(blank_to_null(code), "-", "")).alias("code"), url.alias("url"), kind.alias("module_type")
         )
 
-    def code_in(value: Column) -> Column:
-        return F.when(F.col("code_re").isNotNull(), extract(value, F.col("code_re")))
-
     def linked(scope: Column) -> Column:
         fits = F.filter(
             html.links(scope, F.col("url")),
@@ -462,34 +511,94 @@ def module_links(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
         return F.transform(
             fits,
             lambda a: let(
-                code_in(a["url"]),
+                _code_in(a["url"]),
                 lambda code: entry(F.coalesce(blank_to_null(a["text"]), code), code, a["url"], F.col("module_type")),
             ),
         )
 
-    item_re = r"(?is)<li\b[^>]*>((?:(?!<li\b).)*?)</li>"
-    items = F.transform(
-        credit_items(F.transform(html.all_matches(page, item_re), lambda m: html.inner_text(F.regexp_extract(m, item_re, 1)))),
-        lambda i: entry(i["name"], nothing, nothing, F.col("module_type")),
-    )
-    rows = F.flatten(F.transform(html.table_rows(page), lambda t: t["rows"]))
-
     def behind_link(row: Column) -> Column:
-        cells = F.regexp_extract_all(row["html"], F.lit(html.CELL_RE), F.lit(1))
-        at = F.array_position(F.transform(cells, lambda c: F.regexp_like(c, F.col("pattern"))), F.lit(True)).cast("int")
-        link = F.get(html.links(F.get(cells, at - 1), F.col("url")), F.lit(0))
-        code = F.coalesce(code_in(link["text"]), code_in(link["url"]))
+        at = F.array_position(F.transform(row["cell_html"], lambda c: F.regexp_like(c, F.col("pattern"))), F.lit(True)).cast("int")
+        link = F.get(html.links(F.get(row["cell_html"], at - 1), F.col("url")), F.lit(0))
+        code = F.coalesce(_code_in(link["text"]), _code_in(link["url"]))
         return F.when(at > 0, entry(F.get(row["cells"], at), code, link["url"], F.col("module_type")))
 
+    by_link = ruled.filter("source = 'link'").withColumn("scopes", elements.scopes(F.col("html"), F.col("scope_re")))
+    links = by_link.select("page_id", "school", F.posexplode(F.flatten(F.transform("scopes", linked))).alias("pos", "m"))
+    rows = F.flatten(F.transform(elements.tables(F.col("html")), lambda t: t["rows"]))
     listed = F.filter(F.transform(rows, behind_link), lambda e: e.isNotNull() & e["code"].isNotNull())
-    found = (
-        F.when(F.col("source") == "link", F.flatten(F.transform(scopes, linked)))
-        .when(F.col("source") == "items", items)
-        .otherwise(listed)
+    cells = ruled.filter("source = 'next_cell'").select("page_id", "school", F.posexplode(listed).alias("pos", "m"))
+    return links.unionByName(cells).select("page_id", "school", "pos", "m.*").withColumn("url", F.coalesce("url", nothing)).select(*MODULE_ENTRY)
+
+
+ITEM = r"^(.{3,120}?)\s*\((\d{1,3})\s*[Cc]redits?\)$"
+
+
+def _item_modules(ruled: DataFrame) -> DataFrame:
+    """List items that read exactly 'name (N credits)': optional where the nearest heading above says so, else core."""
+    found = elements.under_marks(
+        ruled, "page_id", "school", tags=("li",), marks=("h3", "h4", "h5", "strong"),
+        values={"name": lambda e: let(html.inner_text(e["body"]), lambda t: F.trim(blank_to_null(F.regexp_extract(t, ITEM, 1))))},
+    )
+    kind = F.when(F.lower("above").contains("optional"), "optional").otherwise("core")
+    nothing = F.lit(None).cast("string")
+    return found.filter(F.col("name").isNotNull()).select(
+        "page_id", "school", "pos", "name", nothing.alias("code"), nothing.alias("url"), kind.alias("module_type")
     )
-    rows_out = ruled.select("page_id", "school", F.posexplode(found).alias("pos", "m")).select("page_id", "school", "pos", "m.*")
-    rows_out = rows_out.filter(F.col("name") != "").withColumn("key", F.coalesce("code", F.lower("name")))
-    return ordered.first_per_key(rows_out, ["page_id", "key"], ["pos"]).drop("key")
+
+
+def _column_modules(ruled: DataFrame) -> DataFrame:
+    """Rows of tables with the headers of a rule: name and code by column, whichever place the columns have."""
+    rows = elements.page_cells(ruled, "page_id", "school", "pattern", "code_re")
+    headers = F.split("pattern", r"\|")
+    at = rows.withColumns(
+        {
+            "name_at": elements.column_of(F.col("columns"), F.get(headers, F.lit(0))),
+            "code_at": elements.column_of(F.col("columns"), F.get(headers, F.lit(1))),
+        }
+    ).filter(~F.col("is_header") & F.col("name_at").isNotNull() & F.col("code_at").isNotNull() & (F.size("cells") >= 2))
+    title, code = F.get("grid", F.col("name_at")), F.get("grid", F.col("code_at"))
+    mandatory = F.lower(F.element_at("cells", -1)).contains("mandatory")
+    return at.select(
+        "page_id", "school", (F.col("table_no") * 1_000_000 + F.col("row_no")).alias("pos"),
+        F.trim(F.regexp_replace(title, F.col("code_re"), F.lit(""))).alias("name"),
+        F.coalesce(extract(code, F.col("code_re")), extract(title, F.col("code_re"))).alias("code"),
+        F.lit(None).cast("string").alias("url"), F.when(mandatory, "core").otherwise("optional").alias("module_type"),
+    )
+
+
+def _section_modules(
+    pages: DataFrame, school: str, heading_re: str, limit: int, pieces_re: str | None, item_re: str, skip_re: str | None
+) -> DataFrame:
+    """Modules named in the running text of a section of a school's programme pages."""
+    own = pages.filter((F.col("school") == school) & (F.col("category") == site_rules.DETAIL))
+    area = F.coalesce(html.section_text(F.col("html"), F.lit(heading_re), F.lit(None).cast("string"), limit), F.lit(""))
+    pieces = F.array(area) if pieces_re is None else F.transform(F.split(area, pieces_re), norm_ws)
+    names = F.flatten(F.transform(pieces, lambda p: F.regexp_extract_all(p, F.lit(item_re), F.lit(1))))
+    found = own.select("page_id", "school", F.posexplode(names).alias("pos", "name")).withColumn("name", norm_ws(F.col("name")))
+    if skip_re is not None:
+        found = found.filter(~F.col("name").rlike(skip_re))
+    nothing = F.lit(None).cast("string")
+    return found.select("page_id", "school", "pos", "name", nothing.alias("code"), nothing.alias("url"), F.lit("core").alias("module_type"))
+
+
+def article_modules(pages: DataFrame) -> DataFrame:
+    """Modules of lists with one article each, named by the nearest heading above: page_id, school, pos, url, name, code, level, credits, dept, semester."""
+    out = None
+    for school, page_re, headings, tail_re, fields in site_rules.ARTICLE_MODULES:
+        own = pages.filter((F.col("school") == school) & (F.col("category") == site_rules.MODULES) & F.col("url").rlike(page_re))
+
+        def first_of(pattern: str) -> Callable[[Column], Column]:
+            return lambda e: let(html.page_text(e["body"]), lambda t: norm_ws(blank_to_null(F.regexp_extract(t, pattern, 1))))
+
+        found = elements.under_marks(
+            own, "page_id", "school", "url", tags=("article",), marks=headings, values={name: first_of(p) for name, p in fields.items()}
+        )
+        rows = found.select(
+            "page_id", "school", "pos", "url", norm_ws(F.regexp_replace("above", tail_re, "")).alias("name"), "code",
+            F.concat(F.lit("Level "), "level").alias("level"), F.col("credits").try_cast("int").alias("credits"), "dept", "semester",
+        ).filter(F.col("code").isNotNull() & (F.col("name") != ""))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 UNIT_ROW_CELLS = 7
@@ -500,7 +609,7 @@ def unit_table_modules(pages: DataFrame) -> DataFrame:
 
     A code with several rows keeps the one valid latest, the first of equal ones.
     """
-    rows = html.page_cells(pages, "page_id", "school")
+    rows = elements.page_cells(pages, "page_id", "school")
     cell = lambda i: F.get(F.col("cells"), F.lit(i))
     fits = (F.size("cells") >= UNIT_ROW_CELLS) & cell(0).rlike(r"^[A-Z]{2,6}[0-9]{5}$") & (cell(1) != "")
     href = F.regexp_extract("row_html", r"(?is)href\s*=\s*[\"'](/[^\"']*)[\"']", 1)
@@ -607,9 +716,31 @@ def deadline_records(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     ).filter(F.col("deadline_at").isNotNull())
 
 
+def deadline_rounds(pages: DataFrame) -> DataFrame:
+    """Deadlines of tables with one application round per row, numbered within their table.
+
+    The date column is found by its header; a date that spans several rows is one round.
+    """
+    out = None
+    for school, page_re, header, audience, kind, at_time, before, behind in site_rules.DEADLINE_ROUNDS:
+        own = pages.filter((F.col("school") == school) & (F.col("category") == site_rules.DETAIL) & F.col("url").rlike(page_re))
+        rows = elements.page_cells(own, "page_id", "school", "category").withColumn("at", elements.column_of(F.col("columns"), header))
+        dated = rows.filter(~F.col("is_header") & F.get("starts", F.col("at"))).withColumn("day", dates.parse_date(F.get("grid", F.col("at"))))
+        dated = dated.filter(F.col("day").isNotNull()).select("page_id", "school", "category", "table_no", "row_no", "day")
+        numbered = ordered.number_rows(dated, ["page_id", "table_no"], ["row_no"], "n").withColumn("round_no", F.col("n").cast("int"))
+        found = numbered.select(
+            "page_id", "school", "category", F.lit(audience).alias("audience"), F.lit(kind).alias("deadline_type"),
+            F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit(f" {at_time}")).alias("deadline_at"),
+            F.concat(F.lit(before), F.col("round_no").cast("string"), F.lit(behind)).alias("note"),
+            (F.col("table_no") * 1_000_000 + F.col("row_no")).alias("pos"), "round_no",
+        )
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def deadline_rows(pages: DataFrame) -> DataFrame:
     """Deadlines from tables 'date | description': the first wording rule that fits decides type and audience."""
-    rows = html.page_cells(pages, "page_id", "school").filter(F.size("cells") >= 2)
+    rows = elements.page_cells(pages, "page_id", "school").filter(F.size("cells") >= 2)
     wording = F.lower(F.get("cells", F.lit(1)))
     cases, audiences = [], []
     for school, phrases, kind, audience in site_rules.DEADLINE_ROWS:

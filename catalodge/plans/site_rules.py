@@ -16,9 +16,11 @@ FACULTIES, UG, PG = "faculty_list", "ug_admissions", "pg_admissions"
 # (school, category, page_re, page_not_re, source, scope_re, target_re, exclude_re, to_category, options)
 # options: first = only the first link of each scope; clean = drop query and fix the slash;
 # template = URL made from the target match; note_re = note inside the scope;
-# title, freq, method = constants of the new page; unwrap = follow search redirects;
+# Further pages of a list: next (rel), numbered (pager links), full (as many target links as page_size), offset and
+# indexed (JSON). scope_re: start of the opening tag of the elements looked into (NULL: the whole page);
+# title ({label} is replaced), freq, method = constants of the new page; page_size = rows of a full page; unwrap = follow search redirects;
 # canon = course domain whose year folder is dropped.
-_UCL_ITEM = r"(?is)<div[^>]*\bresult-item\b.*?(?=<div[^>]*\bresult-item\b|\z)"
+_UCL_ITEM = r"(?is)<div[^>]*\bresult-item\b"
 _EDI_PROGRAM = r"(?i)/programmes/(?:undergraduate/(?:\d{4}/)?\d+|postgraduate-taught/\d+)-[^/?#]+/?$"
 _KCL_COURSE = (
     r"/study/(?:undergraduate|postgraduate-taught)/courses/(?!course-types-and-study-options/?$)[a-z0-9-]+/?$"
@@ -28,6 +30,7 @@ _WARWICK_COURSE = (
     r"/study/postgraduate/courses(?:-20\d{2})?/(?!course-list/?$)[a-z0-9-]+/?$"
 )
 _BHAM_COURSE = r"(?i)/study/(?:undergraduate|postgraduate)/subjects/.+-courses/[^/?#]+/?$"
+_PAGER = r"(?is)<nav[^>]*\bpagination\b"
 _NEXT = r"rel\s*=\s*[\"']next[\"']"
 _MAN_PORTLET = (
     "https://portal.manchester.ac.uk/uPortal/p/course-unit-info.ctf1/max/action.uP?pP_action=searchCUCatalog"
@@ -42,9 +45,9 @@ DISCOVERY = [
     ("ucl", CATALOG, None, None, "next", None, _NEXT, None, CATALOG, {"title": "目录分页", "freq": "manual"}),
     ("ucl", MODULES, None, r"/module-catalogue/modules/", "link", None,
      r"/module-catalogue/modules/[a-z0-9-]+-[A-Z]{4}\d{4}/?$", None, MODULES, {}),
-    ("gla", CATALOG, r"/postgraduate/", None, "link", r"(?is)<ul[^>]*\bprogramme-list\b.*?</ul>",
+    ("gla", CATALOG, r"/postgraduate/", None, "link", r"(?is)<ul[^>]*\bprogramme-list\b",
      r"/postgraduate/taught/[a-z0-9-]+/?$", None, DETAIL, {}),
-    ("gla", CATALOG, None, r"/postgraduate/", "link", r"(?is)<ul[^>]*\bprogramme-list\b.*?</ul>",
+    ("gla", CATALOG, None, r"/postgraduate/", "link", r"(?is)<ul[^>]*\bprogramme-list\b",
      r"/undergraduate/degrees/[a-z0-9-]+/?$", None, DETAIL, {}),
     ("gla", MODULES, "browsebyschool", None, "link", None, r"/coursecatalogue/courselist/", None, MODULES, {}),
     ("gla", MODULES, None, r"browsebyschool|/courselist/", "link", None, r"/coursecatalogue/browsebyschool/?$", None,
@@ -54,7 +57,7 @@ DISCOVERY = [
     ("gla", FACULTIES, None, r"/schools/|/colleges/[a-z]+/?$", "link", None, r"/colleges/[a-z]+/?$", None, FACULTIES,
      {"title": "College 页"}),
     ("gla", TERMS, None, r"session\d{4}-\d{2}/?$", "link", None, r"/sessiondates/session\d{4}-\d{2}/?$", None, TERMS, {}),
-    ("edi", CATALOG, None, None, "link", r"(?is)<[a-z]+[^>]*\bviews-field-title\b.*?</a>", _EDI_PROGRAM, None, DETAIL, {"first": True}),
+    ("edi", CATALOG, None, None, "link", r"(?is)<[a-z]+[^>]*\bviews-field-title\b", _EDI_PROGRAM, None, DETAIL, {"first": True}),
     ("edi", MODULES, "cx_schindex", None, "link", None, r"/cx_s_su\d+\.htm$", None, MODULES, {}),
     ("edi", MODULES, r"/cx_s_su\d+\.htm$", None, "link", None, r"/cx_sb_\w+\.htm$", None, MODULES, {}),
     ("edi", TERMS, None, None, "link", None, r"/20\d{4}/?$", None, TERMS, {}),
@@ -69,13 +72,13 @@ DISCOVERY = [
      DETAIL, {"unwrap": True, "canon": "courses.leeds.ac.uk"}),
     ("leeds", CATALOG, None, None, "link", None, r"course-search/.*(?:start_rank=|page=)", None, CATALOG,
      {"title": "Course search page"}),
-    ("leeds", MODULES, None, "/ModuleSearch/results/", "option", r"(?is)<select[^>]*\bid=[\"']School[\"'].*?</select>",
+    ("leeds", MODULES, None, "/ModuleSearch/results/", "option", r"(?is)<select[^>]*\bid=[\"']School[\"']",
      r"^[A-Z]{2,6}$", None, MODULES, {"template": _LEEDS_RESULTS, "careers": ["UG", "TP"]}),
     ("kcl", CATALOG, "sitemap", None, "loc", None, _KCL_COURSE, None, DETAIL, {}),
     ("kcl", CATALOG, None, "sitemap", "link", None, _KCL_COURSE, None, DETAIL, {"clean": True}),
     ("kcl", MODULES, None, "dept=", "link", None, r"/abroad/module-options/search\?dept=", None, MODULES, {}),
     ("warwick", CATALOG, None, None, "link", None, _WARWICK_COURSE, None, DETAIL, {"clean": True}),
-    ("warwick", MODULES, None, "departments=", "option", r"(?is)<select[^>]*\bname=[\"']departments[\"'].*?</select>",
+    ("warwick", MODULES, None, "departments=", "option", r"(?is)<select[^>]*\bname=[\"']departments[\"']",
      r"\S", None, MODULES, {"template": _WARWICK_LIST, "careers": [""]}),
     ("warwick", FACULTIES, "/departments/academic", None, "link", None, r"/fac/(?:sci|arts|soc|med)/[a-z0-9]+/?$", None, FACULTIES,
      {"carry": "uaDept"}),
@@ -114,6 +117,13 @@ DISCOVERY = [
      {"template": "https://programsandcourses.anu.edu.au/2026/program/{1}?uaLevel=UG"}),
     ("anu", CATALOG, "ProgramSearch/GetPrograms", "UnderGraduate", "match", None, r"\"AcademicPlanCode\"\s*:\s*\"([^\"]+)\"", None, DETAIL,
      {"template": "https://programsandcourses.anu.edu.au/2026/program/{1}?uaLevel=PGT"}),
+    ("anu", CATALOG, "CourseSearch/GetCourses", None, "indexed", None, None, None, CATALOG, {"title": "课程 API p{label}", "page_size": 2000}),
+    ("sydney", CATALOG, None, None, "offset", None, None, None, CATALOG, {"title": "Courses 枚举分页"}),
+    ("sydney", MODULES, r"org\.coveo\.com", None, "offset", None, None, None, MODULES, {"title": "units 枚举分页"}),
+    ("melb", CATALOG, None, "page=", "numbered", _PAGER, None, None, CATALOG, {"title": "course 目录第 {label} 页", "method": "cdp"}),
+    ("melb", MODULES, None, "page=", "numbered", _PAGER, None, None, MODULES, {"title": "subject 目录第 {label} 页", "method": "cdp"}),
+    ("warwick", MODULES, "departments=", None, "full", None, r"/modules/2025/([A-Z]{2,4}\d{2,4}[A-Z]?-\d+(?:\.\d+)?)/?$", None, MODULES,
+     {"title": "课程名单 p{label}", "page_size": 50}),
     ("sydney", MODULES, r"org\.coveo\.com", None, "match", None, r"/units/([A-Z]{2,4}\d{4})", None, MODULES,
      {"template": "https://www.sydney.edu.au/units/{1}"}),
 ]
@@ -270,7 +280,7 @@ FIELDS: dict[tuple[str, str], list[tuple]] = {
         ("level", "text", r"(FHEQ Level \d+)", None), ("leader", "text", r"Module leader:?\s*\n([^\n]+)", None),
         ("semester", "text_raw", r"(?:Intended t|T)eaching term:?\s*\n([^\n]+)", None), ("semester", "text_raw", r"Term:?\s*\n([^\n]+)", None),
         ("prerequisites", "text", r"(?:Module p|P)rerequisites?:?\s*\n([^\n]+)", None),
-        ("description", "raw_text", r"(?is)class=\"[^\"]*\b(?:module-description|field--name-body)(?=[\s\"])[^\"]*\"[^>]*>(.*?)</div>", None),
+        ("description", "raw_text", r"(?is)class=\"[^\"]*\b(?:module-description|field--name-body)(?=[\s\"])[^\"]*\"[^>]*>(.*?)</div>", ["8000"]),
     ],
     ("monash", MODULES): [
         ("name_en", "next", "title", None), ("code", "next", "code", None), ("dept", "next", "school.value", None),
@@ -338,15 +348,18 @@ DEADLINE_ROWS = [
 
 # ---- module references and lists -------------------------------------------------------------
 # (school, category, page_re, scope_re, source, pattern, code_re, module_type, exclude_tag_re)
-# source: link (pattern on the URL), items ('name (N credits)' list items), next_cell (name in the cell behind the link).
+# source: link (pattern on the URL), items ('name (N credits)' list items, optional or core by the heading above),
+# columns (table columns by header text: name, code; core where the last cell says mandatory), next_cell (name in the
+# cell behind the link). scope_re: start of the opening tag of the elements looked into.
 MODULE_RULES = [
-    ("ucl", DETAIL, None, r"(?is)<[a-z]+[^>]*\bprog-modules-mandatory\b.*?(?=<[a-z]+[^>]*\bprog-modules-optional\b|\z)", "link",
+    ("ucl", DETAIL, None, r"(?is)<[a-z]+[^>]*\bprog-modules-mandatory\b", "link",
      r"/module-catalogue/modules/", r"-([A-Z]{4}\d{4})/?$", "core", None),
-    ("ucl", DETAIL, None, r"(?is)<[a-z]+[^>]*\bprog-modules-optional\b.*?(?=<[a-z]+[^>]*\bprog-modules-mandatory\b|\z)", "link",
+    ("ucl", DETAIL, None, r"(?is)<[a-z]+[^>]*\bprog-modules-optional\b", "link",
      r"/module-catalogue/modules/", r"-([A-Z]{4}\d{4})/?$", "optional", None),
-    ("gla", DETAIL, None, None, "items", None, None, "core", None),
-    ("shef", DETAIL, None, None, "items", None, None, "core", None),
-    ("bham", DETAIL, None, r"(?is)<[a-z]+[^>]*\bid=[\"'][^\"']*module.*", "link", r"program-and-modules-handbook", None, "core", None),
+    ("gla", DETAIL, None, None, "items", None, None, None, None),
+    ("shef", DETAIL, None, None, "items", None, None, None, None),
+    ("man", DETAIL, None, None, "columns", "Title|Code", r"\b([A-Z]{4}\d{4,5})\b", None, None),
+    ("bham", DETAIL, None, r"(?is)<[a-z]+[^>]*\bid=[\"'][^\"']*module", "link", r"program-and-modules-handbook", None, "core", None),
     ("uwa", DETAIL, None, None, "link", r"unitdetails\?code=([A-Z0-9]+)", r"code=([A-Z0-9]+)", "core", None),
     ("adel", DETAIL, None, None, "link", r"/study/courses/([a-z]{2,6}-\d{4}[a-z]*)/", r"/study/courses/([a-z]{2,6}-\d{4}[a-z]*)/", "core", None),
     ("gla", MODULES, r"/courselist/.*name=(?:School(?:\+|%20| )of|Adam(?:\+|%20| )Smith)", None, "link", r"/coursecatalogue/course/\?code=", r"[?&]code=([^&]+)", None, None),
@@ -357,6 +370,23 @@ MODULE_RULES = [
     ("uwa", CATALOG, "/units", None, "link", r"unitdetails\?code=", r"code=([A-Z0-9]+)", None, None),
 ]
 
+# Programme pages with modules in running text: (school, heading, limit, pieces between, item, words that rule one out).
+SECTION_MODULES = [
+    ("bristol", r"(?:Programme|Course) structure|Units|Modules", 5000, None,
+     r"([A-Z][A-Za-z0-9 ,:&'()/.-]{5,120}?)\s+[–-]\s+\d{1,3}\s+credits?", None),
+    ("leeds", r"Course details and modules|Modules", 9000, r"\n| {2,}",
+     r"(?i)^(.{5,120}?)\s+(?:[–-]|\()\s*(?:\d{1,3})\s+credits?\)?$", r"(?i)\b(year|semester|choose|select)\b"),
+]
+# Module lists of articles under headings: (school, page_re, headings, tail cut from them, patterns of the fields).
+ARTICLE_MODULES = [
+    ("kcl", "dept=", ("h2", "h3", "h4"), r"\s*Level \d+$", {
+        "code": r"Module code:\s*\n?([0-9][A-Z]{3}[0-9A-Z]{3,6})", "level": r"Level:\s*\n?(\d)",
+        "credits": r"Credit value:\s*\n?(\d{1,3})", "dept": r"Department:\s*\n?([^\n]+)", "semester": r"Semester:\s*\n?([^\n]+)",
+    }),
+]
+# Deadlines in rounds: (school, page_re, header of the date column, audience, type, time, note before and behind the number).
+DEADLINE_ROUNDS = [("edi", "/postgraduate-taught/", "application deadline", "all", "round", "23:59:00", "第 ", " 轮申请截止")]
+
 # ---- page checks: (school, category, pattern that must still occur, label) --------------------
 CHECKS = [
     ("gla", FACULTIES, "College of", "colleges"), ("edi", "china_page", "China", "china"), ("bristol", "china_page", "China", "china"),
@@ -399,7 +429,7 @@ def discovery_rows() -> Iterator[tuple]:
             number, *head, options.get("first", False), options.get("clean", False), options.get("template"),
             options.get("careers"), options.get("note_re"), options.get("title"), options.get("freq", "monthly"),
             options.get("method", "html"), options.get("unwrap", False), options.get("canon"), options.get("suffix"),
-            options.get("carry"),
+            options.get("carry"), options.get("page_size"),
         )
 
 
@@ -407,7 +437,7 @@ DISCOVERY_SCHEMA = (
     "rule_no int, school string, category string, page_re string, page_not_re string, source string, scope_re string,"
     " target_re string, exclude_re string, to_category string, first_only boolean, clean boolean, template string,"
     " careers array<string>, note_re string, fixed_title string, crawl_freq string, fetch_method string, unwrap boolean,"
-    " canon string, suffix string, carry string"
+    " canon string, suffix string, carry string, page_size int"
 )
 
 

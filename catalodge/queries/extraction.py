@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalodge.functions import rules, urls
-from catalodge.plans import calendars, study_plans
+from catalodge.plans import calendars, site_rules, study_plans
 from catalodge.plans import extraction as jobs
 from catalodge.queries.registry import query, table
-from catalodge.sources import feeds, html
+from catalodge.sources import elements, feeds, html
 from catalodge.sinks import export
 
 ROOT = "regexp_extract(url, '^([a-z]+://[^/?#]*)', 1)"
@@ -131,19 +131,47 @@ def shape_router(spark, sf):
     return routed.groupBy("shape").agg(F.count(F.lit(1)).alias("n"))
 
 
+def news_rules(spark):
+    """Links of all pages: from English ones to articles, from the others to lists."""
+    row = ("x", "program_catalog")
+    tail = (False, False, None, None, None, None, "monthly", "html", False, None, None, None, None)
+    rules_of = [
+        (1, *row, "/en/", None, "link", None, "/[a-z]+$", None, "program_detail", *tail),
+        (2, *row, None, "/en/", "link", None, "/[a-z0-9]+$", None, "module_catalog", *tail),
+    ]
+    return spark.createDataFrame(rules_of, site_rules.DISCOVERY_SCHEMA)
+
+
+def news_pages(spark, sf):
+    named = F.col("page_id").isNotNull()
+    return table(spark, sf, "pages").select(
+        "page_id", "url", "html", F.when(named, "x").alias("school"), F.when(named, "program_catalog").alias("category")
+    )
+
+
+NEWS_LINKS = f"""SELECT l.page_id, l.link_url, l.link_text, CASE WHEN p.url LIKE '%/en/%' THEN 'program_detail' ELSE 'module_catalog' END AS category, p.url AS page_url
+FROM ({LINKS_SQL}) l JOIN pages p USING (page_id) WHERE regexp_matches(l.link_url, CASE WHEN p.url LIKE '%/en/%' THEN '/[a-z]+$' ELSE '/[a-z0-9]+$' END)
+AND rtrim(l.link_url, '/') <> rtrim(p.url, '/')"""
+
+
 @query(
     "catalogue_discovery",
-    f"""SELECT page_id, link_url AS url, min(link_text) AS title, 'program_detail' AS category FROM ({LINKS_SQL.replace('FROM pages)', "FROM pages WHERE url LIKE '%/en/%')")})
-WHERE regexp_matches(link_url, '/[a-z]+$') GROUP BY 1, 2""",
+    f"SELECT page_id, link_url AS url, min(link_text) AS title, category FROM ({NEWS_LINKS}) GROUP BY ALL",
 )
 def catalogue_discovery(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", "url", "html", F.when(F.col("page_id").isNotNull(), "x").alias("school"), F.when(F.col("page_id").isNotNull(), "program_catalog").alias("category"))
-    from catalodge.plans.site_rules import DISCOVERY_SCHEMA
+    return jobs.discover(news_pages(spark, sf), news_rules(spark)).select("page_id", "url", "title", "category")
 
-    rule = (1, "x", "program_catalog", "/en/", None, "link", None, "/[a-z]+$", None, "program_detail", False, False, None, None, None, None,
-            "monthly", "html", False, None, None, None)
-    found = jobs.discover(pages, spark.createDataFrame([rule], DISCOVERY_SCHEMA))
-    return found.select("page_id", "url", "title", "category")
+
+@query(
+    "page_closure",
+    f"""WITH RECURSIVE edges AS (SELECT DISTINCT page_url AS src, link_url AS dst FROM ({NEWS_LINKS})),
+walk(url, round) AS (SELECT url, 0 FROM pages WHERE url LIKE '%/en/%' UNION SELECT e.dst, w.round + 1 FROM walk w JOIN edges e ON e.src = w.url WHERE w.round < 40),
+first_round AS (SELECT url, min(round) AS round FROM walk GROUP BY url)
+SELECT f.url, f.round, p.page_id FROM first_round f LEFT JOIN (SELECT url, min(page_id) AS page_id FROM pages GROUP BY url) p ON p.url = f.url""",
+)
+def page_closure(spark, sf):
+    pages = news_pages(spark, sf)
+    return jobs.page_closure(pages, news_rules(spark), pages.filter(F.col("url").contains("/en/")).select("url"))
 
 
 # ---- pages composed from part rows --------------------------------------------------------
@@ -159,7 +187,7 @@ def page_pairs_cells(spark, sf):
         "</b></dd></dl><h2>Semester&nbsp;", size(), "</h2><table><tr><th>a</th><th>b</th></tr><tr><td>", F.col("p_type"), "<td> ", size(), "&nbsp;</tr></table>",
     )
     pairs = pages.select("page_id", html.pairs(F.col("html")).alias("p"))
-    cells = html.page_cells(pages, "page_id").filter(~F.col("is_header"))
+    cells = elements.page_cells(pages, "page_id").filter(~F.col("is_header"))
     return pairs.join(cells, "page_id").select(
         "page_id", F.col("p")["credit value"].alias("credit_value"), F.col("p")["leader"].alias("leader"), "heading",
         F.get("cells", F.lit(0)).alias("cell_0"), F.get("cells", F.lit(1)).alias("cell_1"), "row_no",
@@ -325,6 +353,182 @@ def module_list_extract(spark, sf):
     return found.select("page_id", "school", "code", "name")
 
 
+# ---- nested elements, headings above, tables by header ------------------------------------------
+
+
+@query(
+    "nested_tables",
+    """SELECT p_partkey AS page_id, t.table_no, t.outer_no, CASE t.k WHEN 'a' THEN p_name || ' ' || p_brand WHEN 'x' THEN p_brand ELSE p_type END AS first_cell,
+  CASE t.k WHEN 'a' THEN p_type ELSE CAST(p_size AS VARCHAR) END AS second_cell
+FROM part, (VALUES (0, -1, 'a'), (1, 0, 'x'), (2, -1, 'b')) t(table_no, outer_no, k)""",
+)
+def nested_tables(spark, sf):
+    pages = composed(
+        spark, sf, "x", "c", "u", "<h2>One</h2><table><tr><td>", F.col("p_name"), "<table><tr><td>", F.col("p_brand"), "<td>", size(),
+        "</table></td><td>", F.col("p_type"), "</td></tr></table><p>text<table><tr><td>", F.col("p_type"), "</td><td>", size(), "</td></table>",
+    )
+    rows = elements.page_cells(pages, "page_id")
+    return rows.select(
+        "page_id", "table_no", F.col("outer").alias("outer_no"), F.get("cells", F.lit(0)).alias("first_cell"), F.get("cells", F.lit(1)).alias("second_cell")
+    )
+
+
+@query(
+    "spanned_columns",
+    """SELECT p_partkey AS page_id, r.row_no, CAST(p_size AS VARCHAR) AS credits, CASE r.row_no WHEN 1 THEN p_name ELSE p_brand END AS title, p_type AS kind
+FROM part, (VALUES (1), (2)) r(row_no)""",
+)
+def spanned_columns(spark, sf):
+    pages = composed(
+        spark, sf, "x", "c", "u", "<table><tr><th>Kind</th><th colspan='2'>Both</th><th>Title</th><th>Credits</th></tr><tr><td rowspan=2>", F.col("p_type"),
+        "</td><td>a</td><td>b</td><td>", F.col("p_name"), "</td><td rowspan='2'>", size(), "</td></tr><tr><td colspan=2>ab</td><td>", F.col("p_brand"),
+        "</td></tr></table>",
+    )
+    rows = elements.page_cells(pages, "page_id").filter(~F.col("is_header"))
+    at = lambda name: F.get("grid", elements.column_of(F.col("columns"), name))
+    return rows.select("page_id", "row_no", at("credits").alias("credits"), at("Title").alias("title"), at("kind").alias("kind"))
+
+
+@query(
+    "element_intervals",
+    """SELECT p_partkey AS page_id, k.n AS item_no, CASE k.n WHEN 1 THEN p_name ELSE p_brand END AS text, k.inside FROM part, (VALUES (0, true), (1, true), (2, true), (3, false)) k(n, inside)
+WHERE k.n = 1 OR k.n = 2 OR k.n = 3 OR k.n = 0""".replace("CASE k.n WHEN 1 THEN p_name ELSE p_brand END", "CASE k.n WHEN 0 THEN p_name || ' ' || p_brand WHEN 1 THEN p_brand WHEN 2 THEN p_type ELSE CAST(p_size AS VARCHAR) END"),
+)
+def element_intervals(spark, sf):
+    pages = composed(
+        spark, sf, "x", "c", "u", "<ul class='a'><li>", F.col("p_name"), "<ul><li>", F.col("p_brand"), "</ul><li>", F.col("p_type"), "</ul><ul><li>", size(), "</ul>",
+    )
+    cut = pages.select("page_id", elements.elements(F.col("html"), "ul", "li").alias("found"))
+    outer = F.get(F.filter("found", lambda e: e["head"].contains("class")), F.lit(0))
+    items = F.filter("found", lambda e: e["tag"] == "li")
+    rows = cut.select("page_id", outer.alias("scope"), F.posexplode(items).alias("item_no", "e"))
+    return rows.select("page_id", "item_no", html.inner_text(F.col("e.body")).alias("text"), elements.inside(F.col("e"), F.col("scope")).alias("inside"))
+
+
+@query(
+    "scoped_links",
+    """SELECT p_partkey AS page_id, 'https://www.gla.ac.uk/undergraduate/degrees/' || k || p_partkey AS url FROM part, (VALUES ('one'), ('two'), ('three')) t(k)""",
+)
+def scoped_links(spark, sf):
+    key = F.col("p_partkey").cast("string")
+    link = lambda name: F.concat(F.lit(f'<a href="/undergraduate/degrees/{name}'), key, F.lit('">x</a>'))
+    pages = composed(
+        spark, sf, "gla", "program_catalog", "https://www.gla.ac.uk/undergraduate/degrees", link("before"), "<ul class='programme-list'><li>", link("one"),
+        "<ul><li>", link("two"), "</ul><li>", link("three"), "</ul>", link("behind"),
+    )
+    return jobs.discover(pages, jobs.discovery_rules(spark)).filter("category = 'program_detail'").select("page_id", "url")
+
+
+@query(
+    "heading_modules",
+    """SELECT p_partkey AS page_id, p_name AS name, 'core' AS module_type FROM part
+UNION ALL SELECT p_partkey, 'Work on ' || p_type, CASE WHEN p_type = 'PROMO' THEN 'core' ELSE 'optional' END FROM part""",
+)
+def heading_modules(spark, sf):
+    heading = F.when(F.col("p_type") == "PROMO", "Compulsory").otherwise("Optional modules")
+    pages = composed(
+        spark, sf, "gla", "program_detail", "u", "<ul><li>", F.col("p_name"), " (20 credits)</li></ul><h4>", heading, "</h4><p>choose</p><ul><li>Work on ", F.col("p_type"),
+        " (10 credits)<li>20 credits in all</ul><strong>Core</strong>",
+    )
+    return jobs.module_links(pages, jobs.module_rules(spark)).select("page_id", "name", "module_type")
+
+
+@query(
+    "article_modules",
+    """SELECT p_partkey AS page_id, k.code, CASE k.code WHEN '4CCS1ABC' THEN p_name ELSE p_brand END AS name, p_size AS credits, 'Level ' || k.level AS level
+FROM part, (VALUES ('4CCS1ABC', '4'), ('5CCS2XYZ', '5')) k(code, level)""",
+)
+def article_modules(spark, sf):
+    def article(code: str, level: str):
+        return F.concat(
+            F.lit(f"<article><dl><dt>Module code:</dt><dd>{code}</dd><dt>Level:</dt><dd>{level}</dd><dt>Credit value:</dt><dd>"), size(), F.lit("</dd></dl></article>")
+        )
+
+    pages = composed(
+        spark, sf, "kcl", "module_catalog", "https://www.kcl.ac.uk/abroad/module-options/search?dept=x", "<h3>", F.col("p_name"), " Level 4</h3>", article("4CCS1ABC", "4"),
+        "<article>no code</article><h2><b>", F.col("p_brand"), "</b> Level 5</h2><p>text</p>", article("5CCS2XYZ", "5"),
+    )
+    return jobs.article_modules(pages).select("page_id", "code", "name", "credits", "level")
+
+
+@query(
+    "column_modules",
+    """SELECT p_partkey AS page_id, 'COMP' || lpad(CAST(p_size AS VARCHAR), 5, '0') AS code, p_name AS name, CASE WHEN p_type = 'PROMO' THEN 'core' ELSE 'optional' END AS module_type FROM part
+UNION ALL SELECT p_partkey, 'MATH10001', p_brand, 'optional' FROM part""",
+)
+def column_modules(spark, sf):
+    kind = F.when(F.col("p_type") == "PROMO", "Mandatory").otherwise("Optional")
+    pages = composed(
+        spark, sf, "man", "program_detail", "u", "<table><tr><th>Year</th></tr><tr><td>none</td><td>XXXX10000</td></tr></table>",
+        "<table><tr><th>Code</th><th>Title</th><th>Rating</th><th>Choice</th></tr><tr><td>COMP", F.lpad(size(), 5, "0"), "</td><td>", F.col("p_name"),
+        "</td><td>10</td><td>", kind, "</td></tr><tr><td>see title</td><td>", F.col("p_brand"), " MATH10001</td><td>10</td><td>Optional</td></tr></table>",
+    )
+    return jobs.module_links(pages, jobs.module_rules(spark)).select("page_id", "code", "name", "module_type")
+
+
+@query(
+    "section_modules",
+    """SELECT p_partkey AS page_id, 'bristol' AS school, 'Unit ' || p_brand AS name FROM part UNION ALL SELECT p_partkey, 'bristol', 'Project ' || p_brand FROM part
+UNION ALL SELECT p_partkey, 'leeds', 'Theory of ' || p_type FROM part""",
+)
+def section_modules(spark, sf):
+    brand = F.replace("p_brand", F.lit("#"), F.lit(""))
+    bristol = composed(
+        spark, sf, "bristol", "program_detail", "u", "<h2>Programme structure</h2><ul><li>Unit ", brand, " – 20 credits</li><li>Project ", brand,
+        " - 40 credits</li></ul><h2>Fees</h2><p>Other – 10 credits</p>",
+    )
+    leeds = composed(
+        spark, sf, "leeds", "program_detail", "u", "<h2>Modules</h2><p>Theory of ", F.col("p_type"), " (15 credits)</p><h2>Next</h2>",
+    )
+    skipped = composed(spark, sf, "leeds", "program_detail", "u", "<h2>Modules</h2><p>choose in year two (30 credits)</p>")
+    found = jobs.module_links(bristol.unionByName(leeds).unionByName(skipped), jobs.module_rules(spark))
+    return found.select("page_id", "school", F.regexp_replace("name", r"Brand(\d)", "Brand#$1").alias("name"))
+
+
+@query(
+    "deadline_rounds",
+    """SELECT p_partkey AS page_id, n AS round_no, strftime(DATE '2026-01-10' + p_size % 20 + 30 * n, '%Y-%m-%d') || ' 23:59:00' AS deadline_at, '第 ' || n || ' 轮申请截止' AS note
+FROM part, (VALUES (1), (2), (3)) t(n)""",
+)
+def deadline_rounds(spark, sf):
+    def day(n):
+        return F.date_format(F.date_add(F.lit("2026-01-10").cast("date"), F.col("p_size") % 20 + 30 * n), "d MMMM yyyy")
+
+    pages = composed(
+        spark, sf, "edi", "program_detail", "https://study.ed.ac.uk/programmes/postgraduate-taught/1-x",
+        "<table><tr><th>Round</th><th>Application  deadline</th><th>Places by</th></tr><tr><td>1</td><td>", day(1), "</td><td>x</td></tr>",
+        "<tr><td rowspan=2>2</td><td>", day(2), "</td><td>y</td></tr><tr><td>", day(3), "</td><td>z</td></tr><tr><td>4</td><td>to be told</td></tr></table>",
+    )
+    return jobs.deadline_rounds(pages).select("page_id", "round_no", "deadline_at", "note")
+
+
+@query(
+    "further_pages",
+    """SELECT p_partkey AS page_id, 'melb' AS school, 'https://h.example/search?types[]=course&page=' || n AS url FROM part, range(2, 8) t(n) WHERE n <= 2 + p_size % 6
+UNION ALL SELECT p_partkey, 'anu', 'https://p.example/CourseSearch/GetCourses?PageIndex=4' FROM part WHERE p_size % 2 = 0
+UNION ALL SELECT p_partkey, 'sydney', 'https://x.org.coveo.com/q?firstResult=' || 200 * n FROM part, range(1, 40) t(n) WHERE 200 * n < 100 * p_size
+UNION ALL SELECT p_partkey, 'warwick', 'https://c.example/modules?departments=CS&page=3&uaDept=x' FROM part WHERE p_size >= 25""",
+)
+def further_pages(spark, sf):
+    last = (2 + F.col("p_size") % 6).cast("string")
+    melb = composed(
+        spark, sf, "melb", "program_catalog", "https://h.example/search?types[]=course", '<nav class="pagination"><a href="?types[]=course&amp;page=2">2</a><a href="?types[]=course&amp;page=',
+        last, '">last</a></nav><a href="?page=99">other</a>',
+    )
+    items = F.array_join(F.array_repeat(F.lit("{}"), F.when(F.col("p_size") % 2 == 0, 2000).otherwise(1999)), ",")
+    anu = composed(spark, sf, "anu", "program_catalog", "https://p.example/CourseSearch/GetCourses?PageIndex=3", '{"Items":[', items, "]}")
+    sydney = composed(
+        spark, sf, "sydney", "module_catalog", "https://x.org.coveo.com/q?firstResult=0", '{"totalCount":', (F.col("p_size") * 100).cast("string"), ',"results":[]}'
+    )
+    links = F.array_join(
+        F.transform(F.sequence(F.lit(1), 2 * F.col("p_size")), lambda n: F.concat(F.lit('<a href="/modules/2025/CS'), F.lpad(n.cast("string"), 3, "0"), F.lit('-15/">x</a>'))), ""
+    )
+    warwick = composed(spark, sf, "warwick", "module_catalog", "https://c.example/modules?departments=CS&page=2&uaDept=x", links, links)
+    found = jobs.discover(melb.unionByName(anu).unionByName(sydney).unionByName(warwick), jobs.discovery_rules(spark))
+    pages = found.filter(F.col("url").rlike(r"[?&]page=|PageIndex=|firstResult="))
+    return pages.select("page_id", "school", "url")
+
+
 @query(
     "unit_table_extract",
     """SELECT p_partkey AS page_id, 'COMP' || lpad(CAST(p_size AS VARCHAR), 5, '0') AS code, p_name AS name, p_size AS credits, 'Level 3' AS level FROM part""",

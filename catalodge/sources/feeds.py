@@ -97,13 +97,21 @@ def numbered_page_urls(links: Column) -> Column:
     )
 
 
-def next_index_url(url: Column, n_items: Column, page_size: int) -> Column:
+def next_index_url(url: Column, n_items: Column, page_size: Column | int) -> Column:
     """The next page of an index-paged API while pages are full, else NULL."""
     index = F.coalesce(F.regexp_extract(url, r"PageIndex=(\d+)", 1).try_cast("int"), F.lit(0))
     moved = F.regexp_replace(url, F.lit(r"PageIndex=\d+"), F.concat(F.lit("PageIndex="), (index + 1).cast("string")))
     return F.when(n_items == page_size, moved)
 
 
+def next_full_page_url(url: Column, n_rows: Column, page_size: Column) -> Column:
+    """The next page of a list whose pages are numbered from 0 while a page is full, else NULL."""
+    number = F.coalesce(F.regexp_extract(url, r"[?&]page=(\d+)", 1).try_cast("int"), F.lit(0)) + 1
+    moved = F.regexp_replace(url, F.lit(r"([?&]page=)\d+"), F.concat(F.lit("$1"), number.cast("string")))
+    added = F.concat(url, F.when(url.contains("?"), "&").otherwise("?"), F.lit("page="), number.cast("string"))
+    return F.when(n_rows >= page_size, F.when(url.rlike(r"[?&]page=\d+"), moved).otherwise(added))
+
+
 def snapshot_path(root: str, school: Column, category: Column, url: Column) -> Column:
     """Place of a stored page: root/school/category/slug.html.gz."""
     return F.concat_ws("/", F.lit(root), school, category, F.concat(urls.snapshot_slug(url), F.lit(".html.gz")))

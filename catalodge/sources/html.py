@@ -1,6 +1,6 @@
-"""Raw pages as tables of text lines, links, label/value pairs, cells and headings.
+"""Raw pages as tables of text lines, links, label/value pairs and headings.
 
-All of it is built from regular-expression columns: a page is cut inside the JVM
+Nested elements, tables and their cells are in ``elements``. All here is built from regular-expression columns: a page is cut inside the JVM
 in one narrow pass, only the parts a job asks for are computed, and there is no
 Python worker and no shuffle. A page is one row, so every array here is bounded
 by the size of that page.
@@ -23,9 +23,6 @@ NOISE_RE = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
 BLANKS = "\t\n\x0b\f\r \x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 HEADING_RE = r"(?is)<h([1-6])\b[^>]*>(.*?)</h\1\s*>"
 LINK_RE = r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)[^>]*>(.*?)</a\s*>"
-TABLE_RE = r"(?is)<table\b[^>]*>.*?</table\s*>"
-ROW_RE = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\s*>|<tr\b|</table\b|\z)"
-CELL_RE = r"(?is)<t[dh]\b[^>]*>(.*?)(?=</t[dh]\s*>|<t[dh]\b|</tr\b|\z)"
 PAIR_RE = r"(?is)<dt\b[^>]*>(.*?)</dt\s*>\s*<dd\b[^>]*>(.*?)</dd\s*>"
 # Names that count without their semicolon as well, the longest first; and what browsers read 128 to 159 as.
 OPEN_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
@@ -192,42 +189,6 @@ def pairs(html: Column) -> Column:
     return F.map_from_entries(let(kept, first_of_key))
 
 
-def table_rows(html: Column) -> Column:
-    """array<struct<table_no, heading, caption, rows: array<struct<row_no, html, cells>>>>.
-
-    ``heading`` is the nearest heading before the table: the page is cut in front
-    of each heading, so a section carries its heading to all of its tables.
-    """
-    sections = F.split(without_noise(html), r"(?i)(?=<h[1-6]\b)")
-
-    def tables_of(section: Column) -> Column:
-        heading = inner_text(F.regexp_extract(section, HEADING_RE, 2))
-        return F.transform(
-            all_matches(section, TABLE_RE), lambda t: F.struct(heading.alias("heading"), t.alias("html"))
-        )
-
-    def describe(table: Column, number: Column) -> Column:
-        rows = F.transform(
-            all_matches(table["html"], ROW_RE),
-            lambda r, i: F.struct(
-                i.alias("row_no"),
-                r.alias("html"),
-                F.transform(
-                    all_matches(r, CELL_RE), lambda c: inner_text(F.regexp_extract(c, CELL_RE, 1))
-                ).alias("cells"),
-                (~r.rlike(r"(?i)<td\b")).alias("is_header"),
-            ),
-        )
-        return F.struct(
-            number.alias("table_no"),
-            table["heading"].alias("heading"),
-            inner_text(F.regexp_extract(table["html"], r"(?is)<caption\b[^>]*>(.*?)</caption", 1)).alias("caption"),
-            rows.alias("rows"),
-        )
-
-    return F.transform(F.flatten(F.transform(sections, tables_of)), describe)
-
-
 # ---- the same parts as exploded tables ---------------------------------------
 
 
@@ -246,18 +207,6 @@ def page_links(pages: DataFrame, *keep: str, html: str = "html", url: str = "url
     )
 
 
-def page_cells(pages: DataFrame, *keep: str, html: str = "html") -> DataFrame:
-    """One row per table row: kept columns, table_no, heading, caption, row_no, is_header, cells."""
-    tables = pages.select(*keep, F.explode(table_rows(page_string(F.col(html)))).alias("t"))
-    rows = tables.select(
-        *keep, "t.table_no", "t.heading", "t.caption", F.explode("t.rows").alias("r")
-    )
-    return rows.select(
-        *keep, "table_no", "heading", "caption", "r.row_no", "r.is_header", "r.cells",
-        F.col("r.html").alias("row_html"),
-    )
-
-
 def section_text(html: Column, heading_re: Column, stop_re: Column, limit: int = 800) -> Column:
     """Paragraph, list and cell text behind a matching heading up to the next one of level 2 to 4, cut to ``limit``.
 
