@@ -20,10 +20,12 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import os
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -47,15 +49,30 @@ FAN = 256
 FRAME = 1 << 13
 # Characters encoded at once, and what a worker keeps of known chunks: no result depends on these.
 BITE = 1 << 20
-KEPT_CHUNKS = 200_000
+KEPT_CHUNKS = 300_000
 KEPT_LINKS = 4_000_000
 
-# Before a blank or line end behind a plain sign, neither tokenizer joins anything (see Aligner.may_cut).
-CUT = re.compile(r"(?<=[^\s\x00-\x1f\x7f\u180e\u200b-\u200f\ufeff])(?=[ \n])")
+# Signs that no tokenizer takes for white space. Words are keys of a worker's table: bare ones stand behind a blank,
+# others begin with the line end before them, and chunks of any other shape are behind a mark.
+PLAIN = r"[^\s\x00-\x1f\x7f\u180e\u200b-\u200f\ufeff]"
+CUT = re.compile(f"(?<={PLAIN})(?=[ \n])")
+WORD = re.compile(f"\n?{PLAIN}+")
+MARK = "\0"
+# Words that are encoded as lines of one text.
+LINES = 256
+
+
+class Aligned(NamedTuple):
+    """A whole text: (A tokens, B tokens, groups), the hash of its groups, and the pairs of its links with how often each occurs."""
+
+    counts: tuple[int, int, int]
+    digest: str
+    keys: np.ndarray
+    times: np.ndarray
 
 
 class Aligner:
-    """Chunks of texts -> their groups and links, each chunk encoded once and kept in the worker."""
+    """Texts -> their groups and links, by words and other chunks that are encoded once and kept in the worker."""
 
     def __init__(self, byte_bpe: str, piece_bpe: str):
         self.a, self.b = Tokenizer.from_file(byte_bpe), sentencepiece.SentencePieceProcessor(model_file=piece_bpe)
@@ -73,115 +90,193 @@ class Aligner:
         ]
         if max(max(self.a_bytes), len(pieces)) >= 1 << 24:
             raise ValueError("ids of 2^24 and more have no place in a pair")
-        self.cut = CUT if self.may_cut([p for i, p in zip(ids, pieces, strict=True) if not self.b.is_byte(i)]) else None
+        self.a_sizes = np.zeros(max(self.a_bytes) + 1, np.int64)
+        self.a_sizes[list(self.a_bytes)] = list(map(len, self.a_bytes.values()))
+        self.b_sizes = np.array(list(map(len, self.b_bytes)), np.int64)
+        self.may_cut = self.cuts_at([p for i, p in zip(ids, pieces, strict=True) if not self.b.is_byte(i)])
         self.forget()
 
-    def may_cut(self, pieces: list[str]) -> bool:
-        """True if B's pieces never go on across a blank or hold a line end, and B changes no white space.
+    def cuts_at(self, pieces: list[str]) -> bool:
+        """True if neither tokenizer joins a blank or line end with a plain sign before it.
 
-        A starts a new pre-token before white space that follows other signs, for any text.
+        A starts a new pre-token there in any text. B joins only what one of its pieces
+        holds, so these must not go on across a blank nor hold a line end; and it must
+        change no white space.
         """
-        apart = not any(re.search("[^▁]▁|\n", piece) for piece in pieces)
         probe = "\n a  b \n\tc"
         joined = b"".join(self.b_bytes[i] for i in self.b.encode(probe, num_threads=1))
-        return apart and joined == b" " + probe.encode()
+        return joined == b" " + probe.encode() and not any(re.search("[^▁]▁|\n", piece) for piece in pieces)
 
     def forget(self) -> None:
         self.table: dict[str, int] = {}
         self.texts: list[bytes] = []
-        self.counts: list[tuple[int, int, int, bool]] = []
-        self.starts: list[int] = [0]
-        self.keys = np.empty(1 << 16, np.int64)
-
-    def bites(self, text: str) -> Iterator[list[str]]:
-        """A blank and the text in chunks that both tokenizers treat alone, about BITE signs at a time."""
-        whole = " " + text
-        if self.cut is None:
-            yield [whole]
-            return
-        start = 0
+        # For each key: A tokens, B tokens, groups, whether the tokens give it back, first place among the pairs.
+        self.facts = np.empty((1 << 12, 5), np.int64)
+        self.pairs = np.empty(1 << 14, np.int64)
+        self.n_pairs = 0
+
+    # ---- texts to keys
+
+    def words(self, text: str) -> list[str]:
+        """A text as words behind blanks and line ends; right where all of them are plain."""
+        return text.replace("\n", " \n").split(" ")
+
+    def chunks(self, text: str) -> Iterator[list[str]]:
+        """Keys of a text of any shape, about BITE signs at a time."""
+        whole, start = " " + text, 0
         while start < len(whole):
-            border = self.cut.search(whole, start + BITE) if start + BITE < len(whole) else None
+            border = CUT.search(whole, start + BITE) if self.may_cut and start + BITE < len(whole) else None
             stop = border.start() if border else len(whole)
-            yield self.cut.split(whole[start:stop])
+            pieces = CUT.split(whole[start:stop]) if self.may_cut else [whole]
+            yield [self.key(piece) for piece in pieces]
             start = stop
 
-    def load(self, unseen: list[str]) -> None:
-        """Encode chunks that the table lacks."""
-        ids_a = [found.ids for found in self.a.encode_batch(unseen, add_special_tokens=False)]
-        if self.cut is None:
-            ids_b = [self.b.encode(chunk[1:], num_threads=1) for chunk in unseen]
-        else:
-            # Behind a line end a chunk is encoded as inside a text: the blank and the line end before it are dropped.
-            ids_b = [ids[2:] for ids in self.b.encode(["\n" + chunk for chunk in unseen], num_threads=1)]
-        for chunk, a, b in zip(unseen, ids_a, ids_b, strict=True):
-            body = chunk.encode()
-            parts_a, parts_b = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            good = b"".join(parts_a) == body and b"".join(parts_b) == body
-            groups, keys = aligned(a, b, parts_a, parts_b) if good else ("", [])
-            start = self.starts[-1]
-            if start + len(keys) > len(self.keys):
-                self.keys = np.concatenate((self.keys, np.empty(max(len(keys), len(self.keys)), np.int64)))
-            self.keys[start : start + len(keys)] = keys
-            self.starts.append(start + len(keys))
-            self.table[chunk] = len(self.texts)
-            self.texts.append(groups.encode())
-            self.counts.append((len(a), len(b), len(keys), good))
-
-    def document(self, text: str | None) -> tuple[tuple[int, int, int], str, np.ndarray, np.ndarray]:
-        """((A tokens, B tokens, groups), hash of the groups, pairs of the links, how often) of a whole text."""
-        total, digest, found, first = np.zeros(3, np.int64), hashlib.sha256(), [], True
-        for chunks in self.bites(text) if text else ():
-            unseen = list(dict.fromkeys(c for c in chunks if c not in self.table))
-            if unseen:
-                if len(self.table) + len(unseen) > KEPT_CHUNKS or self.starts[-1] > KEPT_LINKS:
-                    self.forget()
-                    unseen = list(dict.fromkeys(chunks))
-                self.load(unseen)
-            codes = list(map(self.table.__getitem__, chunks))
-            counts = np.array([self.counts[c] for c in codes], np.int64)
-            if not counts[:, 3].all():
+    def key(self, piece: str) -> str:
+        bare = piece[1:] if piece[0] == " " else piece
+        plain = self.may_cut and WORD.fullmatch(bare) and (bare is piece) == (bare[0] == "\n")
+        return bare if plain else MARK + piece
+
+    def documents(self, texts: list[str | None]) -> Iterator[Aligned]:
+        """Each whole text aligned, in order; short ones have their new words encoded together."""
+        start = 0
+        while start < len(texts):
+            stop, size = start, 0
+            while stop < len(texts) and (size == 0 or size + len(texts[stop] or "") <= BITE):
+                size += len(texts[stop] or "")
+                stop += 1
+            yield from self.some(texts[start:stop], size <= BITE and self.may_cut)
+            start = stop
+
+    def some(self, texts: list[str | None], short: bool) -> Iterator[Aligned]:
+        split = [self.words(text) if text and short else [] for text in texts]
+        unseen = set().union(*split).difference(self.table)
+        odd = {word for word in unseen if not WORD.fullmatch(word)}
+        if odd:
+            split = [words if odd.isdisjoint(words) else [] for words in split]
+        self.know(itertools.chain.from_iterable(split))
+        for text, words in zip(texts, split, strict=True):
+            try:
+                codes = list(map(self.table.__getitem__, words))
+            except KeyError:  # a text of another shape has emptied the table in between
+                codes = []
+            if codes:
+                yield self.put_together([codes])
+            else:
+                yield self.put_together(self.known(self.chunks(text)) if text else [])
+
+    def known(self, bites: Iterable[list[str]]) -> Iterator[list[int]]:
+        for keys in bites:
+            self.know(keys)
+            yield list(map(self.table.__getitem__, keys))
+
+    def know(self, keys: Iterable[str]) -> None:
+        """Put the keys into the table; what it held before may go."""
+        keys = set(keys)
+        unseen = keys.difference(self.table)
+        if unseen and (len(self.table) + len(unseen) > KEPT_CHUNKS or self.n_pairs > KEPT_LINKS):
+            self.forget()
+            unseen = keys
+        plain = [key for key in unseen if key[0] != MARK]
+        self.add_words(plain)
+        self.add_each([key for key in unseen if key not in self.table])
+
+    def put_together(self, bites: Iterable[list[int]]) -> Aligned:
+        """A text from the places of its keys in the table."""
+        total, digest, found = np.zeros(3, np.int64), hashlib.sha256(), []
+        for codes in bites:
+            facts = self.facts[codes]
+            if not facts[:, 3].all():
                 found = []
                 break
-            digest.update((b"" if first else b";") + b";".join([self.texts[c] for c in codes]))
-            total += counts[:, :3].sum(axis=0)
-            found.append(self.links(np.array(codes), counts[:, 2]))
-            first = False
+            digest.update((b";" if found else b"") + b";".join(map(self.texts.__getitem__, codes)))
+            total += facts[:, :3].sum(axis=0)
+            found.append(self.links(facts[:, 4], facts[:, 2]))
         if not found:
-            return (0, 0, 0), "", np.empty(0, np.int64), np.empty(0, np.int64)
+            return Aligned((0, 0, 0), "", np.empty(0, np.int64), np.empty(0, np.int64))
         if len(found) == 1:
-            return tuple(total.tolist()), digest.hexdigest(), found[0], np.ones(len(found[0]), np.int64)
+            return Aligned(tuple(total.tolist()), digest.hexdigest(), found[0], np.ones(len(found[0]), np.int64))
         keys, times = np.unique(np.concatenate(found), return_counts=True)
-        return tuple(total.tolist()), digest.hexdigest(), keys, times
-
-    def links(self, codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        return Aligned(tuple(total.tolist()), digest.hexdigest(), keys, times)
+
+    # ---- keys to groups and pairs
+
+    def add(self, keys: list[str], texts: list[bytes], facts: np.ndarray, pairs: np.ndarray) -> None:
+        """Add keys with their groups as text, their first four facts and the pairs of all of them."""
+        at, sizes = len(self.texts), facts[:, 2]
+        while at + len(keys) > len(self.facts):
+            self.facts = np.concatenate((self.facts, np.empty_like(self.facts)))
+        if self.n_pairs + len(pairs) > len(self.pairs):
+            self.pairs = np.concatenate((self.pairs, np.empty(max(len(pairs), len(self.pairs)), np.int64)))
+        self.facts[at : at + len(keys), :4] = facts
+        self.facts[at : at + len(keys), 4] = self.n_pairs + np.cumsum(sizes) - sizes
+        self.pairs[self.n_pairs : self.n_pairs + len(pairs)] = pairs
+        self.n_pairs += len(pairs)
+        self.table.update(zip(keys, range(at, at + len(keys)), strict=True))
+        self.texts += texts
+
+    def add_words(self, words: list[str]) -> None:
+        """Encode plain words as lines of texts; those of a text that its tokens do not give back are left out."""
+        blocks = [words[at : at + LINES] for at in range(0, len(words), LINES)]
+        texts = ["\n".join(("", *[w if w[0] == "\n" else " " + w for w in block], "")) for block in blocks]
+        found_a = self.a.encode_batch(texts, add_special_tokens=False)
+        found_b = self.b.encode(texts, num_threads=1)
+        for block, text, a, b in zip(blocks, texts, found_a, found_b, strict=True):
+            body, a, b = text.encode(), a.ids, b[1:]  # B puts a blank before a text
+            if not self.given_back(body, a, b):
+                continue
+            pairs, groups, ends, ends_a, ends_b = self.aligned(a, b)
+            # A line end is a group of its own before and behind each line; a word may begin with one more.
+            line_ends = np.flatnonzero(np.frombuffer(body, np.uint8) == 10)
+            opens = np.array([w[0] == "\n" for w in block])
+            borders = line_ends[np.cumsum(np.concatenate(([0], 1 + opens)))] + 1
+            first, last = np.searchsorted(ends, borders[:-1]) + 1, np.searchsorted(ends, borders[1:])
+            n_a, n_b = (np.diff(np.searchsorted(e, borders)) - 1 for e in (ends_a, ends_b))
+            own = np.ones(len(pairs), bool)
+            own[np.searchsorted(ends, borders)] = False
+            texts_of = [";".join(groups[i:j]).encode() for i, j in zip(first.tolist(), last.tolist(), strict=True)]
+            self.add(block, texts_of, np.stack((n_a, n_b, last - first, np.ones(len(block), np.int64)), axis=1), pairs[own])
+
+    def add_each(self, keys: list[str]) -> None:
+        """Encode chunks each for itself."""
+        chunks = [key[1:] if key[0] == MARK else key if key[0] == "\n" else " " + key for key in keys]
+        ids_a = [found.ids for found in self.a.encode_batch(chunks, add_special_tokens=False)]
+        if self.may_cut:
+            # Behind a line end a chunk is encoded as inside a text: the blank and the line end before it are dropped.
+            ids_b = [ids[2:] for ids in self.b.encode(["\n" + chunk for chunk in chunks], num_threads=1)]
+        else:
+            ids_b = [self.b.encode(chunk[1:], num_threads=1) for chunk in chunks]
+        for key, chunk, a, b in zip(keys, chunks, ids_a, ids_b, strict=True):
+            good = self.given_back(chunk.encode(), a, b)
+            pairs, groups, *_ = self.aligned(a, b) if good else (np.empty(0, np.int64), [])
+            self.add([key], [";".join(groups).encode()], np.array([[len(a), len(b), len(groups), good]], np.int64), pairs)
+
+    def given_back(self, body: bytes, a: list[int], b: list[int]) -> bool:
+        return b"".join([self.a_bytes[i] for i in a]) == body == b"".join([self.b_bytes[i] for i in b])
+
+    def aligned(self, a: list[int], b: list[int]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """(pairs of the tokens that end together, groups as text, byte offsets of their ends, of A's, of B's)."""
+        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
+        ends_a, ends_b = np.cumsum(self.a_sizes[ids_a]), np.cumsum(self.b_sizes[ids_b])
+        ends, last_a, last_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        names_a, names_b, groups, i, j = list(map(str, a)), list(map(str, b)), [], 0, 0
+        for to_a, to_b in zip((last_a + 1).tolist(), (last_b + 1).tolist(), strict=True):
+            one = names_a[i] if to_a == i + 1 else ",".join(names_a[i:to_a])
+            two = names_b[j] if to_b == j + 1 else ",".join(names_b[j:to_b])
+            groups.append(f"{one}|{two}")
+            i, j = to_a, to_b
+        return pair_key(ids_a[last_a], ids_b[last_b]), groups, ends, ends_a, ends_b
+
+    def links(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The pairs of all chunks, one chunk after the other."""
-        starts = np.array([self.starts[c] for c in codes.tolist()], np.int64)
         before = np.cumsum(sizes) - sizes
-        return self.keys[np.arange(int(sizes.sum())) + np.repeat(starts - before, sizes)]
+        return self.pairs[np.arange(int(sizes.sum())) + np.repeat(starts - before, sizes)]
 
 
-def pair_key(a: int, b: int) -> int:
+def pair_key(a: int | np.ndarray, b: int | np.ndarray) -> int | np.ndarray:
     """A pair as a number: low bits of the B id, its other bits, the A id."""
     return ((b & ((1 << BITS) - 1)) << 48) | ((b >> BITS) << 24) | a
 
 
-def aligned(a: list[int], b: list[int], parts_a: list[bytes], parts_b: list[bytes]) -> tuple[str, list[int]]:
-    """(groups as text, pairs of the tokens that end together) of two token sequences over the same bytes."""
-    groups, keys = [], []
-    from_a = from_b = j = end_b = end_a = 0
-    for i, part in enumerate(parts_a, 1):
-        end_a += len(part)
-        while end_b < end_a:
-            end_b += len(parts_b[j])
-            j += 1
-        if end_a == end_b:
-            groups.append(f"{','.join(map(str, a[from_a:i]))}|{','.join(map(str, b[from_b:j]))}")
-            keys.append(pair_key(a[i - 1], b[j - 1]))
-            from_a, from_b = i, j
-    return ";".join(groups), keys
-
-
 def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
     """Ascending pairs with their counts as zstd frames of FRAME pairs, each frame behind its length."""
     out, press = [], zstandard.ZstdCompressor(level=3)
@@ -346,11 +441,11 @@ def runs(docs: DataFrame, byte_bpe: str, piece_bpe: str, text: str = "text", run
             return pa.RecordBatch.from_pylist([entry | {"parts": spill(keys, owners, times, len(rows))}], RUN_ARROW)
 
         for batch in slices(batches):
-            for doc_id, body in zip(column(batch, "doc_id"), column(batch, "body"), strict=True):
-                counts, digest, keys, times = aligner.document(body)
-                rows.append((doc_id, *counts, digest))
-                links.append((keys, times))
-                size += len(keys)
+            found = aligner.documents(column(batch, "body"))
+            for doc_id, text in zip(column(batch, "doc_id"), found, strict=True):
+                rows.append((doc_id, *text.counts, text.digest))
+                links.append((text.keys, text.times))
+                size += len(text.keys)
                 if size >= run_links or len(rows) >= run_links >> 4:
                     yield flush()
                     number, rows, links, size = number + 1, [], [], 0

@@ -101,24 +101,25 @@ def test_clashing_columns_and_empty_table(spark, odd_docs, no_docs):
 
 
 def test_bites_do_not_change_a_long_text(monkeypatch):
-    text = "\n".join(prose(i, 50) + "  " for i in range(60))
-    whole = alignment.Aligner(A, B).document(text)
-    monkeypatch.setattr(alignment, "BITE", 100)
+    texts = ["\n".join(prose(i, 50) + "  " for i in range(n)) for n in (60, 1, 0, 3, 25)] + [None, "x"]
+    whole = list(alignment.Aligner(A, B).documents(texts))
+    monkeypatch.setattr(alignment, "BITE", 400)
     monkeypatch.setattr(alignment, "KEPT_CHUNKS", 50)
-    bites = alignment.Aligner(A, B).document(text)
-    assert whole[:2] == bites[:2]
-    assert Counter(dict(zip(*np.unique(whole[2], return_counts=True), strict=True))) == Counter(dict(zip(*bites[2:], strict=True)))
+    for one, two in zip(whole, alignment.Aligner(A, B).documents(texts), strict=True):
+        assert one[:2] == two[:2]
+        counted = [np.unique(np.repeat(t.keys, t.times), return_counts=True) for t in (one, two)]
+        assert all((a == b).all() for a, b in zip(*counted, strict=True))
 
 
 def test_text_is_not_cut_where_pieces_could_go_on():
     aligner = alignment.Aligner(A, B)
-    assert aligner.cut is not None and not aligner.may_cut(["a▁b"]) and not aligner.may_cut(["\n"])
-    text = prose(1, 40) + "\n\n  x "
-    cut = aligner.document(text)
-    aligner.cut = None
+    assert aligner.may_cut and not aligner.cuts_at(["a▁b"]) and not aligner.cuts_at(["\n"])
+    text = prose(1, 40) + "\n\n  x y\nz "
+    cut = next(aligner.documents([text]))
+    aligner.may_cut = False
     aligner.forget()
-    whole = aligner.document(text)
-    assert cut[:2] == whole[:2] and sorted(cut[2]) == sorted(whole[2])
+    whole = next(aligner.documents([text]))
+    assert cut[:2] == whole[:2] and sorted(cut.keys) == sorted(whole.keys)
 
 
 def test_heap_merge_and_totals(monkeypatch):
