@@ -4,7 +4,7 @@ Every text is encoded by a byte-level vocabulary (A) and a piece vocabulary (B).
 offsets at which tokens of both end cut the text into groups, and the two tokens that end
 there are linked. How often a pair of ids is linked corpus-wide is counted outside memory:
 
-1. Tasks encode texts, and for every two million links or so write a *run*: the pairs of
+1. Tasks encode texts, and for every million links or so write a *run*: the pairs of
    ids with the documents that hold them, sorted, radix-partitioned by the low bits of the
    B id, as zstd frames.
 2. For each partition a k-way heap merge goes through the counts of all runs, B id first,
@@ -23,6 +23,7 @@ import heapq
 import itertools
 import os
 import re
+import sys
 import uuid
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
@@ -44,13 +45,13 @@ from catalodge.session import materialize, shared_dir  # noqa: E402
 
 # Partitions by the low bits of a B id; links in a run; runs in one merge; pairs in one frame.
 BITS = 7
-RUN_LINKS = 1 << 21
+RUN_LINKS = 1 << 20
 FAN = 256
 FRAME = 1 << 13
 # Characters encoded at once, and what a worker keeps of known chunks: no result depends on these.
 BITE = 1 << 20
 KEPT_CHUNKS = 300_000
-KEPT_LINKS = 4_000_000
+KEPT_LINKS = 3_000_000
 
 # Signs that no tokenizer takes for white space. Words are keys of a worker's table: bare ones stand behind a blank,
 # others begin with the line end before them, and chunks of any other shape are behind a mark.
@@ -62,6 +63,15 @@ MARK = "\0"
 LINES = 256
 
 
+def worker_aligner(byte_bpe: str, piece_bpe: str) -> Aligner:
+    """The aligner of this Python worker, which outlives a task: vocabularies are read and frequent words encoded once."""
+    kept = sys.__dict__.setdefault("_catalodge_aligners", {})
+    if (byte_bpe, piece_bpe) not in kept:
+        kept.clear()
+        kept[byte_bpe, piece_bpe] = Aligner(byte_bpe, piece_bpe)
+    return kept[byte_bpe, piece_bpe]
+
+
 class Aligned(NamedTuple):
     """A whole text: (A tokens, B tokens, groups), the hash of its groups, and the pairs of its links with how often each occurs."""
 
@@ -108,12 +118,23 @@ class Aligner:
         return joined == b" " + probe.encode() and not any(re.search("[^▁]▁|\n", piece) for piece in pieces)
 
     def forget(self) -> None:
+        """Empty the table, but for keys that more than one text has used since it was last emptied."""
+        before = getattr(self, "table", {})
+        kept = [key for key, at in before.items() if self.uses[at] > 1]
+        kept = kept if len(kept) < KEPT_CHUNKS // 2 else []
+        codes = np.array([before[key] for key in kept], np.int64)
+        if kept:
+            texts, facts = [self.texts[at] for at in codes], self.facts[codes]
+            pairs = self.links(facts[:, 4], facts[:, 2])
         self.table: dict[str, int] = {}
         self.texts: list[bytes] = []
-        # For each key: A tokens, B tokens, groups, whether the tokens give it back, first place among the pairs.
+        # For each key: A tokens, B tokens, groups, whether the tokens give it back, first place among the pairs; uses.
         self.facts = np.empty((1 << 12, 5), np.int64)
+        self.uses = np.zeros(1 << 12, np.int32)
         self.pairs = np.empty(1 << 14, np.int64)
         self.n_pairs = 0
+        if kept and len(pairs) < KEPT_LINKS // 2:
+            self.add(kept, texts, facts[:, :4], pairs)
 
     # ---- texts to keys
 
@@ -175,7 +196,7 @@ class Aligner:
         unseen = keys.difference(self.table)
         if unseen and (len(self.table) + len(unseen) > KEPT_CHUNKS or self.n_pairs > KEPT_LINKS):
             self.forget()
-            unseen = keys
+            unseen = keys.difference(self.table)
         plain = [key for key in unseen if key[0] != MARK]
         self.add_words(plain)
         self.add_each([key for key in unseen if key not in self.table])
@@ -185,6 +206,7 @@ class Aligner:
         total, digest, found = np.zeros(3, np.int64), hashlib.sha256(), []
         for codes in bites:
             facts = self.facts[codes]
+            self.uses[codes] += 1
             if not facts[:, 3].all():
                 found = []
                 break
@@ -205,6 +227,7 @@ class Aligner:
         at, sizes = len(self.texts), facts[:, 2]
         while at + len(keys) > len(self.facts):
             self.facts = np.concatenate((self.facts, np.empty_like(self.facts)))
+            self.uses = np.concatenate((self.uses, np.zeros_like(self.uses)))
         if self.n_pairs + len(pairs) > len(self.pairs):
             self.pairs = np.concatenate((self.pairs, np.empty(max(len(pairs), len(self.pairs)), np.int64)))
         self.facts[at : at + len(keys), :4] = facts
@@ -218,7 +241,7 @@ class Aligner:
         """Encode plain words as lines of texts; those of a text that its tokens do not give back are left out."""
         blocks = [words[at : at + LINES] for at in range(0, len(words), LINES)]
         texts = ["\n".join(("", *[w if w[0] == "\n" else " " + w for w in block], "")) for block in blocks]
-        found_a = self.a.encode_batch(texts, add_special_tokens=False)
+        found_a = self.a.encode_batch_fast(texts, add_special_tokens=False)
         found_b = self.b.encode(texts, num_threads=1)
         for block, text, a, b in zip(blocks, texts, found_a, found_b, strict=True):
             body, a, b = text.encode(), a.ids, b[1:]  # B puts a blank before a text
@@ -239,7 +262,7 @@ class Aligner:
     def add_each(self, keys: list[str]) -> None:
         """Encode chunks each for itself."""
         chunks = [key[1:] if key[0] == MARK else key if key[0] == "\n" else " " + key for key in keys]
-        ids_a = [found.ids for found in self.a.encode_batch(chunks, add_special_tokens=False)]
+        ids_a = [found.ids for found in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
         if self.may_cut:
             # Behind a line end a chunk is encoded as inside a text: the blank and the line end before it are dropped.
             ids_b = [ids[2:] for ids in self.b.encode(["\n" + chunk for chunk in chunks], num_threads=1)]
@@ -400,6 +423,7 @@ def spill(keys: np.ndarray, docs: np.ndarray, times: np.ndarray, n_docs: int) ->
         return []
     pairs, places = np.unique(keys, return_inverse=True)
     held = places * n_docs + docs
+    del keys, places
     order = np.argsort(held, kind="stable")
     held = held[order]
     starts = np.flatnonzero(np.diff(held, prepend=-1))
@@ -429,7 +453,7 @@ def runs(docs: DataFrame, byte_bpe: str, piece_bpe: str, text: str = "text", run
     """Texts encoded and their links spilled: one row for each run of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(byte_bpe, piece_bpe)
+        aligner = worker_aligner(byte_bpe, piece_bpe)
         number = TaskContext.get().partitionId() << 32
         rows, links, size = [], [], 0
 
