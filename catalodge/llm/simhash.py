@@ -9,12 +9,13 @@ returns a spanning forest of its links, never all pairs of a group of copies.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalodge.llm.common import column, slices, utf8
@@ -29,6 +30,8 @@ TILE = 1 << 15
 STEP = 256
 HASHES_AT_ONCE = 1 << 16
 LOW_HALF = 0xFFFFFFFF
+# Blocks of tiles: about so many, each within these bounds on its fingerprints.
+BLOCKS, LEAST_IN_BLOCK, MOST_IN_BLOCK = 16, 1 << 12, 1 << 20
 
 
 def bit_sums(hashes: np.ndarray) -> np.ndarray:
@@ -37,33 +40,44 @@ def bit_sums(hashes: np.ndarray) -> np.ndarray:
     return bits.sum(axis=0, dtype=np.int64)
 
 
-def fingerprint(body: bytes) -> int:
-    """The signed 64-bit SimHash of a text in UTF-8: a bit is 1 if over half of the shingle hashes have it.
-
-    Shingles are WORDS words of the text with A-Z in lower case, all of them where there
-    are fewer; a text without words has fingerprint 0.
-    """
+def shingle_hashes(body: bytes, width: int = WORDS) -> Iterator[np.ndarray]:
+    """XXH64 of each run of `width` words of a text in UTF-8 with A-Z in lower case, in pieces; all words where there are fewer."""
     words = body.lower().split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    width = min(WORDS, len(words))
+    width = min(width, len(words))
     starts, ends = starts[: len(words) - width + 1], ends[width - 1 :]
-    total, digest = np.zeros(64, np.int64), xxhash.xxh64_intdigest
+    digest = xxhash.xxh64_intdigest
     for at in range(0, len(starts), HASHES_AT_ONCE):
         spans = zip(starts[at : at + HASHES_AT_ONCE].tolist(), ends[at : at + HASHES_AT_ONCE].tolist(), strict=True)
-        total += bit_sums(np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64))
-    return int(np.packbits(2 * total > len(starts), bitorder="little").view("<i8")[0])
+        yield np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64)
+
 
+def fingerprint_of(hashes: Iterable[np.ndarray]) -> int:
+    total, n = np.zeros(64, np.int64), 0
+    for some in hashes:
+        total += bit_sums(some)
+        n += len(some)
+    return int(np.packbits(2 * total > n, bitorder="little").view("<i8")[0]) if n else 0
+
+
+def fingerprint(body: bytes, width: int = WORDS) -> int:
+    """The signed 64-bit SimHash of a text in UTF-8: a bit is 1 if over half of the shingle hashes have it.
 
-def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
+    A text without words has fingerprint 0.
+    """
+    return fingerprint_of(shingle_hashes(body, width))
+
+
+def fingerprints(docs: DataFrame, text: str = "text", width: int = WORDS) -> DataFrame:
     """doc_id, fp (signed 64 bits) for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [fingerprint(body) for body in column(batch, "body")]
+            found = [fingerprint(body, width) for body in column(batch, "body")]
             ids = batch.column(batch.schema.get_field_index("doc_id"))
             yield pa.RecordBatch.from_arrays([ids, pa.array(found, pa.int64())], ["doc_id", "fp"])
 
@@ -119,7 +133,11 @@ def forest(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarray
 
 
 def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(u, v) links between distinct fingerprints that connect all that lie within the radius."""
+    """(u, v) links between distinct fingerprints that connect all that lie within the radius.
+
+    Tiles are put into blocks in the order of their counts, and a task compares two blocks,
+    so a fingerprint moves once for each block near its own, not for each tile.
+    """
     halves = nodes.select(
         "fp",
         F.bit_count(F.col("fp").bitwiseAND(F.lit(LOW_HALF))).alias("a"),
@@ -131,35 +149,49 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
         halves.join(F.broadcast(parts), ["a", "b"])
         .withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
         .groupBy("a", "b", "part")
-        .agg(F.collect_list("fp").alias("fps")),
+        .agg(F.collect_list("fp").alias("fps"), F.count("*").alias("n")),
         "tiles",
     )
-    steps = [(x, y) for x in range(radius + 1) for y in range(-radius, radius + 1) if (x, y) >= (0, 0) and x + abs(y) <= radius]
-    offsets = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in steps])
-    names = tiles.select("a", "b", "part")
-    near = names.select("a", "b", "part", F.explode(offsets).alias("o")).selectExpr(
-        "a", "b", "part", "a + o.x AS a2", "b + o.y AS b2"
-    )
-    pairs = near.join(names.selectExpr("a AS a2", "b AS b2", "part AS part2"), ["a2", "b2"]).where(
-        "a != a2 OR b != b2 OR part <= part2"
+    # One row for each tile: a few for each million fingerprints, beside the 1,089 counts.
+    names = tiles.select("a", "b", "part", "n")
+    total = names.agg(F.sum("n")).first()[0] or 0
+    size = min(MOST_IN_BLOCK, max(LEAST_IN_BLOCK, -(-total // BLOCKS)))
+    before = F.sum("n").over(Window.orderBy("a", "b", "part").rowsBetween(Window.unboundedPreceding, -1))
+    placed = names.withColumn("block", F.floor(F.coalesce(before, F.lit(0)) / size)).drop("n")
+    blocks = materialize(
+        tiles.join(placed, ["a", "b", "part"])
+        .groupBy("block")
+        .agg(F.collect_list(F.struct("a", "b", "part", "fps")).alias("tiles"), F.min("a").alias("low"), F.max("a").alias("high")),
+        "blocks",
     )
-    compared = pairs.join(tiles.withColumnRenamed("fps", "left"), ["a", "b", "part"]).join(
-        tiles.selectExpr("a AS a2", "b AS b2", "part AS part2", "fps AS right"), ["a2", "b2", "part2"]
+    near = blocks.select("block", F.explode(F.sequence(F.col("low") - radius, F.col("high") + radius)).alias("a"))
+    reached = blocks.select(F.col("block").alias("block2"), F.explode(F.sequence("low", "high")).alias("a"))
+    pairs = near.join(reached, "a").where("block <= block2").select("block", "block2").distinct()
+    compared = pairs.join(blocks.selectExpr("block", "tiles AS left"), "block").join(
+        blocks.selectExpr("block AS block2", "tiles AS right"), "block2"
     )
 
-    def numbers(values: pa.ListScalar) -> np.ndarray:
-        return values.values.to_numpy(zero_copy_only=False).view(np.uint64)
+    def unpacked(row: pa.StructScalar) -> list[tuple[tuple[int, int, int], np.ndarray]]:
+        return [
+            (tuple(tile[name].as_py() for name in ("a", "b", "part")), tile["fps"].values.to_numpy(zero_copy_only=False).view(np.uint64))
+            for tile in row
+        ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for one, two in zip(batch.column(0), batch.column(1), strict=True):
-                u, v = forest(numbers(one), numbers(two), radius)
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+            for same, one, two in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                left, right = unpacked(one), unpacked(two)
+                for (name, fps), (name2, fps2) in itertools.product(left, right):
+                    if abs(name[0] - name2[0]) + abs(name[1] - name2[1]) > radius or same and name > name2:
+                        continue
+                    u, v = forest(fps, fps2, radius)
+                    if len(u):
+                        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-    return compared.select("left", "right").mapInArrow(run, "u long, v long")
+    return compared.select(F.expr("block = block2").alias("same"), "left", "right").mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, text: str = "text", width: int = WORDS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable over links) for each row.
 
     Two rows are linked when their fingerprints differ in `radius` bits or fewer. Null and
@@ -167,7 +199,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, text: str = "text") -
     row each; a null id never is a component's id unless all its ids are null. An empty
     table gives an empty result. Other columns are not read.
     """
-    found = materialize(fingerprints(docs, text), "fingerprints")
+    found = materialize(fingerprints(docs, text, width), "fingerprints")
     nodes = materialize(found.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "nodes")
     roots = component_roots(links(nodes, radius))
     # A root is its own member; then each root's smallest document.
