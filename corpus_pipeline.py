@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from catalodge.llm import quality
 from catalodge.llm.decontaminate import without_leaks
 from catalodge.llm.exact_dedup import DigestIndex, digest_of, exact_dedup
+from catalodge.llm.near_copies import near_copies
 from catalodge.llm.packing import pack
 from catalodge.llm.queries import new_folder, table
-from catalodge.llm.simhash import near_duplicates
 from catalodge.session import materialize
 
 
@@ -37,16 +37,21 @@ def rank_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, the one with the largest id."""
-    decided = exact_dedup(docs, DigestIndex(spark, new_folder(spark, "digest-index")))
+    index = DigestIndex(spark, new_folder(spark, "digest-index"))
+    decided = exact_dedup(docs, index)
+    index.close()
     keys = decided.where("kept").select(F.concat_ws(":", "text_sha256", _id()).alias("key"))
     return _only(docs, F.concat_ws(":", F.lower(F.hex(digest_of())), _id()), keys)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of linked fingerprints, the document with the smallest id."""
-    stays = near_duplicates(docs).where("doc_id <=> component_id").select(_id().alias("key")).distinct()
+    """Of each class of documents linked by a similarity of 0.8 of their five-word shingles, the one with the smallest id.
+
+    Documents without an id stay.
+    """
+    dropped = near_copies(docs).where("doc_id != class_id").select(_id().alias("key"))
     rows = docs.select(F.struct("*").alias("row"), _id().alias("key"))
-    return rows.join(stays, "key", "left_semi").select("row.*")
+    return rows.join(dropped, "key", "left_anti").select("row.*")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
