@@ -537,7 +537,7 @@ def _item_modules(ruled: DataFrame) -> DataFrame:
     """List items that read exactly 'name (N credits)': optional where the nearest heading above says so, else core."""
     found = elements.under_marks(
         ruled, "page_id", "school", tags=("li",), marks=("h3", "h4", "h5", "strong"),
-        values={"name": lambda e: let(html.inner_text(e["body"]), lambda t: F.trim(blank_to_null(F.regexp_extract(t, ITEM, 1))))},
+        values={"name": lambda e: let(html.inner_text(e["body"]), lambda t: blank_to_null(F.trim(F.regexp_extract(t, ITEM, 1))))},
     )
     kind = F.when(F.lower("above").contains("optional"), "optional").otherwise("core")
     nothing = F.lit(None).cast("string")
@@ -588,7 +588,7 @@ def article_modules(pages: DataFrame) -> DataFrame:
         own = pages.filter((F.col("school") == school) & (F.col("category") == site_rules.MODULES) & F.col("url").rlike(page_re))
 
         def first_of(pattern: str) -> Callable[[Column], Column]:
-            return lambda e: let(html.page_text(e["body"]), lambda t: norm_ws(blank_to_null(F.regexp_extract(t, pattern, 1))))
+            return lambda e: let(html.page_text(e["body"]), lambda t: blank_to_null(norm_ws(F.regexp_extract(t, pattern, 1))))
 
         found = elements.under_marks(
             own, "page_id", "school", "url", tags=("article",), marks=headings, values={name: first_of(p) for name, p in fields.items()}

@@ -358,7 +358,7 @@ def module_list_extract(spark, sf):
 
 @query(
     "nested_tables",
-    """SELECT p_partkey AS page_id, t.table_no, t.outer_no, CASE t.k WHEN 'a' THEN p_name || ' ' || p_brand WHEN 'x' THEN p_brand ELSE p_type END AS first_cell,
+    """SELECT p_partkey AS page_id, t.table_no, t.outer_no, CASE t.k WHEN 'a' THEN p_name || ' ' || p_brand || ' ' || p_size WHEN 'x' THEN p_brand ELSE p_type END AS first_cell,
   CASE t.k WHEN 'a' THEN p_type ELSE CAST(p_size AS VARCHAR) END AS second_cell
 FROM part, (VALUES (0, -1, 'a'), (1, 0, 'x'), (2, -1, 'b')) t(table_no, outer_no, k)""",
 )
@@ -391,8 +391,8 @@ def spanned_columns(spark, sf):
 
 @query(
     "element_intervals",
-    """SELECT p_partkey AS page_id, k.n AS item_no, CASE k.n WHEN 1 THEN p_name ELSE p_brand END AS text, k.inside FROM part, (VALUES (0, true), (1, true), (2, true), (3, false)) k(n, inside)
-WHERE k.n = 1 OR k.n = 2 OR k.n = 3 OR k.n = 0""".replace("CASE k.n WHEN 1 THEN p_name ELSE p_brand END", "CASE k.n WHEN 0 THEN p_name || ' ' || p_brand WHEN 1 THEN p_brand WHEN 2 THEN p_type ELSE CAST(p_size AS VARCHAR) END"),
+    """SELECT p_partkey AS page_id, k.n AS item_no, CASE k.n WHEN 0 THEN p_name || ' ' || p_brand WHEN 1 THEN p_brand WHEN 2 THEN p_type ELSE CAST(p_size AS VARCHAR) END AS text,
+  k.inside FROM part, (VALUES (0, true), (1, true), (2, true), (3, false)) k(n, inside)""",
 )
 def element_intervals(spark, sf):
     pages = composed(

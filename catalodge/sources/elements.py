@@ -15,6 +15,7 @@ from __future__ import annotations
 import itertools
 import re
 from collections.abc import Callable
+from html import unescape
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -232,122 +233,86 @@ def elements(page: Column, *tags: str) -> Column:
     return F.arrow_udf(cut, f"array<{ELEMENT}>")(page)
 
 
-CELL = "struct<element: int, is_header: boolean, column: int, html: string>"
-ROW = f"struct<row_no: int, html: string, is_header: boolean, cells: array<{CELL}>, grid: array<struct<row: int, cell: int>>>"
-TABLE = f"struct<table_no: int, outer: int, open: int, caption: string, heading: string, rows: array<{ROW}>>"
+NAMED = "struct<name: string, column: int>"
+ROW = "struct<row_no: int, html: string, is_header: boolean, cells: array<string>, cell_html: array<string>, places: array<struct<row: int, cell: int>>>"
+TABLE = f"struct<table_no: int, outer: int, caption: string, heading: string, columns: array<{NAMED}>, rows: array<{ROW}>>"
 
-CELL_FIELDS = [("element", pa.int32()), ("is_header", pa.bool_()), ("column", pa.int32()), ("html", pa.string())]
-GRID_FIELDS = [("row", pa.int32()), ("cell", pa.int32())]
+NOISE, TAG = re.compile(html.NOISE_RE), re.compile(html.TAG_RE)
+
+
+def plain_text(fragment: str) -> str:
+    """Text of a fragment on one line, as ``html.inner_text`` makes it."""
+    return " ".join(unescape(TAG.sub(" ", NOISE.sub("<br>", fragment))).split())
+
+
+def header_cells(table: Table, found: list[Element], texts: list[list[str]]) -> list[tuple[str, int]]:
+    """(text, first column) of the header cells above the first row with a data cell; of all rows where there are none above."""
+    heads = [[found[cell.element].tag == "th" for cell in row.cells] for row in table.rows]
+    top = list(itertools.takewhile(lambda y: all(heads[y]), range(len(heads)))) or range(len(heads))
+    return [(texts[y][x], cell.column) for y in top for x, cell in enumerate(table.rows[y].cells) if heads[y][x]]
 
 
 def _cut_tables(pages: pa.Array) -> pa.Array:
-    """Tables of each page as markup: the nearest heading above, the caption, rows, cells and grids."""
-    per_page, per_table, per_row, per_grid = [], [], [], []
-    tables, rows, cells, grids = [], [], [], []
+    """Tables of each page: the nearest heading above, the caption, header columns, and rows with texts, markup and grid."""
+    per_page, per_table, per_header, per_row, per_grid = [], [], [], [], []
+    tables, headers, rows, cells, bodies, grids = [], [], [], [], [], []
     for value in pages:
         text = value.as_py() or ""
         found = tag_pass(text)
-        inside = lambda at: text[found[at].start : found[at].end]  # noqa: B023, E731
         heads = [at for at, e in enumerate(found) if e.tag in HEADINGS]
         above = -1
         cut = table_pass(text, found)
         per_page.append(len(cut))
+
+        def inside(at: int) -> str:
+            return text[found[at].start : found[at].end]  # noqa: B023
+
         for number, table in enumerate(cut):
             while above + 1 < len(heads) and heads[above + 1] < table.element:
                 above += 1
-            caption = inside(table.caption) if table.caption >= 0 else ""
-            heading = inside(heads[above]) if above >= 0 else ""
-            tables.append((number, table.outer, found[table.element].open, caption, heading))
+            caption = plain_text(inside(table.caption)) if table.caption >= 0 else ""
+            tables.append((number, table.outer, caption, plain_text(inside(heads[above])) if above >= 0 else ""))
+            markup = [[inside(cell.element) for cell in row.cells] for row in table.rows]
+            texts = [[plain_text(cell) for cell in row] for row in markup]
+            named = header_cells(table, found, texts)
+            headers += named
+            per_header.append(len(named))
             per_table.append(len(table.rows))
             for place, row in enumerate(table.rows):
                 e = found[row.element]
-                kinds = [found[c.element].tag == "th" for c in row.cells]
-                rows.append((place, text[e.open : e.close], all(kinds)))
+                rows.append((place, text[e.open : e.close], all(found[c.element].tag == "th" for c in row.cells)))
                 per_row.append(len(row.cells))
                 per_grid.append(len(row.grid))
-                cells += [(c.element, th, c.column, inside(c.element)) for c, th in zip(row.cells, kinds, strict=True)]
+                cells += texts[place]
+                bodies += markup[place]
                 grids += row.grid
-    cell_lists = _lists(per_row, _structs(cells, CELL_FIELDS))
-    grid_lists = _lists(per_grid, _structs(grids, GRID_FIELDS))
     flat = _structs(rows, [("row_no", pa.int32()), ("html", pa.string()), ("is_header", pa.bool_())])
     row_structs = pa.StructArray.from_arrays(
-        [*flat.flatten(), cell_lists, grid_lists], ["row_no", "html", "is_header", "cells", "grid"]
+        [
+            *flat.flatten(), _lists(per_row, pa.array(cells, pa.string())), _lists(per_row, pa.array(bodies, pa.string())),
+            _lists(per_grid, _structs(grids, [("row", pa.int32()), ("cell", pa.int32())])),
+        ],
+        ["row_no", "html", "is_header", "cells", "cell_html", "places"],
     )
-    named = [("table_no", pa.int32()), ("outer", pa.int32()), ("open", pa.int32()), ("caption", pa.string()), ("heading", pa.string())]
+    named = [("table_no", pa.int32()), ("outer", pa.int32()), ("caption", pa.string()), ("heading", pa.string())]
+    header_lists = _lists(per_header, _structs(headers, [("name", pa.string()), ("column", pa.int32())]))
     table_structs = pa.StructArray.from_arrays(
-        [*_structs(tables, named).flatten(), _lists(per_table, row_structs)], [n for n, _ in named] + ["rows"]
+        [*_structs(tables, named).flatten(), header_lists, _lists(per_table, row_structs)], [n for n, _ in named] + ["columns", "rows"]
     )
     return _lists(per_page, table_structs)
 
 
 def tables(page: Column) -> Column:
-    """array<struct<table_no, outer, heading, caption, columns, rows: array<struct<row_no, html, is_header, cells, cell_html, grid>>>>.
+    """array<struct<table_no, outer, caption, heading, columns, rows: array<struct<row_no, html, is_header, cells, cell_html, places>>>>.
 
     A row's ``cells`` are the texts of its own cells; a table inside a cell is a table of its
     own, with ``outer`` as the number of the one around it, and its text is part of the
-    cell's. ``grid`` has a text for every column: cells that span columns or rows count in
-    all places that they cover, and ``starts`` marks those that begin in the row. ``columns`` are (name, column) of the header cells, rows
-    from the top until the first one with a data cell; without such rows all header cells.
+    cell's. ``places`` names for every column the (row, cell) that covers it, (-1, -1) where
+    none does: cells that span columns or rows cover several places. ``columns`` are
+    (name, column) of the header cells, rows from the top until the first one with a data
+    cell; without such rows all header cells. ``heading`` is the nearest one above.
     """
-
-    def text_of(cell: Column) -> Column:
-        return html.inner_text(cell["html"])
-
-    def with_texts(row: Column) -> Column:
-        return F.struct(
-            row["row_no"].alias("row_no"),
-            row["html"].alias("html"),
-            row["is_header"].alias("is_header"),
-            F.transform(row["cells"], text_of).alias("cells"),
-            F.transform(row["cells"], lambda c: c["html"]).alias("cell_html"),
-            F.transform(row["cells"], lambda c: c["is_header"]).alias("heads"),
-            F.transform(row["cells"], lambda c: c["column"]).alias("at"),
-            row["grid"].alias("places"),
-        )
-
-    def header_cells(rows: Column) -> Column:
-        first = F.coalesce(F.array_position(F.transform(rows, lambda r: r["is_header"]), F.lit(False)), F.lit(0)).cast("int")
-        top = F.when(first > 1, F.slice(rows, F.lit(1), F.greatest(first - 1, F.lit(1)))).when(first == 1, F.slice(rows, 1, 0)).otherwise(rows)
-        source = F.when(F.size(top) > 0, top).otherwise(rows)
-        named = F.transform(
-            source,
-            lambda r: F.filter(
-                F.zip_with(
-                    F.zip_with(r["cells"], r["at"], lambda name, column: F.struct(name.alias("name"), column.alias("column"))),
-                    r["heads"],
-                    lambda entry, head: F.when(head, entry),
-                ),
-                lambda entry: entry.isNotNull(),
-            ),
-        )
-        return F.flatten(named)
-
-    def finished(table: Column, rows: Column) -> Column:
-        def place_text(place: Column) -> Column:
-            return F.get(F.get(rows, place["row"])["cells"], place["cell"])
-
-        return F.struct(
-            table["table_no"].alias("table_no"),
-            table["outer"].alias("outer"),
-            html.inner_text(table["heading"]).alias("heading"),
-            html.inner_text(table["caption"]).alias("caption"),
-            header_cells(rows).alias("columns"),
-            F.transform(
-                rows,
-                lambda r: F.struct(
-                    r["row_no"].alias("row_no"), r["html"].alias("html"), r["is_header"].alias("is_header"), r["cells"].alias("cells"),
-                    r["cell_html"].alias("cell_html"),
-                    F.transform(r["places"], lambda p: F.when(p["row"] >= 0, place_text(p))).alias("grid"),
-                    F.transform(r["places"], lambda p: p["row"] == r["row_no"]).alias("starts"),
-                ),
-            ).alias("rows"),
-        )
-
-    def texted(table: Column) -> Column:
-        made = F.transform(table["rows"], with_texts)
-        return F.get(F.transform(F.array(made), lambda rows: finished(table, rows)), F.lit(0))
-
-    return F.transform(F.arrow_udf(_cut_tables, f"array<{TABLE}>")(page), texted)
+    return F.arrow_udf(_cut_tables, f"array<{TABLE}>")(page)
 
 
 def column_of(columns: Column, name: Column | str) -> Column:
@@ -357,12 +322,17 @@ def column_of(columns: Column, name: Column | str) -> Column:
 
 
 def page_cells(pages: DataFrame, *keep: str, page: str = "html") -> DataFrame:
-    """One row per table row: kept columns, table_no, outer, heading, caption, columns, row_no, is_header, cells, cell_html, row_html, grid, starts."""
+    """One row per table row: kept columns, table_no, outer, heading, caption, columns, row_no, is_header, cells, cell_html, row_html, grid, starts.
+
+    ``grid`` has the text that covers each column, and ``starts`` whether its cell begins in the row.
+    """
     cut = pages.select(*keep, F.explode(tables(html.page_string(F.col(page)))).alias("t"))
-    rows = cut.select(*keep, "t.table_no", "t.outer", "t.heading", "t.caption", "t.columns", F.explode("t.rows").alias("r"))
+    rows = cut.select(*keep, "t.table_no", "t.outer", "t.heading", "t.caption", "t.columns", "t.rows", F.explode("t.rows").alias("r"))
+    text_at = lambda p: F.get(F.get("rows", p["row"])["cells"], p["cell"])
     return rows.select(
         *keep, "table_no", "outer", "heading", "caption", "columns", "r.row_no", "r.is_header", "r.cells", "r.cell_html",
-        F.col("r.html").alias("row_html"), "r.grid", "r.starts",
+        F.col("r.html").alias("row_html"), F.transform("r.places", lambda p: F.when(p["row"] >= 0, text_at(p))).alias("grid"),
+        F.transform("r.places", lambda p: p["row"] == F.col("r.row_no")).alias("starts"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catalodge.operators import closure
 from catalodge.plans import extraction, site_rules
-from catalodge.sources import elements
+from catalodge.sources import elements, html
 
 
 def shown(page):
@@ -94,6 +94,14 @@ def test_grids_with_spans(spark):
     assert got == {(n, y): line for n, table in enumerate(drawn) for y, line in enumerate(painted(table))}
 
 
+def test_plain_text_is_that_of_columns(spark):
+    draw = random.Random(3)
+    pieces = ["a ", "<b>", "</b>", "&pound;", "&amp;lt;", "&nbsp;", "&#163;", "&#x80;", "<!-- x -->", "<script>1<2</script>", "\n\t", "<br/>", "<i title='>'>", " < ", "é", "&", "\u3000"]
+    rows = [(n, "".join(draw.choice(pieces) for _ in range(draw.randrange(12)))) for n in range(400)]
+    got = dict(map(tuple, spark.createDataFrame(rows, "n int, part string").select("n", html.inner_text(F.col("part"))).collect()))
+    assert got == {n: elements.plain_text(part) for n, part in rows}
+
+
 def test_nested_tables_keep_all_cells(spark):
     page = "<h2>A</h2><table><caption>cap</caption><tr><td>a<table><tr><td>x</td><td>y</td></tr></table></td><td>b</td></tr><tr><td>c</td><td>d</td></tr></table><h3>B</h3><table><tr><th>h</th></tr><tr></tr></table>"
     rows = elements.page_cells(spark.createDataFrame([(1, page), (2, None), (3, "")], "page_id int, html string"), "page_id")
