@@ -167,7 +167,7 @@ TRANSLATION_FIXES = (
     ("硕士学位", ""), ("学士学位", ""),
     ("耳机研究所", "耳科研究所"),
 )
-COURSE_CODE_RE = r"[A-Z]{2,4}[0-9]{4}"
+COURSE_CODE_RE = r"[A-Z]{2,4}\d{4}"
 # -------------------------------------------------------------------------------
 
 
@@ -228,7 +228,7 @@ def plan_label_zh(text: Column) -> Column:
     # Parts around the connectors, each trimmed, joined by single blanks.
     linked = F.regexp_replace(text, r"\s*\bor\b\s*", " 或 ")
     linked = F.regexp_replace(linked, r"\s*\band\b\s*", " 和 ")
-    levelled = F.regexp_replace(text, r"(?i)\bLevel ([0-9])\b", "$1级")
+    levelled = F.regexp_replace(text, LEVEL_RE, "$1级")
     words = let(
         replace_phrases(levelled, PLAN_TERMS, whole_words=True),
         lambda w: F.when((w != levelled) & w.rlike(HAN_RE), F.trim(F.regexp_replace(w, r"\s+", " "))),
@@ -236,7 +236,13 @@ def plan_label_zh(text: Column) -> Column:
     return F.when(has_code, F.trim(linked)).otherwise(words)
 
 
-TERM_RE = r"(?i)\bT([123])\b.*?(20[0-9]{2})"
+# Patterns of plan file names and labels.
+LEVEL_RE = r"(?i)\bLevel (\d)\b"
+TERM_RE = r"(?i)\bT([123])\b.*?(20\d{2})"
+NOT_A_SUBJECT = (r"^\d{4}$", r"(?i)^(bachelor|master)\b", "(?i)^1st yr")
+SHORT_CODE_RE = r"^[A-Za-z]+\d*$"
+CODE_IN_FRONT_RE = r"^[A-Za-z]{4,7}\d\s+"
+BEHIND_RE = r"(?i)\s+(full|part)\s+time.*$"
 
 
 def plan_variant_label(url: Column) -> Column:
@@ -259,16 +265,16 @@ def _label_of_pieces(pieces: Column) -> Column:
     kept = F.when(at > 0, F.slice(pieces, F.lit(1), at - 1)).otherwise(pieces)
 
     def is_subject(s: Column) -> Column:
-        code = s.rlike("^[0-9]{4}$") | s.rlike(r"(?i)^(bachelor|master)\b") | s.rlike("(?i)^1st yr")
-        return ~(code | ((F.char_length(s) <= 8) & s.rlike(r"^[A-Za-z]+[0-9]*$")))
+        other = s.rlike("|".join(NOT_A_SUBJECT))
+        return ~(other | ((F.char_length(s) <= 8) & s.rlike(SHORT_CODE_RE)))
 
     def last_of(rest: Column) -> Column:
         return F.coalesce(
             F.try_element_at(F.filter(rest, is_subject), F.lit(-1)), F.try_element_at(rest, F.lit(-1)), F.lit("")
         )
 
-    major = F.trim(F.regexp_replace(let(kept, last_of), r"^[A-Za-z]{4,7}[0-9]\s+", ""))
-    major = F.trim(F.regexp_replace(major, r"(?i)\s+(full|part)\s+time.*$", ""))
+    major = F.trim(F.regexp_replace(let(kept, last_of), CODE_IN_FRONT_RE, ""))
+    major = F.trim(F.regexp_replace(major, BEHIND_RE, ""))
     label = F.concat_ws(" · ", blank_to_null(let(major, title_case)), F.when(at > 0, term))
     return F.coalesce(blank_to_null(label), F.lit("培养计划"))
 

@@ -118,10 +118,14 @@ def resolve(base: Column, href: Column) -> Column:
     return let(_parts(base), lambda on: let(_parts(F.trim(href)), lambda to: joined(on, to)))
 
 
+# Fixed value: course pages in year folders.
+COURSE_PATH_RE = r"^/20\d{2}/([a-z]\d{3,4}/[a-z0-9-]+)/?$"
+
+
 def canonical_course(url: Column, domain: str) -> Column:
     """Drop the year folder of a course page on ``domain`` so that each course has one URL."""
     path = url_part(url, PATH)
-    course = F.regexp_extract(path, r"^/20[0-9]{2}/([a-z][0-9]{3,4}/[a-z0-9-]+)/?$", 1)
+    course = F.regexp_extract(path, COURSE_PATH_RE, 1)
     scheme = F.coalesce(F.nullif(url_part(url, SCHEME), F.lit("")), F.lit("https"))
     return F.when(
         (url_part(url, AUTHORITY) == domain) & (course != ""),

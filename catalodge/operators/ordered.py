@@ -169,6 +169,32 @@ def number_all(df: DataFrame, order: Names, name: str) -> DataFrame:
     return rows.join(offsets, "__range").withColumn(name, F.col("__place") + F.col("__offset") + 1).select(*df.columns, name)
 
 
+def number_in_keys(df: DataFrame, keys: Names, order: Names, name: str, total: str | None = None) -> DataFrame:
+    """1, 2, 3, ... in the order of each key, however many rows a key has, and no bucket is needed.
+
+    Rows are dealt into ranges of (key, order) and written sorted, so a large key spans
+    several ranges. A row's number is its place among the rows of its key in its range,
+    moved by their counts in the ranges before. With ``total``, that column has the number
+    of rows of the key. NULL is a key like any other.
+    """
+    ranged = df.repartitionByRange(*[F.col(c) for c in (*keys, *order)]).sortWithinPartitions(*keys, *order)
+    rows = materialize(ranged.withColumn("__id", F.monotonically_increasing_id()), "numbered")
+    rows = rows.withColumn("__range", F.shiftright("__id", 33))
+    counts = rows.groupBy(*keys, "__range").agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        *[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__range").alias("__r"), "__first",
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"), F.sum("__n").over(whole).alias("__total"),
+    )
+    same = rows["__range"] == offsets["__r"]
+    for k in keys:
+        same = same & rows[k].eqNullSafe(offsets[f"__k_{k}"])
+    numbered = rows.join(offsets, same).withColumn(name, F.col("__id") - F.col("__first") + F.col("__offset") + 1)
+    numbered = numbered if total is None else numbered.withColumn(total, F.col("__total"))
+    return numbered.select(*df.columns, name, *([] if total is None else [total]))
+
+
 def first_per_key(df: DataFrame, keys: Names, order: Names) -> DataFrame:
     """One row per key: the first in the given order. Partial results are combined before the shuffle."""
     return _one_per_key(df, keys, order, F.min_by)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalodge.operators import ordered
+
 from catalodge.operators.lookup import top_ancestors
 
 
@@ -75,17 +77,18 @@ def total_weight(items: Column) -> Column:
 def chunked_lists(
     rows: DataFrame, keys: Sequence[str], order: Sequence[str], element: Column, limit: int = 10_000
 ) -> DataFrame:
-    """(keys, chunk, n_chunks, items): sorted lists per key, cut into chunks of about ``limit``.
+    """(keys, chunk, n_chunks, items): sorted lists per key, cut into chunks of ``limit`` items.
 
-    A key with no more than ``limit`` rows yields one list. A larger one is spread
-    by a hash of its order columns over as many chunks as it needs, so no task ever
-    holds an unbounded list and no row is dropped. Inside a chunk items are in order.
+    Chunks are numbered from 0 in the order of the key's rows, so laid end to end they are
+    its whole sorted list; a short list is a single chunk. No task holds more than a chunk
+    or a range of rows, and no row is dropped.
     """
-    n_chunks = F.ceil(F.count(F.lit(1)) / F.lit(limit)).cast("int")
-    large = rows.groupBy(*keys).agg(n_chunks.alias("n_chunks")).filter("n_chunks > 1")
-    sized = rows.join(large, list(keys), "left").withColumn("n_chunks", F.coalesce("n_chunks", F.lit(1)))
-    sized = sized.withColumn("chunk", F.pmod(F.xxhash64(*order), F.col("n_chunks")).cast("int"))
-    # Shuffled by key and chunk: a join on the key alone would keep a large key in one task.
-    spread = sized.repartition(*[F.col(k) for k in keys], F.col("chunk"))
-    items = F.array_sort(F.collect_list(F.struct(F.struct(*order).alias("o"), element.alias("e"))))
-    return spread.groupBy(*keys, "chunk", "n_chunks").agg(F.transform(items, lambda i: i["e"]).alias("items"))
+    numbered = ordered.number_in_keys(rows.withColumn("__element", element), keys, order, "__number", "__total")
+    placed = numbered.withColumns(
+        {
+            "chunk": F.floor((F.col("__number") - 1) / limit).cast("int"),
+            "n_chunks": F.ceil(F.col("__total") / limit).cast("int"),
+        }
+    )
+    items = F.array_sort(F.collect_list(F.struct("__number", F.col("__element").alias("e"))))
+    return placed.groupBy(*keys, "chunk", "n_chunks").agg(F.transform(items, lambda i: i["e"]).alias("items"))

@@ -60,7 +60,9 @@ def _event(name: Column, start: Column) -> Column:
     return rules.event_type(name, start)
 
 
-OUTPUT = ["page_id", "school", "academic_year", "calendar_track", "event_type", "name", "start_date", "end_date"]
+# ``pos`` is the place of an event on its page: of several with one key the last one holds.
+OUTPUT = ["page_id", "school", "academic_year", "calendar_track", "event_type", "name", "start_date", "end_date", "pos"]
+ROW_PLACE = "CAST(table_no AS BIGINT) * 1000000 + row_no"
 
 
 # ---- tables -----------------------------------------------------------------------------
@@ -95,7 +97,7 @@ def from_tables(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     ).otherwise(F.struct(dates.loose_date(day).alias("start"), dates.loose_date(cell(F.col("end_cell"))).alias("end")))
     shaped = rows.filter((n >= F.col("min_cells")) & year.isNotNull()).select(
         "page_id", "school", "heading", year.alias("academic_year"), "calendar_track", "year_from",
-        cell(F.col("name_cell")).alias("name"), span.alias("span"),
+        cell(F.col("name_cell")).alias("name"), span.alias("span"), F.expr(ROW_PLACE).alias("pos"),
     )
     twice = F.count(F.lit(1)).over(Window.partitionBy("page_id", "name")) > 1
     semester = F.col("heading").rlike(r"^Semester \d$") & ~F.contains(F.col("name"), F.col("heading"))
@@ -108,6 +110,7 @@ def from_tables(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     return shaped.withColumn("shown", named).filter(start.isNotNull() & (F.col("name") != "")).select(
         "page_id", "school", "academic_year", "calendar_track", F.when(is_exam_page, exam).otherwise(plain).alias("event_type"),
         F.when(is_exam_page, exam_name).otherwise(F.col("shown")).alias("name"), start.alias("start_date"), F.col("span.end").alias("end_date"),
+        "pos",
     )
 
 
@@ -115,15 +118,18 @@ def from_matrix(pages: DataFrame) -> DataFrame:
     """Events from tables whose header row names one academic year per column."""
     tables = _term_pages(pages).select("page_id", "school", F.explode(elements.tables(F.col("html"))).alias("t"))
     years = F.transform(F.get("t.rows", F.lit(0))["cells"], lambda c: _year_label(c, F.lit(r"(20\d{2})/(\d{2})")))
-    rows = tables.select("page_id", "school", years.alias("years"), F.explode("t.rows").alias("r")).filter("r.row_no > 0")
-    cells = rows.select("page_id", "school", "years", F.get("r.cells", F.lit(0)).alias("name"), F.posexplode("r.cells").alias("at", "cell"))
+    rows = tables.select("page_id", "school", "t.table_no", years.alias("years"), F.explode("t.rows").alias("r")).filter("r.row_no > 0")
+    cells = rows.select(
+        "page_id", "school", "table_no", "r.row_no", "years", F.get("r.cells", F.lit(0)).alias("name"), F.posexplode("r.cells").alias("at", "cell")
+    )
     spans = cells.filter("at > 0").select(
-        "page_id", "school", F.get("years", F.col("at")).alias("academic_year"), "name", dates.date_range(F.col("cell")).alias("span")
+        "page_id", "school", F.get("years", F.col("at")).alias("academic_year"), "name", dates.date_range(F.col("cell")).alias("span"),
+        (F.expr(ROW_PLACE) * 1000 + F.col("at")).alias("pos"),
     )
     start = F.col("span.start")
     return spans.filter(F.col("academic_year").isNotNull() & start.isNotNull()).select(
         "page_id", "school", "academic_year", F.lit("standard").alias("calendar_track"), _event(F.col("name"), start).alias("event_type"),
-        "name", start.alias("start_date"), F.col("span.end").alias("end_date"),
+        "name", start.alias("start_date"), F.col("span.end").alias("end_date"), "pos",
     )
 
 
@@ -160,9 +166,9 @@ def from_blocks(pages: DataFrame) -> DataFrame:
         ),
     )
     return numbered.select(
-        "page_id", "school", "academic_year", F.lit("standard").alias("calendar_track"),
-        F.inline(F.filter(items, lambda e: e.isNotNull())),
-    ).select(*OUTPUT)
+        "page_id", "school", "academic_year", F.lit("standard").alias("calendar_track"), F.expr(ROW_PLACE).alias("place"),
+        F.posexplode(F.filter(items, lambda e: e.isNotNull())).alias("at", "e"),
+    ).select("*", "e.*", (F.col("place") * 10 + F.col("at")).alias("pos")).select(*OUTPUT)
 
 
 def from_yearless_rows(pages: DataFrame, year: Column) -> DataFrame:
@@ -175,13 +181,13 @@ def from_yearless_rows(pages: DataFrame, year: Column) -> DataFrame:
     shaped = rows.select(
         "page_id", "school", F.col("year").alias("academic_year"), label.alias("label"), semester.alias("semester"),
         dates.loose_date(F.concat_ws(" ", F.get(found, F.lit(0)), "year")).alias("start_date"),
-        dates.loose_date(F.concat_ws(" ", F.element_at(found, -1), "year")).alias("end_date"),
+        dates.loose_date(F.concat_ws(" ", F.element_at(found, -1), "year")).alias("end_date"), F.expr(ROW_PLACE).alias("pos"),
     )
     name = F.when(F.col("semester") == "", F.col("label")).otherwise(F.concat(F.col("label"), F.lit("（"), F.col("semester"), F.lit("）")))
     return shaped.filter(F.col("start_date").isNotNull() & (F.col("label") != "")).select(
         "page_id", "school", "academic_year", F.lit("standard").alias("calendar_track"),
         _event(F.col("label"), F.col("start_date")).alias("event_type"), name.alias("name"), "start_date",
-        F.coalesce("end_date", "start_date").alias("end_date"),
+        F.coalesce("end_date", "start_date").alias("end_date"), "pos",
     )
 
 
@@ -204,7 +210,7 @@ def from_begin_end_rows(pages: DataFrame) -> DataFrame:
     )
     return merged.select(
         "page_id", "school", "academic_year", F.lit("standard").alias("calendar_track"),
-        _event(F.col("name"), F.col("start_date")).alias("event_type"), "name", "start_date", "end_date",
+        _event(F.col("name"), F.col("start_date")).alias("event_type"), "name", "start_date", "end_date", F.lit(0).cast("long").alias("pos"),
     )
 
 
@@ -350,10 +356,10 @@ def from_points(pages: DataFrame) -> DataFrame:
     events = let(
         _table_points(first_table), lambda p: _told_apart(F.concat(_paired(p["points"]), p["ranges"]))
     )
-    rows = found.select("page_id", "school", year.alias("academic_year"), F.inline(events))
+    rows = found.select("page_id", "school", year.alias("academic_year"), F.posexplode(events).alias("at", "e")).select("*", "e.*")
     return rows.select(
         "page_id", "school", "academic_year", F.lit("standard").alias("calendar_track"),
-        _event(F.col("name"), F.col("start_date")).alias("event_type"), "name", "start_date", "end_date",
+        _event(F.col("name"), F.col("start_date")).alias("event_type"), "name", "start_date", "end_date", F.col("at").cast("long").alias("pos"),
     )
 
 
@@ -419,7 +425,7 @@ def from_lines(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     )
     return events.select(
         "page_id", "school", "academic_year", F.lit("standard").alias("calendar_track"), _event(F.col("name"), start).alias("event_type"),
-        "name", start.alias("start_date"), F.col("span.end").alias("end_date"),
+        "name", start.alias("start_date"), F.col("span.end").alias("end_date"), F.col("line_no").cast("long").alias("pos"),
     )
 
 
@@ -435,12 +441,12 @@ def from_date_then_label(pages: DataFrame, default_year: Column) -> DataFrame:
     shaped = rows.select(
         "page_id", "school", year.alias("academic_year"), F.col("value").alias("name"),
         dates.loose_date(F.concat_ws(" ", F.get(parts, F.lit(0)), year)).alias("start_date"),
-        dates.loose_date(F.concat_ws(" ", F.element_at(parts, -1), year)).alias("end_date"),
+        dates.loose_date(F.concat_ws(" ", F.element_at(parts, -1), year)).alias("end_date"), F.col("line_no").cast("long").alias("pos"),
     )
     return shaped.filter(F.col("start_date").isNotNull()).select(
         "page_id", "school", "academic_year", F.lit("standard").alias("calendar_track"),
         _event(F.col("name"), F.col("start_date")).alias("event_type"), "name", "start_date",
-        F.coalesce("end_date", "start_date").alias("end_date"),
+        F.coalesce("end_date", "start_date").alias("end_date"), "pos",
     )
 
 

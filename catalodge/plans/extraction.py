@@ -58,6 +58,7 @@ def level_from_aqf(label: Column) -> Column:
     return F.when(n.isNull(), None).when(n >= 10, "PGR").when(taught, "PGT").otherwise("UG")
 
 
+# Fixed value: department mentions.
 DEPARTMENT_RE = (
     r"\b(Birmingham Business School|School of [A-Z][A-Za-z &,\-]{3,80}|Department of [A-Z][A-Za-z &,\-]{3,80})\b"
 )

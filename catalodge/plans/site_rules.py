@@ -387,6 +387,9 @@ ARTICLE_MODULES = [
 # Deadlines in rounds: (school, page_re, header of the date column, audience, type, time, note before and behind the number).
 DEADLINE_ROUNDS = [("edi", "/postgraduate-taught/", "application deadline", "all", "round", "23:59:00", "第 ", " 轮申请截止")]
 
+# Links of unit pages that name programmes.
+WARWICK_STUDY_RE = r"/study/(?:undergraduate|postgraduate)/courses[^/]*/[a-z0-9-]+/?(?:\?|$)"
+
 # ---- page checks: (school, category, pattern that must still occur, label) --------------------
 CHECKS = [
     ("gla", FACULTIES, "College of", "colleges"), ("edi", "china_page", "China", "china"), ("bristol", "china_page", "China", "china"),

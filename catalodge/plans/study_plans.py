@@ -12,7 +12,11 @@ from catalodge.sources import html
 
 # Column borders where a page has no header words, and the margin before a header.
 PREREQ_X, CREDIT_X, MARGIN = 400, 510, 8
-CODE_RE = r"^[A-Z]{2,4}[0-9]{4}"
+# Patterns of plan tables.
+CODE_RE = r"^[A-Z]{2,4}\d{4}"
+TERM_HEAD_RE = r"^Year (\d+) Term (\d+)"
+CREDIT_RE = r"^\d+$"
+CROSS_REFERENCE_RE = r"\[\d{4}\]\s*$"
 
 
 def plan_lines(words: DataFrame) -> DataFrame:
@@ -51,7 +55,7 @@ def plan_items(words: DataFrame) -> DataFrame:
     degrees ('... [3736]') are no items. A single leading code is split off; 'A or B' stays a label.
     """
     lines = plan_lines(words)
-    head_re = r"^Year ([0-9]+) Term ([0-9]+)"
+    head_re = TERM_HEAD_RE
     is_head = F.col("line").rlike(head_re)
     head = F.struct(
         F.regexp_extract("line", head_re, 1).try_cast("int").alias("year"), F.regexp_extract("line", head_re, 2).try_cast("int").alias("term")
@@ -64,8 +68,8 @@ def plan_items(words: DataFrame) -> DataFrame:
         & F.col("under").isNotNull()
         & ~F.col("line").startswith("Course or Activity")
         & (F.col("name") != "")
-        & F.col("credit").rlike("^[0-9]+$")
-        & ~F.col("name").rlike(r"\[[0-9]{4}\]\s*$")
+        & F.col("credit").rlike(CREDIT_RE)
+        & ~F.col("name").rlike(CROSS_REFERENCE_RE)
     )
     code = F.regexp_extract("name", CODE_RE, 0)
     rest = F.regexp_replace("name", CODE_RE, "")

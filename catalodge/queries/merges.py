@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalodge.functions import translate, urls
 from catalodge.operators import merge, ordered, registry
 from catalodge.operators.merge import MergeSpec, Unit
+from catalodge.operators.sharded import ShardedTable
 from catalodge.plans import entities, views
-from catalodge.queries.registry import query, table
+from catalodge.queries.registry import ORACLE, query, table
 from catalodge.queries.relational import PAGES_SQL, mapped, registry_pages, sql_map
+from catalodge.session import materialize, shared_dir
 
 CUT = "TIMESTAMP '1998-01-01'"
 ORDER = ["seq", "o_orderkey"]
@@ -64,6 +68,22 @@ def diff_upsert(spark, sf):
     return out.fillna(-1, subset=["tuition"]).fillna("-", subset=["priority"])
 
 
+def sharded(spark, name, keys, schema):
+    """A new sharded table in the shared folder."""
+    return ShardedTable(spark, f"{shared_dir(spark, 'sharded')}/{name}-{uuid.uuid4().hex}", keys, schema, shards=16)
+
+
+@query("sharded_upsert", ORACLE["diff_upsert"])
+def sharded_upsert(spark, sf):
+    stored, batch = stored_and_batch(spark, sf)
+    target = sharded(spark, "customers", CUSTOMER.keys, "program_id bigint, tuition int, priority string, status string")
+    target.replace(stored)
+    target.merge(batch, CUSTOMER, ORDER, month())
+    out = materialize(target.read(), "sharded-upsert")
+    target.close()
+    return out.fillna(-1, subset=["tuition"]).fillna("-", subset=["priority"])
+
+
 @query(
     "change_log",
     f"""WITH {RECORDS_SQL}, a AS (SELECT * FROM s UNION ALL SELECT * FROM b),
@@ -255,6 +275,21 @@ def replace_set(spark, sf):
     return merge.replace_sets(stored, incoming, ["program_id"], ["module_id"], ["year_of_study", "module_type"])
 
 
+@query("sharded_replace_set", ORACLE["replace_set"])
+def sharded_replace_set(spark, sf):
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("program_id"), F.col("l_partkey").alias("module_id"),
+        F.col("l_linenumber").alias("year_of_study"), F.col("l_returnflag").alias("module_type"), "l_shipdate",
+    )
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    target = sharded(spark, "members", ["program_id"], "program_id bigint, module_id bigint, year_of_study int, module_type string")
+    target.replace(rows.filter(F.col("l_shipdate") < cut).drop("l_shipdate"))
+    target.replace_sets(rows.filter(F.col("l_shipdate") >= cut).drop("l_shipdate"), ["module_id"], ["year_of_study", "module_type"])
+    out = materialize(target.read(), "sharded-members")
+    target.close()
+    return out
+
+
 def fetch_log(spark, sf, source=None):
     kind = mapped(F.col("event_type"), TYPES)
     events = table(spark, sf, "events") if source is None else source

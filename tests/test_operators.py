@@ -243,7 +243,19 @@ def test_chunked_lists_lose_nothing(spark):
     out = rollup.chunked_lists(rows, ["k"], ["id"], F.col("id"), limit=100).collect()
     assert sorted(i for r in out for i in r["items"]) == list(range(1000))
     assert {r["k"]: r["n_chunks"] for r in out} == {1: 9, 2: 1}
-    assert all(r["items"] == sorted(r["items"]) and len(r["items"]) < 200 for r in out)
+    assert all(r["items"] == sorted(r["items"]) and len(r["items"]) <= 100 for r in out)
+
+
+def test_chunks_laid_end_to_end_are_the_sorted_list(spark):
+    draw = random.Random(5)
+    rows = [(draw.choice(("a", "b", None)), draw.randrange(40), i) for i in range(70)] + [("c", 1, 99)]
+    out = rollup.chunked_lists(spark.createDataFrame(rows, "k string, o int, i int").repartition(5), ["k"], ["o", "i"], F.col("i"), limit=3)
+    found = {}
+    for r in out.orderBy("k", "chunk").collect():
+        assert r["chunk"] == len(found.setdefault(r["k"], [])) / 3 and r["n_chunks"] == -(-sum(k == r["k"] for k, *_ in rows) // 3)
+        found[r["k"]] += r["items"]
+    assert found == {k: [i for _, o, i in sorted((r for r in rows if r[0] == k), key=lambda r: r[1:])] for k in ("a", "b", None, "c")}
+    assert rollup.chunked_lists(spark.createDataFrame([], "k string, o int, i int"), ["k"], ["o"], F.col("i")).count() == 0
 
 
 def test_majority_vote_needs_a_strict_majority(spark):
