@@ -101,6 +101,11 @@ def _blocked(members: DataFrame) -> DataFrame:
     return dealt.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
 
 
+def with_ids(docs: DataFrame, text: str) -> DataFrame:
+    """doc_id, text of the rows that have an id."""
+    return docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
+
+
 def near_copies(docs: DataFrame, width: int = WORDS, radius: int = RADIUS, similarity: float = SIMILARITY, text: str = "text") -> DataFrame:
     """doc_id, class_id for each document with an id: the smallest id that links lead to, itself included.
 
@@ -111,6 +116,13 @@ def near_copies(docs: DataFrame, width: int = WORDS, radius: int = RADIUS, simil
     document, linked by each of its texts. Rows without an id are left out; an empty table
     gives an empty result; other columns are not read.
     """
+    known = with_ids(docs, text)
+    found = near_duplicates(known, radius, "text", width).select("doc_id", F.col("component_id").alias("grp"))
+    return verified_classes(known, materialize(found.distinct(), "candidate-groups"), width, radius, similarity)
+
+
+def verified_classes(known: DataFrame, groups: DataFrame, width: int, radius: int, similarity: float) -> DataFrame:
+    """Classes of documents (doc_id, text) linked by exact similarity inside candidate groups (doc_id, grp)."""
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [field.split()[0] for field in MEMBER.split(", ")]
@@ -127,11 +139,8 @@ def near_copies(docs: DataFrame, width: int = WORDS, radius: int = RADIUS, simil
                 names,
             )
 
-    known = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    found = near_duplicates(known, radius, "text", width).select("doc_id", F.col("component_id").alias("grp"))
-    found = materialize(found.distinct(), "candidate-groups")
-    sizes = materialize(found.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1"), "group-sizes")
-    in_groups = hot_lookup(found, sizes, "grp", "n").select("doc_id", "grp")
+    sizes = materialize(groups.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1"), "group-sizes")
+    in_groups = hot_lookup(groups, sizes, "grp", "n").select("doc_id", "grp")
     rows = known.select("doc_id", utf8("text").alias("body")).join(in_groups, "doc_id").select("grp", "doc_id", "body")
     members = materialize(rows.mapInArrow(shingled, MEMBER), "members")
 

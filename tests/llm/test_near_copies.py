@@ -5,6 +5,7 @@ import random
 import pytest
 from texts import WORDS
 
+from catalodge.llm import minhash
 from catalodge.llm import near_copies as near
 
 
@@ -70,6 +71,22 @@ def test_blocks_lose_no_link(spark, corpus, monkeypatch):
     assert sorted(map(tuple, near.near_copies(docs).collect())) == whole
 
 
+def test_bands_against_all_pairs(spark, corpus):
+    corpus = corpus[:200] + [(10_000 + i, corpus[3 * i][1]) for i in range(30)]
+    sets = {i: shingles(t) for i, t in corpus}
+    ids = sorted(sets)
+    linked = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if similarity(sets[a], sets[b]) >= 0.8]
+    want = classes(linked, ids)
+    got = dict(map(tuple, minhash.near_copies(spark.createDataFrame(corpus, "doc_id long, text string").repartition(5)).collect()))
+    assert got.keys() == want.keys() and all(want[i] == want[c] for i, c in got.items())
+    assert sum(got[a] == got[b] for a, b in linked) >= 0.99 * len(linked)
+
+
+def test_bands_of_odd_documents(spark, odd_docs, no_docs):
+    got = dict(map(tuple, minhash.near_copies(odd_docs).collect()))
+    assert got[5] == 1 and got[3] == got[4] == 2 and got[6] == 6 and minhash.near_copies(no_docs).count() == 0
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     rows = near.near_copies(odd_docs).collect()
     assert len({r["doc_id"] for r in rows}) == len(rows) == odd_docs.where("doc_id IS NOT NULL").select("doc_id").distinct().count()
