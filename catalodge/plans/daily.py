@@ -109,7 +109,8 @@ def extract_all(spark: SparkSession, pages: DataFrame, names: DataFrame, aliases
         counts = rows.select("page_id") if counts is None else counts.unionByName(rows.select("page_id"))
     counts = counts.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_records"))
     quality = extraction.quality_notes(ready, counts, ruled, looked_at).filter(F.col("kind") != "no rules")
-    return Extracted(**found, notes=notes.unionByName(quality))
+    faults = extraction.page_faults(pages, fields)
+    return Extracted(**found, notes=notes.unionByName(quality).unionByName(faults))
 
 
 def changed_pages(fetched: DataFrame, known: DataFrame) -> DataFrame:

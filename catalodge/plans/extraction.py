@@ -189,6 +189,13 @@ def _candidates() -> Column:
         lambda e: e["value"] != "",
     )
     source = F.col("source")
+    def listed_entry(item: Column) -> Column:
+        value = extract(feeds.item_text(item, F.col("value_field")), F.col("target_re"))
+        label = blank_to_null(norm_ws(F.try_element_at(item, F.col("label_field")).try_cast("string")))
+        return let(value, lambda v: F.when(v.isNotNull(), entry(v, nothing, F.coalesce(label, v))))
+
+    listed = F.filter(F.transform(feeds.json_items(page), listed_entry), lambda e: e.isNotNull())
+    listed = F.coalesce(listed, none)
     numbered = F.transform(
         feeds.numbered_page_urls(F.transform(anchors, lambda a: a["url"])),
         lambda u: entry(u, u, F.regexp_extract(u, r"[?&]page=(\d+)", 1)),
@@ -211,6 +218,7 @@ def _candidates() -> Column:
         .when(source == "match", matches)
         .when(source == "next", nexts)
         .when(source == "self", own)
+        .when(source == "json", listed)
         .when(source == "numbered", numbered)
         .when(source == "full", full)
         .when(source == "indexed", indexed)
@@ -226,7 +234,11 @@ def discover(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     """
     ruled = with_rules(
         pages.withColumn("html", html.page_string(F.col("html"))), rules_table, "html", shape=True
-    ).withColumn("scopes", elements.scopes(F.col("html"), F.col("scope_re")))
+    )
+    # Rules that look for text cut it by a pattern, the others take the elements with such an opening tag.
+    by_text = F.regexp_extract_all(F.col("html"), F.col("scope_re"), F.lit(0))
+    by_tag = elements.scopes(F.col("html"), F.when(F.col("source") != "match", F.col("scope_re")))
+    ruled = ruled.withColumn("scopes", F.when((F.col("source") == "match") & F.col("scope_re").isNotNull(), by_text).otherwise(by_tag))
     # The links of a rule's elements are cut once; several kinds of rules look at them.
     wants_links = F.col("source").isin("link", "next", "numbered", "full")
     ruled = ruled.withColumn("scope_links", F.when(wants_links, F.transform("scopes", lambda scope: html.links(scope, F.col("url")))))
@@ -238,7 +250,7 @@ def discover(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     value = F.col("c.value")
     value = F.when(F.col("unwrap"), urls.unwrap_redirect(value)).otherwise(value)
     found = found.withColumn("value", value)
-    matched = F.col("source").isin("match", "next", "self", "numbered", "full", "indexed", "offset") | F.regexp_like(F.col("value"), F.col("target_re"))
+    matched = F.col("source").isin("match", "next", "self", "json", "numbered", "full", "indexed", "offset") | F.regexp_like(F.col("value"), F.col("target_re"))
     excluded = F.coalesce(F.regexp_like(F.col("value"), F.col("exclude_re")), F.lit(False))
     found = found.filter(matched & ~excluded)
     found = found.withColumn("career", F.explode(F.coalesce("careers", F.array(F.lit("")))))
@@ -799,6 +811,47 @@ def page_checks(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     )
 
 
+# Pages that answer in JSON, by school and category.
+JSON_PAGES = {("anu", site_rules.CATALOG): None, ("sydney", site_rules.CATALOG): None, ("sydney", site_rules.MODULES): r"org\.coveo\.com"}
+# Numbers that the stored columns can hold.
+NUMBERS = {
+    "tuition_home": 10**8, "tuition_intl": 10**8, "ielts_overall": 10, "ielts_min_each": 10, "credits": 2**15,
+}
+
+
+def page_faults(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
+    """(page_id, kind, message): what is wrong with the content of pages, one row for each fault.
+
+    Bytes that are no UTF-8, answers that are not JSON, embedded objects that do not parse,
+    and found values that are no numbers or too large for their column. All other values of
+    such a page, and all other pages, still give their rows.
+    """
+    raw = pages.select("page_id", "school", "category", "url", (~F.is_valid_utf8(F.col("html").cast("string"))).alias("broken"))
+    fault = lambda message: (F.lit("fault").alias("kind"), message.alias("message"))
+    out = raw.filter("broken").select("page_id", *fault(F.lit("bytes are not valid UTF-8")))
+
+    ready = pages.withColumn("html", html.page_string(F.col("html")))
+    answers = F.lit(False)
+    for (school, category), url_re in JSON_PAGES.items():
+        own = (F.col("school") == school) & (F.col("category") == category)
+        answers = answers | (own if url_re is None else own & F.col("url").rlike(url_re))
+    not_json = answers & F.try_parse_json("html").isNull()
+    out = out.unionByName(ready.filter(not_json).select("page_id", *fault(F.lit("answer is not JSON"))))
+    block = blank_to_null(F.regexp_extract("html", feeds.NEXT_DATA_RE, 1))
+    out = out.unionByName(
+        ready.filter(block.isNotNull() & F.try_parse_json(block).isNull()).select("page_id", *fault(F.lit("embedded object is not JSON")))
+    )
+    details = prepared(pages.filter(F.col("category").isin(site_rules.DETAIL, site_rules.MODULES)))
+    fields = extract_fields(details, rules_table)
+    checked = []
+    for name, bound in NUMBERS.items():
+        value = _number(name)
+        wrong = _field(name).isNotNull() & (value.isNull() | (F.abs(value) >= bound))
+        checked.append(F.when(wrong, F.concat(F.lit(f"{name} is no number that fits: "), F.left(_field(name), F.lit(80)))))
+    found = fields.select("page_id", F.explode(F.filter(F.array(*checked), lambda m: m.isNotNull())).alias("message"))
+    return out.unionByName(found.select("page_id", *fault(F.col("message"))))
+
+
 def quality_notes(pages: DataFrame, counts: DataFrame, known: DataFrame, reference: DataFrame) -> DataFrame:
     """(page_id, kind, message): pages without rules, reference pages, pages that gave no rows.
 

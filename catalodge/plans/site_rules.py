@@ -16,6 +16,7 @@ FACULTIES, UG, PG = "faculty_list", "ug_admissions", "pg_admissions"
 # (school, category, page_re, page_not_re, source, scope_re, target_re, exclude_re, to_category, options)
 # options: first = only the first link of each scope; clean = drop query and fix the slash;
 # template = URL made from the target match; note_re = note inside the scope;
+# json: items of a JSON list, value and label name their fields, target_re cuts the value.
 # Further pages of a list: next (rel), numbered (pager links), full (as many target links as page_size), offset and
 # indexed (JSON). scope_re: start of the opening tag of the elements looked into (NULL: the whole page);
 # title ({label} is replaced), freq, method = constants of the new page; page_size = rows of a full page; unwrap = follow search redirects;
@@ -111,12 +112,12 @@ DISCOVERY = [
     ("uwa", CATALOG, None, "/units", "link", None, r"(?:course|major)details\?code=", None, DETAIL, {}),
     ("adel", CATALOG, None, None, "loc", None, r"^https://adelaide\.edu\.au/study/courses/[a-z]{2,6}-\d{4}[a-z]*/$", None, MODULES, {}),
     ("adel", CATALOG, None, None, "loc", None, r"^https://adelaide\.edu\.au/study/degrees/[a-z0-9-]{8,}/$", None, DETAIL, {}),
-    ("anu", CATALOG, "CourseSearch/GetCourses", None, "match", None, r"\"CourseCode\"\s*:\s*\"([^\"]+)\"", None, MODULES,
-     {"template": "https://programsandcourses.anu.edu.au/2026/course/{1}"}),
-    ("anu", CATALOG, "GetProgramsUnderGraduate", None, "match", None, r"\"AcademicPlanCode\"\s*:\s*\"([^\"]+)\"", None, DETAIL,
-     {"template": "https://programsandcourses.anu.edu.au/2026/program/{1}?uaLevel=UG"}),
-    ("anu", CATALOG, "ProgramSearch/GetPrograms", "UnderGraduate", "match", None, r"\"AcademicPlanCode\"\s*:\s*\"([^\"]+)\"", None, DETAIL,
-     {"template": "https://programsandcourses.anu.edu.au/2026/program/{1}?uaLevel=PGT"}),
+    ("anu", CATALOG, "CourseSearch/GetCourses", None, "json", None, r"^\s*(.*?)\s*$", None, MODULES,
+     {"template": "https://programsandcourses.anu.edu.au/2026/course/{1}", "value": "CourseCode", "label": "Name"}),
+    ("anu", CATALOG, "GetProgramsUnderGraduate", None, "json", None, r"^\s*(.*?)\s*$", None, DETAIL,
+     {"template": "https://programsandcourses.anu.edu.au/2026/program/{1}?uaLevel=UG", "value": "AcademicPlanCode", "label": "ProgramName"}),
+    ("anu", CATALOG, "ProgramSearch/GetPrograms", "UnderGraduate", "json", None, r"^\s*(.*?)\s*$", None, DETAIL,
+     {"template": "https://programsandcourses.anu.edu.au/2026/program/{1}?uaLevel=PGT", "value": "AcademicPlanCode", "label": "ProgramName"}),
     ("anu", CATALOG, "CourseSearch/GetCourses", None, "indexed", None, None, None, CATALOG, {"title": "课程 API p{label}", "page_size": 2000}),
     ("sydney", CATALOG, None, None, "offset", None, None, None, CATALOG, {"title": "Courses 枚举分页"}),
     ("sydney", MODULES, r"org\.coveo\.com", None, "offset", None, None, None, MODULES, {"title": "units 枚举分页"}),
@@ -124,8 +125,8 @@ DISCOVERY = [
     ("melb", MODULES, None, "page=", "numbered", _PAGER, None, None, MODULES, {"title": "subject 目录第 {label} 页", "method": "cdp"}),
     ("warwick", MODULES, "departments=", None, "full", None, r"/modules/2025/([A-Z]{2,4}\d{2,4}[A-Z]?-\d+(?:\.\d+)?)/?$", None, MODULES,
      {"title": "课程名单 p{label}", "page_size": 50}),
-    ("sydney", MODULES, r"org\.coveo\.com", None, "match", None, r"/units/([A-Z]{2,4}\d{4})", None, MODULES,
-     {"template": "https://www.sydney.edu.au/units/{1}"}),
+    ("sydney", MODULES, r"org\.coveo\.com", None, "json", None, r"/units/([A-Z]{2,4}\d{4})", None, MODULES,
+     {"template": "https://www.sydney.edu.au/units/{1}", "value": "clickUri", "label": "title"}),
 ]
 
 # ---- detail fields ------------------------------------------------------------------------
@@ -432,7 +433,7 @@ def discovery_rows() -> Iterator[tuple]:
             number, *head, options.get("first", False), options.get("clean", False), options.get("template"),
             options.get("careers"), options.get("note_re"), options.get("title"), options.get("freq", "monthly"),
             options.get("method", "html"), options.get("unwrap", False), options.get("canon"), options.get("suffix"),
-            options.get("carry"), options.get("page_size"),
+            options.get("carry"), options.get("page_size"), options.get("value"), options.get("label"),
         )
 
 
@@ -440,7 +441,7 @@ DISCOVERY_SCHEMA = (
     "rule_no int, school string, category string, page_re string, page_not_re string, source string, scope_re string,"
     " target_re string, exclude_re string, to_category string, first_only boolean, clean boolean, template string,"
     " careers array<string>, note_re string, fixed_title string, crawl_freq string, fetch_method string, unwrap boolean,"
-    " canon string, suffix string, carry string, page_size int"
+    " canon string, suffix string, carry string, page_size int, value_field string, label_field string"
 )
 
 

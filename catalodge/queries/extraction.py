@@ -134,7 +134,7 @@ def shape_router(spark, sf):
 def news_rules(spark):
     """Links of all pages: from English ones to articles, from the others to lists."""
     row = ("x", "program_catalog")
-    tail = (False, False, None, None, None, None, "monthly", "html", False, None, None, None, None)
+    tail = (False, False, None, None, None, None, "monthly", "html", False, None, None, None, None, None, None)
     rules_of = [
         (1, *row, "/en/", None, "link", None, "/[a-z]+$", None, "program_detail", *tail),
         (2, *row, None, "/en/", "link", None, "/[a-z0-9]+$", None, "module_catalog", *tail),
@@ -529,6 +529,41 @@ def further_pages(spark, sf):
     return pages.select("page_id", "school", "url")
 
 
+@query(
+    "json_lists",
+    """SELECT p_partkey AS page_id, 'https://programsandcourses.anu.edu.au/2026/course/COMP' || p_partkey AS url, p_name AS title FROM part WHERE p_type <> 'PROMO'
+UNION ALL SELECT p_partkey, 'https://programsandcourses.anu.edu.au/2026/course/MATH' || p_partkey, 'MATH' || p_partkey FROM part WHERE p_type <> 'PROMO'""",
+)
+def json_lists(spark, sf):
+    key = F.col("p_partkey").cast("string")
+    body = F.concat(
+        F.lit('{"Items":[{"Name":" '), "p_name", F.lit('","CourseCode":" COMP'), key, F.lit(' ","x":{"CourseCode":"inner"}},7,{"CourseCode":null},{"Name":"  ","CourseCode":"MATH'), key, F.lit('"}]}'),
+    )
+    broken = F.when(F.col("p_type") == "PROMO", F.concat(F.lit("{"), body)).otherwise(body)
+    pages = composed(spark, sf, "anu", "program_catalog", "https://p.example/CourseSearch/GetCourses?PageIndex=0", broken)
+    return jobs.discover(pages, jobs.discovery_rules(spark)).select("page_id", "url", "title")
+
+
+@query(
+    "page_faults",
+    """SELECT p_partkey AS page_id, 'anu' AS school, 'answer is not JSON' AS message FROM part WHERE p_type = 'PROMO'
+UNION ALL SELECT p_partkey, 'ucl', 'credits is no number that fits: ' || repeat(CAST(p_size AS VARCHAR), 9) FROM part WHERE p_size >= 10
+UNION ALL SELECT p_partkey, 'ucl', 'bytes are not valid UTF-8' FROM part""",
+)
+def page_faults(spark, sf):
+    answer = F.when(F.col("p_type") == "PROMO", "<html>blocked</html>").otherwise('{"Items":[]}')
+    anu = composed(spark, sf, "anu", "program_catalog", "https://p.example/ProgramSearch/GetPrograms", answer)
+    number = F.when(F.col("p_size") >= 10, F.repeat(size(), F.lit(9))).otherwise(size())
+    ucl = composed(spark, sf, "ucl", "module_catalog", "https://u/module-catalogue/modules/x-COMP0005", "<h1>M</h1><p>Credit value</p><p>", number, "</p>")
+    both = anu.withColumn("html", F.col("html").cast("binary")).unionByName(
+        ucl.withColumn("html", F.concat(F.col("html").cast("binary"), F.unhex(F.lit("FF"))))
+    )
+    found = jobs.page_faults(both.withColumn("page_id", F.when(F.col("school") == "anu", -F.col("page_id")).otherwise(F.col("page_id"))), jobs.field_rules(spark))
+    return found.select(
+        F.abs("page_id").alias("page_id"), F.when(F.col("page_id") < 0, "anu").otherwise("ucl").alias("school"), "message"
+    )
+
+
 @query(
     "unit_table_extract",
     """SELECT p_partkey AS page_id, 'COMP' || lpad(CAST(p_size AS VARCHAR), 5, '0') AS code, p_name AS name, p_size AS credits, 'Level 3' AS level FROM part""",

@@ -68,6 +68,22 @@ SEARCH_SCHEMA = (
     " usyd_courses_courseduration: STRING>>>"
 )
 
+def json_items(body: Column) -> Column:
+    """array<map<field, variant>> of the list in a JSON answer ('Items' or 'results'); NULL where it is not JSON or has none.
+
+    Items that are no objects are NULL.
+    """
+    answer = F.try_parse_json(body)
+    items = F.coalesce(*[F.try_variant_get(answer, f"$.{name}", "array<variant>") for name in ("Items", "results")])
+    return F.transform(items, lambda item: F.try_variant_get(item, "$", "map<string,variant>"))
+
+
+def item_text(item: Column, field: Column) -> Column:
+    """Text of a field of an item, else of the same field of its 'raw' part or of that part's uri; NULL for none."""
+    raw = F.try_element_at(item, F.lit("raw"))
+    return F.coalesce(F.try_element_at(item, field).try_cast("string"), F.try_variant_get(raw, "$.uri", "string"))
+
+
 def next_offset_urls(url: Column, total: Column, default_size: int = 200) -> Column:
     """Follow-up URLs of an offset-paged search; only the first page names them."""
     first = F.coalesce(urls.query_value(url, "firstResult").try_cast("int"), F.lit(0))
