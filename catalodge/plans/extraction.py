@@ -139,91 +139,112 @@ OPTION_RE = r"(?is)<option[^>]*\bvalue\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)(?=</
 CANDIDATE = "array<struct<value:string,url:string,label:string,note:string>>"
 
 
-def _candidates() -> Column:
-    """All link-like things a rule may look at, as (value, url, label, note)."""
-    page, base = F.col("html"), F.col("url")
+# Kinds of rules that look at the same parts of a page. Pages are read for the kinds that their rules have.
+KINDS = (("link", "next", "numbered", "full"), ("loc", "index"), ("option",), ("match", "self"), ("json", "indexed", "offset"))
+# Kinds whose candidates need not match the rule's pattern once more.
+SURE = ("match", "next", "self", "json", "numbered", "full", "indexed", "offset")
+
+
+def _entry(value: Column, url: Column | None = None, label: Column | None = None, note: Column | None = None) -> Column:
     nothing = F.lit(None).cast("string")
-    scopes = F.col("scopes")
+    parts = {"value": value, "url": url, "label": label, "note": note}
+    return F.struct(*[(nothing if part is None else part).alias(name) for name, part in parts.items()])
 
-    def entry(value: Column, url: Column, label: Column, note: Column = nothing) -> Column:
-        return F.struct(value.alias("value"), url.alias("url"), label.alias("label"), note.alias("note"))
 
+def _from_links(base: Column) -> dict[str, Column]:
+    """Candidates of rules that look at the links in the elements of a rule, or at those of a whole page."""
     anchors = F.flatten("scope_links")
 
-    def scope_links(scope: Column, found: Column) -> Column:
+    def of_scope(scope: Column, found: Column) -> Column:
         found = F.when(F.col("first_only"), F.slice(found, 1, 1)).otherwise(found)
         note = F.when(
             F.col("note_re").isNotNull(), html.inner_text(F.coalesce(extract(scope, F.col("note_re")), F.lit("")))
         )
-        return F.transform(found, lambda a: entry(a["url"], a["url"], a["text"], blank_to_null(note)))
+        return F.transform(found, lambda a: _entry(a["url"], a["url"], a["text"], blank_to_null(note)))
+
+    marked = F.filter(anchors, lambda a: F.regexp_like(a["tag"], F.col("target_re")))
+    targets = F.transform(anchors, lambda a: extract(a["url"], F.col("target_re")))
+    n_targets = F.size(F.array_distinct(F.filter(targets, lambda t: t.isNotNull())))
+    number = lambda u: F.regexp_extract(u, r"[?&]page=(\d+)", 1)
+    return {
+        "link": F.flatten(F.zip_with("scopes", "scope_links", of_scope)),
+        "next": F.transform(marked, lambda a: _entry(a["url"], a["url"], a["text"])),
+        "numbered": F.transform(
+            feeds.numbered_page_urls(F.transform(anchors, lambda a: a["url"])), lambda u: _entry(u, u, number(u))
+        ),
+        "full": _single(feeds.next_full_page_url(base, n_targets, F.col("page_size")), number),
+    }
 
-    locs = F.transform(F.array_distinct(feeds.sitemap_locs(page)), lambda u: entry(u, u, nothing))
-    none = F.array().cast(CANDIDATE)
-    options = F.flatten(
-        F.transform(
-            scopes,
-            lambda scope: F.transform(
-                html.all_matches(scope, OPTION_RE),
-                lambda o: entry(
-                    html.unescape(F.regexp_extract(o, OPTION_RE, 1)), nothing, html.inner_text(F.regexp_extract(o, OPTION_RE, 2))
-                ),
-            ),
-        )
-    )
-    matches = F.flatten(
-        F.transform(
-            scopes,
-            lambda scope: F.transform(
-                F.array_distinct(F.regexp_extract_all(scope, F.col("target_re"), F.lit(1))),
-                lambda m: entry(m, nothing, m),
-            ),
-        )
-    )
-    nexts = F.transform(
-        F.filter(anchors, lambda a: F.regexp_like(a["tag"], F.col("target_re"))),
-        lambda a: entry(a["url"], a["url"], a["text"]),
-    )
+
+def _single(url: Column, number: Callable[[Column], Column]) -> Column:
+    return F.filter(F.array(let(url, lambda u: _entry(u, u, number(u)))), lambda e: e["url"].isNotNull())
+
+
+def _from_sitemaps(page: Column) -> dict[str, Column]:
+    locs = F.transform(F.array_distinct(feeds.sitemap_locs(page)), lambda u: _entry(u, u))
     is_index = feeds.is_sitemap_index(page)
-    own = F.filter(
-        F.array(entry(F.call_function("regexp_extract", base, F.col("target_re"), F.lit(1)), nothing, nothing)),
-        lambda e: e["value"] != "",
+    return {"loc": F.when(~is_index, locs), "index": F.when(is_index, locs)}
+
+
+def _from_options() -> dict[str, Column]:
+    part = lambda o, group: F.regexp_extract(o, OPTION_RE, group)
+    of_scope = lambda scope: F.transform(
+        html.all_matches(scope, OPTION_RE), lambda o: _entry(html.unescape(part(o, 1)), label=html.inner_text(part(o, 2)))
     )
-    source = F.col("source")
-    def listed_entry(item: Column) -> Column:
+    return {"option": F.flatten(F.transform("scopes", of_scope))}
+
+
+def _from_text(base: Column) -> dict[str, Column]:
+    of_scope = lambda scope: F.transform(
+        F.array_distinct(F.regexp_extract_all(scope, F.col("target_re"), F.lit(1))), lambda m: _entry(m, label=m)
+    )
+    own = F.array(_entry(F.call_function("regexp_extract", base, F.col("target_re"), F.lit(1))))
+    return {"match": F.flatten(F.transform("scopes", of_scope)), "self": F.filter(own, lambda e: e["value"] != "")}
+
+
+def _from_json(page: Column, base: Column) -> dict[str, Column]:
+    def of_item(item: Column) -> Column:
         value = extract(feeds.item_text(item, F.col("value_field")), F.col("target_re"))
         label = blank_to_null(norm_ws(F.try_element_at(item, F.col("label_field")).try_cast("string")))
-        return let(value, lambda v: F.when(v.isNotNull(), entry(v, nothing, F.coalesce(label, v))))
-
-    listed = F.filter(F.transform(feeds.json_items(page), listed_entry), lambda e: e.isNotNull())
-    listed = F.coalesce(listed, none)
-    numbered = F.transform(
-        feeds.numbered_page_urls(F.transform(anchors, lambda a: a["url"])),
-        lambda u: entry(u, u, F.regexp_extract(u, r"[?&]page=(\d+)", 1)),
-    )
-    rows = F.array_distinct(F.filter(F.transform(anchors, lambda a: extract(a["url"], F.col("target_re"))), lambda v: v.isNotNull()))
-    items = F.coalesce(F.size(F.from_json(F.get_json_object(page, "$.Items"), "array<string>")), F.lit(0))
-
-    def single(url: Column, number_re: str) -> Column:
-        return F.filter(F.array(entry(url, url, F.regexp_extract(url, number_re, 1))), lambda e: e["url"].isNotNull())
-
-    full = single(feeds.next_full_page_url(base, F.size(rows), F.col("page_size")), r"[?&]page=(\d+)")
-    indexed = single(feeds.next_index_url(base, items, F.col("page_size")), r"PageIndex=(\d+)")
-    total = F.get_json_object(page, "$.totalCount").try_cast("int")
-    offset = F.transform(feeds.next_offset_urls(base, F.coalesce(total, F.lit(0))), lambda u: entry(u, u, nothing))
-    return (
-        F.when(source == "link", F.flatten(F.zip_with(scopes, "scope_links", scope_links)))
-        .when((source == "loc") & ~is_index, locs)
-        .when((source == "index") & is_index, locs)
-        .when(source == "option", options)
-        .when(source == "match", matches)
-        .when(source == "next", nexts)
-        .when(source == "self", own)
-        .when(source == "json", listed)
-        .when(source == "numbered", numbered)
-        .when(source == "full", full)
-        .when(source == "indexed", indexed)
-        .when(source == "offset", offset)
-        .otherwise(none)
+        return let(value, lambda v: F.when(v.isNotNull(), _entry(v, label=F.coalesce(label, v))))
+
+    n_items = F.coalesce(F.size(feeds.json_items(page)), F.lit(0))
+    total = F.coalesce(F.get_json_object(page, "$.totalCount").try_cast("int"), F.lit(0))
+    return {
+        "json": F.filter(F.transform(feeds.json_items(page), of_item), lambda e: e.isNotNull()),
+        "indexed": _single(feeds.next_index_url(base, n_items, F.col("page_size")), lambda u: F.regexp_extract(u, r"PageIndex=(\d+)", 1)),
+        "offset": F.transform(feeds.next_offset_urls(base, total), lambda u: _entry(u, u)),
+    }
+
+
+def _candidates(ruled: DataFrame, kinds: set[str]) -> DataFrame:
+    """Pages with rules of one group of kinds, one row for each link-like thing: pos, c (value, url, label, note)."""
+    page, base, source = F.col("html"), F.col("url"), F.col("source")
+    # Rules that look for text cut it by a pattern, the others take the elements with such an opening tag.
+    if kinds & {"match"}:
+        by_text = F.regexp_extract_all(page, F.col("scope_re"), F.lit(0))
+        ruled = ruled.withColumn("scopes", F.when(F.col("scope_re").isNull(), F.array(page)).otherwise(by_text))
+    elif kinds & {"link", "next", "numbered", "full", "option"}:
+        ruled = ruled.withColumn("scopes", elements.scopes(page, F.col("scope_re")))
+    if kinds & {"link", "next", "numbered", "full"}:
+        # The links of a rule's elements are cut once; several kinds of rules look at them.
+        ruled = ruled.withColumn("scope_links", F.transform("scopes", lambda scope: html.links(scope, base)))
+        made = _from_links(base)
+    elif kinds & {"loc", "index"}:
+        made = _from_sitemaps(page)
+    elif kinds & {"option"}:
+        made = _from_options()
+    elif kinds & {"match", "self"}:
+        made = _from_text(base)
+    else:
+        made = _from_json(page, base)
+    chosen = None
+    for kind in sorted(kinds):
+        chosen = F.when(source == kind, made[kind]) if chosen is None else chosen.when(source == kind, made[kind])
+    return ruled.select(
+        "page_id", "school", "rule_no", "source", "target_re", "exclude_re", "to_category", "template", "careers", "fixed_title",
+        "crawl_freq", "fetch_method", "clean", "unwrap", "canon", "suffix", "carry", F.col("url").alias("page_url"),
+        F.posexplode(F.coalesce(chosen, F.array().cast(CANDIDATE))).alias("pos", "c"),
     )
 
 
@@ -232,25 +253,21 @@ def discover(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
 
     Within a page each URL counts once, at its first position. Links to the page itself are dropped.
     """
-    ruled = with_rules(
-        pages.withColumn("html", html.page_string(F.col("html"))), rules_table, "html", shape=True
-    )
-    # Rules that look for text cut it by a pattern, the others take the elements with such an opening tag.
-    by_text = F.regexp_extract_all(F.col("html"), F.col("scope_re"), F.lit(0))
-    by_tag = elements.scopes(F.col("html"), F.when(F.col("source") != "match", F.col("scope_re")))
-    ruled = ruled.withColumn("scopes", F.when((F.col("source") == "match") & F.col("scope_re").isNotNull(), by_text).otherwise(by_tag))
-    # The links of a rule's elements are cut once; several kinds of rules look at them.
-    wants_links = F.col("source").isin("link", "next", "numbered", "full")
-    ruled = ruled.withColumn("scope_links", F.when(wants_links, F.transform("scopes", lambda scope: html.links(scope, F.col("url")))))
-    found = ruled.select(
-        "page_id", "school", "rule_no", "source", "target_re", "exclude_re", "to_category", "template", "careers", "fixed_title",
-        "crawl_freq", "fetch_method", "clean", "unwrap", "canon", "suffix", "carry", F.col("url").alias("page_url"),
-        F.posexplode(_candidates()).alias("pos", "c"),
-    )
+    pages = pages.withColumn("html", html.page_string(F.col("html")))
+    present = {row["source"] for row in rules_table.select("source").distinct().collect()}
+    found = None
+    for group in KINDS:
+        kinds = present & set(group)
+        if kinds:
+            ruled = with_rules(pages, rules_table.filter(F.col("source").isin(*kinds)), "html", shape=True)
+            part = _candidates(ruled, kinds)
+            found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = _candidates(with_rules(pages, rules_table, "html", shape=True), {"self"})
     value = F.col("c.value")
     value = F.when(F.col("unwrap"), urls.unwrap_redirect(value)).otherwise(value)
     found = found.withColumn("value", value)
-    matched = F.col("source").isin("match", "next", "self", "json", "numbered", "full", "indexed", "offset") | F.regexp_like(F.col("value"), F.col("target_re"))
+    matched = F.col("source").isin(*SURE) | F.regexp_like(F.col("value"), F.col("target_re"))
     excluded = F.coalesce(F.regexp_like(F.col("value"), F.col("exclude_re")), F.lit(False))
     found = found.filter(matched & ~excluded)
     found = found.withColumn("career", F.explode(F.coalesce("careers", F.array(F.lit("")))))
