@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalodge.functions import dates, fees, labels, rules, text, translate, urls
-from catalodge.sources import feeds, html
+from catalodge.sources import elements, feeds, html
 
 
 def value(spark, column):
@@ -114,7 +114,7 @@ def test_page_text_keeps_inner_padding(spark):
 
 def test_table_rows_carry_their_heading(spark):
     page = "<h2>A</h2><table><tr><td>1<td>&nbsp;</tr></table><p>x</p><table><tr><th>h</th></tr><tr><td>2</td></tr></table>"
-    tables = value(spark, html.table_rows(F.lit(page)))
+    tables = value(spark, elements.tables(F.lit(page)))
     assert [(t["heading"], [r["cells"] for r in t["rows"]]) for t in tables] == [("A", [["1", ""]]), ("A", [["h"], ["2"]])]
 
 
