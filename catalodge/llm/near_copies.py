@@ -26,6 +26,8 @@ SIMILARITY = 0.8
 RADIUS = 12
 # Documents and shingles in a block.
 BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 21
+# With fewer candidates than this, pairs are compared one by one.
+FEW = 16
 
 MEMBER = "grp long, doc_id long, fp long, size long, shingles binary"
 LINK = "u long, v long"
@@ -49,6 +51,30 @@ class Block:
         bodies = table["shingles"].to_pylist()
         self.sets = [np.frombuffer(bodies[i], np.uint64) for i in order]
         self.sizes = np.array([len(s) for s in self.sets])
+        self.postings: tuple[np.ndarray, np.ndarray] | None = None
+
+
+    def overlaps(self, one: np.ndarray) -> np.ndarray:
+        """How many hashes of a set each document has, by one look at the sorted hashes of all of them."""
+        if self.postings is None:
+            values, owners = np.concatenate(self.sets), np.repeat(np.arange(len(self.sets)), self.sizes)
+            order = np.argsort(values, kind="stable")
+            self.postings = values[order], owners[order]
+        values, owners = self.postings
+        low, high = np.searchsorted(values, one, "left"), np.searchsorted(values, one, "right")
+        sizes = high - low
+        before = np.cumsum(sizes) - sizes
+        found = owners[np.arange(int(sizes.sum())) + np.repeat(low - before, sizes)]
+        return np.bincount(found, minlength=len(self.sets))
+
+    def similar(self, one: np.ndarray, may: np.ndarray, similarity: float) -> np.ndarray:
+        """Places among `may` of documents whose similarity with a set reaches the threshold."""
+        places = np.flatnonzero(may)
+        if len(places) < FEW:
+            return np.array([j for j in places if jaccard(one, self.sets[j]) >= similarity], int)
+        both = self.overlaps(one)[places]
+        union = len(one) + self.sizes[places] - both
+        return places[(both >= similarity * union) | (union == 0)]
 
 
 def candidates(block: Block, i: int, other: Block, radius: int, similarity: float) -> np.ndarray:
@@ -64,10 +90,9 @@ def linked(block: Block, radius: int, similarity: float) -> np.ndarray:
     for i in range(len(root)):
         may = candidates(block, i, block, radius, similarity) & (root != root[i])
         may[: i + 1] = False
-        for j in np.flatnonzero(may):
-            if root[j] != root[i] and jaccard(block.sets[i], block.sets[j]) >= similarity:
-                low, high = sorted((root[i], root[j]))
-                root[root == high] = low
+        for j in block.similar(block.sets[i], may, similarity):
+            low, high = sorted((root[i], root[j]))
+            root[root == high] = low
     return root
 
 
@@ -84,9 +109,10 @@ def _cross_links(left: pa.Table, right: pa.Table, radius: int, similarity: float
     mine, theirs = (np.array([c[i] for i in b.ids.tolist()]) for c, b in zip(class_of, (one, two), strict=True))
     u, v, done = [], [], set()
     for i in range(len(one.ids)):
-        for j in np.flatnonzero(candidates(one, i, two, radius, similarity) & (theirs != mine[i])):
+        may = candidates(one, i, two, radius, similarity) & (theirs != mine[i])
+        for j in two.similar(one.sets[i], may, similarity):
             pair = mine[i], theirs[j]
-            if pair not in done and jaccard(one.sets[i], two.sets[j]) >= similarity:
+            if pair not in done:
                 done.add(pair)
                 u.append(one.ids[i])
                 v.append(two.ids[j])
