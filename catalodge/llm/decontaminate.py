@@ -264,7 +264,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     The score is the share of the item's greatest possible alignment score, for the best
     alignment; words are counted without those that are signs only. Null and empty texts
     hold nothing; an item listed twice is found twice; rows of `docs` that repeat are
-    searched each. Without items or documents the result is empty.
+    searched each. Without items or documents the result is empty. Items of fewer than
+    SHORTEST words are not searched for, and so are items in scripts without blanks, whose
+    text is one word.
     """
     found = None
     for items in item_blocks(benchmark):
@@ -290,7 +292,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns, that hold no test item."""
+    """The rows of `docs`, all columns, that hold no test item, as `find_leaks` finds them.
+
+    Null and empty texts hold nothing and stay; rows that repeat stay or go together;
+    without items all rows stay; an empty table stays empty.
+    """
     for items in item_blocks(benchmark):
         held = docs.sparkSession.sparkContext.broadcast((tuple(items), tuple(seeds_of(items, word_counts(docs, items, text), threshold))))
 

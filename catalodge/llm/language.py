@@ -223,7 +223,8 @@ def languages(docs: DataFrame, model: LanguageModel, text: str = "text") -> Data
     """doc_id, lang_pred, score for each row: the language with the greatest mean probability over all words.
 
     `und` with score 0 where the text is null or has no letter, or no language is known.
-    Ties go to the first language in order. Other columns are not read.
+    Ties go to the first language in order. Rows that repeat keep a row each, an empty table
+    gives an empty result, other columns are not read.
     """
     n = len(model.languages)
 

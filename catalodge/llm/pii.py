@@ -405,7 +405,7 @@ def personal_data(docs: DataFrame, net: Network | None, text: str = "text") -> D
 
     `spans` lists base spans and those that the network adds, as kind:start:end in code
     points by start, then kind. Null counts as empty, which has no span. Rows that repeat
-    keep a row each; other columns are not read.
+    keep a row each, an empty table gives an empty result, other columns are not read.
     """
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
 

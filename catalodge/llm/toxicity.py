@@ -258,7 +258,11 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, text: str = "text"
 
 
 def toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
-    """doc_id and score for each row; null counts as empty, which is scored like any text."""
+    """doc_id and score for each row; null counts as empty, which is scored like any text.
+
+    Rows that repeat are scored each, null ids stay, an empty table gives an empty result,
+    and other columns are not read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(model.learned)
