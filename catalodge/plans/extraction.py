@@ -103,11 +103,12 @@ def check_rules(spark: SparkSession) -> DataFrame:
 def with_rules(pages: DataFrame, rules_table: DataFrame, *keep: str, shape: bool = False) -> DataFrame:
     """Pages (page_id, school, category, url, kept columns) with each rule of their school and category.
 
-    A rule table holds a few hundred short rows, so Spark broadcasts it by its size.
+    A rule table is configuration of a few hundred short rows. It is named as the side to
+    broadcast: by estimated sizes Spark may take the pages, all of which one task then sends.
     With ``shape``, rules may restrict themselves to URLs by page_re / page_not_re.
     """
     columns = ["page_id", "school", "category", "url", *keep]
-    out = pages.select(*columns).join(rules_table, ["school", "category"])
+    out = pages.select(*columns).join(F.broadcast(rules_table), ["school", "category"])
     if shape:
         fits = F.col("page_re").isNull() | F.regexp_like(F.col("url"), F.col("page_re"))
         if "page_not_re" in rules_table.columns:
@@ -383,7 +384,8 @@ def extract_fields(pages: DataFrame, rules_table: DataFrame, names: DataFrame |
     source = pages
     keep = ["html", "text", "h1", "og_title", "title", "pairs"]
     if names is not None:
-        source = pages.join(names, "school", "left")
+        # Official names are configuration: a few dozen for each school.
+        source = pages.join(F.broadcast(names), "school", "left")
         keep.append("names")
     ruled = with_rules(source, rules_table, *keep)
     values = ruled.select(
@@ -412,7 +414,8 @@ def program_records(pages: DataFrame, rules_table: DataFrame, names: DataFrame |
     """One programme per detail page that has a name; the rest shows up in ``field_notes``."""
     fields = extract_fields(pages.filter(F.col("category") == site_rules.DETAIL), rules_table, names)
     scores = pages.select("page_id", rules.ielts(F.col("text")).alias("scores"))
-    base = fields.join(scores, "page_id")
+    # Both sides have a row for each page: neither is broadcast, however small its estimate.
+    base = fields.join(scores.hint("merge"), "page_id")
     title = _field("name_en")
     code = _field("code")
     named = F.coalesce(
@@ -489,7 +492,8 @@ def module_records(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     extra = pages.select("page_id", listed.alias("assessment"))
     code = clean_code(_field("code"))
     level = F.coalesce(_field("level"), F.concat(F.lit("L"), _field("level_no")), F.when(F.col("school").isin("monash", "unsw", "anu"), level_digit(code)))
-    return fields.join(extra, "page_id").filter(_field("name_en").isNotNull()).select(
+    # Both sides have a row for each page: neither is broadcast, however small its estimate.
+    return fields.join(extra.hint("merge"), "page_id").filter(_field("name_en").isNotNull()).select(
         "page_id", "school", "url", _field("name_en").alias("name_en"), code.alias("code"),
         _field("credits").try_cast("int").alias("credits"), level.alias("level"), _field("semester").alias("semester"),
         _field("leader").alias("leader"), _field("prerequisites").alias("prerequisites"), _field("dept").alias("dept"),
