@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalodge.functions import dates, fees, labels, rules, text, translate, urls
 from catalodge.operators import registry
-from catalodge.queries.registry import query, table
+from catalodge.queries.registry import dealt, query, table
 
 
 def nz(column, default="-"):
@@ -464,7 +464,7 @@ def label_translate(spark, sf):
         "https://x/dam/pdfs/3707%20-%20Bachelor%20Engineering%20(Honours)%20-%20Aerospace%20Engineering%20-%20AEROAH%20-%20T1%202026%20Start.pdf",
     ).otherwise(F.concat(F.lit("https://x/dam/pdfs/3502__corporate%20finance__FINSA1__T"), (1 + F.col("p_size") % 3).cast("string"), F.lit("%202027.pdf")))
     label = translate.plan_variant_label(url)
-    return table(spark, sf, "part").select(
+    return dealt(table(spark, sf, "part")).select(
         F.col("p_partkey").alias("id"), nz(translate.plan_label_zh(item)).alias("zh"), label.alias("variant"),
         translate.plan_variant_zh(label).alias("variant_zh"),
     )
