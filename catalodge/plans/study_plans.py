@@ -90,7 +90,10 @@ def with_chinese_labels(items: DataFrame, modules: DataFrame) -> DataFrame:
     named = modules.filter(F.col("code").isNotNull() & F.col("name_zh").isNotNull()).groupBy("university_id", "code").agg(
         F.min("name_zh").alias("name_zh")
     )
-    out = items.join(named, ["university_id", "code"], "left")
+    # Items without a code take no module's name. They are spread, as one null key would be one task.
+    spread = F.concat(F.lit("\u0000"), F.xxhash64(*items.columns).cast("string"))
+    keyed = items.withColumn("__code", F.coalesce("code", spread))
+    out = keyed.join(named.withColumnRenamed("code", "__code"), ["university_id", "__code"], "left")
     zh = F.when(F.col("code").isNotNull(), F.col("name_zh")).otherwise(translate.plan_label_zh(F.col("label")))
     return out.select(*items.columns, zh.alias("label_zh"))
 
