@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from catalodge.operators import ordered
 
 from catalodge.operators.lookup import top_ancestors
+from catalodge.session import materialize
 
 
 def majority_vote(
@@ -81,8 +82,32 @@ def chunked_lists(
 
     Chunks are numbered from 0 in the order of the key's rows, so laid end to end they are
     its whole sorted list; a short list is a single chunk. No task holds more than a chunk
-    or a range of rows, and no row is dropped.
+    or a range of rows, and no row is dropped. Rows of keys with no more than ``limit`` rows
+    are shuffled once; only those of larger keys are dealt into ranges and numbered.
     """
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)
+    large = materialize(sizes.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.lit(True).alias("__large")), "large-keys")
+    if large.isEmpty():
+        return _whole_lists(rows, keys, order, element)
+    same = F.lit(True)
+    for k in keys:
+        same = same & rows[k].eqNullSafe(large[f"__k_{k}"])
+    # At most one row for each ``limit`` rows of the table.
+    marked = rows.join(F.broadcast(large), same, "left")
+    short = marked.where("__large IS NULL").select(*rows.columns)
+    long = marked.where("__large").select(*rows.columns)
+    return _whole_lists(short, keys, order, element).unionByName(_numbered_lists(long, keys, order, element, limit))
+
+
+def _whole_lists(rows: DataFrame, keys: Sequence[str], order: Sequence[str], element: Column) -> DataFrame:
+    """Each key's sorted list as its only chunk."""
+    entry = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], element.alias("e"))
+    lists = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("__items"))
+    one = {"chunk": F.lit(0), "n_chunks": F.lit(1), "items": F.transform("__items", lambda i: i["e"])}
+    return lists.withColumns(one).select(*keys, *one)
+
+
+def _numbered_lists(rows: DataFrame, keys: Sequence[str], order: Sequence[str], element: Column, limit: int) -> DataFrame:
     numbered = ordered.number_in_keys(rows.withColumn("__element", element), keys, order, "__number", "__total")
     placed = numbered.withColumns(
         {
