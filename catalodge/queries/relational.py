@@ -204,7 +204,8 @@ def focus_scope(spark, sf):
         [("en", ["theth", "ingth"]), ("fr", ["QUEQUE"]), ("es", [])], "lang string, words array<string>"
     )
     focus = registry.in_focus(F.col("words"), F.col("source"), F.col("text"))
-    docs = table(spark, sf, "documents").join(words, "lang", "left")
+    # Focus words are configuration, a row for each language; texts are not shuffled.
+    docs = table(spark, sf, "documents").join(F.broadcast(words), "lang", "left")
     category = F.when(F.col("source").isin("src1", "src2", "src3"), "news").otherwise("program_detail")
     out = docs.select("doc_id", focus.alias("in_focus"), category.alias("category"))
     freq = registry.scoped_frequency(F.lit("monthly"), F.col("category"), F.col("in_focus"))
