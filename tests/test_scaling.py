@@ -2,9 +2,11 @@
 
 import re
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from catalodge.llm import token_counts
 from catalodge.operators import rollup
 from catalodge.plans import extraction as jobs
 from catalodge.plans import study_plans
@@ -74,3 +76,12 @@ def test_short_lists_are_shuffled_once_and_long_ones_cut(spark, limit):
         lists.setdefault(r["k"], []).extend(r["items"])
     order = lambda row: (row[1] is not None, row[1] or 0, row[2])
     assert lists == {k: [i for _, _, i in sorted((r for r in rows if r[0] == k), key=order)] for k in ("a", "b", None)}
+
+
+def test_token_counts_do_not_depend_on_the_sample(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i} and the other {'x' * i} text") for i in range(40)] + [(None, None), (1, "")], "doc_id long, text string")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    counted = lambda: sorted(map(tuple, token_counts.token_counts(docs, tokenizer).collect()), key=str)
+    whole = counted()
+    monkeypatch.setattr(token_counts, "frequent_lengths", lambda *_: (b"", b""))
+    assert counted() == whole and len(whole) == 42
