@@ -26,11 +26,16 @@ SIMILARITY = 0.8
 RADIUS = 12
 # Documents and shingles in a block.
 BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 21
+# Documents in a tile of the comparison of fingerprints and sizes alone.
+TILE_DOCS = 1 << 15
+# A level of blocks is followed by one more if it leaves this share of its documents at most.
+SHRINK = 0.75
 # With fewer candidates than this, pairs are compared one by one.
 FEW = 16
 
 MEMBER = "grp long, doc_id long, fp long, size long, shingles binary"
 LINK = "u long, v long"
+MEETING = [*((name, pa.int64()) for name in ("grp", "doc_id", "outer", "other")), ("outside", pa.bool_())]
 
 
 def jaccard(one: np.ndarray, two: np.ndarray) -> float:
@@ -123,10 +128,77 @@ def _blocked(members: DataFrame) -> DataFrame:
     """Members with the block of their group that they are dealt into, and how many blocks it has."""
     sizes = members.groupBy("grp").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("long")
-    dealt = hot_lookup(members, sizes.withColumn("blocks", blocks), "grp", "n").drop("n", "total")
+    # Groups of several blocks have BLOCK_DOCS members or BLOCK_SHINGLES shingles: few beside the members, which stay where they are.
+    several = sizes.select("grp", blocks.alias("blocks")).where("blocks > 1")
+    dealt = members.join(F.broadcast(several), "grp", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     return dealt.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
 
 
+def _meeting(left: pa.Table, right: pa.Table, radius: int, similarity: float) -> pa.Table:
+    """Which documents of two tiles must meet: those outside with all that may be similar and are of other classes.
+
+    One row (doc_id, outer, other, outside) for each document and pair of blocks, however many pairs it has there.
+    """
+    mine, theirs = ({name: t[name].to_numpy(zero_copy_only=False) for name in t.column_names} for t in (left, right))
+    theirs = {name: values[np.argsort(theirs["size"], kind="stable")] for name, values in theirs.items()}
+    sizes, fps = theirs["size"], theirs["fp"].view(np.uint64)
+    found = []
+    for outer in np.unique(mine["block"]):
+        hit = np.zeros(len(sizes), bool)
+        for i in np.flatnonzero(mine["block"] == outer):
+            size, doc = mine["size"][i], mine["doc_id"][i]
+            # Sizes ascend, so all that fit are in one run.
+            run = slice(max(0, np.searchsorted(sizes, np.floor(similarity * size)) - 1), np.searchsorted(sizes, np.ceil(size / similarity), "right") + 1)
+            near = np.bitwise_count(fps[run] ^ mine["fp"][i].view(np.uint64)) <= radius
+            near &= np.minimum(size, sizes[run]) >= similarity * np.maximum(size, sizes[run])
+            near &= (theirs["class_id"][run] != mine["class_id"][i]) & (~theirs["outside"][run] | (theirs["doc_id"][run] > doc))
+            if near.any():
+                hit[run] |= near
+                others = np.unique(theirs["block"][run][near])
+                found.append((np.full(len(others), doc), np.full(len(others), outer), others, np.ones(len(others), bool)))
+        n = int(hit.sum())
+        found.append((theirs["doc_id"][hit], np.full(n, outer), theirs["block"][hit], np.zeros(n, bool)))
+    names = "doc_id", "outer", "other", "outside"
+    return pa.table({name: np.concatenate([f[k] for f in found]) for k, name in enumerate(names)})
+
+
+def meetings(classed: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """(grp, doc_id, outer, other, outside): documents of large groups that must meet, by pairs of blocks.
+
+    `classed` has grp, doc_id, fp, size, block, class_id and no shingles. Documents outside a
+    group's largest class meet all others that fingerprints and sizes allow, so that no link is lost.
+    """
+    counts = classed.groupBy("grp", "class_id").agg(F.count("*").alias("n"))
+    top = counts.groupBy("grp").agg(F.max_by("class_id", F.struct("n", "class_id")).alias("top"), F.sum("n").alias("all"))
+    tiles = top.select("grp", "top", F.ceil(F.col("all") / TILE_DOCS).cast("long").alias("tiles"))
+    # One row for each group of several blocks.
+    dealt = classed.join(F.broadcast(tiles), "grp").withColumns(
+        {"tile": F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("tiles")), "outside": F.col("class_id") != F.col("top")}
+    )
+    left = dealt.where("outside").withColumn("tile2", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    right = dealt.withColumnRenamed("tile", "tile2").withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    keys, wanted = ["grp", "tile", "tile2"], ["doc_id", "fp", "size", "class_id", "block", "outside"]
+
+    def meet(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        found = _meeting(left.select(wanted), right.select(wanted), radius, similarity) if left.num_rows and right.num_rows else None
+        if found is None:
+            return pa.table({name: pa.array([], kind) for name, kind in MEETING})
+        return found.add_column(0, "grp", pa.array(np.full(found.num_rows, key[0].as_py())))
+
+    met = left.select(*keys, *wanted).groupBy(*keys).cogroup(_renewed(right.select(*keys, *wanted)).groupBy(*keys))
+    return met.applyInArrow(meet, "grp long, doc_id long, outer long, other long, outside boolean").distinct()
+
+
+def _renewed(rows: DataFrame) -> DataFrame:
+    """The same rows with columns of their own, for a table that meets one made from the same rows."""
+    return rows.select(*[F.col(name).alias(name) for name in rows.columns])
+
+
+def _of_groups(members: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Members of the groups in `wanted`, groups of several blocks and thus few; the others are not shuffled."""
+    return members.join(F.broadcast(wanted.select("grp").distinct()), "grp", "left_semi")
+
+
 def with_ids(docs: DataFrame, text: str) -> DataFrame:
     """doc_id, text of the rows that have an id."""
     return docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -176,39 +248,35 @@ def verified_classes(known: DataFrame, groups: DataFrame, width: int, radius: in
     def cross(left: pa.Table, right: pa.Table) -> pa.Table:
         return _cross_links(left, right, radius, similarity)
 
-    # Blocks first, then the smallest documents of their classes in blocks again, until a group fits into one.
+    # Blocks first, then the smallest documents of their classes in blocks again, as long as that leaves far fewer.
+    # Shingles are written once: a level is named by its ids, and what blocks do not settle is settled below.
     level, parts = members, []
     while True:
-        dealt = materialize(_blocked(level), "blocked-members")
-        parts.append(materialize(dealt.groupBy("grp", "block").applyInArrow(compare, LINK), "block-links"))
-        large = dealt.where("blocks > 1")
-        if large.isEmpty():
-            break
+        parts.append(materialize(_blocked(level).groupBy("grp", "block").applyInArrow(compare, LINK), "block-links"))
+        large = _blocked(level.select("grp", "doc_id", "size")).where("blocks > 1").select("grp", "doc_id")
         firsts = parts[-1].where("u = v").select(F.col("u").alias("doc_id")).distinct()
-        again = large.join(firsts, "doc_id").drop("block", "blocks")
-        if again.count() == large.count():
-            break  # nothing is linked inside blocks: what is left is compared below
-        level = again
+        again = materialize(large.distinct().join(firsts, "doc_id"), "level")
+        n = again.count()
+        if not n or n > SHRINK * large.count():
+            break
+        level = _of_groups(members, again).join(again, ["grp", "doc_id"], "left_semi")
     links = parts[0]
     for part in parts[1:]:
         links = links.unionByName(part)
-    # Groups of several blocks: documents outside a group's largest class meet all others, so that no link is lost.
-    large = materialize(_blocked(members).where("blocks > 1"), "large-groups")
-    if not large.isEmpty():
+    # Groups of several blocks: only documents that may still be linked are sent on, to the blocks where they may be.
+    light = materialize(_blocked(members.drop("shingles")).where("blocks > 1"), "large-groups")
+    if not light.isEmpty():
         roots = component_roots(links)
         classed = materialize(
-            large.join(roots, large["doc_id"] == roots["node"], "left").withColumn("class_id", F.coalesce("root", "doc_id")).drop("node", "root"),
+            light.join(roots, light["doc_id"] == roots["node"], "left").withColumn("class_id", F.coalesce("root", "doc_id")).drop("node", "root"),
             "classed-members",
         )
-        counts = classed.groupBy("grp", "class_id").agg(F.count("*").alias("n"))
-        top = counts.groupBy("grp").agg(F.max_by("class_id", F.struct("n", "class_id")).alias("top"))
-        outside = materialize(classed.join(top, "grp").where("class_id != top").drop("top"), "outside-members")
-        left = outside.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        seen = outside.select("grp", F.col("block").alias("outer"), "blocks").distinct()
-        right = classed.join(seen.drop("blocks"), "grp").withColumn("other", F.col("block"))
-        left = left.withColumn("outer", F.col("block"))
+        needed = materialize(meetings(classed, radius, similarity), "meetings")
+        known_class = classed.select("grp", "doc_id", "class_id").distinct()
+        bodies = _of_groups(members, needed).join(known_class, ["grp", "doc_id"]).join(needed, ["grp", "doc_id"])
+        sent = bodies.where("outside").drop("outside"), _renewed(bodies.where("NOT outside").drop("outside"))
         keys = ["grp", "outer", "other"]
-        links = links.unionByName(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cross, LINK))
+        links = links.unionByName(sent[0].groupBy(*keys).cogroup(sent[1].groupBy(*keys)).applyInArrow(cross, LINK))
     roots = component_roots(links)
     ids = known.select("doc_id").distinct()
     return ids.join(roots, ids["doc_id"] == roots["node"], "left").select("doc_id", F.coalesce("root", "doc_id").alias("class_id"))

@@ -71,6 +71,32 @@ def test_blocks_lose_no_link(spark, corpus, monkeypatch):
     assert sorted(map(tuple, near.near_copies(docs).collect())) == whole
 
 
+def test_large_groups_write_shingles_once_and_send_candidates_only(spark, monkeypatch):
+    draw = random.Random(5)
+    rows = [(i, " ".join(drawn(draw, 60))) for i in range(120)]
+    rows += [(1000 + i, text + " more") for i, text in rows[:9]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    groups = docs.selectExpr("doc_id", "CAST(0 AS LONG) AS grp")
+    written, met = [], []
+
+    def noted(df, name):
+        out = near_materialize(df, name)
+        written.append((name, "shingles" in df.columns))
+        if name == "meetings":
+            met.append(out.count())
+        return out
+
+    near_materialize = near.materialize
+    monkeypatch.setattr(near, "materialize", noted)
+    monkeypatch.setattr(near, "BLOCK_DOCS", 4)
+    monkeypatch.setattr(near, "TILE_DOCS", 40)
+    got = dict(map(tuple, near.verified_classes(docs, groups, 5, 12, 0.8).collect()))
+    assert all(c == (i - 1000 if i >= 1000 else i) for i, c in got.items()) and len(got) == len(rows)
+    assert [name for name, has in written if has] == ["members"]
+    # All 129 documents met all 33 blocks before; of those without a near copy hardly any is sent.
+    assert len(met) == 1 and met[0] <= 60
+
+
 def test_bands_against_all_pairs(spark, corpus):
     corpus = corpus[:200] + [(10_000 + i, corpus[3 * i][1]) for i in range(30)]
     sets = {i: shingles(t) for i, t in corpus}
