@@ -16,14 +16,21 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalodge.llm.common import column, fold, labelled_sample, slices, utf8
+from catalodge.llm.common import column, fold, slices, utf8
+from catalodge.operators import ordered
+from catalodge.session import materialize
 
-# Bounds of the training sample and of the pairs drawn from it.
-SAMPLE_PER_LABEL = 4000
+# Every labelled row is in a pair, and there are so many pairs at least.
 PAIRS = 24_000
+PAIRS_AT_ONCE = 8192
+# Rows of the more frequent label in a bucket of training rows, and of each label at least.
+BUCKET_ROWS, LEAST_IN_BUCKET = 4096, 64
+# Sums of a Newton step that reach the driver, and accuracy of the steps' ranks (1 / ACCURACY of all rows).
+PARTS, ACCURACY = 16, 10_000
 STEPS = 8
 RIDGE = 2.0
 SIGNS = [c for c in range(33, 127) if not chr(c).isalnum()]
@@ -122,35 +129,153 @@ def _shapes(bodies: list[bytes]) -> np.ndarray:
     return np.array([shape(body) for body in bodies])
 
 
+def _labelled_shapes(docs: DataFrame, known: DataFrame, folds: int, text: str) -> DataFrame:
+    """doc_id, label, shape of every labelled row: shapes are made where the texts lie, and only they are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            values = pa.array(list(_shapes(column(batch, "body"))), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array(column(batch, "doc_id"), pa.int64()), values], ["doc_id", "shape"])
+
+    rows = docs.where("doc_id IS NOT NULL").where(fold("doc_id", folds) != 0)
+    shapes = rows.select(F.col("doc_id").cast("long").alias("doc_id"), utf8(text).alias("body")).mapInArrow(run, "doc_id long, shape array<double>")
+    return shapes.join(known, "doc_id").select("doc_id", "label", "shape")
+
+
+def _bucketed(rows: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """(bucket, labels, shapes): all rows dealt into buckets that hold both labels, one row for each bucket.
+
+    Rows of a label too rare for that are in several buckets.
+    """
+    buckets = -(-max(counts.values()) // BUCKET_ROWS)
+    copies = F.lit(1)
+    for label, n in counts.items():
+        copies = F.when(F.col("label") == label, min(buckets, -(-buckets * LEAST_IN_BUCKET // n))).otherwise(copies)
+    dealt = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
+    dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64("doc_id") + F.col("copy"), F.lit(buckets)))
+
+    def pack(table: pa.Table) -> pa.Table:
+        found = sorted(zip(table["doc_id"].to_pylist(), table["label"].to_pylist(), table["shape"].to_pylist(), strict=True))
+        labels, shapes = np.array([f[1] for f in found], np.int8), np.array([f[2] for f in found], np.float64)
+        return pa.table({"bucket": table["bucket"][:1], "labels": pa.array([labels.tobytes()], pa.binary()), "shapes": pa.array([shapes.tobytes()], pa.binary())})
+
+    packed = dealt.select("bucket", "doc_id", "label", "shape").groupBy("bucket").applyInArrow(pack, "bucket long, labels binary, shapes binary")
+    return materialize(packed, "quality-buckets")
+
+
+def _pairs(bucket: int, labels: np.ndarray, least: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Winners and losers of a bucket: every row is in a pair, and there are `least` pairs or more."""
+    good, bad = np.flatnonzero(labels == 1), np.flatnonzero(labels != 1)
+    if not len(good) or not len(bad):
+        return good[:0], bad[:0]
+    draw, n = np.random.default_rng((seed, bucket)), max(len(good), len(bad), least)
+    return tuple(np.concatenate([draw.permutation(side) for _ in range(-(-n // len(side)))])[:n] for side in (good, bad))
+
+
+def _ranked(buckets: DataFrame, steps: np.ndarray, least: int, seed: int = 11, rounds: int = 12) -> np.ndarray:
+    """Bradley-Terry weights by Newton steps; gradient and Hessian are sums over all buckets."""
+    size = steps.size
+    w = np.zeros(size)
+    for _ in range(rounds):
+        now = w
+
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            grad, hess = np.zeros(size), np.zeros((size, size))
+            for batch in slices(batches, 1):
+                for bucket, labels, shapes in zip(*(column(batch, c) for c in ("bucket", "labels", "shapes")), strict=True):
+                    x = expand(np.frombuffer(shapes).reshape(-1, len(steps)), steps)
+                    winners, losers = _pairs(bucket, np.frombuffer(labels, np.int8), least, seed)
+                    for at in range(0, len(winners), PAIRS_AT_ONCE):
+                        d = x[winners[at : at + PAIRS_AT_ONCE]] - x[losers[at : at + PAIRS_AT_ONCE]]
+                        p = 1 / (1 + np.exp(-np.clip(d @ now, -30, 30)))
+                        grad += d.T @ (p - 1)
+                        hess += (d * (p * (1 - p))[:, None]).T @ d
+            task = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays([pa.array([task % PARTS]), pa.array([task]), pa.array([np.append(grad, hess).tobytes()], pa.binary())], ["part", "task", "sums"])
+
+        def added(table: pa.Table) -> pa.Table:
+            total = np.sum([np.frombuffer(one) for one in table.sort_by("task")["sums"].to_pylist()], axis=0)
+            return pa.table({"part": table["part"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
+
+        # A task has one row of about a megabyte; PARTS of them reach the driver.
+        found = buckets.mapInArrow(sums, "part long, task long, sums binary").groupBy("part").applyInArrow(added, "part long, sums binary").collect()
+        total = np.sum([np.frombuffer(r["sums"]) for r in sorted(found)], axis=0)
+        step = np.linalg.solve(total[size:].reshape(size, size) + RIDGE * np.eye(size), total[:size] + RIDGE * w)
+        w = w - step
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
+
+
+def _strengths(rows: DataFrame, steps: np.ndarray, w: np.ndarray) -> DataFrame:
+    """Each strength with the numbers of rows of both labels that have it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            if batch.num_rows:
+                found = expand(np.array(column(batch, "shape")), steps) @ w
+                yield pa.RecordBatch.from_arrays([pa.array(column(batch, "label"), pa.int32()), pa.array(found)], ["label", "strength"])
+
+    found = rows.select("label", "shape").mapInArrow(run, "label int, strength double")
+    return materialize(found.groupBy("strength").agg(F.count_if(F.col("label") == 1).alias("good"), F.count_if(F.col("label") != 1).alias("bad")), "strengths")
+
+
+def _threshold(strengths: DataFrame, good: float, bad: float) -> float:
+    """The cut between all strengths that errs least, where a row of label 1 below it costs `good`, one of label 0 above it `bad`."""
+    low, high = strengths.agg(F.min("strength"), F.max("strength")).first()
+    signed = strengths.withColumn("signed", good * F.col("good") - bad * F.col("bad"))
+    bucket = F.floor((F.col("strength") - low) / max(high - low, 1e-9) * 1024)
+    wrong = F.round("wrong", 12)
+    cuts = ordered.running_sum(signed, [], ["strength"], {"signed": "wrong"}, bucket)
+    least, best = cuts.agg(F.min(wrong), F.min_by("strength", F.struct(wrong, "strength"))).first()
+    if least >= 0:
+        return low - 1
+    above = strengths.where(F.col("strength") > best).agg(F.min("strength")).first()[0]
+    return best if above is None else (best + above) / 2
+
+
+def _slope(strengths: DataFrame, threshold: float, good: float, bad: float, rounds: int = 12) -> float:
+    """Slope of a logistic regression of the label on the strength, over all rows, by Newton steps."""
+    w = np.zeros(2)
+    x = F.col("strength") - threshold
+    for _ in range(rounds):
+        z = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), x * float(w[0]) + float(w[1])))
+        p = 1 / (1 + F.exp(-z))
+        miss = F.col("bad") * bad * p - F.col("good") * good * (1 - p)
+        curve = (F.col("good") * good + F.col("bad") * bad) * p * (1 - p)
+        g0, g1, h00, h01, h11 = strengths.agg(*[F.sum(v) for v in (miss * x, miss, curve * x * x, curve * x, curve)]).first()
+        step = np.linalg.solve(np.array([[h00 + 1, h01], [h01, h11 + 1]]), np.array([g0, g1]) + w)
+        w = w - step
+        if np.abs(step).max() < 1e-6:
+            break
+    return float(w[0])
+
+
 def train(docs: DataFrame, labels: DataFrame, at: float = 0.3, folds: int = 5, text: str = "text") -> QualityModel:
-    """A model from labelled rows whose fold is not 0: about SAMPLE_PER_LABEL of each label.
+    """A model from all labelled rows whose fold is not 0.
 
     Labels are joined to documents by id; a null id or label is no labelled row. Of an id
     with several labels the largest counts. With one label only, all documents get it.
+    Steps, pairs, threshold and slope are those of `fit`, made by Spark over all rows.
     """
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold("doc_id", folds) != 0)
-    known = known.groupBy("doc_id").agg((F.max("quality") == 1).cast("int").alias("label"))
+    known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("quality") == 1).cast("int").alias("label"))
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    chosen = labelled_sample(known, "label", sizes, SAMPLE_PER_LABEL, "doc_id")
-    # About SAMPLE_PER_LABEL rows of 12 bytes for each of the two labels.
-    rows = docs.select("doc_id", utf8(text).alias("body")).join(F.broadcast(chosen), "doc_id")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = _shapes(column(batch, "body"))
-            values = pa.array(list(found), pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([pa.array(column(batch, "doc_id"), pa.int64()), values, pa.array(column(batch, "label"), pa.int32())], ["doc_id", "shape", "label"])
-
-    got = sorted(
-        (r["doc_id"], r["label"], r["shape"])
-        for r in rows.select(F.col("doc_id").cast("long").alias("doc_id"), "body", "label")
-        .mapInArrow(run, "doc_id long, shape array<double>, label int")
-        .collect()
-    )
-    total = sum(sizes.values())
-    if not got:
-        return QualityModel(np.zeros((len(shape(b"")), STEPS)), np.zeros(len(shape(b"")) * STEPS), 1.0, -1.0, at)
-    return fit(np.array([g[2] for g in got]), np.array([g[1] for g in got]), sizes.get(1, 0) / total, at)
+    rows = materialize(_labelled_shapes(docs, known, folds, text), "quality-rows")
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    n = len(shape(b""))
+    if len(counts) < 2:
+        return QualityModel(np.zeros((n, STEPS)), np.zeros(n * STEPS), 1.0, 1.0 if 0 in counts else -1.0, at)
+    shares = [float(q) for q in np.linspace(0, 1, STEPS + 2)[1:-1]]
+    steps = np.array(rows.agg(*[F.percentile_approx(F.get("shape", F.lit(k)), shares, F.lit(ACCURACY)) for k in range(n)]).first(), float)
+    buckets = _bucketed(rows, counts)
+    w = _ranked(buckets, steps, -(-PAIRS // max(1, -(-max(counts.values()) // BUCKET_ROWS))))
+    share = sizes[1] / sum(sizes.values())
+    total = sum(counts.values())
+    good, bad = share / counts[1], (1 - share) / counts[0]
+    strengths = _strengths(rows, steps, w)
+    threshold = _threshold(strengths, good, bad)
+    return QualityModel(steps, w, max(_slope(strengths, threshold, good * total, bad * total), 1e-3), threshold, at)
 
 
 def score_documents(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:

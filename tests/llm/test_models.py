@@ -64,6 +64,34 @@ def test_held_out_labels_are_not_read(spark):
     assert np.array_equal(one.weights, two.weights) and one.threshold == two.threshold
 
 
+def test_quality_learns_from_every_labelled_row(spark, monkeypatch):
+    docs, labels = labelled(spark)
+    tables = {}
+
+    def noted(df, name):
+        tables[name] = real(df, name)
+        return tables[name]
+
+    real = quality.materialize
+    monkeypatch.setattr(quality, "materialize", noted)
+    monkeypatch.setattr(quality, "BUCKET_ROWS", 50)
+    monkeypatch.setattr(quality, "LEAST_IN_BUCKET", 8)
+    model = quality.train(docs, labels)
+    learned = [i for i in range(400) if bucket_of(i, 5) != 0]
+    rows = {r["doc_id"]: r for r in tables["quality-rows"].collect()}
+    assert sorted(rows) == learned
+    packed = [np.frombuffer(r["labels"], np.int8) for r in tables["quality-buckets"].collect()]
+    assert len(packed) > 3 and sum(map(len, packed)) >= len(learned)
+    for k, found in enumerate(packed):
+        winners, losers = quality._pairs(k, found, 10, 11)
+        assert set(winners) == set(np.flatnonzero(found == 1)) and set(losers) == set(np.flatnonzero(found == 0))
+    # The cut errs as little as any over all rows.
+    strength = model.strength(np.array([rows[i]["shape"] for i in learned]))
+    label = np.array([rows[i]["label"] for i in learned])
+    errors = [((strength > cut) != (label == 1)).sum() for cut in (*strength, strength.min() - 1)]
+    assert ((strength >= model.threshold) != (label == 1)).sum() == min(errors)
+
+
 def test_preferences_decide():
     draw = np.random.default_rng(0)
     shapes = draw.random((600, 3))
