@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from catalodge.functions import dates
 from catalodge.operators import ordered
+from catalodge.session import spread
 
 UPCOMING_DAYS = 90
 SCHOOL_LEVEL = "(school)"
@@ -124,8 +125,11 @@ def programs_of_modules(members: DataFrame) -> DataFrame:
 
 
 def unit_modules(members: DataFrame, programs: DataFrame, modules: DataFrame) -> DataFrame:
-    """Distinct (unit, module_id): modules that programmes of a unit list, and those the unit owns."""
-    listed = members.select("program_id", "module_id").distinct().join(programs.select("program_id", "unit"), "program_id")
+    """Distinct (unit, module_id): modules that programmes of a unit list, and those the unit owns.
+
+    Repeats are dropped once, behind the join.
+    """
+    listed = spread(members.select("program_id", "module_id"), "program_id").join(programs.select("program_id", "unit"), "program_id")
     owned = modules.filter(F.col("unit").isNotNull()).select("unit", "module_id").distinct()
     return listed.select("unit", "module_id").unionByName(owned).distinct()
 

@@ -58,3 +58,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession, 'stages')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Rows of a few numbers that one task sorts or gathers.
+SPREAD_ROWS = 1 << 20
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The same rows by hash of their keys, about SPREAD_ROWS in a partition: what a task holds does not grow with the table.
+
+    Adaptive execution measures partitions compressed, so narrow rows that compress well would fill one with millions.
+    """
+    return df.repartition(max(1, -(-df.count() // SPREAD_ROWS)), *keys)

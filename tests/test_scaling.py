@@ -85,3 +85,19 @@ def test_token_counts_do_not_depend_on_the_sample(spark, monkeypatch):
     whole = counted()
     monkeypatch.setattr(token_counts, "frequent_lengths", lambda *_: (b"", b""))
     assert counted() == whole and len(whole) == 42
+
+
+def test_unit_modules_spread_by_rows(spark, monkeypatch):
+    from catalodge import session
+    from catalodge.plans import views
+
+    monkeypatch.setattr(session, "SPREAD_ROWS", 10)
+    members = spark.range(100).selectExpr("id % 20 AS program_id", "id % 7 AS module_id")
+    assert session.spread(members, "program_id").rdd.getNumPartitions() == 10
+    programs = spark.range(20).selectExpr("id AS program_id", "id % 3 AS unit")
+    owned = spark.createDataFrame([(5, 99), (None, 98), (5, 99)], "unit long, module_id long")
+    found = views.unit_modules(members, programs, owned)
+    want = {(i % 20 % 3, i % 7) for i in range(100)} | {(5, 99)}
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    # Sort or join memory of a task is bounded by rows: the join has as many partitions as the members need.
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().toString()
