@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from catalodge.llm.common import column, slices, utf8
 from catalodge.llm.simhash import fingerprint_of, near_duplicates, shingle_hashes
 from catalodge.operators.graph import component_roots, hot_lookup
-from catalodge.session import materialize
+from catalodge.session import materialize, written
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -237,7 +237,7 @@ def verified_classes(known: DataFrame, groups: DataFrame, width: int, radius: in
                 names,
             )
 
-    sizes = materialize(groups.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1"), "group-sizes")
+    sizes = written(groups.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1"), "group-sizes", groups.count())
     in_groups = hot_lookup(groups, sizes, "grp", "n").select("doc_id", "grp")
     rows = known.select("doc_id", utf8("text").alias("body")).join(in_groups, "doc_id").select("grp", "doc_id", "body")
     members = materialize(rows.mapInArrow(shingled, MEMBER), "members")
@@ -255,9 +255,10 @@ def verified_classes(known: DataFrame, groups: DataFrame, width: int, radius: in
         parts.append(materialize(_blocked(level).groupBy("grp", "block").applyInArrow(compare, LINK), "block-links"))
         large = _blocked(level.select("grp", "doc_id", "size")).where("blocks > 1").select("grp", "doc_id")
         firsts = parts[-1].where("u = v").select(F.col("u").alias("doc_id")).distinct()
-        again = materialize(large.distinct().join(firsts, "doc_id"), "level")
+        most = large.count()
+        again = written(large.distinct().join(firsts, "doc_id"), "level", most)
         n = again.count()
-        if not n or n > SHRINK * large.count():
+        if not n or n > SHRINK * most:
             break
         level = _of_groups(members, again).join(again, ["grp", "doc_id"], "left_semi")
     links = parts[0]

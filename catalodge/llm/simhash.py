@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from catalodge.llm.common import column, slices, utf8
 from catalodge.operators.graph import component_roots, hot_lookup
-from catalodge.session import materialize
+from catalodge.session import materialize, written
 
 SEED = 42
 WORDS = 4
@@ -200,15 +200,16 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, text: str = "text", w
     table gives an empty result. Other columns are not read.
     """
     found = materialize(fingerprints(docs, text, width), "fingerprints")
-    nodes = materialize(found.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "nodes")
+    rows = found.count()
+    nodes = written(found.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "nodes", rows)
     roots = component_roots(links(nodes, radius))
     # A root is its own member; then each root's smallest document.
     known = roots.unionByName(roots.selectExpr("root AS node", "root").distinct())
-    members = materialize(known.join(nodes, known["node"] == nodes["fp"]).drop("node"), "members")
+    members = written(known.join(nodes, known["node"] == nodes["fp"]).drop("node"), "members", rows)
     smallest = members.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("members"))
     linked = hot_lookup(members, smallest, "root", "members").select("fp", "n", "component_id")
     alone = nodes.join(members.select("fp"), "fp", "left_anti").selectExpr("fp", "n", "first AS component_id")
-    classes = materialize(linked.unionByName(alone), "classes")
+    classes = written(linked.unionByName(alone), "classes", rows)
     return hot_lookup(found, classes, "fp", "n").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalodge.session import materialize
+from catalodge.session import materialize, written
 
 # A key counts as heavy from this share of the rows on, so there are at most as many heavy keys.
 MAX_HEAVY_KEYS = 4096
+# A table of no more keys than this is broadcast as a whole.
+FEW_KEYS = 1 << 16
 
 
 def hot_lookup(left: DataFrame, right: DataFrame, key: str, count: str) -> DataFrame:
@@ -17,9 +19,11 @@ def hot_lookup(left: DataFrame, right: DataFrame, key: str, count: str) -> DataF
     ``right[count]`` says how many rows of ``left`` have the key. Keys with a
     MAX_HEAVY_KEYS-th of all rows or more are at most MAX_HEAVY_KEYS in number, which
     bounds the broadcast; their rows stay where they are. All other rows meet ``right``
-    in a shuffled join, whose largest key is then small.
+    in a shuffled join, whose largest key is then small. With FEW_KEYS keys or fewer all stay.
     """
-    total = right.agg(F.sum(count)).first()[0] or 0
+    keys, total = right.agg(F.count("*"), F.coalesce(F.sum(count), F.lit(0))).first()
+    if keys <= FEW_KEYS:
+        return left.join(F.broadcast(right), key)
     least = max(2, total // MAX_HEAVY_KEYS + 1)
     heavy = F.broadcast(right.where(F.col(count) >= least))
     light = right.where(F.col(count) < least)
@@ -28,16 +32,16 @@ def hot_lookup(left: DataFrame, right: DataFrame, key: str, count: str) -> DataF
     return hot.unionByName(cold)
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, n: int) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    least = materialize(least.withColumn("m", F.least("u", "m")), "large-star")
+    least = written(least.withColumn("m", F.least("u", "m")), "large-star", 2 * n)
     return hot_lookup(both.where("v > u"), least, "u", "n").selectExpr("v AS u", "m AS v").where("u != v").distinct()
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, n: int) -> DataFrame:
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = materialize(down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "small-star")
+    least = written(down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "small-star", n)
     others = hot_lookup(down, least, "u", "n").where("v != m").selectExpr("v AS u", "m AS v")
     return others.unionByName(least.selectExpr("u", "m AS v")).distinct()
 
@@ -53,8 +57,9 @@ def component_roots(links: DataFrame) -> DataFrame:
     links = materialize(links.select("u", "v").where("u != v").distinct(), "links")
     state = F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
     before = links.agg(*state).first()
-    while before[0]:
-        links = materialize(_small_star(materialize(_large_star(links), "links")), "links")
+    while n := before[0]:
+        links = written(_large_star(links, n), "links", n)
+        links = written(_small_star(links, n), "links", n)
         after = links.agg(*state).first()
         if after == before:
             break

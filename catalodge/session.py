@@ -60,8 +60,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-# Rows of a few numbers that one task sorts or gathers.
-SPREAD_ROWS = 1 << 20
+# Rows of a few numbers that one task sorts or gathers, and that one task writes behind a shuffle.
+SPREAD_ROWS, WRITTEN_ROWS = 1 << 20, 1 << 17
+
+
+def written(df: DataFrame, name: str, rows: int) -> DataFrame:
+    """Materialized by as many tasks as there are cores, or more, of WRITTEN_ROWS rows: for no more than about `rows` narrow rows behind a shuffle.
+
+    A small table then costs no task and no file for each shuffle partition. What comes before the shuffle is done by as many tasks as ever.
+    """
+    return materialize(df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // WRITTEN_ROWS))), name)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -5,11 +5,13 @@ import uuid
 from collections import defaultdict
 
 import numpy as np
+import pytest
 import xxhash
 from texts import prose
 
 from catalodge.llm import simhash
 from catalodge.llm.exact_dedup import DigestIndex, exact_dedup
+from catalodge.operators import graph
 from catalodge.operators.graph import component_roots
 from catalodge.session import shared_dir
 
@@ -186,3 +188,28 @@ def test_component_roots(spark):
     want = {n: top(n) for n in parent if top(n) != n}
     got = component_roots(spark.createDataFrame(links, "u long, v long")).collect()
     assert {r["node"]: r["root"] for r in got} == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("few", [1 << 16, 0])
+def test_rounds_of_few_links_write_no_file_for_each_shuffle_partition(spark, monkeypatch, few):
+    links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (200, 100), (200, 100)]
+    written, files = graph.written, []
+
+    def noted(df, name, rows):
+        out = written(df, name, rows)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(graph, "written", noted)
+    monkeypatch.setattr(graph, "FEW_KEYS", few)
+    held = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in held}
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        got = {tuple(row) for row in component_roots(spark.createDataFrame(links, "u long, v long")).collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == {(i, 0) for i in range(1, 41)} | {(i, 100) for i in (*range(101, 130), 200)}
+    assert files and max(files) <= spark.sparkContext.defaultParallelism
