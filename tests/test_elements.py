@@ -198,3 +198,24 @@ def test_rounds_stay_apart_in_the_deadline_table(spark):
     assert [(r["round_no"], r["deadline_at"], r["note"]) for r in rows] == [
         (1, "2026-05-01 23:59:00", "第 1 轮申请截止"), (2, "2026-06-01 23:59:00", "第 2 轮申请截止"),
     ]
+
+
+def test_cells_without_attributes_fill_the_grid_as_others_do():
+    plain = "<table><tr><th>a<th>b</tr><tr><td rowspan=2>1<td>2</tr><tr><td>3</tr><tr><td>4<td>5<td>6</tr><tr></tr></table>"
+    spaced = plain.replace("<td>", "<td >").replace("<th>", "<th >")
+    shape = lambda page: [(row.grid, [c.column for c in row.cells]) for t in elements.table_pass(page, elements.tag_pass(page)) for row in t.rows]
+    assert shape(plain) == shape(spaced) and shape(plain)[2][0] == [(1, 0), (2, 0)]
+
+
+def test_plain_cells_ask_for_no_spans(monkeypatch):
+    class Counted:
+        asked = 0
+
+        def findall(self, *where):
+            Counted.asked += 1
+            return []
+
+    monkeypatch.setattr(elements, "SPAN", Counted())
+    page = "<table><tr><td>1</td><td>2</td></tr><tr><td class='x'>3</td><td>4</td></tr></table>"
+    elements.table_pass(page, elements.tag_pass(page))
+    assert Counted.asked == 1
