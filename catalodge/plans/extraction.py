@@ -18,7 +18,7 @@ from catalodge.functions.text import blank_to_null, let, norm_ws, window_around
 from catalodge.operators import closure, lookup, ordered
 from catalodge.plans import site_rules
 from catalodge.sources import elements, feeds, html
-from catalodge.session import materialize
+from catalodge.session import by_page, materialize
 from catalodge.sources.config import DEFAULT_ENTRY_YEAR
 
 # ---- small expressions shared by the jobs --------------------------------------------
@@ -294,7 +294,7 @@ def discover(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
         "page_id", "school", "url", F.col("to_category").alias("category"), title.alias("title"), F.col("c.note").alias("note"),
         "crawl_freq", "fetch_method", F.struct("rule_no", "pos", "career").alias("place"),
     )
-    return ordered.first_per_key(rows, ["page_id", "url"], ["place"]).drop("place")
+    return ordered.first_per_key(by_page(rows, pages), ["page_id", "url"], ["place"]).drop("place")
 
 
 def page_closure(pages: DataFrame, rules_table: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -388,12 +388,13 @@ def extract_fields(pages: DataFrame, rules_table: DataFrame, names: DataFrame |
         source = pages.join(F.broadcast(names), "school", "left")
         keep.append("names")
     ruled = with_rules(source, rules_table, *keep)
+    late = F.when(F.col("source").isin("name_flag", "name_level"), F.struct("source", "pattern", "args"))
     values = ruled.select(
-        "page_id", "school", "category", "url", "field", "rank", "source", "pattern", "args", _field_value(names is not None).alias("value")
+        "page_id", "school", "category", "url", "field", "rank", late.alias("late"), _field_value(names is not None).alias("value")
     )
-    found = values.groupBy("page_id", "school", "category", "url", "field").agg(
+    found = by_page(values, pages).groupBy("page_id", "school", "category", "url", "field").agg(
         F.min_by("value", F.when(F.col("value").isNotNull(), F.col("rank"))).alias("value"),
-        F.min_by(F.struct("source", "pattern", "args"), F.when(F.col("source").isin("name_flag", "name_level"), F.col("rank"))).alias("late"),
+        F.min_by("late", F.when(F.col("late").isNotNull(), F.col("rank"))).alias("late"),
     )
     # A page has a few dozen fields at most: the number of rules of its school.
     return found.groupBy("page_id", "school", "category", "url").agg(
@@ -517,7 +518,7 @@ def module_links(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     for part in parts[1:]:
         found = found.unionByName(part)
     found = found.filter(F.col("name") != "").withColumn("key", F.coalesce("code", F.lower("name")))
-    return ordered.first_per_key(found, ["page_id", "key"], ["pos"]).drop("key")
+    return ordered.first_per_key(by_page(found, pages), ["page_id", "key"], ["pos"]).drop("key")
 
 
 MODULE_ENTRY = ["page_id", "school", "pos", "name", "code", "url", "module_type"]

@@ -78,3 +78,16 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     Adaptive execution measures partitions compressed, so narrow rows that compress well would fill one with millions.
     """
     return df.repartition(max(1, -(-df.count() // SPREAD_ROWS)), *keys)
+
+
+# Pages whose rows one task sorts and groups.
+PAGES_PER_TASK = 1 << 13
+
+
+def by_page(rows: DataFrame, pages: DataFrame) -> DataFrame:
+    """The same rows, those of about PAGES_PER_TASK pages in a partition, where the session's number of shuffle partitions would hold more.
+
+    That number is fixed while pages grow, and adaptive execution only makes fewer of it. What groups by page_id and more needs no further shuffle.
+    """
+    parts = -(-pages.count() // PAGES_PER_TASK)
+    return rows.repartition(parts, "page_id") if parts > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows

@@ -101,3 +101,22 @@ def test_unit_modules_spread_by_rows(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == sorted(want)
     # Sort or join memory of a task is bounded by rows: the join has as many partitions as the members need.
     assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().toString()
+
+
+def test_pages_of_a_task_are_bounded_whatever_the_shuffle_partitions(spark, monkeypatch):
+    from catalodge import session
+
+    few = {name: sorted(map(str, made.collect())) for name, made in made_of_pages(spark).items()}
+    monkeypatch.setattr(session, "PAGES_PER_TASK", 5)
+    for name, made in made_of_pages(spark).items():
+        exchanges = re.findall(r"hashpartitioning\(page_id#\d+L?, (\d+)\), REPARTITION_BY_NUM", plan_of(made))
+        assert "10" in exchanges, name
+        assert sorted(map(str, made.collect())) == few[name] and len(few[name]) >= 50
+
+
+def made_of_pages(spark):
+    some = pages(spark, 50)
+    rows = some.withColumn("html", F.concat(F.lit("<title>T | King's College London</title><h1>A</h1>"), "html"))
+    rule = ("gla", "program_detail", "name_en", 1, "h1", None, None)
+    rules = spark.createDataFrame([rule], "school string, category string, field string, rank int, source string, pattern string, args array<string>")
+    return {"modules": jobs.module_links(some, jobs.module_rules(spark)), "fields": jobs.extract_fields(jobs.prepared(rows), rules)}
