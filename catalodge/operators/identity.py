@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from catalodge.functions.text import ci_key
 from catalodge.operators.graph import component_roots
+from catalodge.session import materialize
 
 SEP = "\u0001"
 
@@ -143,6 +145,7 @@ def resolve_by_code(
     """
     at = F.struct(*order)
     coded = F.col(code).isNotNull() & (F.col(code) != "")
+    spelling = ["__hash", *scope, code, name]
 
     def keyed(df: DataFrame) -> DataFrame:
         return df.withColumns(
@@ -152,32 +155,43 @@ def resolve_by_code(
             }
         )
 
-    old, new = keyed(stored), keyed(records)
+    # Records are made once; what founds and finds entities are their spellings, each with the place of its first record.
+    # The hash in front makes sorts compare numbers; where it is equal, the columns themselves decide.
+    rows = materialize(records.withColumn("__hash", F.xxhash64(*spelling[1:])), "records")
+    spelled = F.concat_ws(SEP, *[F.col(c).cast("string") for c in scope], F.when(coded, F.col(code)).otherwise(F.col(name)))
+    spellings = rows.groupBy(*spelling).agg(F.min(at).alias("__at"))
+    old, new = keyed(stored), materialize(keyed(spellings).withColumn("__spelled", spelled), "spellings")
     sid = F.col(id_column)
     by_code = old.where("__code IS NOT NULL").groupBy("__code").agg(F.min(sid).alias("__by_code"))
     by_name = old.groupBy("__name").agg(
         F.min(F.when(F.col("__code").isNotNull(), sid)).alias("__old_coded"),
         F.min(F.when(F.col("__code").isNull(), sid)).alias("__old_plain"),
     )
-    spelled = F.concat_ws(SEP, *[F.col(c).cast("string") for c in scope], F.when(coded, F.col(code)).otherwise(F.col(name)))
     # The first record of each code that is not stored founds an entity under its own name.
     founders = (
         new.where("__code IS NOT NULL")
         .groupBy("__code")
-        .agg(F.min(at).alias("__since"), F.min_by(spelled, at).alias("__founded"), F.min_by("__name", at).alias("__name"))
+        .agg(F.min("__at").alias("__since"), F.min_by("__spelled", "__at").alias("__founded"), F.min_by("__name", "__at").alias("__name"))
         .join(by_code, "__code", "left_anti")
     )
     first_coded = founders.groupBy("__name").agg(
         F.min("__since").alias("__since"), F.min_by("__founded", "__since").alias("__new_coded")
     )
-    first_plain = new.where("__code IS NULL").groupBy("__name").agg(F.min_by(spelled, at).alias("__new_plain"))
+    first_plain = new.where("__code IS NULL").groupBy("__name").agg(F.min_by("__spelled", "__at").alias("__new_plain"))
     with_code = new.where("__code IS NOT NULL").join(by_code, "__code", "left").join(
         founders.select("__code", "__founded"), "__code", "left"
     )
     without = (
         new.where("__code IS NULL").join(by_name, "__name", "left").join(first_coded, "__name", "left").join(first_plain, "__name", "left")
     )
+    sure = with_code.select(*spelling, F.coalesce("__by_code", "__founded").alias("__sure"))
+    found = sure.unionByName(
+        without.select(
+            *spelling, F.col("__old_coded").alias("__sure"), "__since", "__new_coded", F.coalesce("__old_plain", "__new_plain").alias("__else")
+        ),
+        allowMissingColumns=True,
+    )
+    found = found.withColumnsRenamed({c: f"__s_{c}" for c in spelling})
+    same = functools.reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__s_{c}")) for c in spelling])
     earlier = F.when(F.col("__since") < at, F.col("__new_coded"))
-    found = without.withColumn("entity_key", F.coalesce("__old_coded", earlier, "__old_plain", "__new_plain"))
-    columns = [*records.columns, "entity_key"]
-    return with_code.withColumn("entity_key", F.coalesce("__by_code", "__founded")).select(*columns).unionByName(found.select(*columns))
+    return rows.join(found, same, "left").select(*records.columns, F.coalesce("__sure", earlier, "__else").alias("entity_key"))

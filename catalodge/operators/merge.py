@@ -18,11 +18,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalodge.functions.text import differs
 from catalodge.operators import ordered
+from catalodge.operators.ordered import BUCKET
 
 
 @dataclass(frozen=True)
@@ -73,6 +74,7 @@ def _payload(unit: Unit) -> Column:
     return F.struct(*[F.col(c) for c in unit.columns])
 
 
+HASH = "__hash"  # of a row's keys
 OLD = "__o_"  # prefix of stored columns while both sides are joined
 
 
@@ -89,39 +91,90 @@ def _condition(keys: Sequence[str], null_safe: bool) -> Column:
     return out
 
 
+def _changed(old: Column, new: Column) -> Column:
+    """Both are known and differ; equal texts need no closer look."""
+    return old.isNotNull() & new.isNotNull() & (old != new) & differs(old, new)
+
+
 def fold_batch(
     batch: DataFrame, spec: MergeSpec, order: Sequence[str], bucket: Column | None
 ) -> tuple[DataFrame, DataFrame]:
     """(rows with per-unit change flags, one summary row per key) of a batch."""
-    rows = batch
+    valued = batch
     for unit in spec.units:
-        rows = rows.withColumn(f"__v_{unit.name}", unit.value().cast("string"))
+        valued = valued.withColumn(f"__v_{unit.name}", unit.value().cast("string"))
     rows = ordered.last_known(
-        rows,
+        valued,
         spec.keys,
         order,
         {f"__v_{u.name}": f"__p_{u.name}" for u in spec.units},
         bucket,
         include_current=False,
     )
-    at = F.struct(*order)
-    summary = [F.min(at).alias("__seq")]
+    for unit in spec.units:
+        rows = rows.withColumn(f"__c_{unit.name}", _changed(F.col(f"__p_{unit.name}"), F.col(f"__v_{unit.name}")))
+    return rows, _across_buckets(_inside_buckets(valued, spec, order, bucket), spec)
+
+
+def _inside_buckets(rows: DataFrame, spec: MergeSpec, order: Sequence[str], bucket: Column | None) -> DataFrame:
+    """One row per (key, bucket): of each unit the first and last value, the last change after the first and the number of these.
+
+    Rows are shuffled once, and their number inside the bucket stands for their order. The
+    hash in front of the keys makes the sort compare numbers; keys with one hash stay apart.
+    """
+    inside = Window.partitionBy(HASH, *spec.keys, BUCKET).orderBy(*order)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({HASH: F.xxhash64(*spec.keys), BUCKET: F.lit(0) if bucket is None else bucket}).select(
+        "*",
+        F.row_number().over(inside).alias("__nth"),
+        *[F.last(f"__v_{u.name}", ignorenulls=True).over(before).alias(f"__p_{u.name}") for u in spec.units],
+    )
+    at, nth = F.struct(*order), F.col("__nth")
+    parts = [F.min_by(at, nth).alias("__seq")]
     for unit in spec.units:
         new, old = F.col(f"__v_{unit.name}"), F.col(f"__p_{unit.name}")
-        first = new.isNotNull() & old.isNull()
-        changed = new.isNotNull() & old.isNotNull() & differs(old, new)
-        rows = rows.withColumn(f"__c_{unit.name}", changed)
-        moved = first | changed
-        summary += [
-            F.max(F.when(first, F.struct(at.alias("at"), new.alias("value"), _payload(unit).alias("row")))).alias(f"__f_{unit.name}"),
-            F.max_by(_payload(unit), F.when(moved, at)).alias(f"__l_{unit.name}"),
+        given, changed = F.when(new.isNotNull(), nth), _changed(old, new)
+        value = F.struct(at.alias("at"), new.alias("value"), _payload(unit).alias("row"))
+        parts += [
+            F.min_by(value, given).alias(f"__f_{unit.name}"),
+            F.max_by(new, given).alias(f"__t_{unit.name}"),
+            F.max_by(_payload(unit), F.when(changed, nth)).alias(f"__l_{unit.name}"),
             F.count_if(changed).alias(f"__n_{unit.name}"),
         ]
     if spec.insert_only:
-        summary.append(F.min_by(F.struct(*spec.insert_only), at).alias("__insert"))
+        parts.append(F.min_by(F.struct(*spec.insert_only), nth).alias("__insert"))
+    if spec.label:
+        parts.append(F.min_by(F.col(spec.label), nth).alias("__label"))
+    return rows.groupBy(HASH, *spec.keys, BUCKET).agg(*parts)
+
+
+def _across_buckets(parts: DataFrame, spec: MergeSpec) -> DataFrame:
+    """One summary row per key; the first value of a bucket meets the last one of the buckets before."""
+    before = Window.partitionBy(*spec.keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    # As in ``last_known``, nothing is carried over where a part of the key is NULL.
+    whole = F.lit(True)
+    for key in spec.keys:
+        whole = whole & F.col(key).isNotNull()
+    parts = parts.select(
+        "*", *[F.when(whole, F.last(f"__t_{u.name}", ignorenulls=True).over(before)).alias(f"__p_{u.name}") for u in spec.units]
+    )
+    at = F.struct(BUCKET)  # a struct, as max_by leaves out a NULL
+    summary = [F.min_by("__seq", at).alias("__seq")]
+    for unit in spec.units:
+        head, last, old = F.col(f"__f_{unit.name}"), F.col(f"__l_{unit.name}"), F.col(f"__p_{unit.name}")
+        first, changed = head.isNotNull() & old.isNull(), _changed(old, head["value"])
+        moved = last.isNotNull() | first | changed
+        count = F.sum(F.col(f"__n_{unit.name}") + F.when(changed, 1).otherwise(0))
+        summary += [
+            F.max_by(head, F.when(first, at)).alias(f"__f_{unit.name}"),
+            F.max_by(F.coalesce(last, head["row"]), F.when(moved, at)).alias(f"__l_{unit.name}"),
+            F.coalesce(count, F.lit(0)).alias(f"__n_{unit.name}"),
+        ]
+    if spec.insert_only:
+        summary.append(F.min_by("__insert", at).alias("__insert"))
     if spec.label:
-        summary.append(F.min_by(F.col(spec.label), at).alias("__label"))
-    return rows, rows.groupBy(*spec.keys).agg(*summary)
+        summary.append(F.min_by("__label", at).alias("__label"))
+    return parts.groupBy(*spec.keys).agg(*summary)
 
 
 def merge_records(

@@ -1,13 +1,16 @@
 """Plans that must not put a whole table into one task: page tables, texts, items without a code, short lists."""
 
+import random
 import re
 
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from catalodge.functions.text import ci_key
 from catalodge.llm import token_counts
-from catalodge.operators import rollup
+from catalodge.operators import identity, merge, rollup
+from catalodge.operators.merge import MergeSpec, Unit
 from catalodge.plans import extraction as jobs
 from catalodge.plans import study_plans
 from catalodge.queries import all_queries
@@ -120,3 +123,51 @@ def made_of_pages(spark):
     rule = ("gla", "program_detail", "name_en", 1, "h1", None, None)
     rules = spark.createDataFrame([rule], "school string, category string, field string, rank int, source string, pattern string, args array<string>")
     return {"modules": jobs.module_links(some, jobs.module_rules(spark)), "fields": jobs.extract_fields(jobs.prepared(rows), rules)}
+
+
+def coded_records(spark):
+    rows = [(i, 1 + i % 2, ("C1", "c1 ", "Ç1", None, "")[i % 5], ("Logic", "LÓGIC", "Sets", None)[i % 4]) for i in range(60)]
+    return spark.createDataFrame([*rows, (60, None, "C1", "Logic"), (61, None, None, "Sets")], "seq int, s int, code string, name string")
+
+
+def test_records_are_made_once_to_find_their_modules(spark, tmp_path):
+    coded_records(spark).write.parquet(str(tmp_path / "records"))
+    records = spark.read.parquet(str(tmp_path / "records"))
+    stored = spark.createDataFrame([("m1", 2, "c1", "Logic")], "sid string, s int, code string, name string")
+    found = identity.resolve_by_code(records, stored, "sid", ["s"], "code", "name", ["seq"])
+    # Whatever made the records is not in the plan any more, so neither scan nor join of theirs is repeated.
+    assert not [f for f in found.inputFiles() if str(tmp_path) in f]
+    got = {r["seq"]: r["entity_key"] for r in found.collect()}
+    assert len(got) == 62 and got[60] is None and got[61] is None
+    # Case, accents and trailing blanks make no other code or name; a school of its own does.
+    assert {got[i] for i in range(60) if i % 2 and i % 5 < 2} == {"m1"}
+    assert {got[i] for i in range(0, 60, 2) if i % 5 < 2} == {"1\x01C1"}
+    assert {got[i] for i in range(60) if i % 5 == 2} == {"1\x01C1", "m1"}
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_a_batch_is_shuffled_once_and_joined_with_nothing(spark, split):
+    draw = random.Random(3)
+    rows = [(draw.choice([1, 1, 1, 2, 3, None]), i, draw.choice([None, "20", "20.0", "30", " x"]), f"n{i}") for i in range(200)]
+    spec = MergeSpec("deadline", ("k",), (Unit("fee", ("fee", "note"), tracked=True),), insert_only=("note",), label="fee")
+    batch = spark.createDataFrame(rows, "k int, seq int, fee string, note string")
+    _, summary = merge.fold_batch(batch, spec, ["seq"], F.when(F.col("seq") >= 20, F.floor(F.col("seq") / 20)) if split else None)
+    plan = plan_of(summary)
+    assert len(re.findall(r"Scan ExistingRDD", plan)) == 1 and "Join" not in plan
+    got = {r["k"]: r for r in summary.collect()}
+    for key in (1, 2, 3):
+        mine = [r for r in rows if r[0] == key]
+        given = [r for r in mine if r[2] is not None]
+        value = lambda text: text.strip() if "x" in text else float(text)
+        moves = [b for a, b in zip([None, *given], given) if a is None or value(a[2]) != value(b[2])]
+        r = got[key]
+        assert (r["__seq"]["seq"], r["__insert"]["note"], r["__label"]) == (mine[0][1], mine[0][3], mine[0][2])
+        assert (r["__f_fee"]["at"]["seq"], r["__f_fee"]["value"]) == (given[0][1], given[0][2])
+        assert (r["__l_fee"]["fee"], r["__l_fee"]["note"], r["__n_fee"]) == (*moves[-1][2:], len(moves) - 1)
+    assert got[None]["__seq"]["seq"] == min(r[1] for r in rows if r[0] is None)
+
+
+def test_text_without_accents_is_not_translated(spark):
+    rows = spark.createDataFrame([("Plain ",), ("Café ",), ("ÉCOLE",), ("名 A",), (None,), ("",)], "w string")
+    assert [r[0] for r in rows.select(ci_key(F.col("w"))).collect()] == ["plain", "cafe", "ecole", "名 a", None, ""]
+    assert "octet_length" in plan_of(rows.select(ci_key(F.col("w"))))
