@@ -88,34 +88,59 @@ def drop_dot_segments(path: Column) -> Column:
 
 
 def _parts(url: Column) -> Column:
-    return F.struct(
-        url.alias("url"),
-        url_part(url, SCHEME).alias("scheme"),
-        url_part(url, AUTHORITY).alias("authority"),
-        url_part(url, PATH).alias("path"),
-        url_part(url, QUERY).alias("query"),
-    )
+    """The URL's parts. One without a scheme or authority, as most links have it, is cut at its marks alone."""
 
+    def cut(front: Column, rest: Column) -> Column:
+        named = front.contains(":") | front.startswith("//")
+        query = F.substr(rest, F.char_length(front) + 2)
 
-def resolve(base: Column, href: Column) -> Column:
-    """The absolute, fragment-free URL a link on page ``base`` points to."""
+        def parts(scheme: Column, authority: Column, path: Column) -> Column:
+            return F.struct(url.alias("url"), scheme.alias("scheme"), authority.alias("authority"), path.alias("path"), query.alias("query"))
+
+        return F.when(~named, parts(F.lit(""), F.lit(""), front)).otherwise(parts(*[url_part(front, n) for n in (SCHEME, AUTHORITY, PATH)]))
+
+    before_fragment = F.substring_index(url, "#", 1)
+    return let(before_fragment, lambda rest: let(F.substring_index(rest, "?", 1), lambda front: cut(front, rest)))
 
-    def joined(on: Column, to: Column) -> Column:
-        root = F.concat(on["scheme"], F.lit("://"), on["authority"])
+
+def base_parts(base: Column) -> Column:
+    """What ``resolve_on`` needs of the page that links stand on."""
+
+    def made(on: Column) -> Column:
         folder = F.regexp_replace(on["path"], r"[^/]*$", "")
-        folder = F.when(folder == "", "/").otherwise(folder)
+        return F.struct(
+            on["url"].alias("url"), on["scheme"].alias("scheme"), on["path"].alias("path"),
+            F.concat(on["scheme"], F.lit("://"), on["authority"]).alias("root"), F.when(folder == "", "/").otherwise(folder).alias("folder"),
+        )
+
+    return let(_parts(base), made)
+
+
+def resolve_on(on: Column, href: Column) -> Column:
+    """The absolute, fragment-free URL a link points to, on a page with these ``base_parts``."""
+
+    def joined(to: Column) -> Column:
         tail = F.when(to["query"] == "", "").otherwise(F.concat(F.lit("?"), to["query"]))
-        path = F.concat(F.when(to["path"].startswith("/"), "").otherwise(folder), to["path"])
-        path = let(path, lambda p: F.when(p.rlike(r"(^|/)\.{1,2}(/|$)"), drop_dot_segments(p)).otherwise(p))
-        return without_fragment(
+        path = F.concat(F.when(to["path"].startswith("/"), "").otherwise(on["folder"]), to["path"])
+        path = let(path, lambda p: F.when(p.contains(".") & p.rlike(r"(^|/)\.{1,2}(/|$)"), drop_dot_segments(p)).otherwise(p))
+        whole = (
             F.when(to["scheme"] != "", to["url"])
             .when(to["authority"] != "", F.concat(on["scheme"], F.lit(":"), to["url"]))
             .when((to["path"] == "") & (to["query"] == ""), on["url"])
-            .when(to["path"] == "", F.concat(root, on["path"], tail))
-            .otherwise(F.concat(root, path, tail))
+            .when(to["path"] == "", F.concat(on["root"], on["path"], tail))
+            .otherwise(F.concat(on["root"], path, tail))
         )
+        return let(whole, lambda url: F.when(url.contains("#"), without_fragment(url)).otherwise(url))
+
+    # A path from the root on without query, fragment or dots needs no parts.
+    return let(
+        F.trim(href), lambda to: F.when(to.rlike(r"^/(?!/)[^?#.]*\z"), F.concat(on["root"], to)).otherwise(let(_parts(to), joined))
+    )
+
 
-    return let(_parts(base), lambda on: let(_parts(F.trim(href)), lambda to: joined(on, to)))
+def resolve(base: Column, href: Column) -> Column:
+    """The absolute, fragment-free URL a link on page ``base`` points to."""
+    return let(base_parts(base), lambda on: resolve_on(on, href))
 
 
 # Fixed value: course pages in year folders.

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from catalodge.functions import dates, fees, rules, urls
@@ -141,7 +141,7 @@ CANDIDATE = "array<struct<value:string,url:string,label:string,note:string>>"
 
 
 # Kinds of rules that look at the same parts of a page. Pages are read for the kinds that their rules have.
-KINDS = (("link", "next", "numbered", "full"), ("loc", "index"), ("option",), ("match", "self"), ("json", "indexed", "offset"))
+KINDS = (("link", "next", "numbered", "full", "option"), ("loc", "index"), ("match", "self"), ("json", "indexed", "offset"))
 # Kinds whose candidates need not match the rule's pattern once more.
 SURE = ("match", "next", "self", "json", "numbered", "full", "indexed", "offset")
 
@@ -164,14 +164,14 @@ def _from_links(base: Column) -> dict[str, Column]:
         return F.transform(found, lambda a: _entry(a["url"], a["url"], a["text"], blank_to_null(note)))
 
     marked = F.filter(anchors, lambda a: F.regexp_like(a["tag"], F.col("target_re")))
-    targets = F.transform(anchors, lambda a: extract(a["url"], F.col("target_re")))
-    n_targets = F.size(F.array_distinct(F.filter(targets, lambda t: t.isNotNull())))
+    targets = F.transform("scope_urls", lambda u: F.call_function("regexp_extract", u, F.col("target_re"), F.lit(1)))
+    n_targets = F.size(F.array_distinct(F.filter(targets, lambda t: t != "")))
     number = lambda u: F.regexp_extract(u, r"[?&]page=(\d+)", 1)
     return {
         "link": F.flatten(F.zip_with("scopes", "scope_links", of_scope)),
         "next": F.transform(marked, lambda a: _entry(a["url"], a["url"], a["text"])),
         "numbered": F.transform(
-            feeds.numbered_page_urls(F.transform(anchors, lambda a: a["url"])), lambda u: _entry(u, u, number(u))
+            feeds.numbered_page_urls(F.col("scope_urls")), lambda u: _entry(u, u, number(u))
         ),
         "full": _single(feeds.next_full_page_url(base, n_targets, F.col("page_size")), number),
     }
@@ -205,14 +205,16 @@ def _from_text(base: Column) -> dict[str, Column]:
 
 def _from_json(page: Column, base: Column) -> dict[str, Column]:
     def of_item(item: Column) -> Column:
-        value = extract(feeds.item_text(item, F.col("value_field")), F.col("target_re"))
-        label = blank_to_null(norm_ws(F.try_element_at(item, F.col("label_field")).try_cast("string")))
-        return let(value, lambda v: F.when(v.isNotNull(), _entry(v, label=F.coalesce(label, v))))
+        value = F.call_function("regexp_extract", feeds.item_text(item, F.col("value_field")), F.col("target_re"), F.lit(1))
+        label = norm_ws(F.try_element_at(item, F.col("label_field")).try_cast("string"))
+        return let(value, lambda v: F.when(v != "", _entry(v, label=let(label, lambda t: F.when(t != "", t).otherwise(v)))))
 
-    n_items = F.coalesce(F.size(feeds.json_items(page)), F.lit(0))
+    # Items without the field and without the part that stands in for it give no entry.
+    named = lambda item: F.map_contains_key(item, F.col("value_field")) | F.map_contains_key(item, F.lit("raw"))
+    n_items = F.coalesce(feeds.json_count(page), F.lit(0))
     total = F.coalesce(F.get_json_object(page, "$.totalCount").try_cast("int"), F.lit(0))
     return {
-        "json": F.filter(F.transform(feeds.json_items(page), of_item), lambda e: e.isNotNull()),
+        "json": F.filter(F.transform(F.filter(feeds.json_items(page), named), of_item), lambda e: e.isNotNull()),
         "indexed": _single(feeds.next_index_url(base, n_items, F.col("page_size")), lambda u: F.regexp_extract(u, r"PageIndex=(\d+)", 1)),
         "offset": F.transform(feeds.next_offset_urls(base, total), lambda u: _entry(u, u)),
     }
@@ -225,16 +227,18 @@ def _candidates(ruled: DataFrame, kinds: set[str]) -> DataFrame:
     if kinds & {"match"}:
         by_text = F.regexp_extract_all(page, F.col("scope_re"), F.lit(0))
         ruled = ruled.withColumn("scopes", F.when(F.col("scope_re").isNull(), F.array(page)).otherwise(by_text))
-    elif kinds & {"link", "next", "numbered", "full", "option"}:
+    elif kinds & set(KINDS[0]):
         ruled = ruled.withColumn("scopes", elements.scopes(page, F.col("scope_re")))
-    if kinds & {"link", "next", "numbered", "full"}:
+    if kinds & set(KINDS[0]):
         # The links of a rule's elements are cut once; several kinds of rules look at them.
-        ruled = ruled.withColumn("scope_links", F.transform("scopes", lambda scope: html.links(scope, base)))
-        made = _from_links(base)
+        # Rules for numbered and full pages look at URLs alone.
+        cut = F.transform("scopes", lambda scope: html.links(scope, base))
+        ruled = ruled.withColumn("scope_links", F.when(source.isin("link", "next"), cut))
+        own = F.flatten(F.transform("scopes", lambda scope: html.link_urls(scope, base)))
+        ruled = ruled.withColumn("scope_urls", F.when(source.isin("numbered", "full"), own))
+        made = _from_links(base) | _from_options()
     elif kinds & {"loc", "index"}:
         made = _from_sitemaps(page)
-    elif kinds & {"option"}:
-        made = _from_options()
     elif kinds & {"match", "self"}:
         made = _from_text(base)
     else:
@@ -249,18 +253,58 @@ def _candidates(ruled: DataFrame, kinds: set[str]) -> DataFrame:
     )
 
 
+def _page_url(career: Column) -> Column:
+    """URL of a found page from the columns of its candidate and rule."""
+
+    def by_template() -> Column:
+        made = F.col("template")
+        for mark, filler in (
+            ("{1}", F.col("value")), ("{value}", F.url_encode("value")), ("{raw}", F.col("value")),
+            ("{label}", F.url_encode(F.coalesce("c.label", F.lit("")))), ("{career}", career),
+        ):
+            made = F.replace(made, F.lit(mark), filler)
+        return made
+
+    def step(flag: Column, change: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        return lambda plain: let(plain, lambda p: F.when(flag, change(p)).otherwise(p))
+
+    def tagged(plain: Column) -> Column:
+        page = F.col("page_url")
+        carried = F.coalesce(urls.query_value(page, "uaDept"), urls.query_value(page, "pgDdesc"), F.col("c.label"), F.lit(""))
+        return F.concat(plain, F.when(plain.contains("?"), "&").otherwise("?"), F.col("carry"), F.lit("="), F.url_encode(carried))
+
+    own = F.when(F.col("clean"), urls.clean_url(F.col("value"))).otherwise(F.col("value"))
+    plain = F.when(F.col("template").isNull(), own).otherwise(F.coalesce(by_template(), own))
+    plain = step(F.col("canon").isNotNull(), lambda p: urls.canonical_course(p, "courses.leeds.ac.uk"))(plain)
+    plain = step(F.col("suffix").isNotNull(), lambda p: F.concat(F.rtrim(p, F.lit("/")), F.lit("/"), F.col("suffix")))(plain)
+    return step(F.col("carry").isNotNull(), tagged)(plain)
+
+
+def _concerned(pages: DataFrame, shapes: list[Row]) -> DataFrame:
+    """The pages of the school and category of any of the rules: what else there is need not be read for them.
+
+    As a filter rather than a join it is done before pages are put together, and where they are read.
+    """
+    any_of = F.lit(False)
+    for school, category in sorted({(row["school"], row["category"]) for row in shapes if None not in (row["school"], row["category"])}):
+        any_of = any_of | ((F.col("school") == school) & (F.col("category") == category))
+    return pages.filter(any_of)
+
+
 def discover(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     """Pages found on catalogue pages: school, url, category, title, note, crawl_freq, fetch_method, page_id.
 
     Within a page each URL counts once, at its first position. Links to the page itself are dropped.
     """
     pages = pages.withColumn("html", html.page_string(F.col("html")))
-    present = {row["source"] for row in rules_table.select("source").distinct().collect()}
+    shapes = rules_table.select("source", "school", "category").distinct().collect()
+    present = {row["source"] for row in shapes}
     found = None
     for group in KINDS:
         kinds = present & set(group)
         if kinds:
-            ruled = with_rules(pages, rules_table.filter(F.col("source").isin(*kinds)), "html", shape=True)
+            own = _concerned(pages, [row for row in shapes if row["source"] in kinds])
+            ruled = with_rules(own, rules_table.filter(F.col("source").isin(*kinds)), "html", shape=True)
             part = _candidates(ruled, kinds)
             found = part if found is None else found.unionByName(part)
     if found is None:
@@ -271,23 +315,9 @@ def discover(pages: DataFrame, rules_table: DataFrame) -> DataFrame:
     matched = F.col("source").isin(*SURE) | F.regexp_like(F.col("value"), F.col("target_re"))
     excluded = F.coalesce(F.regexp_like(F.col("value"), F.col("exclude_re")), F.lit(False))
     found = found.filter(matched & ~excluded)
-    found = found.withColumn("career", F.explode(F.coalesce("careers", F.array(F.lit("")))))
-    made = F.col("template")
-    for mark, filler in (
-        ("{1}", F.col("value")), ("{value}", F.url_encode("value")), ("{raw}", F.col("value")),
-        ("{label}", F.url_encode(F.coalesce("c.label", F.lit("")))), ("{career}", F.col("career")),
-    ):
-        made = F.replace(made, F.lit(mark), filler)
-    plain = F.coalesce(made, F.when(F.col("clean"), urls.clean_url(F.col("value"))).otherwise(F.col("value")))
-    plain = F.when(F.col("canon").isNotNull(), urls.canonical_course(plain, "courses.leeds.ac.uk")).otherwise(plain)
-    plain = F.when(F.col("suffix").isNotNull(), F.concat(F.rtrim(plain, F.lit("/")), F.lit("/"), F.col("suffix"))).otherwise(plain)
-    carried = F.coalesce(
-        urls.query_value(F.col("page_url"), "uaDept"), urls.query_value(F.col("page_url"), "pgDdesc"), F.col("c.label"), F.lit("")
-    )
-    tagged = F.concat(
-        plain, F.when(plain.contains("?"), "&").otherwise("?"), F.col("carry"), F.lit("="), F.url_encode(carried)
-    )
-    found = found.withColumn("url", F.coalesce(tagged, plain))
+    # Each row's URLs are made once: what a generator gives is not copied into the filters above it.
+    made = F.transform(F.coalesce("careers", F.array(F.lit(""))), lambda career: F.struct(career.alias("career"), _page_url(career).alias("url")))
+    found = found.withColumn("made", F.explode(made)).withColumns({"career": F.col("made.career"), "url": F.col("made.url")})
     found = found.filter(F.rtrim("url", F.lit("/")) != F.rtrim("page_url", F.lit("/")))
     title = F.coalesce(F.replace("fixed_title", F.lit("{label}"), F.coalesce("c.label", F.lit(""))), blank_to_null(F.col("c.label")))
     rows = found.select(

@@ -68,14 +68,25 @@ SEARCH_SCHEMA = (
     " usyd_courses_courseduration: STRING>>>"
 )
 
+def _answer_list(body: Column, item_type: str) -> Column:
+    """The list in a JSON answer; an item that is not of this type is NULL."""
+    lists = lambda answer: [F.try_variant_get(answer, f"$.{name}", f"array<{item_type}>") for name in ("Items", "results")]
+    # Parsed once; a fold, unlike ``let``, does not copy the list that it gives.
+    return F.aggregate(F.array(F.try_parse_json(body)), F.lit(None).cast(f"array<{item_type}>"), lambda _, answer: F.coalesce(*lists(answer)))
+
+
 def json_items(body: Column) -> Column:
     """array<map<field, variant>> of the list in a JSON answer ('Items' or 'results'); NULL where it is not JSON or has none.
 
     Items that are no objects are NULL.
     """
-    answer = F.try_parse_json(body)
-    items = F.coalesce(*[F.try_variant_get(answer, f"$.{name}", "array<variant>") for name in ("Items", "results")])
-    return F.transform(items, lambda item: F.try_variant_get(item, "$", "map<string,variant>"))
+    return _answer_list(body, "map<string,variant>")
+
+
+def json_count(body: Column) -> Column:
+    """Number of items of the list in a JSON answer, whatever they are; NULL where it is not JSON or has none."""
+    # Nothing is copied of an item that is not of the type asked for, and it keeps its place.
+    return F.size(_answer_list(body, "boolean"))
 
 
 def item_text(item: Column, field: Column) -> Column:

@@ -15,6 +15,7 @@ from catalodge.plans import extraction as jobs
 from catalodge.plans import study_plans
 from catalodge.queries import all_queries
 from catalodge.queries.registry import ROWS_PER_TASK, dealt
+from catalodge.sources import feeds, html
 
 
 def plan_of(df) -> str:
@@ -171,3 +172,49 @@ def test_text_without_accents_is_not_translated(spark):
     rows = spark.createDataFrame([("Plain ",), ("Café ",), ("ÉCOLE",), ("名 A",), (None,), ("",)], "w string")
     assert [r[0] for r in rows.select(ci_key(F.col("w"))).collect()] == ["plain", "cafe", "ecole", "名 a", None, ""]
     assert "octet_length" in plan_of(rows.select(ci_key(F.col("w"))))
+
+
+def test_pages_are_put_together_only_for_the_kinds_of_their_rules(spark):
+    def of(school, category, url, body):
+        columns = {"page_id": F.col("id"), "school": F.lit(school), "category": F.lit(category), "url": F.lit(url)}
+        page = F.concat(F.lit(body), F.when(F.col("id") < 0, f"made-{school}").otherwise(""))
+        return spark.range(4).select(*[c.alias(n) for n, c in columns.items()], page.alias("html"))
+
+    some = of("melb", "program_catalog", "https://h/s", '<nav class="pagination"><a href="?page=3">3</a></nav><a href="?page=9">o</a>')
+    other = of("anu", "program_catalog", "https://p/CourseSearch/GetCourses?PageIndex=1", '{"Items":[{"CourseCode":"A1"},{},null,7]}')
+    found = jobs.discover(some.unionByName(other), jobs.discovery_rules(spark))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # The html of each school is made once: for rules on links or for rules on JSON, not for each kind there is.
+    assert plan.count("made-anu") == 1 and plan.count("made-melb") == 1
+    want = [f"https://h/s?page={n}" for n in (2, 3)] + ["https://programsandcourses.anu.edu.au/2026/course/A1"]
+    assert sorted((r["page_id"], r["url"]) for r in found.collect()) == sorted((i, u) for i in range(4) for u in want)
+
+
+def test_urls_alone_are_those_of_the_links(spark):
+    rows = [
+        (1, "https://h/a/b?x=1", "<a href='/p/q'>A</a><!-- <a href=\"/no\">n</a> --><a href=\"../c?d=1&amp;e#f\">B</a><a class=x href=//k/l>C</a>"),
+        (2, "https://h/a/b?x=1", '<a href="?y">A</a><a href="">B</a><a href="#f">C</a><a href="mailto:x">D</a><a href="/p/./q.html">E</a><a href="/r:s">F</a>'),
+        (3, None, '<a href="/p">A</a><a href="q">B</a><a href="https://k/l">C</a><a href="//k">D</a>'),
+        (4, "https://h", None),
+    ]
+    got = spark.createDataFrame(rows, "page_id int, url string, html string").select(
+        "page_id", html.link_urls(F.col("html"), F.col("url")).alias("alone"), F.col("html").alias("html"), F.col("url").alias("url")
+    ).withColumn("links", html.links(F.col("html"), F.col("url")))
+    found = {r["page_id"]: (r["alone"], r["links"] and [link["url"] for link in r["links"]]) for r in got.collect()}
+    want = {
+        1: ["https://h/p/q", "https://h/c?d=1&e", "https://k/l"],
+        2: ["https://h/a/b?y", "https://h/a/b?x=1", "https://h/a/b?x=1", "mailto:x", "https://h/p/q.html", "https://h/r:s"],
+        3: [None, None, "https://k/l", None],
+        4: None,
+    }
+    assert found == {page: (urls, urls) for page, urls in want.items()}
+
+
+def test_items_are_counted_whatever_they_are(spark):
+    bodies = {
+        '{"Items":[{},{"a":1},null,"x",[1],true,2.5]}': 7, '{"results":[1,{"b":[2]}]}': 2, '{"Items":"x","results":[1]}': 1,
+        '{"Items":[]}': 0, '{"Items":{"a":1}}': None, "[1,2]": None, "no": None, None: None,
+    }
+    rows = spark.createDataFrame([(b,) for b in bodies], "body string")
+    got = rows.select("body", feeds.json_count(F.col("body")).alias("n"), F.size(feeds.json_items(F.col("body"))).alias("m")).collect()
+    assert {r["body"]: r["n"] for r in got} == bodies and {r["body"]: r["m"] for r in got} == bodies
